@@ -103,7 +103,7 @@ def multiset_overlap(left: Column, right: Column, weight: Callable[[Column], Col
         ).otherwise(state(x["item"], is_left, is_right, gain(s)))
 
     return F.aggregate(
-        F.array_sort(F.concat(tag(left, 0), tag(right, 1))),
+        F.sort_array(F.concat(tag(left, 0), tag(right, 1))),
         state(F.lit(None), F.lit(0), F.lit(0), F.lit(0.0)),
         step,
         gain,

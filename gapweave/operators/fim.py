@@ -30,7 +30,7 @@ def sample_subblocks(subblocks: Column, share: float, seed: int, *block_ids: Col
         subblocks,
         lambda s: F.struct(shuffle_key("pick", seed, *block_ids, s["sub_id"]).alias("key"), s.alias("sub")),
     )
-    ordered = F.array_sort(keyed)
+    ordered = F.sort_array(keyed)
     return F.transform(
         F.slice(ordered, F.lit(1), sample_size(F.size(subblocks), share)), lambda x: x["sub"]
     )

@@ -203,7 +203,7 @@ def brace_nodes(text: Column) -> Column:
     def pair_nodes(ds: Column) -> Column:
         # At one level opens and closes alternate, so after sorting by (level, position)
         # the partner of an open brace is its right neighbour.
-        by_level = F.array_sort(
+        by_level = F.sort_array(
             F.transform(
                 F.filter(ds, lambda d: d["token"] != ";"),
                 lambda d: F.struct(
@@ -240,7 +240,7 @@ def brace_nodes(text: Column) -> Column:
     tokens = F.regexp_extract_all(text, F.lit(LEXEME), F.lit(0))
     found = let(
         let(let(tokens, delimiters), outside_parens),
-        lambda kept: let(with_context(kept), lambda ds: F.array_sort(F.concat(statement_nodes(ds), pair_nodes(ds)))),
+        lambda kept: let(with_context(kept), lambda ds: F.sort_array(F.concat(statement_nodes(ds), pair_nodes(ds)))),
     )
     return F.concat(_root(text, "file"), found)
 
@@ -354,7 +354,7 @@ def _subtree_ends(nodes: Column) -> Column:
     one sorted list of all starts and ends.
     """
     n = F.size(nodes)
-    events = F.array_sort(
+    events = F.sort_array(
         F.concat(
             F.transform(nodes, lambda x, i: F.struct(x["end_byte"].alias("at"), F.lit(0).alias("starts"), i.alias("i"))),
             F.transform(nodes, lambda x, i: F.struct(x["start_byte"].alias("at"), F.lit(1).alias("starts"), i.alias("i"))),
@@ -371,7 +371,7 @@ def _subtree_ends(nodes: Column) -> Column:
             lambda e: e.isNotNull(),
         ),
     )
-    return F.transform(F.array_sort(counted), lambda e: F.greatest(e["last"], e["i"]))
+    return F.transform(F.sort_array(counted), lambda e: F.greatest(e["last"], e["i"]))
 
 
 def block_array(

@@ -93,7 +93,7 @@ def report_json(summary: DataFrame, checkpoint: str, stamp: Column | None = None
         F.struct("metric", "n", "base_average", "lora_average", "is_binary", "higher_is_better").alias("stat"),
     )
     # The list has one entry per registered metric.
-    stats = F.transform(F.array_sort(F.collect_list(stat)), lambda x: x["stat"])
+    stats = F.transform(F.sort_array(F.collect_list(stat)), lambda x: x["stat"])
     stamp = stamp if stamp is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     return summary.agg(stats.alias("all_metric_stats")).select(
         F.to_json(

@@ -29,7 +29,7 @@ def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, pos: str) -> DataF
 
 def _regroup(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
     # A group is one text's own tokens, never more than the text's row held before.
-    ordered = F.array_sort(F.collect_list(F.struct("pos", value)))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", value)))
     return rows.groupBy(key).agg(F.transform(ordered, lambda x: x[value]).alias(out))
 
 

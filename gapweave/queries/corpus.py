@@ -233,31 +233,31 @@ lexemes AS (
   SELECT file_id, unnest(regexp_extract_all(text, '{BRACE_LEXEME}')) AS token,
          generate_subscripts(regexp_extract_all(text, '{BRACE_LEXEME}'), 1) AS token_no FROM {source}),
 placed AS (
-  SELECT *, coalesce(sum(strlen(token)) OVER w, 0)::BIGINT AS at,
+  SELECT *, coalesce(sum(strlen(token)) OVER w, 0)::BIGINT AS pos,
          coalesce(sum(CASE token WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER w, 0) AS parens
   FROM lexemes WINDOW w AS (PARTITION BY file_id ORDER BY token_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 delims AS (
-  SELECT file_id, token, at,
+  SELECT file_id, token, pos,
          coalesce(sum(CASE token WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) OVER w, 0) AS level,
-         coalesce(lag(at) OVER (PARTITION BY file_id ORDER BY at) + 1, 0) AS since
+         coalesce(lag(pos) OVER (PARTITION BY file_id ORDER BY pos) + 1, 0) AS since
   FROM placed WHERE token IN ('{{', '}}') OR (token = ';' AND parens <= 0)
-  WINDOW w AS (PARTITION BY file_id ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  WINDOW w AS (PARTITION BY file_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 trimmed AS (
-  SELECT d.*, d.at - strlen(regexp_replace(decode(unhex(substr(hex(encode(f.text)), 2 * since + 1, 2 * (at - since)))), '^\\s+', '')) AS first
+  SELECT d.*, d.pos - strlen(regexp_replace(decode(unhex(substr(hex(encode(f.text)), 2 * since + 1, 2 * (pos - since)))), '^\\s+', '')) AS first
   FROM delims d JOIN {source} f USING (file_id)),
 braces AS (
   SELECT *, level + CASE token WHEN '{{' THEN 1 ELSE 0 END AS pair_level FROM trimmed WHERE token <> ';'),
 paired AS (
-  SELECT *, lead(token) OVER w AS next_token, lead(at) OVER w AS close_at
-  FROM braces WINDOW w AS (PARTITION BY file_id, pair_level ORDER BY at)),
+  SELECT *, lead(token) OVER w AS next_token, lead(pos) OVER w AS close_at
+  FROM braces WINDOW w AS (PARTITION BY file_id, pair_level ORDER BY pos)),
 bodies AS (
-  SELECT file_id, at, first, close_at + 1 AS end_byte, greatest(pair_level, 1) AS pair_level
+  SELECT file_id, pos, first, close_at + 1 AS end_byte, greatest(pair_level, 1) AS pair_level
   FROM paired WHERE token = '{{' AND next_token = '}}'),
 brace_rows AS (
   SELECT file_id, 1 AS depth, 'file' AS type, 0::BIGINT AS start_byte, strlen(text)::BIGINT AS end_byte FROM {source}
-  UNION ALL SELECT file_id, 2 * pair_level, 'definition', first, end_byte FROM bodies WHERE first < at
-  UNION ALL SELECT file_id, 2 * pair_level + 1, 'body', at, end_byte FROM bodies
-  UNION ALL SELECT file_id, 2 * greatest(level, 0) + 2, 'statement', first, at + 1 FROM trimmed WHERE token = ';'),
+  UNION ALL SELECT file_id, 2 * pair_level, 'definition', first, end_byte FROM bodies WHERE first < pos
+  UNION ALL SELECT file_id, 2 * pair_level + 1, 'body', pos, end_byte FROM bodies
+  UNION ALL SELECT file_id, 2 * greatest(level, 0) + 2, 'statement', first, pos + 1 FROM trimmed WHERE token = ';'),
 brace_nodes AS (
   SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY start_byte, depth) - 1 AS node_id,
          depth::INTEGER AS depth, type, start_byte, end_byte FROM brace_rows)"""
@@ -291,17 +291,17 @@ def nodes_brace_pages(spark, folder):
          generate_subscripts(string_split_regex(text, '{STRUCTURE_RE}'), 1) - 1 AS block_no FROM cleaned),
 tiles AS (
   SELECT file_id, block_no, block, category, strlen(gap) + coalesce(sum(strlen(gap) + strlen(block)) OVER (
-           PARTITION BY file_id ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+           PARTITION BY file_id ORDER BY block_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
   FROM gaps JOIN categorized USING (file_id, block_no)),
 block_lines AS (
-  SELECT file_id, block_no, at, unnest(string_split(block, chr(10))) AS line,
+  SELECT file_id, block_no, pos, unnest(string_split(block, chr(10))) AS line,
          generate_subscripts(string_split(block, chr(10)), 1) AS line_no FROM tiles),
 placed_lines AS (
-  SELECT *, at + coalesce(sum(strlen(line) + 1) OVER (PARTITION BY file_id, block_no ORDER BY line_no
+  SELECT *, pos + coalesce(sum(strlen(line) + 1) OVER (PARTITION BY file_id, block_no ORDER BY line_no
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line_at FROM block_lines),
 keyword_rows AS (
   SELECT file_id, 1 AS depth, 'file' AS type, 0::BIGINT AS start_byte, strlen(text)::BIGINT AS end_byte FROM cleaned
-  UNION ALL SELECT file_id, 2, lower(category) || '_declaration', at, at + strlen(block) FROM tiles
+  UNION ALL SELECT file_id, 2, lower(category) || '_declaration', pos, pos + strlen(block) FROM tiles
   UNION ALL SELECT file_id, 3, 'statement', line_at + strlen(line) - strlen(ltrim(line)), line_at + strlen(rtrim(line))
             FROM placed_lines WHERE ends_with(rtrim(line), ';'))""",
     )

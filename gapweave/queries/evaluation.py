@@ -31,10 +31,10 @@ simple AS (
          THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS line_match,
     -- distance on one-byte stand-ins for the distinct characters of the pair
     1 - levenshtein(
-          array_to_string(list_transform(string_split(pred, ''), lambda c: chr(list_position(list_distinct(string_split(ref || pred, '')), c)::INTEGER)), ''),
-          array_to_string(list_transform(string_split(ref, ''), lambda c: chr(list_position(list_distinct(string_split(ref || pred, '')), c)::INTEGER)), ''))
+          array_to_string(list_transform(string_split(pred, ''), lambda c: chr(list_position(seen, c)::INTEGER)), ''),
+          array_to_string(list_transform(string_split(ref, ''), lambda c: chr(list_position(seen, c)::INTEGER)), ''))
         / greatest(length(ref), length(pred))::DOUBLE AS edit_similarity
-  FROM pairs)"""
+  FROM (SELECT *, list_distinct(string_split(ref || pred, '')) AS seen FROM pairs))"""
 
 GRAMS_SQL = f"""
 toks AS (

@@ -279,15 +279,15 @@ def middle_length_filter(spark, folder):
 CHUNKS_SQL = """
 hexed AS (SELECT file_id, split, hex(encode(text)) AS h, strlen(text) AS n FROM assigned),
 edges AS (
-  SELECT file_id, split, h, n, unnest(CASE WHEN n > 1228 THEN range(0, n - 1228 + 1, 1228) ELSE [0] END) AS at FROM hexed),
+  SELECT file_id, split, h, n, unnest(CASE WHEN n > 1228 THEN range(0, n - 1228 + 1, 1228) ELSE [0] END) AS pos FROM hexed),
 moved AS (
-  SELECT *, at // 1228 AS chunk_no,
-    list_filter([0, 1, 2, 3], lambda d: NOT regexp_matches(substr(h, 2 * (at + d) + 1, 1), '[89AB]'))[1] AS skip,
-    list_filter([0, 1, 2, 3], lambda d: NOT regexp_matches(substr(h, 2 * (at + 1228 - d) + 1, 1), '[89AB]'))[1] AS back
+  SELECT *, pos // 1228 AS chunk_no,
+    list_filter([0, 1, 2, 3], lambda d: NOT regexp_matches(substr(h, 2 * (pos + d) + 1, 1), '[89AB]'))[1] AS skip,
+    list_filter([0, 1, 2, 3], lambda d: NOT regexp_matches(substr(h, 2 * (pos + 1228 - d) + 1, 1), '[89AB]'))[1] AS back
   FROM edges),
 chunks AS (
   SELECT file_id, split, chunk_no, CASE WHEN n <= 1228 THEN h
-         ELSE substr(h, 2 * (at + skip) + 1, 2 * (1228 - back - skip)) END AS h
+         ELSE substr(h, 2 * (pos + skip) + 1, 2 * (1228 - back - skip)) END AS h
   FROM moved)"""
 
 POOL_SQL = """
