@@ -1,4 +1,4 @@
-"""Array helpers that stay inside one row, so they never shuffle.
+"""Array helpers (as SQL text) that stay inside one row, so they never shuffle.
 
 Folding an array into a growing array copies the accumulator at every step.  The
 prefix sum therefore works in fixed-size pieces: the copy cost is bounded by the
@@ -9,102 +9,85 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from gapweave.functions.sqltext import fold, index_range, let, lit, transform, zip_with
 
 PIECE = 256
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def empty(element_type: str) -> Column:
-    return F.array().cast(f"array<{element_type}>")
-
-
-def index_range(n: Column) -> Column:
-    """``[0, 1, ..., n-1]``; empty for n <= 0 (a bare ``sequence`` would count down)."""
-    return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(empty("int"))
-
-
-def _scan(values: Column) -> Column:
-    start = F.struct(F.lit(0).cast("bigint").alias("total"), empty("bigint").alias("before"))
-    return F.aggregate(
+def _scan(values: str) -> str:
+    return fold(
         values,
-        start,
-        lambda s, x: F.struct(
-            (s["total"] + x.cast("bigint")).alias("total"),
-            F.concat(s["before"], F.array(s["total"])).alias("before"),
-        ),
+        "named_struct('total', 0L, 'before', cast(array() as array<bigint>))",
+        lambda s, x: f"named_struct('total', {s}.total + cast({x} as bigint), "
+        f"'before', concat({s}.before, array({s}.total)))",
+        lambda s: s,
     )
 
 
-def sums_before(values: Column) -> Column:
+def sums_before(values: str) -> str:
     """For each element the sum of all elements ahead of it."""
 
-    def over_pieces(v: Column) -> Column:
-        n_pieces = F.ceil(F.size(v) / F.lit(PIECE)).cast("int")
-        pieces = F.transform(index_range(n_pieces), lambda k: _scan(F.slice(v, k * PIECE + 1, F.lit(PIECE))))
-        return let(
-            pieces,
-            lambda ps: F.flatten(
-                F.zip_with(
-                    ps["before"],
-                    _scan(ps["total"])["before"],
-                    lambda inner, base: F.transform(inner, lambda x: x + base),
-                )
-            ),
-        )
+    def over_pieces(v: str) -> str:
+        n_pieces = f"ceil(size({v}) / {PIECE})"
+        pieces = transform(index_range(n_pieces), lambda k: _scan(f"slice({v}, {k} * {PIECE} + 1, {PIECE})"))
+
+        def joined(ps: str) -> str:
+            shifted = zip_with(
+                f"{ps}.before",
+                f"{_scan(f'{ps}.total')}.before",
+                lambda inner, base: transform(inner, lambda x: f"{x} + {base}"),
+            )
+            return f"flatten({shifted})"
+
+        whole = f"if(size({v}) <= {PIECE}, {_scan(v)}.before, {let(pieces, joined)})"
+        return whole
 
     return let(values, over_pieces)
 
 
-def tile_offsets(pieces: Column, gap: int = 0) -> Column:
+def tile_offsets(pieces: str, gap: int = 0) -> str:
     """Byte offset of every string piece when the pieces are laid out ``gap`` bytes apart."""
-    return sums_before(F.transform(pieces, lambda p: F.octet_length(p) + F.lit(gap)))
+    return sums_before(transform(pieces, lambda p: f"octet_length({p}) + {gap}"))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    return F.transform(
-        index_range(F.size(tokens) - F.lit(n - 1)),
-        lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(n)), "\x01"),
+def ngrams(tokens: str, n: int) -> str:
+    if n == 1:
+        return tokens
+    sep = lit("\x01")
+    return let(
+        tokens,
+        lambda ts: transform(
+            index_range(f"size({ts}) - {n - 1}"), lambda i: f"array_join(slice({ts}, {i} + 1, {n}), {sep})"
+        ),
     )
 
 
-def multiset_overlap(left: Column, right: Column, weight: Callable[[Column], Column] | None = None) -> Column:
+def multiset_overlap(left: str, right: str, weight: Callable[[str], str] | None = None) -> str:
     """Sum over distinct strings of ``min(count left, count right) * weight``.
 
     Both arrays are tagged and sorted together, then folded with a state of constant
     size: one run of equal strings at a time.
     """
 
-    def gain(state: Column) -> Column:
-        w = F.lit(1.0) if weight is None else F.coalesce(weight(state["item"]), F.lit(0.0))
-        return state["total"] + F.least(state["n_left"], state["n_right"]).cast("double") * w
+    def gain(s: str) -> str:
+        w = "1D" if weight is None else f"coalesce({weight(f'{s}.item')}, 0D)"
+        return f"{s}.total + least({s}.n_left, {s}.n_right) * {w}"
 
-    def state(item, n_left, n_right, total):
-        return F.struct(
-            item.cast("string").alias("item"),
-            n_left.cast("int").alias("n_left"),
-            n_right.cast("int").alias("n_right"),
-            total.cast("double").alias("total"),
-        )
-
-    def tag(items: Column, side: int) -> Column:
-        return F.transform(items, lambda g: F.struct(g.alias("item"), F.lit(side).alias("side")))
+    def tag(items: str, side: int) -> str:
+        return transform(items, lambda g: f"named_struct('item', {g}, 'side', {side})")
 
-    def step(s: Column, x: Column) -> Column:
-        is_left = F.when(x["side"] == 0, F.lit(1)).otherwise(F.lit(0))
-        is_right = F.lit(1) - is_left
-        return F.when(
-            s["item"].eqNullSafe(x["item"]),
-            state(s["item"], s["n_left"] + is_left, s["n_right"] + is_right, s["total"]),
-        ).otherwise(state(x["item"], is_left, is_right, gain(s)))
+    def step(s: str, x: str) -> str:
+        same = f"{s}.item <=> {x}.item"
+        return (
+            f"named_struct('item', {x}.item,"
+            f" 'n_left', if({same}, {s}.n_left, 0) + 1 - {x}.side,"
+            f" 'n_right', if({same}, {s}.n_right, 0) + {x}.side,"
+            f" 'total', if({same}, {s}.total, {gain(s)}))"
+        )
 
-    return F.aggregate(
-        F.sort_array(F.concat(tag(left, 0), tag(right, 1))),
-        state(F.lit(None), F.lit(0), F.lit(0), F.lit(0.0)),
+    return fold(
+        f"sort_array(concat({tag(left, 0)}, {tag(right, 1)}))",
+        "named_struct('item', cast(null as string), 'n_left', 0, 'n_right', 0, 'total', 0D)",
         step,
         gain,
     )

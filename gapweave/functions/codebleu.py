@@ -1,17 +1,19 @@
-"""CodeBLEU as Column expressions: n-grams, keyword-weighted n-grams, syntax, data flow.
+"""CodeBLEU as one SQL expression: n-grams, keyword-weighted n-grams, syntax, data flow.
 
 The syntax part compares statement shapes (names and numbers blanked), the data-flow part
 compares variable uses and "computed from" pairs under names numbered by first appearance.
 Both are lexical; a parser-backed variant can be plugged in through ``overlap_recall``.
+
+Arguments are column names or SQL expressions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gapweave.functions.arrays import empty, let, multiset_overlap
-from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu, keyword_bleu, overlap_recall
-from gapweave.functions.text import squeeze
+from gapweave.functions.arrays import multiset_overlap
+from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_text, keyword_bleu_text, overlap_recall
+from gapweave.functions.sqltext import keep, let, lit, regexp_extract_all, regexp_replace, squeeze, transform
 
 # Reserved words shared by most of the supported languages, then additions.
 SHARED_KEYWORDS = (
@@ -37,136 +39,120 @@ def keywords(language: str) -> list[str]:
     return SHARED_KEYWORDS + EXTRA_KEYWORDS.get(language, [])
 
 
-def _is_keyword(token: Column, language: str) -> Column:
-    return token.isin(keywords(language))
+def _is_keyword(token: str, language: str) -> str:
+    return f"{token} in ({', '.join(lit(k) for k in keywords(language))})"
 
 
-def _without_comments(text: Column, language: str) -> Column:
+def _without_comments(text: str, language: str) -> str:
     comment = r"#[^\n]*" if language in HASH_COMMENTS else r"//[^\n]*|(?s:/\*.*?\*/)"
-    literal = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"' + r"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
-    # A match is a comment, which goes, or a literal, of which the quotes stay.
-    return F.regexp_replace(F.regexp_replace(text, literal, '""'), comment, " ")
-
+    literal = r'"[^"\\\n]*+(?:\\[^\n][^"\\\n]*+)*+"' + r"|'[^'\\\n]*+(?:\\[^\n][^'\\\n]*+)*+'"
+    return regexp_replace(regexp_replace(text, literal, '""'), comment, " ")
 
-def _statement_end(language: str) -> str:
-    return r"[;{}\n]" if language in ("python", "ruby") else r"[;{}]"
 
+def _statements(code: str, language: str) -> str:
+    """Statements of comment-free code, white space squeezed."""
+    end = r"[;{}\n]" if language in ("python", "ruby") else r"[;{}]"
+    return keep(transform(f"split({code}, {lit(end)})", squeeze), lambda s: f"{s} <> ''")
 
-def _statements(text: Column, language: str) -> Column:
-    return F.filter(
-        F.transform(F.split(_without_comments(text, language), _statement_end(language)), squeeze), lambda s: s != ""
-    )
 
-
-def syntax_shapes(text: Column, language: str) -> Column:
+def syntax_shapes(code: str, language: str) -> str:
     """Statements with every name replaced by ``v`` and every number by ``0``."""
 
-    def shape(statement: Column) -> Column:
-        tokens = F.regexp_extract_all(statement, F.lit(rf"{NAME}|\d[\w.]*|[^\w\s]"), F.lit(0))
-        return F.array_join(
-            F.transform(
-                tokens,
-                lambda t: F.when(_is_keyword(t, language), t)
-                .when(t.rlike("^[A-Za-z_]"), "v")
-                .when(t.rlike("^[0-9]"), "0")
-                .otherwise(t),
-            ),
-            " ",
+    def shape(statement: str) -> str:
+        tokens = regexp_extract_all(statement, rf"{NAME}|\d[\w.]*|[^\w\s]")
+        blanked = transform(
+            tokens,
+            lambda t: f"case when {_is_keyword(t, language)} then {t} "
+            f"when {t} rlike '^[A-Za-z_]' then 'v' when {t} rlike '^[0-9]' then '0' else {t} end",
         )
+        return f"array_join({blanked}, ' ')"
 
-    return F.transform(_statements(text, language), shape)
+    return transform(_statements(code, language), shape)
 
 
-def _variables(text: Column, language: str) -> Column:
-    found = F.regexp_extract_all(text, F.lit(rf"{NAME}++(?!\s*\()".replace(r"\w*++", r"\w*+")), F.lit(0))
-    return F.filter(found, lambda t: ~_is_keyword(t, language))
+def _variables(code: str, language: str) -> str:
+    found = regexp_extract_all(code, r"[A-Za-z_]\w*+(?!\s*\()")
+    return keep(found, lambda t: f"not ({_is_keyword(t, language)})")
 
 
-def _numbered(names: Column, order: Column) -> Column:
-    return F.transform(names, lambda t: F.concat(F.lit("v"), F.array_position(order, t).cast("string")))
+def _numbered(names: str, order: str) -> str:
+    return transform(names, lambda t: f"concat('v', array_position({order}, {t}))")
 
 
-def flow(text: Column, language: str) -> Column:
-    """Struct of variable occurrences, number of variables and assignment pairs."""
+def flow(code: str, language: str) -> str:
+    """Struct of variable occurrences, number of variables and "computed from" pairs."""
     assign = rf"({NAME})\s*(?:\[[^\]]*\]\s*)?(?:[-+*/%&|^:]|<<|>>)?=(?!=)"
     right_side = r"(?s)(?<![=!<>])=(?!=)(.*)"
 
-    def build(code: Column) -> Column:
-        occurrences = _variables(code, language)
-
-        def number(v: Column) -> Column:
-            pairs = F.flatten(
-                F.transform(
-                    _statements(code, language),
-                    lambda s: F.when(
-                        s.rlike(assign),
-                        F.transform(
-                            _numbered(_variables(F.regexp_extract(s, right_side, 1), language), v["order"]),
-                            lambda right: F.concat_ws(
-                                "<-",
-                                F.concat(
-                                    F.lit("v"),
-                                    F.array_position(v["order"], F.regexp_extract(s, assign, 1)).cast("string"),
-                                ),
-                                right,
-                            ),
-                        ),
-                    ).otherwise(empty("string")),
-                )
+    def number(v: str) -> str:
+        def pairs(statement: str) -> str:
+            target = f"concat('v', array_position({v}.names, regexp_extract({statement}, {lit(assign)}, 1)), '<-')"
+            sources = _numbered(
+                _variables(f"regexp_extract({statement}, {lit(right_side)}, 1)", language), f"{v}.names"
             )
-            return F.struct(
-                _numbered(v["all"], v["order"]).alias("uses"),
-                F.size(v["order"]).alias("n_vars"),
-                pairs.alias("pairs"),
+            return (
+                f"if({statement} rlike {lit(assign)}, {transform(sources, lambda x: f'concat({target}, {x})')}, "
+                "cast(array() as array<string>))"
             )
 
-        return let(F.struct(occurrences.alias("all"), F.array_distinct(occurrences).alias("order")), number)
+        return (
+            f"named_struct('uses', {_numbered(f'{v}.found', f'{v}.names')}, 'n_vars', size({v}.names), "
+            f"'pairs', flatten({transform(_statements(code, language), pairs)}))"
+        )
 
-    return let(_without_comments(text, language), build)
+    return let(
+        _variables(code, language),
+        lambda found: let(f"named_struct('found', {found}, 'names', array_distinct({found}))", number),
+    )
 
 
-def _flow_size(f: Column) -> Column:
+def _flow_size(f: str) -> str:
     # The first occurrence of a variable defines it, all later ones use it.
-    return F.size(f["uses"]) - f["n_vars"] + F.size(f["pairs"])
-
-
-def flow_match(ref: Column, pred: Column, language: str) -> Column:
-    def score(v: Column) -> Column:
-        r, p = v["r"], v["p"]
-        uses = multiset_overlap(p["uses"], r["uses"]) - F.least(p["n_vars"], r["n_vars"])
-        pairs = multiset_overlap(p["pairs"], r["pairs"])
-        return F.when(_flow_size(r) == 0, 0.0).otherwise((uses + pairs) / _flow_size(r))
+    return f"(size({f}.uses) - {f}.n_vars + size({f}.pairs))"
 
-    return let(F.struct(flow(ref, language).alias("r"), flow(pred, language).alias("p")), score)
 
-
-def syntax_match(ref: Column, pred: Column, language: str) -> Column:
-    return let(
-        F.struct(syntax_shapes(ref, language).alias("r"), syntax_shapes(pred, language).alias("p")),
-        lambda v: overlap_recall(v["r"], v["p"]),
-    )
+def flow_match(ref_flow: str, pred_flow: str) -> str:
+    uses = f"{multiset_overlap(f'{pred_flow}.uses', f'{ref_flow}.uses')} - least({pred_flow}.n_vars, {ref_flow}.n_vars)"
+    pairs = multiset_overlap(f"{pred_flow}.pairs", f"{ref_flow}.pairs")
+    return f"if({_flow_size(ref_flow)} = 0, 0D, ({uses} + {pairs}) / {_flow_size(ref_flow)})"
 
 
-def scorable(ref: Column, language: str) -> Column:
+def scorable(ref: str, language: str) -> Column:
     """Supported language, and a reference with at least one statement and one data-flow edge."""
     if language not in CODEBLEU_LANGUAGES:
         return F.lit(False)
-    return F.coalesce(
-        (F.size(_statements(ref, language)) > 0) & (let(flow(ref, language), _flow_size) > 0), F.lit(False)
+    return F.expr(
+        let(
+            _without_comments(ref, language),
+            lambda c: f"coalesce(size({_statements(c, language)}) > 0 "
+            f"and {let(flow(c, language), lambda f: f'{_flow_size(f)} > 0')}, false)",
+        )
     )
 
 
-def codebleu(ref: Column, pred: Column, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
+def codebleu(ref: str, pred: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
     """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
-    pred = F.coalesce(pred, F.lit(""))
 
-    def tokens(text: Column) -> Column:
-        return F.filter(F.split(squeeze(text), " "), lambda t: t != "")
+    def tokens(text: str) -> str:
+        return keep(f"split({squeeze(text)}, ' ')", lambda t: f"{t} <> ''")
 
-    w1, w2, w3, w4 = (float(w) for w in weights)
-    return (
-        F.lit(w1) * bleu(tokens(ref), tokens(pred))
-        + F.lit(w2) * keyword_bleu(tokens(ref), tokens(pred), keywords(language))
-        + F.lit(w3) * F.coalesce(syntax_match(ref, pred, language), F.lit(0.0))
-        + F.lit(w4) * F.coalesce(flow_match(ref, pred, language), F.lit(0.0))
-    )
+    def side(text: str) -> str:
+        return let(
+            _without_comments(text, language),
+            lambda c: f"named_struct('tokens', {tokens(text)}, 'shapes', {syntax_shapes(c, language)}, "
+            f"'flow', {flow(c, language)})",
+        )
+
+    def score(v: str) -> str:
+        r, p = f"{v}.r", f"{v}.p"
+        parts = (
+            bleu_text(f"{r}.tokens", f"{p}.tokens"),
+            keyword_bleu_text(f"{r}.tokens", f"{p}.tokens", keywords(language)),
+            overlap_recall(f"{r}.shapes", f"{p}.shapes"),
+            flow_match(f"{r}.flow", f"{p}.flow"),
+        )
+        return " + ".join(f"{float(w)}D * {part}" for w, part in zip(weights, parts))
+
+    prediction = f"coalesce({pred}, '')"
+    both = f"named_struct('r', {side(ref)}, 'p', {side(prediction)})"
+    return F.expr(f"coalesce({let(both, score)}, 0D)")

@@ -1,11 +1,15 @@
-"""Per-row scores of a prediction against a reference; no shuffle in any of them."""
+"""Per-row scores of a prediction against a reference; no shuffle in any of them.
+
+Arguments are column names or SQL expressions, results are Columns.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gapweave.functions.arrays import empty, index_range, let, multiset_overlap, ngrams
-from gapweave.functions.text import lines, rstrip, squeeze, words
+from gapweave.functions import text as X
+from gapweave.functions.arrays import multiset_overlap, ngrams
+from gapweave.functions.sqltext import fold, let, lit, words
 
 # Fixed value: the smoothing epsilon of the published BLEU "method 1".
 BLEU_EPSILON = 0.1
@@ -15,25 +19,27 @@ PLAIN_TOKEN_WEIGHT = 0.2
 # Languages for which a CodeBLEU score is defined.
 CODEBLEU_LANGUAGES = ("python", "java", "javascript", "c", "cpp", "go", "php", "ruby", "rust")
 
+EVEN = (0.25, 0.25, 0.25, 0.25)
+
 
-def exact_match(ref: Column, pred: Column) -> Column:
-    return F.coalesce((squeeze(ref) == squeeze(pred)).cast("double"), F.lit(0.0))
+def exact_match(ref: str, pred: str) -> Column:
+    return F.coalesce((X.squeeze(F.expr(ref)) == X.squeeze(F.expr(pred))).cast("double"), F.lit(0.0))
 
 
-def line_match(ref: Column, pred: Column, n: int) -> Column:
-    def head(text: Column) -> Column:
-        return F.transform(F.slice(lines(text), 1, n), rstrip)
+def line_match(ref: str, pred: str, n: int) -> Column:
+    def head(text: str) -> Column:
+        return F.transform(F.slice(X.lines(F.expr(text)), 1, n), X.rstrip)
 
-    score = let(
-        F.struct(head(ref).alias("r"), head(pred).alias("p")),
+    score = F.transform(
+        F.array(F.struct(head(ref).alias("r"), head(pred).alias("p"))),
         lambda v: ((F.size(v["r"]) > 0) & (F.slice(v["p"], F.lit(1), F.size(v["r"])) == v["r"])).cast("double"),
     )
-    return F.coalesce(score, F.lit(0.0))
+    return F.coalesce(F.get(score, F.lit(0)), F.lit(0.0))
 
 
-def edit_similarity(ref: Column, pred: Column) -> Column:
+def edit_similarity(ref: str, pred: str) -> Column:
     """``1 - distance / longer length`` in characters; null counts as empty."""
-    r, p = F.coalesce(ref, F.lit("")), F.coalesce(pred, F.lit(""))
+    r, p = F.coalesce(F.expr(ref), F.lit("")), F.coalesce(F.expr(pred), F.lit(""))
     return (
         F.when((r == "") & (p == ""), 1.0)
         .when((r == "") | (p == ""), 0.0)
@@ -41,84 +47,72 @@ def edit_similarity(ref: Column, pred: Column) -> Column:
     )
 
 
-def _brevity(n_pred: Column, n_ref: Column) -> Column:
-    return F.when(n_pred > n_ref, 1.0).when(n_pred == 0, 0.0).otherwise(F.exp(1.0 - n_ref / n_pred))
-
+def _geometric(hits: list[str], totals: list[str], weights, n_pred: str, n_ref: str) -> str:
+    """Brevity penalty times the weighted geometric mean of smoothed ratios; 0 without a unigram hit."""
 
-def _smoothed_log(hits: Column, total: Column) -> Column:
-    return F.log(F.when(hits == 0, F.lit(BLEU_EPSILON)).otherwise(hits) / total)
-
-
-def bleu(ref_tokens: Column, pred_tokens: Column, weights=(0.25, 0.25, 0.25, 0.25)) -> Column:
-    """Sentence BLEU, one reference, clipped precision, zero counts replaced by epsilon."""
+    def combine(h: str) -> str:
+        logs = " + ".join(
+            f"{float(w)}D * ln(if({h}[{k}] = 0, {BLEU_EPSILON}D, {h}[{k}]) / {total})"
+            for k, (w, total) in enumerate(zip(weights, totals))
+        )
+        brevity = f"case when {n_pred} > {n_ref} then 1D when {n_pred} = 0 then 0D else exp(1 - {n_ref} / {n_pred}) end"
+        return f"if({h}[0] = 0, 0D, ({brevity}) * exp({logs}))"
 
-    def score(v: Column) -> Column:
-        r, p = v["r"], v["p"]
-        hits = F.array(*[multiset_overlap(ngrams(p, k), ngrams(r, k)) for k in range(1, len(weights) + 1)])
+    return let(f"array({', '.join(hits)})", combine)
 
-        def combine(h: Column) -> Column:
-            log_sum = F.lit(0.0)
-            for k, w in enumerate(weights, start=1):
-                total = F.greatest(F.size(p) - (k - 1), F.lit(1))
-                log_sum = log_sum + F.lit(float(w)) * _smoothed_log(F.get(h, F.lit(k - 1)), total)
-            return F.when(F.get(h, F.lit(0)) == 0, 0.0).otherwise(_brevity(F.size(p), F.size(r)) * F.exp(log_sum))
 
-        return let(hits, combine)
+def bleu_text(ref_tokens: str, pred_tokens: str, weights=EVEN) -> str:
+    def score(v: str) -> str:
+        r, p = f"{v}.r", f"{v}.p"
+        orders = range(1, len(weights) + 1)
+        return _geometric(
+            [multiset_overlap(ngrams(p, k), ngrams(r, k)) for k in orders],
+            [f"greatest(size({p}) - {k - 1}, 1)" for k in orders],
+            weights,
+            f"size({p})",
+            f"size({r})",
+        )
 
-    return F.coalesce(let(F.struct(ref_tokens.alias("r"), pred_tokens.alias("p")), score), F.lit(0.0))
+    both = f"named_struct('r', {ref_tokens}, 'p', {pred_tokens})"
+    return f"coalesce({let(both, score)}, 0D)"
 
 
-def sentence_bleu(ref: Column, pred: Column, weights=(0.25, 0.25, 0.25, 0.25)) -> Column:
-    return bleu(words(ref), words(pred), weights)
+def keyword_bleu_text(ref_tokens: str, pred_tokens: str, keywords: list[str], weights=EVEN) -> str:
+    """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens."""
+    listed = ", ".join(lit(k) for k in keywords)
 
+    def token_weight(token: str) -> str:
+        return f"if({token} in ({listed}), 1D, {PLAIN_TOKEN_WEIGHT}D)" if keywords else f"{PLAIN_TOKEN_WEIGHT}D"
 
-def keyword_bleu(ref_tokens: Column, pred_tokens: Column, keywords: list[str], weights=(0.25,) * 4) -> Column:
-    """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens."""
-    keyword_array = F.array(*[F.lit(k) for k in keywords]) if keywords else empty("string")
+    def score(v: str) -> str:
+        r, p = f"{v}.r", f"{v}.p"
+        orders = range(1, len(weights) + 1)
+        unigrams = fold(r, "0D", lambda s, t: f"{s} + {token_weight(t)}", lambda s: s)
+        return _geometric(
+            [multiset_overlap(ngrams(p, k), ngrams(r, k), token_weight if k == 1 else None) for k in orders],
+            [f"if(size({r}) = 0, 1D, {unigrams})"] + [f"greatest(size({r}) - {k - 1}, 1)" for k in orders[1:]],
+            weights,
+            f"size({p})",
+            f"size({r})",
+        )
 
-    def token_weight(token: Column) -> Column:
-        return F.when(F.array_contains(keyword_array, token), 1.0).otherwise(PLAIN_TOKEN_WEIGHT)
+    both = f"named_struct('r', {ref_tokens}, 'p', {pred_tokens})"
+    return f"coalesce({let(both, score)}, 0D)"
 
-    def score(v: Column) -> Column:
-        r, p = v["r"], v["p"]
-        hits = [multiset_overlap(ngrams(p, k), ngrams(r, k), token_weight if k == 1 else None) for k in range(1, 5)]
-        unigram_total = F.aggregate(r, F.lit(0.0), lambda s, t: s + token_weight(t))
 
-        def combine(h: Column) -> Column:
-            log_sum = F.lit(0.0)
-            for k, w in enumerate(weights, start=1):
-                total = (
-                    F.when(F.size(r) == 0, 1.0).otherwise(unigram_total)
-                    if k == 1
-                    else F.greatest(F.size(r) - (k - 1), F.lit(1)).cast("double")
-                )
-                log_sum = log_sum + F.lit(float(w)) * _smoothed_log(F.get(h, F.lit(k - 1)), total)
-            return F.when(F.get(h, F.lit(0)) == 0, 0.0).otherwise(_brevity(F.size(p), F.size(r)) * F.exp(log_sum))
+def sentence_bleu(ref: str, pred: str, weights=EVEN) -> Column:
+    """Sentence BLEU, one reference, clipped precision, zero counts replaced by epsilon."""
+    return F.expr(bleu_text(words(ref), words(pred), weights))
 
-        return let(F.array(*hits), combine)
 
-    return F.coalesce(let(F.struct(ref_tokens.alias("r"), pred_tokens.alias("p")), score), F.lit(0.0))
+def keyword_bleu(ref: str, pred: str, keywords: list[str], weights=EVEN) -> Column:
+    return F.expr(keyword_bleu_text(words(ref), words(pred), keywords, weights))
 
 
-def overlap_recall(ref_items: Column, pred_items: Column) -> Column:
-    """Share of the reference items also found in the prediction; 0 for an empty reference."""
-    return F.when(F.size(ref_items) == 0, 0.0).otherwise(
-        multiset_overlap(pred_items, ref_items) / F.size(ref_items)
-    )
+def overlap_recall(ref_items: str, pred_items: str) -> str:
+    """Share of the reference items also found in the prediction; 0 for an empty reference (SQL text)."""
+    return f"if(size({ref_items}) = 0, 0D, {multiset_overlap(pred_items, ref_items)} / size({ref_items}))"
 
 
 def perplexity(mean_nll: Column) -> Column:
     return F.coalesce(F.exp(mean_nll), F.lit(float("inf")))
-
-
-__all__ = [
-    "exact_match",
-    "line_match",
-    "edit_similarity",
-    "bleu",
-    "sentence_bleu",
-    "keyword_bleu",
-    "overlap_recall",
-    "perplexity",
-    "index_range",
-]

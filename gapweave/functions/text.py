@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gapweave.functions.arrays import let
 
 # White space and line boundaries as Python strings define them.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]"
@@ -26,6 +25,7 @@ STRUCTURE_PAIRS = [
 ]
 STRUCTURE_PATTERN = r"(?is)\b(?:" + "|".join(rf"{a}\b.*?\b{b}" for a, b in STRUCTURE_PAIRS) + ")"
 
+FIRST_WORD = r"(?U)^[\s\x1c-\x1f]*([^\s\x1c-\x1f]+)"
 WORD_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
@@ -59,10 +59,8 @@ def squeeze(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines without their ends; a final line end opens no further line."""
-    return let(
-        F.split(text, LINE_BREAK),
-        lambda a: F.when(F.element_at(a, -1) == "", F.slice(a, F.lit(1), F.size(a) - 1)).otherwise(a),
-    )
+    pieces = F.split(text, LINE_BREAK)
+    return F.when(F.element_at(pieces, -1) == "", F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
 
 
 def strip_comments(text: Column) -> Column:
@@ -89,7 +87,7 @@ def structures(text: Column) -> Column:
 
 
 def leading_keyword(block: Column) -> Column:
-    return F.upper(F.regexp_extract(block, r"(?U)^[\s\x1c-\x1f]*([^\s\x1c-\x1f]+)", 1))
+    return F.upper(F.regexp_extract(block, FIRST_WORD, 1))
 
 
 def words(text: Column) -> Column:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapweave.functions.arrays import empty
 from gapweave.functions.keys import shuffle_key
 from gapweave.functions.tokens import encode_text, ones, psm_text, tail_middle_length
 from gapweave.params import FimParams, Markers
@@ -131,5 +130,4 @@ __all__ = [
     "length_filters",
     "training_arrays",
     "tokenize_and_filter",
-    "empty",
 ]

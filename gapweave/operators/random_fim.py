@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapweave.functions.arrays import empty
 from gapweave.functions.keys import draw_below, shuffle_key
-from gapweave.functions.tokens import byte_ids, psm_ids
+from gapweave.functions.tokens import byte_ids, empty, psm_ids
 from gapweave.operators.fim import training_arrays
 from gapweave.operators.ranking import keep_quota
 from gapweave.params import FimParams, Markers

@@ -51,7 +51,7 @@ def generations(
     )
 
 
-def score_columns(ref: Column, pred: Column, params: EvalParams) -> dict[str, Column]:
+def score_columns(ref: str, pred: str, params: EvalParams) -> dict[str, Column]:
     return {
         "sentencebleu": M.sentence_bleu(ref, pred, params.bleu_weights),
         "exact_match": M.exact_match(ref, pred),
@@ -62,11 +62,11 @@ def score_columns(ref: Column, pred: Column, params: EvalParams) -> dict[str, Co
 
 def score_rows(rows: DataFrame, params: EvalParams = EvalParams()) -> DataFrame:
     """Append the eleven score fields to the generation rows; no shuffle."""
-    ref = F.col("reference_middle")
+    ref = "reference_middle"
     checked = rows.withColumn("codebleu_valid", C.scorable(ref, params.data_language))
     columns = []
     for name in CANDIDATES:
-        pred = F.col(f"{name}_generated_middle")
+        pred = f"{name}_generated_middle"
         columns.append(
             F.when(F.col("codebleu_valid"), C.codebleu(ref, pred, params.data_language, params.codebleu_weights))
             .otherwise(0.0)

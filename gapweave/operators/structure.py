@@ -1,6 +1,6 @@
 """Structural nodes, blocks and sub-blocks.
 
-A scanner is a Column function from text to ``array<struct<start_byte, depth, end_byte,
+A scanner gives the SQL expression from a text column to ``array<struct<start_byte, depth, end_byte,
 type>>`` in pre-order (root first, depth 1), with byte offsets.  Scanners, block selection
 and sub-block selection all work inside the file's row: no shuffle, and a file of any
 share of the corpus is just one row.  ``explode_nodes`` gives the same as a table, and
@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapweave.functions.arrays import empty, index_range, let, sums_before, tile_offsets
-from gapweave.functions.text import STRUCTURE_PATTERN, WHITESPACE, leading_keyword, rstrip, strip, structures
+from gapweave.functions.arrays import sums_before, tile_offsets
+from gapweave.functions.sqltext import keep, let, lit, lstrip, regexp_extract_all, rstrip, transform, zip_with
+from gapweave.functions.text import FIRST_WORD, STRUCTURE_PATTERN
 
 NODE_TYPE = "array<struct<start_byte:bigint,depth:int,end_byte:bigint,type:string>>"
 
+NON_BLANK = r"(?U)[^\s\x1c-\x1f]"
 SENTENCE = r"[^.!?]+[.!?]*\s*|[.!?]+\s*"
 LEXEME = (
     r"//[^\n]*"
@@ -28,221 +30,173 @@ LEXEME = (
 )
 
 
-def _node(start: Column, end: Column, depth, kind) -> Column:
-    depth = depth if isinstance(depth, Column) else F.lit(depth)
-    kind = kind if isinstance(kind, Column) else F.lit(kind)
-    return F.struct(
-        start.cast("bigint").alias("start_byte"),
-        depth.cast("int").alias("depth"),
-        end.cast("bigint").alias("end_byte"),
-        kind.cast("string").alias("type"),
+def _node(start: str, end: str, depth: str | int, kind: str) -> str:
+    return (
+        f"named_struct('start_byte', cast({start} as bigint), 'depth', cast({depth} as int), "
+        f"'end_byte', cast({end} as bigint), 'type', {kind})"
     )
 
 
-def _root(text: Column, kind: str) -> Column:
-    return F.array(_node(F.lit(0), F.octet_length(text), 1, kind))
+def _root(text: str, kind: str) -> str:
+    return f"array({_node('0', f'octet_length({text})', 1, lit(kind))})"
 
 
-# ---------------------------------------------------------------- scanners
+def _present(items: str) -> str:
+    return keep(items, lambda n: f"{n} is not null")
+
 
+NO_NODES = f"cast(array() as {NODE_TYPE})"
+
+
+# ---------------------------------------------------------------- scanners
 
-def sentence_pieces(line: Column) -> Column:
-    """Pieces that tile the line; each is a sentence with the white space after it."""
-    return F.regexp_extract_all(line, F.lit(SENTENCE), F.lit(0))
 
+def prose_nodes(text: str) -> str:
+    """document > paragraph (non-blank line) > sentence.
 
-def prose_nodes(text: Column) -> Column:
-    """document > paragraph (non-blank line) > sentence."""
+    The sentence pieces tile the line; each is a sentence with the white space after it.
+    """
 
-    def paragraph(line: Column, at: Column) -> Column:
+    def paragraph(line: str, at: str) -> str:
         sentences = let(
-            sentence_pieces(line),
-            lambda ps: F.zip_with(
+            regexp_extract_all(line, SENTENCE),
+            lambda ps: zip_with(
                 ps,
                 tile_offsets(ps),
-                lambda p, o: _node(at + o, at + o + F.octet_length(rstrip(p)), 3, "sentence"),
+                lambda p, o: _node(f"{at} + {o}", f"{at} + {o} + octet_length({rstrip(p)})", 3, "'sentence'"),
             ),
         )
-        return F.concat(F.array(_node(at, at + F.octet_length(line), 2, "paragraph")), sentences)
-
-    return F.concat(
-        _root(text, "document"),
-        let(
-            F.split(text, "\n"),
-            lambda ls: F.flatten(
-                F.zip_with(
-                    ls,
-                    tile_offsets(ls, gap=1),
-                    lambda line, at: F.when(strip(line) == "", empty_nodes()).otherwise(paragraph(line, at)),
-                )
-            ),
-        ),
-    )
+        return f"concat(array({_node(at, f'{at} + octet_length({line})', 2, lit('paragraph'))}), {sentences})"
 
+    def all_lines(ls: str) -> str:
+        found = zip_with(
+            ls,
+            tile_offsets(ls, gap=1),
+            lambda line, at: f"if({line} rlike {lit(NON_BLANK)}, {paragraph(line, at)}, {NO_NODES})",
+        )
+        return f"flatten({found})"
 
-def empty_nodes() -> Column:
-    return F.array().cast(NODE_TYPE)
+    newline = lit("\n")
+    return f"concat({_root(text, 'document')}, {let(f'split({text}, {newline})', all_lines)})"
 
 
-def keyword_nodes(text: Column) -> Column:
+def keyword_nodes(text: str) -> str:
     """file > keyword structure > statement line (one that ends with a semicolon)."""
+    newline = lit("\n")
 
-    def statements(block: Column, at: Column) -> Column:
-        return let(
-            F.split(block, "\n"),
-            lambda ls: F.filter(
-                F.zip_with(
-                    ls,
-                    tile_offsets(ls, gap=1),
-                    lambda line, o: F.when(
-                        rstrip(line).endswith(";"),
-                        let(
-                            F.octet_length(line) - F.octet_length(F.regexp_replace(line, rf"\A{WHITESPACE}+", "")),
-                            lambda lead: _node(
-                                at + o + lead, at + o + F.octet_length(rstrip(line)), 3, "statement"
-                            ),
-                        ),
-                    ),
-                ),
-                lambda n: n.isNotNull(),
-            ),
-        )
+    def statements(block: str, at: str) -> str:
+        def statement(line: str, o: str) -> str:
+            lead = f"octet_length({line}) - octet_length({lstrip(line)})"
+            end = f"{at} + {o} + octet_length({rstrip(line)})"
+            return f"if(endswith({rstrip(line)}, ';'), {_node(f'{at} + {o} + {lead}', end, 3, lit('statement'))}, null)"
+
+        return let(f"split({block}, {newline})", lambda ls: _present(zip_with(ls, tile_offsets(ls, gap=1), statement)))
 
-    def body(found: Column) -> Column:
-        gaps = F.split(text, STRUCTURE_PATTERN)
-        tiles = F.zip_with(
-            F.slice(gaps, F.lit(1), F.size(found)),
+    def kind(block: str) -> str:
+        first = f"regexp_extract({block}, {lit(FIRST_WORD)}, 1)"
+        return f"concat(lower({first}), '_declaration')"
+
+    def body(found: str) -> str:
+        gaps = f"slice(split({text}, {lit(STRUCTURE_PATTERN)}), 1, size({found}))"
+        tiles = zip_with(
+            gaps,
             found,
-            lambda g, s: F.struct(
-                F.octet_length(g).alias("gap"), (F.octet_length(g) + F.octet_length(s)).alias("length"), s.alias("block")
-            ),
+            lambda g, b: f"named_struct('gap', octet_length({g}), "
+            f"'length', octet_length({g}) + octet_length({b}), 'block', {b})",
         )
-        return let(
-            tiles,
-            lambda ts: F.flatten(
-                F.zip_with(
-                    ts,
-                    sums_before(ts["length"]),
-                    lambda t, o: let(
-                        o + t["gap"],
-                        lambda at: F.concat(
-                            F.array(
-                                _node(
-                                    at,
-                                    o + t["length"],
-                                    2,
-                                    F.concat(F.lower(leading_keyword(t["block"])), F.lit("_declaration")),
-                                )
-                            ),
-                            statements(t["block"], at),
-                        ),
-                    ),
+
+        def placed(ts: str) -> str:
+            def nodes(t: str, o: str) -> str:
+                return let(
+                    f"{o} + {t}.gap",
+                    lambda at: f"concat(array({_node(at, f'{o} + {t}.length', 2, kind(f'{t}.block'))}), "
+                    f"{statements(f'{t}.block', at)})",
                 )
-            ),
-        )
 
-    return F.concat(_root(text, "file"), let(structures(text), body))
+            return f"flatten({zip_with(ts, sums_before(f'{ts}.length'), nodes)})"
+
+        return let(tiles, placed)
 
+    return f"concat({_root(text, 'file')}, {let(regexp_extract_all(text, STRUCTURE_PATTERN), body)})"
 
-def brace_nodes(text: Column) -> Column:
+
+def brace_nodes(text: str) -> str:
     """file > definition (header and braces) > body > statement / definition > ...
 
     Braces in strings and comments do not count, semicolons only outside parentheses.
     An unclosed brace opens no node.
     """
-    content = F.encode(text, "UTF-8")
 
-    def delta(d: Column, plus: str, minus: str) -> Column:
-        return F.when(d["token"] == plus, 1).when(d["token"] == minus, -1).otherwise(0)
+    def delta(d: str, plus: str, minus: str) -> str:
+        return f"case {d}.token when '{plus}' then 1 when '{minus}' then -1 else 0 end"
 
-    def first_text_byte(start: Column, end: Column) -> Column:
+    def first_text_byte(start: str, end: str) -> str:
         """Position of the first byte in the range that is not white space."""
-        piece = F.substring(content, (start + 1).cast("int"), (end - start).cast("int")).cast("string")
-        return end - F.octet_length(F.regexp_replace(piece, rf"\A{WHITESPACE}+", ""))
-
-    def delimiters(tokens: Column) -> Column:
-        return F.filter(
-            F.zip_with(tokens, tile_offsets(tokens), lambda t, o: F.struct(t.alias("token"), o.alias("at"))),
-            lambda d: d["token"].isin("{", "}", ";", "(", ")"),
-        )
-
-    def outside_parens(ds: Column) -> Column:
-        nested = sums_before(F.transform(ds, lambda d: delta(d, "(", ")")))
-        kept = F.filter(
-            F.zip_with(
-                ds,
-                nested,
-                lambda d, level: F.when(
-                    d["token"].isin("{", "}") | ((d["token"] == ";") & (level <= 0)),
-                    F.struct(d["token"].alias("token"), d["at"].alias("at")),
-                ),
-            ),
-            lambda d: d.isNotNull(),
-        )
-        return kept
-
-    def with_context(ds: Column) -> Column:
-        levels = sums_before(F.transform(ds, lambda d: delta(d, "{", "}")))
-        ends = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(ds, lambda d: d["at"] + 1))
-        return F.zip_with(
-            F.zip_with(ds, levels, lambda d, l: F.struct(d["token"].alias("token"), d["at"].alias("at"), l.alias("level"))),
-            F.slice(ends, F.lit(1), F.size(ds)),
-            lambda d, e: F.struct(
-                d["token"].alias("token"), d["at"].alias("at"), d["level"].alias("level"), e.alias("since")
-            ),
+        piece = f"cast(substring(encode({text}, 'UTF-8'), cast({start} + 1 as int), cast({end} - {start} as int)) as string)"
+        return f"{end} - octet_length({lstrip(piece)})"
+
+    def delimiters(tokens: str) -> str:
+        placed = zip_with(tokens, tile_offsets(tokens), lambda t, o: f"named_struct('token', {t}, 'at', {o})")
+        return keep(placed, lambda d: f"{d}.token in ('{{', '}}', ';', '(', ')')")
+
+    def outside_parens(ds: str) -> str:
+        nested = sums_before(transform(ds, lambda d: delta(d, "(", ")")))
+        counts = lambda d, level: f"{d}.token in ('{{', '}}') or ({d}.token = ';' and {level} <= 0)"
+        return _present(zip_with(ds, nested, lambda d, level: f"if({counts(d, level)}, {d}, null)"))
+
+    def with_context(ds: str) -> str:
+        """Add the brace level ahead of each delimiter and the end of the delimiter before it."""
+        levels = sums_before(transform(ds, lambda d: delta(d, "{", "}")))
+        ends = f"slice(concat(array(0L), {transform(ds, lambda d: f'{d}.at + 1')}), 1, size({ds}))"
+        return zip_with(
+            zip_with(ds, levels, lambda d, n: f"named_struct('token', {d}.token, 'at', {d}.at, 'level', {n})"),
+            ends,
+            lambda d, e: f"named_struct('token', {d}.token, 'at', {d}.at, 'level', {d}.level, 'since', {e})",
         )
 
-    def statement_nodes(ds: Column) -> Column:
-        return F.transform(
-            F.filter(ds, lambda d: d["token"] == ";"),
+    def statement_nodes(ds: str) -> str:
+        return transform(
+            keep(ds, lambda d: f"{d}.token = ';'"),
             lambda d: _node(
-                first_text_byte(d["since"], d["at"]), d["at"] + 1, F.greatest(d["level"], F.lit(0)) * 2 + 2, "statement"
+                first_text_byte(f"{d}.since", f"{d}.at"), f"{d}.at + 1", f"greatest({d}.level, 0) * 2 + 2", "'statement'"
             ),
         )
 
-    def pair_nodes(ds: Column) -> Column:
+    def pair_nodes(ds: str) -> str:
         # At one level opens and closes alternate, so after sorting by (level, position)
         # the partner of an open brace is its right neighbour.
-        by_level = F.sort_array(
-            F.transform(
-                F.filter(ds, lambda d: d["token"] != ";"),
-                lambda d: F.struct(
-                    (d["level"] + F.when(d["token"] == "{", 1).otherwise(0)).alias("level"),
-                    d["at"].alias("at"),
-                    (d["token"] == "{").alias("opens"),
-                    d["since"].alias("since"),
-                ),
-            )
+        by_level = transform(
+            keep(ds, lambda d: f"{d}.token <> ';'"),
+            lambda d: f"named_struct('level', {d}.level + if({d}.token = '{{', 1, 0), 'at', {d}.at, "
+            f"'opens', {d}.token = '{{', 'since', {d}.since)",
         )
 
-        def nodes(x: Column, y: Column) -> Column:
-            level = F.greatest(x["level"], F.lit(1))
-            body = _node(x["at"], y["at"] + 1, level * 2 + 1, "body")
-            start = first_text_byte(x["since"], x["at"])
-            return F.when(
-                x["opens"] & ~y["opens"] & (x["level"] == y["level"]),
-                F.when(start < x["at"], F.array(_node(start, y["at"] + 1, level * 2, "definition"), body)).otherwise(
-                    F.array(body)
-                ),
-            ).otherwise(empty_nodes())
-
-        return let(
-            by_level,
-            lambda s: F.flatten(
-                F.zip_with(
-                    F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0))),
-                    F.slice(s, F.lit(2), F.greatest(F.size(s) - 1, F.lit(0))),
-                    nodes,
-                )
-            ),
-        )
+        def nodes(x: str, y: str) -> str:
+            level = f"greatest({x}.level, 1)"
+            body = _node(f"{x}.at", f"{y}.at + 1", f"{level} * 2 + 1", "'body'")
+            start = first_text_byte(f"{x}.since", f"{x}.at")
+            both = let(
+                start,
+                lambda s: f"if({s} < {x}.at, array({_node(s, f'{y}.at + 1', f'{level} * 2', lit('definition'))}, {body}), "
+                f"array({body}))",
+            )
+            return f"if({x}.opens and not {y}.opens and {x}.level = {y}.level, {both}, {NO_NODES})"
+
+        def neighbours(s: str) -> str:
+            pairs = zip_with(
+                f"slice({s}, 1, greatest(size({s}) - 1, 0))", f"slice({s}, 2, greatest(size({s}) - 1, 0))", nodes
+            )
+            return f"flatten({pairs})"
+
+        return let(f"sort_array({by_level})", neighbours)
 
-    tokens = F.regexp_extract_all(text, F.lit(LEXEME), F.lit(0))
     found = let(
-        let(let(tokens, delimiters), outside_parens),
-        lambda kept: let(with_context(kept), lambda ds: F.sort_array(F.concat(statement_nodes(ds), pair_nodes(ds)))),
+        let(let(regexp_extract_all(text, LEXEME), delimiters), outside_parens),
+        lambda kept: let(
+            with_context(kept), lambda ds: f"sort_array(concat({statement_nodes(ds)}, {pair_nodes(ds)}))"
+        ),
     )
-    return F.concat(_root(text, "file"), found)
+    return f"concat({_root(text, 'file')}, {found})"
 
 
 SCANNERS = {"prose": prose_nodes, "brace": brace_nodes, "keyword": keyword_nodes}
@@ -252,7 +206,7 @@ SCANNERS = {"prose": prose_nodes, "brace": brace_nodes, "keyword": keyword_nodes
 
 
 def with_nodes(files: DataFrame, scanner: str, text: str = "text") -> DataFrame:
-    return files.withColumn("nodes", SCANNERS[scanner](F.col(text)))
+    return files.withColumn("nodes", F.expr(SCANNERS[scanner](text)))
 
 
 def explode_nodes(files: DataFrame, file_id: str = "file_id") -> DataFrame:
@@ -347,81 +301,58 @@ def node_listing(files: DataFrame, content: str, file_id: str = "file_id") -> Da
 # ---------------------------------------------------------------- blocks in one pass
 
 
-def _subtree_ends(nodes: Column) -> Column:
+def _subtree_ends(nodes: str) -> str:
     """For each node the pre-order number of its last descendant.
 
     That is the number of nodes that start before the node ends, less one; it is read off
     one sorted list of all starts and ends.
     """
-    n = F.size(nodes)
-    events = F.sort_array(
-        F.concat(
-            F.transform(nodes, lambda x, i: F.struct(x["end_byte"].alias("at"), F.lit(0).alias("starts"), i.alias("i"))),
-            F.transform(nodes, lambda x, i: F.struct(x["start_byte"].alias("at"), F.lit(1).alias("starts"), i.alias("i"))),
+
+    def marks(field: str, starts: int) -> str:
+        return transform(nodes, lambda x, i: f"named_struct('at', {x}.{field}, 'starts', {starts}, 'i', {i})")
+
+    def counted(ev: str) -> str:
+        at_ends = zip_with(
+            ev,
+            sums_before(f"{ev}.starts"),
+            lambda e, c: f"if({e}.starts = 0, named_struct('i', {e}.i, 'last', cast({c} - 1 as int)), null)",
         )
-    )
-    counted = let(
-        events,
-        lambda ev: F.filter(
-            F.zip_with(
-                ev,
-                sums_before(ev["starts"]),
-                lambda e, c: F.when(e["starts"] == 0, F.struct(e["i"].alias("i"), (c - 1).cast("int").alias("last"))),
-            ),
-            lambda e: e.isNotNull(),
-        ),
-    )
-    return F.transform(F.sort_array(counted), lambda e: F.greatest(e["last"], e["i"]))
+        return keep(at_ends, lambda e: f"{e} is not null")
+
+    events = f"sort_array(concat({marks('end_byte', 0)}, {marks('start_byte', 1)}))"
+    return transform(f"sort_array({let(events, counted)})", lambda e: f"greatest({e}.last, {e}.i)")
 
 
-def block_array(
-    nodes: Column, content: Column, block_types: list[str], sub_types: list[str], max_depth: int
-) -> Column:
+def block_array(nodes: str, content: str, block_types: list[str], sub_types: list[str], max_depth: int) -> str:
     """Blocks at depth ``<= max_depth`` with their bytes and the sub-block ranges inside.
 
     The search goes on below a matching block, so nested blocks repeat their text.
     """
 
-    def blocks(v: Column) -> Column:
-        all_nodes, last = v["nodes"], v["last"]
-        chosen = F.filter(
-            F.transform(index_range(F.size(all_nodes)), lambda i: F.struct(i.alias("i"), F.get(all_nodes, i).alias("n"))),
-            lambda x: x["n"]["type"].isin(block_types) & (x["n"]["depth"] <= max_depth),
-        )
+    def listed(types: list[str]) -> str:
+        return ", ".join(lit(t) for t in types)
 
-        def build(x: Column) -> Column:
-            start = x["n"]["start_byte"]
-            subtree = F.slice(all_nodes, x["i"] + 1, F.get(last, x["i"]) - x["i"] + 1)
-            subs = F.transform(
-                F.filter(
-                    F.transform(
-                        subtree,
-                        lambda s, k: F.struct(
-                            (x["i"] + k).cast("bigint").alias("sub_id"),
-                            s["type"].alias("type"),
-                            (s["start_byte"] - start).alias("rel_start"),
-                            (s["end_byte"] - start).alias("rel_end"),
-                        ),
-                    ),
-                    lambda s: s["type"].isin(sub_types),
-                ),
-                lambda s: s,
+    def blocks(v: str) -> str:
+        numbered = transform(f"{v}.nodes", lambda n, i: f"named_struct('i', {i}, 'last', {v}.last[{i}], 'n', {n})")
+        chosen = keep(numbered, lambda x: f"{x}.n.type in ({listed(block_types)}) and {x}.n.depth <= {max_depth}")
+
+        def build(x: str) -> str:
+            start, end = f"{x}.n.start_byte", f"{x}.n.end_byte"
+            subtree = transform(
+                f"slice({v}.nodes, {x}.i + 1, {x}.last - {x}.i + 1)",
+                lambda s, k: f"named_struct('sub_id', cast({x}.i + {k} as bigint), 'type', {s}.type, "
+                f"'rel_start', {s}.start_byte - {start}, 'rel_end', {s}.end_byte - {start})",
             )
-            return F.struct(
-                x["i"].cast("bigint").alias("block_id"),
-                x["n"]["type"].alias("type"),
-                x["n"]["depth"].alias("depth"),
-                start.alias("start_byte"),
-                x["n"]["end_byte"].alias("end_byte"),
-                F.substring(content, (start + 1).cast("int"), (x["n"]["end_byte"] - start).cast("int")).alias("code"),
-                subs.alias("subblocks"),
+            return (
+                f"named_struct('block_id', cast({x}.i as bigint), 'type', {x}.n.type, 'depth', {x}.n.depth, "
+                f"'start_byte', {start}, 'end_byte', {end}, "
+                f"'code', substring({content}, cast({start} + 1 as int), cast({end} - {start} as int)), "
+                f"'subblocks', {keep(subtree, lambda s: f'{s}.type in ({listed(sub_types)})')})"
             )
 
-        return F.transform(chosen, build)
+        return transform(chosen, build)
 
-    return let(
-        nodes, lambda ns: let(F.struct(ns.alias("nodes"), _subtree_ends(ns).alias("last")), blocks)
-    )
+    return let(nodes, lambda ns: let(f"named_struct('nodes', {ns}, 'last', {_subtree_ends(ns)})", blocks))
 
 
 def extract_blocks(
@@ -430,11 +361,11 @@ def extract_blocks(
     sub_types: list[str],
     max_depth: int,
     content: str = "content",
-    keep: tuple[str, ...] = ("file_id",),
+    passing: tuple[str, ...] = ("file_id",),
 ) -> DataFrame:
     """One row per block, straight from files with a ``nodes`` array."""
-    found = block_array(F.col("nodes"), F.col(content), block_types, sub_types, max_depth)
-    return files.select(*keep, F.inline(found))
+    found = F.expr(block_array("nodes", content, block_types, sub_types, max_depth))
+    return files.select(*passing, F.inline(found))
 
 
 def blocks_from_node_table(files: DataFrame, block_nodes: DataFrame, content: str = "content") -> DataFrame:
@@ -451,19 +382,3 @@ def blocks_from_node_table(files: DataFrame, block_nodes: DataFrame, content: st
         ).alias("code"),
     )
 
-
-__all__ = [
-    "SCANNERS",
-    "prose_nodes",
-    "brace_nodes",
-    "keyword_nodes",
-    "with_nodes",
-    "explode_nodes",
-    "select_by_rules",
-    "contained",
-    "node_listing",
-    "block_array",
-    "extract_blocks",
-    "blocks_from_node_table",
-    "empty",
-]

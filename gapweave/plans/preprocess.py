@@ -30,7 +30,7 @@ def file_blocks(
     keep = tuple(c for c in ("file_id", "split") if c in files.columns)
     scanned = files if nodes else with_nodes(files, scanner)
     return extract_blocks(
-        scanned, rules.block_types, rules.subblock_types, params.max_code_blocks_ast_depth, keep=keep
+        scanned, rules.block_types, rules.subblock_types, params.max_code_blocks_ast_depth, passing=keep
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gapweave.functions import metrics as M
-from gapweave.functions.text import words
 from gapweave.operators import scoring as Score, summary as Summary, train_log as Log
 from gapweave.params import EvalParams
 from gapweave.plans.preprocess import file_blocks
@@ -120,9 +119,6 @@ def one_score(spark, folder, name, column):
     return candidate_rows(spark, folder).select("example_id", "candidate", F.round(column, 6).alias(name))
 
 
-REF, PRED = F.col, F.col
-
-
 @query(
     "join_generations",
     Q.with_(D.GENERATIONS_SQL)
@@ -138,27 +134,27 @@ def join_generations(spark, folder):
 
 @query("exact_match", PAIRS + "SELECT example_id, candidate, exact_match FROM simple")
 def exact_match(spark, folder):
-    return one_score(spark, folder, "exact_match", M.exact_match(F.col("ref"), F.col("pred")))
+    return one_score(spark, folder, "exact_match", M.exact_match("ref", "pred"))
 
 
 @query("line_match", PAIRS + "SELECT example_id, candidate, line_match FROM simple")
 def line_match(spark, folder):
-    return one_score(spark, folder, "line_match", M.line_match(F.col("ref"), F.col("pred"), 2))
+    return one_score(spark, folder, "line_match", M.line_match("ref", "pred", 2))
 
 
 @query("edit_similarity", PAIRS + "SELECT example_id, candidate, round(edit_similarity, 6) AS edit_similarity FROM simple")
 def edit_similarity(spark, folder):
-    return one_score(spark, folder, "edit_similarity", M.edit_similarity(F.col("ref"), F.col("pred")))
+    return one_score(spark, folder, "edit_similarity", M.edit_similarity("ref", "pred"))
 
 
 @query("sentence_bleu", BLEUS + "SELECT example_id, candidate, round(sentencebleu, 6) AS sentencebleu FROM bleus")
 def sentence_bleu(spark, folder):
-    return one_score(spark, folder, "sentencebleu", M.sentence_bleu(F.col("ref"), F.col("pred")))
+    return one_score(spark, folder, "sentencebleu", M.sentence_bleu("ref", "pred"))
 
 
 @query("keyword_bleu", BLEUS + "SELECT example_id, candidate, round(keyword_bleu, 6) AS keyword_bleu FROM bleus")
 def keyword_bleu(spark, folder):
-    score = M.keyword_bleu(words(F.col("ref")), words(F.col("pred")), BLEU_KEYWORDS)
+    score = M.keyword_bleu("ref", "pred", BLEU_KEYWORDS)
     return one_score(spark, folder, "keyword_bleu", score)
 
 
@@ -198,12 +194,12 @@ def codebleu_rows(spark, folder):
     )
     from gapweave.functions import codebleu as C
 
-    ref = F.col("reference_middle")
+    ref = "reference_middle"
     return rows.select(
         "example_id",
         C.scorable(ref, "c").alias("codebleu_valid"),
         *[
-            F.round(C.codebleu(ref, F.col(f"{c}_generated_middle"), "c"), 6).alias(f"{c}_codebleu")
+            F.round(C.codebleu(ref, f"{c}_generated_middle", "c"), 6).alias(f"{c}_codebleu")
             for c in Score.CANDIDATES
         ],
     )
