@@ -50,23 +50,30 @@ def tile_offsets(pieces: str, gap: int = 0) -> str:
     return sums_before(transform(pieces, lambda p: f"octet_length({p}) + {gap}"))
 
 
-def ngrams(tokens: str, n: int) -> str:
-    if n == 1:
-        return tokens
-    sep = lit("\x01")
-    return let(
-        tokens,
-        lambda ts: transform(
-            index_range(f"size({ts}) - {n - 1}"), lambda i: f"array_join(slice({ts}, {i} + 1, {n}), {sep})"
-        ),
-    )
+def gram_lists(tokens: str, longest: int) -> str:
+    """Array of the n-gram lists for n = 1 .. longest; each is built from the one before it."""
+
+    def extend(lists: list[str], n: int) -> str:
+        if n > longest:
+            return f"array({', '.join(lists)})"
+        shorter, first = lists[-1], lists[0]
+        count = f"greatest(size({first}) - {n - 1}, 0)"
+        longer = zip_with(
+            f"slice({shorter}, 1, {count})",
+            f"slice({first}, {n}, {count})",
+            lambda head, last: f"concat({head}, {lit(chr(1))}, {last})",
+        )
+        return let(longer, lambda grams: extend([*lists, grams], n + 1))
+
+    return let(tokens, lambda ts: extend([ts], 2))
 
 
 def multiset_overlap(left: str, right: str, weight: Callable[[str], str] | None = None) -> str:
     """Sum over distinct strings of ``min(count left, count right) * weight``.
 
-    Both arrays are tagged and sorted together, then folded with a state of constant
-    size: one run of equal strings at a time.
+    If one side has no repeated string every common string counts once, so the set
+    intersection answers.  Otherwise both arrays are tagged and sorted together, then folded
+    with a state of constant size: one run of equal strings at a time.
     """
 
     def gain(s: str) -> str:
@@ -77,17 +84,20 @@ def multiset_overlap(left: str, right: str, weight: Callable[[str], str] | None
         return transform(items, lambda g: f"named_struct('item', {g}, 'side', {side})")
 
     def step(s: str, x: str) -> str:
-        same = f"{s}.item <=> {x}.item"
         return (
-            f"named_struct('item', {x}.item,"
-            f" 'n_left', if({same}, {s}.n_left, 0) + 1 - {x}.side,"
-            f" 'n_right', if({same}, {s}.n_right, 0) + {x}.side,"
-            f" 'total', if({same}, {s}.total, {gain(s)}))"
+            f"if({s}.item <=> {x}.item,"
+            f" named_struct('item', {s}.item, 'n_left', {s}.n_left + 1 - {x}.side,"
+            f" 'n_right', {s}.n_right + {x}.side, 'total', {s}.total),"
+            f" named_struct('item', {x}.item, 'n_left', 1 - {x}.side, 'n_right', {x}.side, 'total', {gain(s)}))"
         )
 
-    return fold(
+    folded = fold(
         f"sort_array(concat({tag(left, 0)}, {tag(right, 1)}))",
         "named_struct('item', cast(null as string), 'n_left', 0, 'n_right', 0, 'total', 0D)",
         step,
         gain,
     )
+    if weight is not None:
+        return folded
+    no_repeat = f"size(array_distinct({left})) = size({left}) or size(array_distinct({right})) = size({right})"
+    return f"if({no_repeat}, cast(size(array_intersect({left}, {right})) as double), {folded})"

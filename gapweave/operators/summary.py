@@ -17,7 +17,8 @@ DIFFERENCE_BINS = 30
 DISPLAY_LIMIT = 25.0
 DISPLAY_HEADROOM = 1.1
 
-SPLITTERS = 63
+SPLITTER_STEPS = 10  # 1 023 splitters
+SPLITTER_ACCURACY = 20_000
 
 
 # ---------------------------------------------------------------- metric summary
@@ -105,6 +106,17 @@ def report_json(summary: DataFrame, checkpoint: str, stamp: Column | None = None
 # ---------------------------------------------------------------- quantiles
 
 
+def _count_below(df: DataFrame, value: str, splitters: str, steps: int, out: str) -> DataFrame:
+    """Number of sorted splitters below the value: binary search, one projection per step."""
+    df = df.withColumn(out, F.lit(0))
+    for step in reversed(range(steps)):
+        jump = 1 << step
+        # Splitters at index out .. out + jump - 1 are all below the value if the last one is.
+        probe = F.get(splitters, F.col(out) + (jump - 1))
+        df = df.withColumn(out, F.col(out) + F.when(F.col(value) > probe, jump).otherwise(0))
+    return df
+
+
 def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: list[float]) -> DataFrame:
     """Exact interpolated quantiles per group, one row per (group, q).
 
@@ -113,13 +125,14 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: li
     sorted, each in its own task.  Groups must be a small set (metrics, candidates).
     """
     distinct = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    shares = [i / (SPLITTERS + 1) for i in range(1, SPLITTERS + 1)]
+    n_splitters = (1 << SPLITTER_STEPS) - 1
+    shares = [i / (n_splitters + 1) for i in range(1, n_splitters + 1)]
     ranges = distinct.groupBy(*groups).agg(
-        F.percentile_approx(value, shares, 10_000).alias("_splitters"), F.sum("_n").alias("_total")
-    )
-    placed = distinct.join(F.broadcast(ranges), groups).select(
-        *groups, value, "_n", F.size(F.filter("_splitters", lambda s: s < F.col(value))).alias("_range")
+        F.percentile_approx(value, shares, SPLITTER_ACCURACY).alias("_splitters"), F.sum("_n").alias("_total")
     )
+    placed = _count_below(
+        distinct.join(F.broadcast(ranges), groups), value, "_splitters", SPLITTER_STEPS, "_range"
+    ).select(*groups, value, "_n", "_range")
     running = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     starts = (
         placed.groupBy(*groups, "_range")
