@@ -9,9 +9,9 @@ Arguments are column names or SQL expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gapweave.functions.arrays import multiset_overlap
+from gapweave.functions.arrays import gram_lists, multiset_overlap
 from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_text, keyword_bleu_text, overlap_recall
 from gapweave.functions.sqltext import keep, let, lit, regexp_extract_all, regexp_replace, squeeze, transform
 
@@ -117,42 +117,53 @@ def flow_match(ref_flow: str, pred_flow: str) -> str:
     return f"if({_flow_size(ref_flow)} = 0, 0D, ({uses} + {pairs}) / {_flow_size(ref_flow)})"
 
 
-def scorable(ref: str, language: str) -> Column:
+def side(text: str, language: str) -> Column:
+    """All that the score needs of one text: n-gram lists, statement shapes, data flow.
+
+    Compute it once per text as a column of its own; the reference side serves every candidate.
+    """
+    tokens = keep(f"split({squeeze(text)}, ' ')", lambda t: f"{t} <> ''")
+    built = let(
+        _without_comments(text, language),
+        lambda c: f"named_struct('grams', {gram_lists(tokens, 4)}, 'shapes', {syntax_shapes(c, language)}, "
+        f"'flow', {flow(c, language)})",
+    )
+    return F.expr(built)
+
+
+def scorable(ref_side: str, language: str) -> Column:
     """Supported language, and a reference with at least one statement and one data-flow edge."""
     if language not in CODEBLEU_LANGUAGES:
         return F.lit(False)
-    return F.expr(
-        let(
-            _without_comments(ref, language),
-            lambda c: f"coalesce(size({_statements(c, language)}) > 0 "
-            f"and {let(flow(c, language), lambda f: f'{_flow_size(f)} > 0')}, false)",
-        )
-    )
+    return F.expr(f"coalesce(size({ref_side}.shapes) > 0 and {_flow_size(f'{ref_side}.flow')} > 0, false)")
 
 
-def codebleu(ref: str, pred: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
+def codebleu(ref_side: str, pred_side: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
     """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
+    parts = (
+        bleu_text(f"{ref_side}.grams", f"{pred_side}.grams"),
+        keyword_bleu_text(f"{ref_side}.grams", f"{pred_side}.grams", keywords(language)),
+        overlap_recall(f"{ref_side}.shapes", f"{pred_side}.shapes"),
+        flow_match(f"{ref_side}.flow", f"{pred_side}.flow"),
+    )
+    total = " + ".join(f"{float(w)}D * {part}" for w, part in zip(weights, parts))
+    return F.expr(f"coalesce({total}, 0D)")
 
-    def tokens(text: str) -> str:
-        return keep(f"split({squeeze(text)}, ' ')", lambda t: f"{t} <> ''")
-
-    def side(text: str) -> str:
-        return let(
-            _without_comments(text, language),
-            lambda c: f"named_struct('tokens', {tokens(text)}, 'shapes', {syntax_shapes(c, language)}, "
-            f"'flow', {flow(c, language)})",
-        )
 
-    def score(v: str) -> str:
-        r, p = f"{v}.r", f"{v}.p"
-        parts = (
-            bleu_text(f"{r}.tokens", f"{p}.tokens"),
-            keyword_bleu_text(f"{r}.tokens", f"{p}.tokens", keywords(language)),
-            overlap_recall(f"{r}.shapes", f"{p}.shapes"),
-            flow_match(f"{r}.flow", f"{p}.flow"),
-        )
-        return " + ".join(f"{float(w)}D * {part}" for w, part in zip(weights, parts))
+def with_codebleu(
+    df: DataFrame, ref: str, candidates: dict[str, str], language: str, weights=(0.1, 0.1, 0.4, 0.4)
+) -> DataFrame:
+    """Add ``codebleu_valid`` and one score column per candidate (``{column: text}``).
 
-    prediction = f"coalesce({pred}, '')"
-    both = f"named_struct('r', {side(ref)}, 'p', {side(prediction)})"
-    return F.expr(f"coalesce({let(both, score)}, 0D)")
+    An unsupported language or a reference without structure gives 0.
+    """
+    if language not in CODEBLEU_LANGUAGES:
+        return df.select("*", F.lit(False).alias("codebleu_valid"), *[F.lit(0.0).alias(c) for c in candidates])
+    sides = df.select(
+        "*",
+        side(ref, language).alias("_ref"),
+        *[side(f"coalesce({text}, '')", language).alias(f"_side_{c}") for c, text in candidates.items()],
+    )
+    valid = scorable("_ref", language)
+    scores = [F.when(valid, codebleu("_ref", f"_side_{c}", language, weights)).otherwise(0.0).alias(c) for c in candidates]
+    return sides.select(*df.columns, valid.alias("codebleu_valid"), *scores)

@@ -100,7 +100,9 @@ def _geometric(hits: list[str], totals: list[str], weights, n_pred: str, n_ref:
     return let(f"array({', '.join(hits)})", combine)
 
 
-def bleu_text(ref_tokens: str, pred_tokens: str, weights=EVEN) -> str:
+def bleu_text(ref_grams: str, pred_grams: str, weights=EVEN) -> str:
+    """BLEU from the n-gram lists of both sides (see ``gram_lists``)."""
+
     def score(v: str) -> str:
         r, p = f"{v}.r", f"{v}.p"
         orders = range(len(weights))
@@ -112,11 +114,11 @@ def bleu_text(ref_tokens: str, pred_tokens: str, weights=EVEN) -> str:
             f"size({r}[0])",
         )
 
-    both = f"named_struct('r', {gram_lists(ref_tokens, len(weights))}, 'p', {gram_lists(pred_tokens, len(weights))})"
+    both = f"named_struct('r', {ref_grams}, 'p', {pred_grams})"
     return f"coalesce({let(both, score)}, 0D)"
 
 
-def keyword_bleu_text(ref_tokens: str, pred_tokens: str, keywords: list[str], weights=EVEN) -> str:
+def keyword_bleu_text(ref_grams: str, pred_grams: str, keywords: list[str], weights=EVEN) -> str:
     """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens."""
     listed = ", ".join(lit(k) for k in keywords)
 
@@ -135,17 +137,19 @@ def keyword_bleu_text(ref_tokens: str, pred_tokens: str, keywords: list[str], we
             f"size({r}[0])",
         )
 
-    both = f"named_struct('r', {gram_lists(ref_tokens, len(weights))}, 'p', {gram_lists(pred_tokens, len(weights))})"
+    both = f"named_struct('r', {ref_grams}, 'p', {pred_grams})"
     return f"coalesce({let(both, score)}, 0D)"
 
 
 def sentence_bleu(ref: str, pred: str, weights=EVEN) -> Column:
     """Sentence BLEU, one reference, clipped precision, zero counts replaced by epsilon."""
-    return F.expr(bleu_text(words(ref), words(pred), weights))
+    return F.expr(bleu_text(gram_lists(words(ref), len(weights)), gram_lists(words(pred), len(weights)), weights))
 
 
 def keyword_bleu(ref: str, pred: str, keywords: list[str], weights=EVEN) -> Column:
-    return F.expr(keyword_bleu_text(words(ref), words(pred), keywords, weights))
+    return F.expr(
+        keyword_bleu_text(gram_lists(words(ref), len(weights)), gram_lists(words(pred), len(weights)), keywords, weights)
+    )
 
 
 def overlap_recall(ref_items: str, pred_items: str) -> str:

@@ -63,17 +63,19 @@ def score_columns(ref: str, pred: str, params: EvalParams) -> dict[str, Column]:
 def score_rows(rows: DataFrame, params: EvalParams = EvalParams()) -> DataFrame:
     """Append the eleven score fields to the generation rows; no shuffle."""
     ref = "reference_middle"
-    checked = rows.withColumn("codebleu_valid", C.scorable(ref, params.data_language))
+    with_code = C.with_codebleu(
+        rows,
+        ref,
+        {f"{name}_codebleu": f"{name}_generated_middle" for name in CANDIDATES},
+        params.data_language,
+        params.codebleu_weights,
+    )
     columns = []
     for name in CANDIDATES:
-        pred = f"{name}_generated_middle"
-        columns.append(
-            F.when(F.col("codebleu_valid"), C.codebleu(ref, pred, params.data_language, params.codebleu_weights))
-            .otherwise(0.0)
-            .alias(f"{name}_codebleu")
-        )
-        columns += [c.alias(f"{name}_{metric}") for metric, c in score_columns(ref, pred, params).items()]
-    return checked.select(*rows.columns, "codebleu_valid", *columns)
+        columns.append(F.col(f"{name}_codebleu"))
+        others = score_columns(ref, f"{name}_generated_middle", params)
+        columns += [c.alias(f"{name}_{metric}") for metric, c in others.items()]
+    return with_code.select(*rows.columns, "codebleu_valid", *columns)
 
 
 def metric_registry(spark) -> DataFrame:

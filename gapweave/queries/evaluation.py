@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gapweave.functions import metrics as M
+from gapweave.functions.codebleu import with_codebleu
 from gapweave.operators import scoring as Score, summary as Summary, train_log as Log
 from gapweave.params import EvalParams
 from gapweave.plans.preprocess import file_blocks
@@ -192,16 +193,14 @@ def codebleu_rows(spark, folder):
         F.replace(code, F.lit("k"), F.lit("j")).alias("base_generated_middle"),
         F.regexp_replace(code, r"(?s)for .*", "return n;\n}").alias("lora_generated_middle"),
     )
-    from gapweave.functions import codebleu as C
-
-    ref = "reference_middle"
-    return rows.select(
-        "example_id",
-        C.scorable(ref, "c").alias("codebleu_valid"),
-        *[
-            F.round(C.codebleu(ref, f"{c}_generated_middle", "c"), 6).alias(f"{c}_codebleu")
-            for c in Score.CANDIDATES
-        ],
+    scored = with_codebleu(
+        rows,
+        "reference_middle",
+        {f"{c}_codebleu": f"{c}_generated_middle" for c in Score.CANDIDATES},
+        "c",
+    )
+    return scored.select(
+        "example_id", "codebleu_valid", *[F.round(f"{c}_codebleu", 6).alias(f"{c}_codebleu") for c in Score.CANDIDATES]
     )
 
 
