@@ -7,9 +7,7 @@ piece length, and the whole is close to linear in the array length.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from gapweave.functions.sqltext import fold, index_range, let, lit, transform, zip_with
+from gapweave.functions.sqltext import fold, index_range, keep, let, lit, transform, zip_with
 
 PIECE = 256
 
@@ -68,21 +66,20 @@ def gram_lists(tokens: str, longest: int) -> str:
     return let(tokens, lambda ts: extend([ts], 2))
 
 
-def multiset_overlap(left: str, right: str, weight: Callable[[str], str] | None = None) -> str:
-    """Sum over distinct strings of ``min(count left, count right) * weight``.
+def multiset_overlap(left: str, right: str, levels: int = 3) -> str:
+    """Sum over distinct strings of ``min(count left, count right)``.
 
-    If one side has no repeated string every common string counts once, so the set
-    intersection answers.  Otherwise both arrays are tagged and sorted together, then folded
-    with a state of constant size: one run of equal strings at a time.
+    The first copies count through a set intersection, the second copies likewise, and so on
+    for a few levels; what is left after that (the further copies of the most frequent
+    strings) is tagged, sorted and folded with a state of constant size.
     """
 
-    def gain(s: str) -> str:
-        w = "1D" if weight is None else f"coalesce({weight(f'{s}.item')}, 0D)"
-        return f"{s}.total + least({s}.n_left, {s}.n_right) * {w}"
-
     def tag(items: str, side: int) -> str:
         return transform(items, lambda g: f"named_struct('item', {g}, 'side', {side})")
 
+    def gain(s: str) -> str:
+        return f"{s}.total + least({s}.n_left, {s}.n_right)"
+
     def step(s: str, x: str) -> str:
         return (
             f"if({s}.item <=> {x}.item,"
@@ -91,13 +88,23 @@ def multiset_overlap(left: str, right: str, weight: Callable[[str], str] | None
             f" named_struct('item', {x}.item, 'n_left', 1 - {x}.side, 'n_right', {x}.side, 'total', {gain(s)}))"
         )
 
-    folded = fold(
-        f"sort_array(concat({tag(left, 0)}, {tag(right, 1)}))",
-        "named_struct('item', cast(null as string), 'n_left', 0, 'n_right', 0, 'total', 0D)",
-        step,
-        gain,
-    )
-    if weight is not None:
-        return folded
-    no_repeat = f"size(array_distinct({left})) = size({left}) or size(array_distinct({right})) = size({right})"
-    return f"if({no_repeat}, cast(size(array_intersect({left}, {right})) as double), {folded})"
+    def folded(v: str) -> str:
+        return fold(
+            f"sort_array(concat({tag(f'{v}.l', 0)}, {tag(f'{v}.r', 1)}))",
+            "named_struct('item', cast(null as string), 'n_left', 0, 'n_right', 0, 'total', 0)",
+            step,
+            gain,
+        )
+
+    def further_copies(items: str) -> str:
+        return keep(items, lambda x, i: f"{i} > 0 and {items}[{i} - 1] = {x}")
+
+    def count(v: str, level: int) -> str:
+        rest = f"named_struct('l', {further_copies(f'{v}.l')}, 'r', {further_copies(f'{v}.r')})"
+        deeper = let(rest, lambda w: count(w, level + 1)) if level < levels else folded(v)
+        if level == levels:
+            return f"if(size({v}.l) = 0 or size({v}.r) = 0, 0, {deeper})"
+        return f"if(size({v}.l) = 0 or size({v}.r) = 0, 0, size(array_intersect({v}.l, {v}.r)) + {deeper})"
+
+    both = f"named_struct('l', sort_array({left}), 'r', sort_array({right}))"
+    return f"cast({let(both, lambda v: count(v, 0))} as double)"

@@ -12,7 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions.arrays import gram_lists, multiset_overlap
-from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_text, keyword_bleu_text, overlap_recall
+from gapweave.functions.metrics import (
+    CODEBLEU_LANGUAGES,
+    bleu_text,
+    gram_hits,
+    keyword_bleu_text,
+    keyword_tokens,
+    overlap_recall,
+)
 from gapweave.functions.sqltext import keep, let, lit, regexp_extract_all, regexp_replace, squeeze, transform
 
 # Reserved words shared by most of the supported languages, then additions.
@@ -126,7 +133,7 @@ def side(text: str, language: str) -> Column:
     built = let(
         _without_comments(text, language),
         lambda c: f"named_struct('grams', {gram_lists(tokens, 4)}, 'shapes', {syntax_shapes(c, language)}, "
-        f"'flow', {flow(c, language)})",
+        f"'keywords', {keyword_tokens(tokens, keywords(language))}, 'flow', {flow(c, language)})",
     )
     return F.expr(built)
 
@@ -140,13 +147,19 @@ def scorable(ref_side: str, language: str) -> Column:
 
 def codebleu(ref_side: str, pred_side: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
     """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
-    parts = (
-        bleu_text(f"{ref_side}.grams", f"{pred_side}.grams"),
-        keyword_bleu_text(f"{ref_side}.grams", f"{pred_side}.grams", keywords(language)),
-        overlap_recall(f"{ref_side}.shapes", f"{pred_side}.shapes"),
-        flow_match(f"{ref_side}.flow", f"{pred_side}.flow"),
+    r, p = ref_side, pred_side
+
+    def n_gram_parts(h: str) -> str:
+        keyword_hits = multiset_overlap(f"{p}.keywords", f"{r}.keywords")
+        plain = bleu_text(f"{r}.grams", f"{p}.grams", h)
+        weighted = keyword_bleu_text(f"{r}.grams", f"{p}.grams", h, keyword_hits, f"size({r}.keywords)")
+        return f"{float(weights[0])}D * {plain} + {float(weights[1])}D * {weighted}"
+
+    total = (
+        f"{let(gram_hits(f'{r}.grams', f'{p}.grams'), n_gram_parts)}"
+        f" + {float(weights[2])}D * {overlap_recall(f'{r}.shapes', f'{p}.shapes')}"
+        f" + {float(weights[3])}D * {flow_match(f'{r}.flow', f'{p}.flow')}"
     )
-    total = " + ".join(f"{float(w)}D * {part}" for w, part in zip(weights, parts))
     return F.expr(f"coalesce({total}, 0D)")
 
 

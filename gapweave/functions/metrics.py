@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 
 from gapweave.functions import text as X
 from gapweave.functions.arrays import gram_lists, multiset_overlap
-from gapweave.functions.sqltext import fold, let, lit, words
+from gapweave.functions.sqltext import keep, let, lit, words
 
 # Fixed value: the smoothing epsilon of the published BLEU "method 1".
 BLEU_EPSILON = 0.1
@@ -88,68 +88,72 @@ def edit_similarity(ref: str, pred: str) -> Column:
 
 def _geometric(hits: list[str], totals: list[str], weights, n_pred: str, n_ref: str) -> str:
     """Brevity penalty times the weighted geometric mean of smoothed ratios; 0 without a unigram hit."""
+    logs = " + ".join(
+        f"{float(w)}D * ln(if({hit} = 0, {BLEU_EPSILON}D, {hit}) / {total})"
+        for w, hit, total in zip(weights, hits, totals)
+    )
+    brevity = f"case when {n_pred} > {n_ref} then 1D when {n_pred} = 0 then 0D else exp(1 - {n_ref} / {n_pred}) end"
+    return f"if({hits[0]} = 0, 0D, ({brevity}) * exp({logs}))"
 
-    def combine(h: str) -> str:
-        logs = " + ".join(
-            f"{float(w)}D * ln(if({h}[{k}] = 0, {BLEU_EPSILON}D, {h}[{k}]) / {total})"
-            for k, (w, total) in enumerate(zip(weights, totals))
-        )
-        brevity = f"case when {n_pred} > {n_ref} then 1D when {n_pred} = 0 then 0D else exp(1 - {n_ref} / {n_pred}) end"
-        return f"if({h}[0] = 0, 0D, ({brevity}) * exp({logs}))"
 
-    return let(f"array({', '.join(hits)})", combine)
+def gram_hits(ref_grams: str, pred_grams: str, orders: int = 4) -> str:
+    """Clipped matches for n = 1 .. orders, as an array."""
+    return f"array({', '.join(multiset_overlap(f'{pred_grams}[{k}]', f'{ref_grams}[{k}]') for k in range(orders))})"
 
 
-def bleu_text(ref_grams: str, pred_grams: str, weights=EVEN) -> str:
-    """BLEU from the n-gram lists of both sides (see ``gram_lists``)."""
+def bleu_text(ref_grams: str, pred_grams: str, hits: str, weights=EVEN) -> str:
+    """BLEU from the n-gram lists of both sides (see ``gram_lists``) and their ``gram_hits``."""
+    n_pred, n_ref = f"size({pred_grams}[0])", f"size({ref_grams}[0])"
+    orders = range(len(weights))
+    totals = [f"greatest({n_pred} - {k}, 1)" for k in orders]
+    return _geometric([f"{hits}[{k}]" for k in orders], totals, weights, n_pred, n_ref)
 
-    def score(v: str) -> str:
-        r, p = f"{v}.r", f"{v}.p"
-        orders = range(len(weights))
-        return _geometric(
-            [multiset_overlap(f"{p}[{k}]", f"{r}[{k}]") for k in orders],
-            [f"greatest(size({p}[0]) - {k}, 1)" for k in orders],
-            weights,
-            f"size({p}[0])",
-            f"size({r}[0])",
-        )
 
-    both = f"named_struct('r', {ref_grams}, 'p', {pred_grams})"
-    return f"coalesce({let(both, score)}, 0D)"
+def keyword_bleu_text(
+    ref_grams: str, pred_grams: str, hits: str, keyword_hits: str, n_ref_keywords: str, weights=EVEN
+) -> str:
+    """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens.
+
+    With two weights only, the weighted sums follow from the plain sums and the sums over
+    keywords alone.
+    """
+    n_pred, n_ref = f"size({pred_grams}[0])", f"size({ref_grams}[0])"
+
+    def weighted(all_tokens: str, keyword_tokens: str) -> str:
+        return f"({PLAIN_TOKEN_WEIGHT}D * {all_tokens} + {1 - PLAIN_TOKEN_WEIGHT}D * {keyword_tokens})"
 
+    orders = range(1, len(weights))
+    hit_list = [weighted(f"{hits}[0]", keyword_hits)] + [f"{hits}[{k}]" for k in orders]
+    totals = [f"if({n_ref} = 0, 1D, {weighted(n_ref, n_ref_keywords)})"]
+    totals += [f"greatest({n_ref} - {k}, 1)" for k in orders]
+    return _geometric(hit_list, totals, weights, n_pred, n_ref)
 
-def keyword_bleu_text(ref_grams: str, pred_grams: str, keywords: list[str], weights=EVEN) -> str:
-    """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens."""
+
+def keyword_tokens(tokens: str, keywords: list[str]) -> str:
     listed = ", ".join(lit(k) for k in keywords)
+    return keep(tokens, lambda t: f"{t} in ({listed})") if keywords else "cast(array() as array<string>)"
 
-    def token_weight(token: str) -> str:
-        return f"if({token} in ({listed}), 1D, {PLAIN_TOKEN_WEIGHT}D)" if keywords else f"{PLAIN_TOKEN_WEIGHT}D"
-
-    def score(v: str) -> str:
-        r, p = f"{v}.r", f"{v}.p"
-        orders = range(len(weights))
-        unigrams = fold(f"{r}[0]", "0D", lambda s, t: f"{s} + {token_weight(t)}", lambda s: s)
-        return _geometric(
-            [multiset_overlap(f"{p}[{k}]", f"{r}[{k}]", token_weight if k == 0 else None) for k in orders],
-            [f"if(size({r}[0]) = 0, 1D, {unigrams})"] + [f"greatest(size({r}[0]) - {k}, 1)" for k in orders[1:]],
-            weights,
-            f"size({p}[0])",
-            f"size({r}[0])",
-        )
 
-    both = f"named_struct('r', {ref_grams}, 'p', {pred_grams})"
-    return f"coalesce({let(both, score)}, 0D)"
+def _with_grams(ref: str, pred: str, orders: int, score) -> Column:
+    grams = f"named_struct('r', {gram_lists(words(ref), orders)}, 'p', {gram_lists(words(pred), orders)})"
+    scored = let(grams, lambda v: let(gram_hits(f"{v}.r", f"{v}.p", orders), lambda h: score(f"{v}.r", f"{v}.p", h)))
+    return F.expr(f"coalesce({scored}, 0D)")
 
 
 def sentence_bleu(ref: str, pred: str, weights=EVEN) -> Column:
     """Sentence BLEU, one reference, clipped precision, zero counts replaced by epsilon."""
-    return F.expr(bleu_text(gram_lists(words(ref), len(weights)), gram_lists(words(pred), len(weights)), weights))
+    return _with_grams(ref, pred, len(weights), lambda r, p, h: bleu_text(r, p, h, weights))
 
 
 def keyword_bleu(ref: str, pred: str, keywords: list[str], weights=EVEN) -> Column:
-    return F.expr(
-        keyword_bleu_text(gram_lists(words(ref), len(weights)), gram_lists(words(pred), len(weights)), keywords, weights)
-    )
+    def score(r: str, p: str, h: str) -> str:
+        of_keywords = f"named_struct('r', {keyword_tokens(f'{r}[0]', keywords)}, 'p', {keyword_tokens(f'{p}[0]', keywords)})"
+        return let(
+            of_keywords,
+            lambda k: keyword_bleu_text(r, p, h, multiset_overlap(f"{k}.p", f"{k}.r"), f"size({k}.r)", weights),
+        )
+
+    return _with_grams(ref, pred, len(weights), score)
 
 
 def overlap_recall(ref_items: str, pred_items: str) -> str:

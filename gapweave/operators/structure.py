@@ -211,14 +211,12 @@ def with_nodes(files: DataFrame, scanner: str, text: str = "text") -> DataFrame:
 
 def explode_nodes(files: DataFrame, file_id: str = "file_id") -> DataFrame:
     """The node table: ``node_id`` is the pre-order number in the file."""
-    return files.select(file_id, F.posexplode("nodes").alias("node_id", "node")).select(
-        file_id,
-        F.col("node_id").cast("bigint").alias("node_id"),
-        F.col("node.depth").alias("depth"),
-        F.col("node.type").alias("type"),
-        F.col("node.start_byte").alias("start_byte"),
-        F.col("node.end_byte").alias("end_byte"),
+    rows = transform(
+        "nodes",
+        lambda n, i: f"named_struct('node_id', cast({i} as bigint), 'depth', {n}.depth, 'type', {n}.type, "
+        f"'start_byte', {n}.start_byte, 'end_byte', {n}.end_byte)",
     )
+    return files.select(file_id, F.inline(F.expr(rows)))
 
 
 def select_by_rules(nodes: DataFrame, rules: DataFrame, role: str, language: str) -> DataFrame:
