@@ -112,22 +112,31 @@ def training_arrays(df: DataFrame) -> DataFrame:
     return df.withColumn("attention_mask", ones(F.col("input_ids"))).withColumn("labels", F.col("input_ids"))
 
 
+def byte_level_filters(examples: DataFrame, params: FimParams, markers: Markers = Markers()) -> DataFrame:
+    """The two length filters for the byte-level tokenizer, from byte counts.
+
+    Such an example has one id per byte and four markers, so ids are built for the rows that
+    pass and not at all where rows are only counted.  Rows with a marker text inside a part
+    are judged on their ids.
+    """
+    parts = ("prefix", "middle", "suffix")
+    marked = marker_in(F.col(parts[0]), markers) | marker_in(F.col(parts[1]), markers) | marker_in(F.col(parts[2]), markers)
+    ids = encode_text(F.col("example"), markers)
+    n_bytes = F.octet_length("prefix") + F.octet_length("middle") + F.octet_length("suffix")
+    total = F.when(marked, F.size(ids)).otherwise(n_bytes + 4)
+    middle = F.when(marked, tail_middle_length(ids, markers)).otherwise(F.octet_length("middle"))
+    return examples.where(total <= params.max_token_sequence_length).where(
+        middle.between(params.min_middle_tokens_length, params.max_middle_tokens_length)
+    )
+
+
 def tokenize_and_filter(
     examples: DataFrame, params: FimParams, markers: Markers = Markers(), tokenizer=None
 ) -> DataFrame:
     """Ids by the byte-level tokenizer, or by a function of a text column (see ``plugins``)."""
-    ids = encode_text(F.col("example"), markers) if tokenizer is None else tokenizer(F.col("example"))
-    return training_arrays(length_filters(examples.withColumn("input_ids", ids), params, markers))
-
-
-__all__ = [
-    "within_end_limit",
-    "sample_size",
-    "sample_subblocks",
-    "truncate_blocks",
-    "fim_examples",
-    "drop_overlong",
-    "length_filters",
-    "training_arrays",
-    "tokenize_and_filter",
-]
+    if tokenizer is None:
+        kept = byte_level_filters(examples, params, markers)
+        return training_arrays(kept.withColumn("input_ids", encode_text(F.col("example"), markers)))
+    return training_arrays(
+        length_filters(examples.withColumn("input_ids", tokenizer(F.col("example"))), params, markers)
+    )

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from gapweave.functions import metrics as M
 from gapweave.functions.codebleu import with_codebleu
 from gapweave.operators import scoring as Score, summary as Summary, train_log as Log
-from gapweave.params import EvalParams
+from gapweave.operators.settle import settle
+from gapweave.params import EvalParams, FimParams
 from gapweave.plans.preprocess import file_blocks
-from gapweave.params import FimParams
 from gapweave.queries import derive as D, sql as Q
 from gapweave.queries.registry import query
-from gapweave.sources.tables import document_files, table
+from gapweave.sources.tables import table
 
 PARAMS = EvalParams()
 BLEU_KEYWORDS = ["the", "der", "die", "le", "la", "et", "in", "."]
@@ -183,8 +183,8 @@ def score_rows(spark, folder):
 
 @query("codebleu_rows")
 def codebleu_rows(spark, folder):
-    """CodeBLEU of neighbouring functions of the derived C-like corpus: each block against a
-    variant with renamed loop variable and against its own first statement list."""
+    """CodeBLEU on the derived C-like corpus: each function against itself with the loop
+    variable renamed, and against itself cut off at the loop."""
     blocks = file_blocks(D.braced_files(spark, folder), "brace", FimParams(max_code_blocks_ast_depth=2))
     code = F.col("code").cast("string")
     rows = blocks.select(
@@ -288,7 +288,7 @@ def win_tie_loss(spark, folder):
            round(v[5], 6) AS maximum, round(v[2] - 1.5 * (v[4] - v[2]), 6) AS low_fence, round(v[4] + 1.5 * (v[4] - v[2]), 6) AS high_fence FROM q""",
 )
 def five_number(spark, folder):
-    stats = Summary.five_number(long_rows(spark, folder))
+    stats = Summary.five_number(settle(long_rows(spark, folder)))
     return rounded(stats, "minimum", "q1", "median", "q3", "maximum", "low_fence", "high_fence")
 
 
@@ -303,7 +303,7 @@ def five_number(spark, folder):
     FROM span s CROSS JOIN range(30) b(bin) LEFT JOIN binned x ON x.metric = s.metric AND x.bin = b.bin GROUP BY s.metric, b.bin, low, high""",
 )
 def diff_hist(spark, folder):
-    return rounded(Summary.difference_histogram(long_rows(spark, folder)), "left_edge")
+    return rounded(Summary.difference_histogram(settle(long_rows(spark, folder))), "left_edge")
 
 
 @query(
@@ -422,5 +422,3 @@ def last_checkpoint(spark, folder):
     )
     return Log.last_checkpoint(names, ["run_id"])
 
-
-__all__ = ["document_files"]
