@@ -12,13 +12,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions.arrays import sums_before, tile_offsets
-from gapweave.functions.sqltext import keep, let, lit, lstrip, regexp_extract_all, rstrip, transform, zip_with
+from gapweave.functions.sqltext import (
+    keep,
+    let,
+    lit,
+    lstrip,
+    regexp_extract_all,
+    regexp_replace,
+    rstrip,
+    transform,
+    zip_with,
+)
 from gapweave.functions.text import FIRST_WORD, STRUCTURE_PATTERN
 
 NODE_TYPE = "array<struct<start_byte:bigint,depth:int,end_byte:bigint,type:string>>"
 
 NON_BLANK = r"(?U)[^\s\x1c-\x1f]"
 SENTENCE = r"[^.!?]+[.!?]*\s*|[.!?]+\s*"
+LEADING_FILLER = r"\A(?:\s++|//[^\n]*+|#[^\n]*+|(?s:/\*.*?\*/))*+"
 LEXEME = (
     r"//[^\n]*"
     r"|(?s:/\*.*?\*/)"
@@ -131,9 +142,9 @@ def brace_nodes(text: str) -> str:
         return f"case {d}.token when '{plus}' then 1 when '{minus}' then -1 else 0 end"
 
     def first_text_byte(start: str, end: str) -> str:
-        """Position of the first byte in the range that is not white space."""
+        """Position of the first byte in the range after white space, comments and directives."""
         piece = f"cast(substring(encode({text}, 'UTF-8'), cast({start} + 1 as int), cast({end} - {start} as int)) as string)"
-        return f"{end} - octet_length({lstrip(piece)})"
+        return f"{end} - octet_length({regexp_replace(piece, LEADING_FILLER)})"
 
     def delimiters(tokens: str) -> str:
         placed = zip_with(tokens, tile_offsets(tokens), lambda t, o: f"named_struct('token', {t}, 'at', {o})")

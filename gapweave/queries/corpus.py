@@ -243,7 +243,7 @@ delims AS (
   FROM placed WHERE token IN ('{{', '}}') OR (token = ';' AND parens <= 0)
   WINDOW w AS (PARTITION BY file_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 trimmed AS (
-  SELECT d.*, d.pos - strlen(regexp_replace(decode(unhex(substr(hex(encode(f.text)), 2 * since + 1, 2 * (pos - since)))), '^\\s+', '')) AS first
+  SELECT d.*, d.pos - strlen(regexp_replace(decode(unhex(substr(hex(encode(f.text)), 2 * since + 1, 2 * (pos - since)))), '^(?:\\s+|//[^\\n]*|#[^\\n]*|(?s:/\\*.*?\\*/))*', '')) AS first
   FROM delims d JOIN {source} f USING (file_id)),
 braces AS (
   SELECT *, level + CASE token WHEN '{{' THEN 1 ELSE 0 END AS pair_level FROM trimmed WHERE token <> ';'),
@@ -261,7 +261,7 @@ brace_rows AS (
 brace_nodes AS (
   SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY start_byte, depth) - 1 AS node_id,
          depth::INTEGER AS depth, type, start_byte, end_byte FROM brace_rows)"""
-    ).replace("\\\\s", "\\s")
+    )
 
 
 BRACE_COLUMNS = "SELECT file_id, node_id, depth, type, start_byte, end_byte FROM brace_nodes"

@@ -126,7 +126,7 @@ def built_in_rules(spark: SparkSession) -> DataFrame:
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rule table from a JSON file; languages whose entries are not both lists are kept as errors."""
     roles = "struct<block_types:array<string>,subblock_types:array<string>>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     by_language = text.select(F.explode(F.from_json("value", f"map<string,{roles}>")).alias("language", "roles"))
     return by_language.select(
         "language",
