@@ -108,7 +108,8 @@ def rank_cuts(
 def attach_cuts(df: DataFrame, groups: list[str], cuts: DataFrame) -> DataFrame:
     if groups:
         return df.join(F.broadcast(cuts), groups, "left")
-    return df.crossJoin(F.broadcast(cuts))
+    one_row = cuts.select(F.struct(*cuts.columns).alias("cuts")).scalar()
+    return df.withColumns({c: one_row[c] for c in cuts.columns})
 
 
 def keep_smallest(df: DataFrame, key: str, ties: list[str], k: int) -> DataFrame:

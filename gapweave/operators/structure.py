@@ -239,7 +239,7 @@ def select_by_rules(nodes: DataFrame, rules: DataFrame, role: str, language: str
 
 
 def contained(
-    blocks: DataFrame, subs: DataFrame, file_id: str = "file_id", bin_bytes: int = 1 << 16
+    blocks: DataFrame, subs: DataFrame, file_id: str = "file_id", bin_bytes: int = 1 << 12
 ) -> DataFrame:
     """Pairs of a block and a node of its subtree, the block's own node included.
 

@@ -221,12 +221,11 @@ def bin_number(x: Column, low: Column, high: Column, bins: int) -> Column:
 
 def dense_histogram(counted: DataFrame, bins: int, groups: DataFrame | None = None) -> DataFrame:
     """Fill in the empty bins."""
-    spark = counted.sparkSession
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    keys = ["bin"]
-    if groups is not None:
-        grid = grid.crossJoin(F.broadcast(groups))
-        keys = [*groups.columns, "bin"]
+    every_bin = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    if groups is None:
+        grid, keys = counted.sparkSession.range(1).select(every_bin), ["bin"]
+    else:
+        grid, keys = groups.select("*", every_bin), [*groups.columns, "bin"]
     return grid.join(counted, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
@@ -248,14 +247,20 @@ def observed_histogram(df: DataFrame, groups: list[str], value: str, bins: int)
         (F.col("_low") - F.when(F.col("_flat"), 0.5).otherwise(0.0)).alias("_low"),
         (F.col("_high") + F.when(F.col("_flat"), 0.5).otherwise(0.0)).alias("_high"),
     )
-    joined = finite.join(F.broadcast(span), groups) if groups else finite.crossJoin(F.broadcast(span))
+
+    def with_span(rows: DataFrame) -> DataFrame:
+        if groups:
+            return rows.join(F.broadcast(span), groups)
+        one_row = span.select(F.struct("_low", "_high").alias("span")).scalar()
+        return rows.withColumns({c: one_row[c] for c in ("_low", "_high")})
+
     counted = (
-        joined.withColumn("bin", bin_number(F.col(value), F.col("_low"), F.col("_high"), bins))
+        with_span(finite).withColumn("bin", bin_number(F.col(value), F.col("_low"), F.col("_high"), bins))
         .groupBy(*groups, "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     dense = dense_histogram(counted, bins, span.select(*groups) if groups else None)
-    edges = dense.join(F.broadcast(span), groups) if groups else dense.crossJoin(F.broadcast(span))
+    edges = with_span(dense)
     width = (F.col("_high") - F.col("_low")) / bins
     return edges.select(*groups, "bin", (F.col("_low") + F.col("bin") * width).alias("left_edge"), "n")
 

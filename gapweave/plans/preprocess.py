@@ -68,7 +68,7 @@ def training_rows(
     scanner: str,
     split_params: SplitParams = SplitParams(),
     params: FimParams = FimParams(),
-    ratio: float = 1.0,
+    ratio: Column | float = 1.0,
     markers: Markers = Markers(),
 ) -> DataFrame:
     """Structural and random examples of every split (bag union, told apart by ``kind``)."""
@@ -76,7 +76,7 @@ def training_rows(
     structural = structural_examples(assigned, scanner, params, ratio, markers)
     extra = random_examples(
         assigned.select("file_id", "split", "content"),
-        window_bytes(params.max_token_sequence_length, F.lit(float(ratio))),
+        window_bytes(params.max_token_sequence_length, ratio if isinstance(ratio, Column) else F.lit(float(ratio))),
         params,
         random_quotas(structural, params),
         markers,

@@ -53,7 +53,9 @@ def language_rules(spark, folder):
     """The prose rules for every language that occurs in the table."""
     languages = document_files(spark, folder).select(F.col("lang").alias("language")).distinct()
     prose = built_in_rules(spark).where(F.col("language") == "prose").drop("language")
-    return languages.crossJoin(F.broadcast(prose)).select("language", "role", "node_type")
+    keyed = prose.withColumn("scanner", F.lit("prose"))
+    by_scanner = languages.withColumn("scanner", F.lit("prose")).join(F.broadcast(keyed), "scanner")
+    return by_scanner.select("language", "role", "node_type")
 
 
 @query(

@@ -105,9 +105,9 @@ def bytes_per_token(spark, folder):
     + "SELECT file_id, block_id, sub_id, md5(middle) AS middle_md5 FROM examples",
 )
 def fim_middle_estimate(spark, folder):
-    """Estimated middle length from the corpus ratio, which arrives as a broadcast one-row table."""
+    """Estimated middle length from the corpus ratio, a scalar subquery."""
     blocks = file_blocks(document_files(spark, folder), "prose", PARAMS)
-    with_ratio = blocks.crossJoin(F.broadcast(word_ratio(spark, folder)))
+    with_ratio = blocks.withColumn("ratio", word_ratio(spark, folder).scalar())
     examples = Fim.fim_examples(with_ratio, PARAMS, F.col("ratio"))
     return examples.select("file_id", "block_id", "sub_id", F.md5("middle").alias("middle_md5"))
 
