@@ -47,7 +47,7 @@ def rows_and_types(table):
 def compare(spark_df, con, sql: str) -> list[str]:
     """Differences found; empty where both sides agree."""
     names, types, rows = rows_and_types(spark_df.toArrow())
-    want_names, want_types, want_rows = rows_and_types(con.execute(sql).to_arrow_table())
+    want_names, want_types, want_rows = rows_and_types(con.sql(sql).to_arrow_table())
     problems = []
     if names != want_names:
         return [f"columns {names} != {want_names}"]

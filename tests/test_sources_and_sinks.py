@@ -168,3 +168,16 @@ def test_plugins(spark):
     prompts = spark.createDataFrame([(i, [i, i + 1]) for i in range(7)], "example_id bigint, prompt_ids array<int>")
     made = plugins.generate(prompts, lambda batch: [(f"{len(batch) <= 3}:{sum(p)}", 1.0) for p in batch], 3)
     assert {r["example_id"]: r["generated_middle"] for r in made.collect()} == {i: f"True:{2 * i + 1}" for i in range(7)}
+
+
+def test_settle_uses_the_folder_of_the_session(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        assert settle(spark.range(3)).count() == 3
+        assert len(list((tmp_path / "shared").glob("settled-*"))) == 1
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
