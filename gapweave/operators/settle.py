@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="gapweave-")
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names; a temporary one only where it names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write the table to the checkpoint folder and read it back.
 
-    The folder is the shared one that the session names in ``spark.checkpoint.dir``; a lost
-    executor then costs no recomputation.  Only where that is unset (a local test session) a
-    temporary folder is used.
+    The rows are then safe from lost executors and are not computed again.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="gapweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

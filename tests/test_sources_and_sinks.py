@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from gapweave.operators.settle import settle
+from gapweave.operators.settle import checkpoint_folder, settle
 from gapweave.params import FimParams, SplitParams
 from gapweave.plans import plugins
 from gapweave.plans.evaluate import report
@@ -170,14 +170,17 @@ def test_plugins(spark):
     assert {r["example_id"]: r["generated_middle"] for r in made.collect()} == {i: f"True:{2 * i + 1}" for i in range(7)}
 
 
-def test_settle_uses_the_folder_of_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        assert settle(spark.range(3)).count() == 3
-        assert len(list((tmp_path / "shared").glob("settled-*"))) == 1
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_settle_uses_the_folder_of_the_session(spark, tmp_path, monkeypatch):
+    class Conf:
+        def __init__(self, value):
+            self.get = lambda key, default=None: value if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        def __init__(self, value):
+            self.conf = Conf(value)
+
+    assert checkpoint_folder(Session("hdfs://shared/folder")) == "hdfs://shared/folder"
+    assert "gapweave-" in checkpoint_folder(Session(None))
+    monkeypatch.setattr("gapweave.operators.settle.checkpoint_folder", lambda _: str(tmp_path / "shared"))
+    assert settle(spark.range(3)).count() == 3
+    assert len(list((tmp_path / "shared").glob("settled-*"))) == 1
