@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="gapweave-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a part of the warehouse.
+
+    Both are folders that every executor reaches.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/settled").rstrip("/")
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names; a temporary one only where it names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+def _remove_at_exit(path: str) -> None:
+    # Only where the folder is a plain local one, as in tests; a cluster's folder has its own retention.
+    where = urlparse(path)
+    if where.scheme in ("", "file"):
+        atexit.register(shutil.rmtree, where.path, ignore_errors=True)
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write the table to the checkpoint folder and read it back.
+    """Write the table to the shared folder and read it back.
 
     The rows are then safe from lost executors and are not computed again.
     """
-    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    _remove_at_exit(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
