@@ -75,17 +75,24 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
 
 
 def by_interval(
-    df: DataFrame, at: str, intervals: DataFrame, low: str, high: str, cell: Callable[[Column], Column]
+    df: DataFrame,
+    at: str,
+    intervals: DataFrame,
+    low: str,
+    high: str,
+    row_cell: Callable[[Column], Column],
+    interval_cell: Callable[[Column], Column],
 ) -> DataFrame:
     """Join every row to the interval with ``low <= at < high`` by an equality on cells.
 
-    ``intervals`` must be a table of bounded size and ``cell`` a rising map to few integers.
+    ``intervals`` must be a table of bounded size.  The two cell functions are the same rising
+    map to few integers, written for the columns of either side.
     """
     spread = intervals.where(F.col(low) < F.col(high)).withColumn(
-        "_cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high) - 1)))
+        "_cell", F.explode(F.sequence(interval_cell(F.col(low)), interval_cell(F.col(high) - 1)))
     )
     return (
-        df.withColumn("_cell", cell(F.col(at)))
+        df.withColumn("_cell", row_cell(F.col(at)))
         .join(F.broadcast(spread), "_cell")
         .where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)))
         .drop("_cell")

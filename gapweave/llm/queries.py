@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import packing
+from gapweave.llm import packing, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,18 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents; the ids are reduced to their checksum before the numbering."""
     cut = packing.pieces(table(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.sequences(cut, ["ids_crc32"])
+
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents on eight shards under the law ``rows``."""
+    return sharding.shard_rows(table(spark, folder, "documents"), 8).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "home_shard",
+    )
