@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import packing, sharding
+from gapweave.llm import mixing, packing, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,11 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "home_shard",
     )
+
+
+@query("op3_mixing", mixing.MIX_SQL)
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(table(spark, folder, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "taken"
+    )
