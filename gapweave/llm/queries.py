@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import mixing, packing, sharding
+from gapweave.llm import licenses, mixing, packing, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,9 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "source", "size", "source_size", "target", "taken"
     )
+
+
+@query("op9_licenses", licenses.SCAN_SQL)
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences of all documents."""
+    return licenses.scan(table(spark, folder, "documents"))
