@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import licenses, mixing, packing, sharding
+from gapweave.llm import licenses, mixing, packing, pii, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,16 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licences of all documents."""
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents."""
+    found = pii.personal_data(table(spark, folder, "documents"))
+    counts = [F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listing(tuple(pii.KINDS)), 256).alias("base_sha256"),
+        pii.listing((*pii.KINDS, "term")).alias("spans"),
+    )
