@@ -5,6 +5,7 @@ The functions travel to the workers by value, so that these need not have the pa
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 
@@ -50,3 +51,123 @@ def binary_lengths(n: int, largest: int) -> list[int]:
         out.append(piece)
         rest -= piece
     return out
+
+
+# --- language identification -----------------------------------------------------------------
+
+#: ASCII bytes other than letters count as one separator.
+_LETTERS_ONLY = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+
+
+def trigram_features(text: str, width: int):
+    """Hashed byte trigrams of the lower-cased text: places and values of a unit vector (roots of counts)."""
+    raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS_ONLY), dtype=np.uint8)
+    if len(raw) < 3:
+        raw = np.frombuffer(bytes(raw) + b"   ", dtype=np.uint8)
+    wide = raw.astype(np.uint32)
+    code = (wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:]
+    hashed = (code * np.uint32(2654435761)) >> np.uint32(32 - (width.bit_length() - 1))
+    counts = np.bincount(hashed, minlength=width)
+    places = np.flatnonzero(counts)
+    values = np.sqrt(counts[places].astype(np.float32))
+    return places.astype(np.int32), values / np.float32(np.sqrt(np.dot(values, values)))
+
+
+def linear_svm(rows: np.ndarray, signs: np.ndarray, cost: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
+    """Linear support vector machine (squared hinge) by dual coordinate descent; the last column is the bias."""
+    n = len(rows)
+    x = np.hstack([rows, np.ones((n, 1), dtype=np.float32)])
+    w = np.zeros(x.shape[1], dtype=np.float32)
+    alpha = np.zeros(n)
+    slack = 1.0 / (2.0 * cost)
+    curvature = np.einsum("ij,ij->i", x, x).astype(float) + slack
+    order = np.random.default_rng(7)
+    for _ in range(rounds):
+        largest = 0.0
+        for i in order.permutation(n):
+            gradient = signs[i] * float(x[i] @ w) - 1.0 + slack * alpha[i]
+            step = max(alpha[i] - gradient / curvature[i], 0.0) - alpha[i]
+            if step:
+                alpha[i] += step
+                w += np.float32(step * signs[i]) * x[i]
+                largest = max(largest, abs(step))
+        if largest < 1e-3:
+            break
+    return w[:-1].copy(), float(w[-1])
+
+
+class LanguageModel:
+    """Families, a machine per family against the others, and one per pair of languages within a family."""
+
+    def __init__(self, width, families, family_w, family_b, pairs, pair_w, pair_b):
+        self.width, self.families = width, families
+        self.family_w, self.family_b = family_w, family_b
+        self.pairs, self.pair_w, self.pair_b = pairs, pair_w, pair_b
+
+    def predict(self, text: str) -> tuple[str, float]:
+        places, values = trigram_features(text, self.width)
+        family, sure = 0, 1.0
+        if len(self.families) > 1:
+            margins = values @ self.family_w[places] + self.family_b
+            family = int(np.argmax(margins))
+            odds = np.exp(4.0 * (margins - margins[family]))
+            sure = float(1.0 / odds.sum())
+        languages = self.families[family]
+        if len(languages) == 1:
+            return languages[0], sure
+        duels = self.pairs[family]
+        margins = values @ self.pair_w[family][places] + self.pair_b[family]
+        votes, total, least = np.zeros(len(languages)), np.zeros(len(languages)), np.full(len(languages), np.inf)
+        for (a, b), margin in zip(duels, margins):
+            votes[a if margin > 0 else b] += 1
+            total[a] += margin
+            total[b] -= margin
+            least[a], least[b] = min(least[a], margin), min(least[b], -margin)
+        best = max(range(len(languages)), key=lambda k: (votes[k], total[k]))
+        return languages[best], sure / (1.0 + float(np.exp(-4.0 * least[best])))
+
+
+def language_families(names: list[str], centroids: np.ndarray) -> list[list[str]]:
+    """Languages merged by average similarity of their profiles until about sqrt(n) families are left."""
+    unit = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
+    alike = unit @ unit.T
+    families = [[k] for k in range(len(names))]
+    while len(families) > math.ceil(math.sqrt(len(names))):
+        pairs = [(i, j) for i in range(len(families)) for j in range(i)]
+        i, j = max(pairs, key=lambda p: alike[np.ix_(families[p[0]], families[p[1]])].mean())
+        families[j] += families.pop(i)
+    return [sorted(names[k] for k in family) for family in families]
+
+
+def fit_languages(examples: list[tuple[str, list[int], list[float]]], width: int) -> LanguageModel | None:
+    """Train on ``(language, places, values)``; None where there are no examples."""
+    names = sorted({e[0] for e in examples})
+    if not names:
+        return None
+
+    def dense(some):
+        out = np.zeros((len(some), width), dtype=np.float32)
+        for row, (_, places, values) in zip(out, some):
+            row[np.asarray(places, dtype=np.int64)] = values
+        return out
+
+    by_name = {n: [e for e in examples if e[0] == n] for n in names}
+    families = language_families(names, np.stack([dense(by_name[n]).mean(axis=0) for n in names]))
+    family_w, family_b = np.zeros((width, len(families)), dtype=np.float32), np.zeros(len(families), dtype=np.float32)
+    if len(families) > 1:
+        of = {n: k for k, family in enumerate(families) for n in family}
+        rows, kinds = dense(examples), np.array([of[e[0]] for e in examples])
+        for k in range(len(families)):
+            family_w[:, k], family_b[k] = linear_svm(rows, np.where(kinds == k, 1.0, -1.0))
+    pairs, pair_w, pair_b = [], [], []
+    for family in families:
+        duels = [(a, b) for a in range(len(family)) for b in range(a + 1, len(family))]
+        w, bias = np.zeros((width, len(duels)), dtype=np.float32), np.zeros(len(duels), dtype=np.float32)
+        for k, (a, b) in enumerate(duels):
+            first, second = by_name[family[a]], by_name[family[b]]
+            signs = np.array([1.0] * len(first) + [-1.0] * len(second))
+            w[:, k], bias[k] = linear_svm(dense(first + second), signs)
+        pairs.append(duels)
+        pair_w.append(w)
+        pair_b.append(bias)
+    return LanguageModel(width, families, family_w, family_b, pairs, pair_w, pair_b)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import licenses, mixing, packing, pii, sharding
+from gapweave.llm import languages, licenses, mixing, packing, pii, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,11 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.listing(tuple(pii.KINDS)), 256).alias("base_sha256"),
         pii.listing((*pii.KINDS, "term")).alias("spans"),
     )
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents; what was learnt excludes the held-out fifth."""
+    docs = table(spark, folder, "documents")
+    found = languages.identify(docs, languages.train(docs))
+    return found.withColumn("held_out", languages.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
