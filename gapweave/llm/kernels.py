@@ -171,3 +171,51 @@ def fit_languages(examples: list[tuple[str, list[int], list[float]]], width: int
         pair_w.append(w)
         pair_b.append(bias)
     return LanguageModel(width, families, family_w, family_b, pairs, pair_w, pair_b)
+
+
+# --- vectors ---------------------------------------------------------------------------------
+
+
+def sign_codes(vectors: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
+    """One integer per table: on which side of its random hyperplanes each vector lies."""
+    planes = np.random.default_rng(seed).standard_normal((vectors.shape[1], tables * bits))
+    sides = (vectors @ planes > 0).reshape(len(vectors), tables, bits)
+    return (sides * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+
+
+def linked_in_bucket(vectors, sizes, codes, table, left, right, least_cosine):
+    """Links among the vectors of a bucket, or between its blocks ``left`` and ``right`` (masks).
+
+    Pairs that share the code of an earlier table are left to that table.  Returns per vector the
+    number of vectors linked (copies count) and the place of the first one reached.
+    """
+    norms = np.linalg.norm(vectors, axis=1)
+    linked = (vectors @ vectors.T) / np.outer(norms, norms) >= least_cosine
+    linked &= np.outer(left, right) | np.outer(right, left)
+    np.fill_diagonal(linked, False)
+    i, j = np.nonzero(linked)
+    if len(i) and table:
+        seen = np.zeros(len(i), dtype=bool)
+        for t in range(table):
+            seen |= codes[i, t] == codes[j, t]
+        linked[i[seen], j[seen]] = False
+    first = np.arange(len(vectors))
+    while True:
+        reached = np.minimum(first, np.where(linked, first[None, :], len(vectors)).min(axis=1, initial=len(vectors)))
+        if (reached == first).all():
+            return linked @ sizes, first
+        first = reached
+
+
+def best_of_page(scores, ids, kept_scores, kept_ids, k):
+    """The ``k`` best of kept and new ones per row: higher score, then smaller id.  ``ids`` must rise."""
+    out_scores, out_ids = kept_scores.copy(), kept_ids.copy()
+    for row in range(len(scores)):
+        worst = kept_scores[row, -1]
+        new = np.flatnonzero(scores[row] >= worst)
+        if not len(new):
+            continue
+        s, d = np.concatenate([kept_scores[row], scores[row, new]]), np.concatenate([kept_ids[row], ids[new]])
+        best = np.lexsort((d, -s))[:k]
+        out_scores[row], out_ids[row] = s[best], d[best]
+    return out_scores, out_ids

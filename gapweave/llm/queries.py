@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import languages, licenses, mixing, packing, pii, sharding
+from gapweave.llm import embeddings, languages, licenses, mixing, packing, pii, sharding
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,9 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = languages.identify(docs, languages.train(docs))
     return found.withColumn("held_out", languages.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op8_embeddings")
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near-equal embeddings of a label."""
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
