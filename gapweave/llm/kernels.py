@@ -207,12 +207,19 @@ def linked_in_bucket(vectors, sizes, codes, table, left, right, least_cosine):
         first = reached
 
 
+#: Below every score; unlike the least integer it can be negated.
+NO_SCORE = -(2**63 - 1)
+
+
 def best_of_page(scores, ids, kept_scores, kept_ids, k):
-    """The ``k`` best of kept and new ones per row: higher score, then smaller id.  ``ids`` must rise."""
+    """The ``k`` best of kept and new ones per row: higher score, then smaller id.
+
+    ``NO_SCORE`` marks what is no candidate and places that are still free.
+    """
     out_scores, out_ids = kept_scores.copy(), kept_ids.copy()
     for row in range(len(scores)):
         worst = kept_scores[row, -1]
-        new = np.flatnonzero(scores[row] >= worst)
+        new = np.flatnonzero((scores[row] >= worst) & (scores[row] > NO_SCORE))
         if not len(new):
             continue
         s, d = np.concatenate([kept_scores[row], scores[row, new]]), np.concatenate([kept_ids[row], ids[new]])

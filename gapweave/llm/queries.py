@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, languages, licenses, mixing, packing, pii, sharding
+from gapweave.llm import embeddings, languages, licenses, mixing, packing, pii, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,24 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near-equal embeddings of a label."""
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.n AS n, q.vec_id AS query_id, x.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.ints, x.ints), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.n <> x.n WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op10_topk", TOPK_SQL)
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector."""
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
