@@ -226,3 +226,114 @@ def best_of_page(scores, ids, kept_scores, kept_ids, k):
         best = np.lexsort((d, -s))[:k]
         out_scores[row], out_ids[row] = s[best], d[best]
     return out_scores, out_ids
+
+
+# --- weighted near-duplicates ----------------------------------------------------------------
+
+_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (wrapping arithmetic)."""
+    x = (x ^ (x >> np.uint64(30))) * _M2
+    x = (x ^ (x >> np.uint64(27))) * _M3
+    return x ^ (x >> np.uint64(31))
+
+
+class _WordHashes(dict):
+    """Words to 64-bit hashes; forgets all of them when it has grown large."""
+
+    def __missing__(self, word):
+        import xxhash
+
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
+
+
+def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct runs of ``width`` lower-cased words, and their counts.
+
+    A text of fewer words has one shingle of all of them, an empty one none.
+    """
+    hashes = once("word_hashes", _WordHashes)
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    h = np.array([hashes[w] for w in words], dtype=np.uint64)
+    width = min(width, len(h))
+    n = len(h) - width + 1
+    run = h[:n].copy()
+    for k in range(1, width):
+        run = run * _M1 + h[k : k + n]
+    return np.unique(mixed(run), return_counts=True)
+
+
+def document_counts(texts, buckets: int) -> np.ndarray:
+    """In how many of the texts a shingle of each bucket occurs."""
+    counts = np.zeros(buckets, dtype=np.int64)
+    for text in texts:
+        found, _ = shingles(text)
+        counts[np.unique((found % np.uint64(buckets)).astype(np.int64))] += 1
+    return counts
+
+
+def weighted_shingles(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles (rising) and their TF-IDF weights."""
+    found, counts = shingles(text)
+    return found, counts * idf[(found % np.uint64(len(idf))).astype(np.int64)].astype(np.float64)
+
+
+class ConsistentSampler:
+    """Improved consistent weighted sampling: the chance that a sample of two weighted sets agrees
+    is their weighted Jaccard similarity.
+
+    The random r, c (gamma distributed) and beta of a shingle and a sample come from 16 bits each
+    of one hash, through fixed tables.
+    """
+
+    def __init__(self, samples: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.r = rng.gamma(2.0, 1.0, 65536).astype(np.float32)
+        self.log_c = np.log(rng.gamma(2.0, 1.0, 65536)).astype(np.float32)
+        self.salts = rng.integers(1, 2**63, samples, dtype=np.uint64) | np.uint64(1)
+
+    def sketch(self, found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """One 64-bit value per sample; blocks of shingles keep the memory bounded."""
+        best = np.full(len(self.salts), np.inf, dtype=np.float32)
+        out = np.zeros(len(self.salts), dtype=np.uint64)
+        low = np.uint64(0xFFFF)
+        for start in range(0, len(found), 2048):
+            f = found[start : start + 2048, None]
+            log_w = np.log(weights[start : start + 2048]).astype(np.float32)[:, None]
+            z = mixed(f * self.salts)
+            r = self.r[(z & low).astype(np.intp)]
+            beta = ((z >> np.uint64(32)) & low).astype(np.float32) / np.float32(65536)
+            t = np.floor(log_w / r + beta)
+            a = self.log_c[((z >> np.uint64(16)) & low).astype(np.intp)] - r * (t - beta) - r
+            first = a.argmin(axis=0)
+            samples = np.arange(len(self.salts))
+            least = a[first, samples]
+            better = least < best
+            best[better] = least[better]
+            drawn = mixed(found[start + first] + t[first, samples].astype(np.int64).astype(np.uint64) * _M1)
+            out[better] = drawn[better]
+        return out
+
+
+def band_hashes(sketch: np.ndarray, rows: int) -> np.ndarray:
+    groups = sketch[: len(sketch) // rows * rows].reshape(-1, rows)
+    out = np.zeros(len(groups), dtype=np.uint64)
+    for k in range(rows):
+        out = mixed(out * _M1 + groups[:, k])
+    return out
+
+
+def weighted_jaccard(a, b) -> float:
+    """Sum of the smaller over sum of the larger weights of two ``(shingles, weights)``."""
+    (fa, wa), (fb, wb) = a, b
+    _, ia, ib = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
+    shared = np.minimum(wa[ia], wb[ib]).sum()
+    whole = wa.sum() + wb.sum() - shared
+    return float(shared / whole) if whole > 0 else 0.0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, languages, licenses, mixing, packing, pii, sharding, topk
+from gapweave.llm import embeddings, languages, licenses, minhash, mixing, packing, pii, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector."""
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op6_minhash")
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
