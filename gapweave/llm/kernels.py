@@ -337,3 +337,157 @@ def weighted_jaccard(a, b) -> float:
     shared = np.minimum(wa[ia], wb[ib]).sum()
     whole = wa.sum() + wb.sum() - shared
     return float(shared / whole) if whole > 0 else 0.0
+
+
+# --- repeated substrings ---------------------------------------------------------------------
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 2**64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base**0 .. base**(n-1)`` modulo 2^64, kept and grown as needed."""
+    kept = once(("powers", base), lambda: [np.ones(1, dtype=np.uint64)])
+    if len(kept[0]) < n:
+        out = np.full(max(n, 1 << 17), base, dtype=np.uint64)
+        out[0] = 1
+        kept[0] = np.multiply.accumulate(out)
+    return kept[0][:n]
+
+
+def gram_hashes(raw: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``size`` bytes; equal runs have equal hashes."""
+    n = len(raw)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+    return mixed((sums[size:] - sums[:-size]) * _powers(_INVERSE, n - size + 1))
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` neighbours, by block-wise running minima from both sides."""
+    n = len(values)
+    padded = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, dtype=values.dtype)
+    padded[:n] = values
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    count = n - width + 1
+    return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
+
+
+def anchored_runs(raw: bytes, length: int, gram: int, most: int):
+    """Cut all starts of ``length``-byte strings into runs that share their least gram.
+
+    Equal strings have the same least gram, so they can only lie in runs with the same key.
+    Returns rows ``(key, content, start, count, inner)``: a run covers ``raw[start:start + count -
+    1 + length]``, whose hash is ``content``; ``inner`` tells that its gram occurs twice in it, so
+    that strings of the run may be equal to each other.  A run has ``most`` starts at most.
+    """
+    import xxhash
+
+    if len(raw) < length:
+        return []
+    data = np.frombuffer(raw, dtype=np.uint8)
+    hashes = gram_hashes(data, gram)
+    # The low bits hold the place, so that the least gram's first place comes with it.
+    place = np.arange(len(hashes), dtype=np.uint64) & np.uint64(0xFFFF)
+    least = sliding_least((hashes & ~np.uint64(0xFFFF)) | place, length - gram + 1)
+    keys = least >> np.uint64(16)
+    starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+    ends = np.append(starts[1:], len(keys))
+    out = []
+    for start, end, key, low in zip(
+        starts.tolist(), ends.tolist(), keys[starts].tolist(), (least[starts] & np.uint64(0xFFFF)).tolist()
+    ):
+        at = start + ((low - start) & 0xFFFF)
+        anchor = raw[at : at + gram]
+        for first in range(start, end, most):
+            count = min(end - first, most)
+            stop = first + count - 1 + length
+            content = xxhash.xxh3_64_intdigest(raw[first:stop]) - (1 << 63)
+            inner = raw.find(anchor, raw.find(anchor, first, stop) + 1, stop) >= 0
+            out.append((key, content, first, count, inner))
+    return out
+
+
+def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Places of the circular text ordered by their next ``depth`` codes at least (prefix doubling).
+
+    ``codes`` are below 512.  Places that agree in all of these come in any order.
+    """
+    n = len(codes)
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(7):
+        key = (key << 9) | np.roll(codes, -k)
+    known = 7
+    while True:
+        order = np.argsort(key)
+        if known >= depth:
+            return order
+        ordered = key[order]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        key = rank * n + np.roll(rank, -known)
+        known *= 2
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All integers of the half-open intervals, one interval after the other."""
+    sizes = high - low
+    shift = np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+    return np.arange(sizes.sum()) + shift
+
+
+def long_common_prefixes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix order, and for each neighbouring pair whether it shares ``length`` codes or more.
+
+    Interval expansion on the Burrows-Wheeler transform: starting with all suffixes, every interval
+    of a string w is extended backwards to the intervals of c w for the codes c before it, breadth
+    first, so that common prefixes are found by increasing value: the boundary behind an interval
+    of c w that is still unknown has the common prefix |w|.  The search stops at ``length``; what
+    is unknown then is at least that long.
+    """
+    n = len(codes)
+    order = suffix_order(codes, length)
+    before = codes[order - 1]
+    step = np.empty(n, dtype=np.int64)
+    step[np.argsort(before, kind="stable")] = np.arange(n)
+    first_code = np.sort(before, kind="stable")
+    known = np.zeros(n + 1, dtype=bool)
+    known[0] = True
+    low, high = np.array([0]), np.array([n])
+    for _ in range(length):
+        sizes = high - low
+        at = step[_ranges(low, high)]
+        owner = np.repeat(np.arange(len(low)), sizes)
+        rise = np.argsort(at)
+        at, owner = at[rise], owner[rise]
+        cut = np.flatnonzero((at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1]) | (first_code[at[1:]] != first_code[at[:-1]]))
+        low, high = at[np.concatenate([[0], cut + 1])], at[np.append(cut, len(at) - 1)] + 1
+        new = ~known[high]
+        low, high = low[new], high[new]
+        known[high] = True
+        if not len(low):
+            break
+    return order, ~known[1:-1]
+
+
+def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
+    """For every piece, which of its ``length``-byte strings occur again at another place or piece."""
+    codes = np.zeros(sum(len(p) + 1 for p in pieces), dtype=np.int64)
+    offsets, at = [], 0
+    for piece in pieces:
+        codes[at : at + len(piece)] = np.frombuffer(piece, dtype=np.uint8).astype(np.int64) + 1
+        offsets.append(at)
+        at += len(piece) + 1
+    order, shared = long_common_prefixes(codes, length)
+    again = np.zeros(len(codes), dtype=bool)
+    again[order[1:][shared]] = True
+    again[order[:-1][shared]] = True
+    return [again[a : a + max(len(p) - length + 1, 0)] for a, p in zip(offsets, pieces)]
+
+
+def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
+    """First and last place of every run of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+    return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2])]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, languages, licenses, minhash, mixing, packing, pii, sharding, topk
+from gapweave.llm import embeddings, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,11 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query("op2_repeats")
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without their repeated strings of 200 bytes."""
+    return repeats.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
