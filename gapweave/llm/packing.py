@@ -10,10 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gapweave.llm import kernels
-from gapweave.llm.common import number_rows
 from gapweave.operators.settle import settle
 
 LARGEST = 1024
@@ -22,11 +22,12 @@ END_ID = 0
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 _TEXT_BYTES = 4 << 20  # of texts per output batch
 
-PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
+PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, task int, place bigint"
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, largest: int = LARGEST, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids, doc_tokens``.
+    """One row per piece: ``doc_id, start, length, ids, doc_tokens``, and where the task met it:
+    ``task, place`` (its place among the task's pieces of that length).
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.  ``ids`` are unsigned
     little-endian 32-bit numbers.  Special-token strings in a text are ordinary text.  A null or
@@ -34,14 +35,16 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, largest: int = LARGEST
     """
 
     def run(batches):
-        encoder = kernels.byte_bpe(vocabulary)
+        encoder, task, met = kernels.byte_bpe(vocabulary), TaskContext.get().partitionId(), {}
         rows, size = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.array(encoder.encode_ordinary(text or "") + [end_id], dtype="<u4")
                 start = 0
                 for length in kernels.binary_lengths(len(ids), largest):
-                    rows.append((doc_id, start, length, ids[start : start + length].tobytes(), len(ids)))
+                    place = met.get(length, 0)
+                    met[length] = place + 1
+                    rows.append((doc_id, start, length, ids[start : start + length].tobytes(), len(ids), task, place))
                     start += length
                 size += len(text or "")
                 if size > _TEXT_BYTES:
@@ -51,28 +54,34 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, largest: int = LARGEST
             yield _batch(rows)
 
     def _batch(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids", "doc_tokens"])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64()]
+        names = ["doc_id", "start", "length", "ids", "doc_tokens", "task", "place"]
+        return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)], names)
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
-def sequences(cut: DataFrame, ties: list[str]) -> DataFrame:
-    """Number the pieces bucket by bucket, longest first: ``sequence_id, offset, bucket``.
+def sequences(cut: DataFrame) -> DataFrame:
+    """Number the pieces bucket by bucket, longest first, without gaps: ``sequence_id, offset, bucket``.
 
     A piece fills its sequence, so the offset is 0 and the bucket is the piece's length.  The
-    numbers run through without gaps; rows equal in length, id, start and ``ties`` are
-    interchangeable.  Only what ``cut`` still carries is written and shuffled.
+    pieces are written once, as they come from the tasks, and never shuffled: a piece's number is
+    its place in its task after the pieces of that length in earlier tasks.
     """
-    order = [F.col("length").desc(), F.col("doc_id").asc_nulls_last(), F.col("start"), *[F.col(c) for c in ties]]
+    cut = settle(cut)
+    counts = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy(F.col("length").desc(), "task").rowsBetween(Window.unboundedPreceding, -1)
+    # A row for each length in each task of the scan.
+    first = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("bigint").alias("_first"))
     return (
-        number_rows(settle(cut), order, "sequence_id")
+        cut.join(F.broadcast(first), ["length", "task"])
+        .withColumn("sequence_id", F.col("_first") + F.col("place"))
         .withColumn("offset", F.lit(0).cast("bigint"))
         .withColumn("bucket", F.col("length"))
+        .drop("_first", "task", "place")
     )
 
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, largest: int = LARGEST, end_id: int = END_ID) -> DataFrame:
     """Pieces with their ids and their sequences."""
-    return sequences(pieces(docs, vocabulary, largest, end_id), ["ids"])
+    return sequences(pieces(docs, vocabulary, largest, end_id))

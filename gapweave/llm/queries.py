@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents; the ids are reduced to their checksum before the numbering."""
     cut = packing.pieces(table(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.sequences(cut, ["ids_crc32"])
+    return packing.sequences(cut)
 
 
 @query("op7_sharding")
