@@ -97,3 +97,13 @@ def by_interval(
         .where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)))
         .drop("_cell")
     )
+
+
+def as_row(docs: DataFrame, *extra: Column) -> DataFrame:
+    """All columns as one struct ``row``, so that no name in it can clash with those of a step."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *extra)
+
+
+def row_columns(names: list[str], **changed: Column) -> list[Column]:
+    """The columns of ``row`` again, some of them replaced."""
+    return [(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in names]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gapweave.llm import kernels
-from gapweave.llm.common import smallest_reachable
+from gapweave.llm.common import as_row, row_columns, smallest_reachable
 from gapweave.operators.settle import settle
 
 LEAST_SIMILARITY = 0.8
@@ -215,10 +215,9 @@ def keep_first(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
         .groupBy(F.col("doc_id").alias("of"), F.col("digest").alias("of_digest"))
         .agg(F.lit(1).alias("_"))
     )
-    keyed = docs.withColumn("_digest", text_digest())
-    joined = keyed.join(kept, (F.col("_digest") == F.col("of_digest")) & F.col("doc_id").eqNullSafe(F.col("of")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # A repeated row has its copies in one partition already; texts without words all stay.
-    once = F.when(F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"\S"), F.lit(0)).otherwise(
-        F.monotonically_increasing_id()
-    )
-    return joined.withColumn("_once", once).dropDuplicates(["_digest", "doc_id", "_once"]).select(*docs.columns)
+    once = F.when(text.rlike(r"\S"), F.lit(0)).otherwise(F.monotonically_increasing_id())
+    keyed = as_row(docs, F.col("doc_id"), text_digest().alias("digest"), once.alias("once"))
+    joined = keyed.join(kept, (F.col("digest") == F.col("of_digest")) & F.col("doc_id").eqNullSafe(F.col("of")))
+    return joined.dropDuplicates(["digest", "doc_id", "once"]).select(*row_columns(docs.columns))

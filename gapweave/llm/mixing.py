@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gapweave.llm.common import as_row, row_columns
 from gapweave.operators.settle import settle
 
 MOST_COPIES = 3
@@ -140,14 +141,16 @@ def _with_source(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The mix itself: a row per whole copy and one per cut document, columns as in ``documents``."""
+    """The mix itself: a row per whole copy and one per cut document; the columns are those of ``docs``
+    (``n_chars`` follows the cut text)."""
     names = docs.columns
-    kept = tuple(c for c in names if c != "source")
-    mixed = mix(docs, weights, kept)
-    begin = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.col("cut").cast("int")), "")
-    whole = mixed.where("copies > 0").withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    first = mixed.where("cut > 0").withColumn("text", begin).withColumn("n_chars", F.length("text").cast("bigint"))
-    return whole.select(*names).unionByName(first.select(*names))
+    mixed = mix(as_row(docs, F.col("doc_id"), F.col("text"), F.col("source")), weights, ("row",))
+    words = F.regexp_extract_all(F.col("row.text").cast("string"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    begin = F.array_join(F.slice(words, F.lit(1), F.col("cut").cast("int")), "")
+    whole = mixed.where("copies > 0 and size > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    first = mixed.where("cut > 0").withColumn("begin", begin)
+    changed = {"text": F.col("begin"), "n_chars": F.length("begin").cast("bigint")}
+    return whole.select(*row_columns(names)).unionByName(first.select(*row_columns(names, **changed)))
 
 
 #: The same rows in DuckDB; md5 keys and the order of double operations are those above.

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions.arrays import sums_before
 from gapweave.functions.sqltext import index_range, keep, let, lit, transform
+from gapweave.llm.common import as_row, row_columns
 from gapweave.llm.mixing import mix_key
 from gapweave.operators.settle import settle
 
@@ -266,14 +267,18 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
         .groupBy("row_key")  # equal rows have equal spans
         .agg(F.first("_spans").alias("_spans"))
     )
-    names = docs.columns
-    keyed = docs.withColumn("_key", mix_key(F.col("doc_id"), F.col("text").cast("string")))
-    joined = keyed.join(spans.withColumnRenamed("row_key", "_key"), "_key", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.expr(_redacted()))
-    out = joined.withColumn("text", text)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*names)
+    text = F.col("text").cast("string")
+    keyed = as_row(docs, text.alias("text"), mix_key(F.col("doc_id"), text).alias("_key"))
+    joined = keyed.join(spans.withColumnRenamed("row_key", "_key"), "_key", "left").withColumn(
+        "clean", F.when(F.col("_spans").isNotNull(), F.expr(_redacted()))
+    )
+    changed = {
+        "text": F.coalesce("clean", "text"),
+        "n_chars": F.coalesce(F.length("clean").cast("bigint"), F.col("row.n_chars"))
+        if "n_chars" in docs.columns
+        else None,
+    }
+    return joined.select(*row_columns(docs.columns, **changed))
 
 
 def _redacted() -> str:
