@@ -491,3 +491,56 @@ def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """First and last place of every run of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2])]
+
+
+def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[float, list[int], list[int] | None]:
+    """Similarity of a text to its pivot, and the shingles by which a text like it can be found.
+
+    Let d be the difference of the weights of a text and the pivot's, D the sum of its magnitudes
+    and W the text's weight.  For texts x, y of similarity s = ``least`` or more, the magnitudes
+    they share (same sign, the smaller of both) are at least (D_x + D_y - c (W_x + W_y)) / 2 with
+    c = (1 - s) / (1 + s).  If y is not similar to the pivot, D_y > c (W_y + W_p), and both must
+    share something.  So, with shingles in one order, rarest first, the first shared one lies among
+    those of x before the last ones of joint magnitude a_x, and likewise for y, where
+
+        a_x = max(D_x - c (1 + 1/s) W_x, (D_x + c (W_p - W_x)) / 2),   a_y = D_y - c (1 + 1/s) W_y.
+
+    Returns these leading shingles for x (any text, its partner not similar to the pivot) and for
+    y (only if the text itself is not similar to the pivot, else None).
+    """
+    (fa, wa), (fb, wb) = pivot, other
+    both, ia, ib = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
+    only_a, only_b = np.ones(len(fa), dtype=bool), np.ones(len(fb), dtype=bool)
+    only_a[ia] = only_b[ib] = False
+    shift = wb[ib] - wa[ia]
+    shingle = np.concatenate([both, fa[only_a], fb[only_b]])
+    size = np.concatenate([np.abs(shift), wa[only_a], wb[only_b]])
+    changed = size > 0
+    shingle, size = shingle[changed], size[changed]
+    total, weight, weight_p = size.sum(), wb.sum(), wa.sum()
+    whole = weight + weight_p
+    similarity = float((whole - total) / (whole + total)) if whole > 0 else 0.0
+    order = np.lexsort((shingle, -idf[(shingle % np.uint64(len(idf))).astype(np.int64)]))
+    # Magnitude of this shingle and all behind it.
+    behind = np.cumsum(size[order][::-1])[::-1]
+    c = (1 - least) / (1 + least)
+    alone = total - c * (1 + 1 / least) * weight
+    beside = max(alone, (total + c * (weight_p - weight)) / 2)
+
+    def leading(bound):
+        return shingle[order[behind >= bound * (1 - 1e-9) - 1e-9]].view(np.int64).tolist()
+
+    return similarity, leading(beside), leading(alone) if similarity < least else None
+
+
+def compared_pairs(batches, idf):
+    """``a, weighted shingles of a, b, weighted shingles of b`` of every row ``a, b, text_a, text_b``;
+    a's are kept while a stays."""
+    last, kept = None, None
+    for batch in batches:
+        a, b, text_a, text_b = (batch.column(k) for k in range(4))
+        for i in range(batch.num_rows):
+            left = a[i].as_py()
+            if left != last:
+                last, kept = left, weighted_shingles(text_a[i].as_py(), idf)
+            yield left, kept, b[i].as_py(), weighted_shingles(text_b[i].as_py(), idf)

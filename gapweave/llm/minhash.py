@@ -2,10 +2,11 @@
 
 Equal texts are one node.  A node's sketch of weighted samples is cut into bands; nodes that share
 a band are candidates.  Not all pairs of a band are compared: every band has a pivot, the member
-with the most company over all its bands, and all members are compared with it.  Where the links
-so found leave a band in several components, the members outside the largest one are compared with
-all members of other components; after that every pair of a band is compared or already
-connected.  A comparison is the exact weighted Jaccard similarity of the whole texts.
+with the most company over all its bands, and all members are compared with it.  Two members
+similar to the pivot are connected by it.  A member that isn't can only be similar to one that
+differs from the pivot in nearly the same shingles: such pairs meet by their rarest differences
+(prefix filtering, without loss), and are compared in a second round.  A comparison is the exact
+weighted Jaccard similarity of the whole texts.
 
 Document counts for the IDF are kept per hash bucket of shingles, so that they have a fixed size
 whatever the corpus; they cover all documents.
@@ -104,35 +105,59 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.distinct().join(a, "a").join(b, "b").where(same >= LEAST_AGREEMENT).select("a", "b")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float) -> DataFrame:
-    """The pairs ``u, v`` whose whole texts have at least the wanted weighted Jaccard similarity."""
+def _with_texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``a, b, text_a, text_b`` of distinct pairs of digests."""
     pairs = settle(pairs)
     wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
     rows = nodes.join(wanted, "digest").select("digest", F.col("first_id").alias("doc_id"))
-    # One row of the table for each text that is asked for (repeated rows give the same links twice).
+    # One row of the table for each text that is asked for (repeated rows give the same answers twice).
     keyed = docs.select(F.col("doc_id").alias("of"), text_digest().alias("of_digest"), F.col("text").cast("string"))
     texts = settle(
         keyed.join(rows, (F.col("of_digest") == F.col("digest")) & F.col("of").eqNullSafe(F.col("doc_id"))).select("digest", "text")
     )
-    both = pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a"
+    return (
+        pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
+        .select("a", "b", "text_a", "text_b")
     )
 
-    def compare(batches):
-        last, kept = None, None
-        for batch in batches:
-            us, vs = [], []
-            a, b, text_a, text_b = (batch.column(k) for k in range(4))
-            for i in range(batch.num_rows):
-                left = a[i].as_py()
-                if left != last:
-                    last, kept = left, kernels.weighted_shingles(text_a[i].as_py(), idf.value)
-                if kernels.weighted_jaccard(kept, kernels.weighted_shingles(text_b[i].as_py(), idf.value)) >= least:
-                    us.append(left)
-                    vs.append(b[i].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], ["u", "v"])
 
-    return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "u binary, v binary"))
+def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float) -> DataFrame:
+    """``a, b, similar, leading, alone`` (kernels.difference_prefixes) for pivots ``a`` and members ``b``."""
+
+    def batch_of(rows):
+        kinds = [pa.binary(), pa.binary(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "similar", "leading", "alone"])
+
+    def run(batches):
+        rows = []
+        for a, left, b, right in kernels.compared_pairs(batches, idf.value):
+            similarity, leading, alone = kernels.difference_prefixes(left, right, least, idf.value)
+            rows.append((a, b, similarity >= least, leading, alone))
+            if len(rows) >= 1000:
+                yield batch_of(rows)
+                rows = []
+        if rows:
+            yield batch_of(rows)
+
+    form = "a binary, b binary, similar boolean, leading array<bigint>, alone array<bigint>"
+    return settle(_with_texts(pairs, nodes, docs).mapInArrow(run, form))
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float) -> DataFrame:
+    """The pairs ``u, v`` whose whole texts have at least the wanted weighted Jaccard similarity."""
+
+    def run(batches):
+        found = [
+            (a, b)
+            for a, left, b, right in kernels.compared_pairs(batches, idf.value)
+            if kernels.weighted_jaccard(left, right) >= least
+        ]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["u", "v"])
+
+    return settle(_with_texts(pairs, nodes, docs).mapInArrow(run, "u binary, v binary"))
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -163,25 +188,21 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
         .agg(F.max_by("digest", F.struct("company", "digest")).alias("pivot"))
     )
     centred = settle(placed.join(pivots, ["band", "hash"]))
-    first = centred.where("pivot <> digest").select(F.col("pivot").alias("a"), F.col("digest").alias("b"))
-    links = _links(_agreeing(first, nodes), nodes, docs, idf, least)
+    first = centred.where("pivot <> digest").select(F.col("pivot").alias("a"), F.col("digest").alias("b")).distinct()
+    compared = _compared_with_pivots(first, nodes, docs, idf, least)
+    links = compared.where("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    # Second round: members outside the largest component of their band.
+    # Second round: members that are not similar to a pivot, with the other members of its bands.
     of = settle(smallest_reachable(links))
-    labelled = centred.where("pivot <> digest").join(
-        of.select(F.col("node").alias("digest"), "root"), "digest", "left"
-    ).withColumn("root", F.coalesce("root", "digest"))
-    parts = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("size"))
-    largest = parts.groupBy("band", "hash").agg(
-        F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
-    ).where("parts > 1")
-    torn = settle(labelled.select("band", "hash", "digest", "root").join(largest, ["band", "hash"]))
-    aside = torn.where("root <> main").select("band", "hash", F.col("digest").alias("a"), F.col("root").alias("root_a"))
-    others = torn.select("band", "hash", F.col("digest").alias("b"), F.col("root").alias("root_b"), "main")
+    labelled = compared.join(of.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    beside = labelled.select("a", F.explode("leading").alias("shingle"), F.col("b").alias("x"), F.col("root").alias("root_x"))
+    alone = labelled.where(~F.col("similar")).select(
+        "a", F.explode("alone").alias("shingle"), F.col("b").alias("y"), F.col("root").alias("root_y")
+    )
     second = (
-        aside.join(others, ["band", "hash"])
-        .where("root_a <> root_b and (root_b = main or a < b)")
-        .select("a", "b")
+        beside.join(alone, ["a", "shingle"])
+        .where("root_x <> root_y")
+        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     )
     more = _links(_agreeing(second, nodes), nodes, docs, idf, least)
     roots = smallest_reachable(of.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
