@@ -71,12 +71,13 @@ def random_spans(n_ids: Column, params: FimParams, *chunk_id: Column) -> Column:
 
 
 def random_pool(chunks: DataFrame, params: FimParams) -> DataFrame:
-    """Every draw of every chunk, still without ids: chunk, span and pool key.
+    """Every draw of every chunk: chunk, span and pool key.
 
-    The number of ids is known from the byte count, so choosing from the pool never builds
-    an id array.
+    Byte ids are counted, not built, so choosing from the pool never makes an id array; with a
+    tokenizer of one's own the chunks come with their ``ids``.
     """
-    n_ids = F.least(F.octet_length("bytes"), F.lit(params.max_token_sequence_length - N_MARKERS))
+    count = F.size("ids") if "ids" in chunks.columns else F.octet_length("bytes")
+    n_ids = F.least(count, F.lit(params.max_token_sequence_length - N_MARKERS))
     spans = random_spans(n_ids, params, F.col("file_id"), F.col("chunk_no"))
     pool = chunks.select(*chunks.columns, n_ids.alias("n_ids"), F.inline(spans))
     return pool.withColumn(
@@ -85,7 +86,10 @@ def random_pool(chunks: DataFrame, params: FimParams) -> DataFrame:
 
 
 def spans_to_examples(pool: DataFrame, markers: Markers = Markers()) -> DataFrame:
-    ids = byte_ids(F.substring(F.col("bytes"), F.lit(1), F.col("n_ids")))
+    if "ids" in pool.columns:
+        ids = F.slice("ids", F.lit(1), F.col("n_ids"))
+    else:
+        ids = byte_ids(F.substring(F.col("bytes"), F.lit(1), F.col("n_ids")))
     with_ids = pool.withColumn("_ids", ids)
     a, n, size = F.col("start"), F.col("length"), F.col("n_ids")
     built = with_ids.withColumn(
@@ -97,14 +101,21 @@ def spans_to_examples(pool: DataFrame, markers: Markers = Markers()) -> DataFram
             markers,
         ),
     )
-    return training_arrays(built.drop("_ids", "bytes", "n_ids", "pool_key"))
+    return training_arrays(built.drop("_ids", "ids", "bytes", "n_ids", "pool_key"))
 
 
 def random_examples(
-    files: DataFrame, window: Column, params: FimParams, quotas: DataFrame, markers: Markers = Markers()
+    files: DataFrame,
+    window: Column,
+    params: FimParams,
+    quotas: DataFrame,
+    markers: Markers = Markers(),
+    tokenizer=None,
 ) -> DataFrame:
     """Random examples up to the quota of each split; the choice is by key, over the whole pool."""
     chunks = byte_chunks(files, window, keep=("file_id", "split"))
+    if tokenizer is not None:
+        chunks = chunks.withColumn("ids", tokenizer(F.make_valid_utf8(F.col("bytes").cast("string"))))
     chosen = keep_quota(
         random_pool(chunks, params), ["split"], "pool_key", ["file_id", "chunk_no", "draw"], quotas
     )

@@ -32,6 +32,15 @@ def _bucket_starts(df: DataFrame, groups: list[str], key: str, digits: int) -> D
     )
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join by columns of the same names where null equals null; the left side's columns stay."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    matches = F.lit(True)
+    for c in on:
+        matches = matches & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(renamed, matches, how).drop(*[f"_right_{c}" for c in on])
+
+
 def rank_within(
     df: DataFrame,
     groups: list[str],
@@ -41,12 +50,12 @@ def rank_within(
     size: str | None = None,
     digits: int | None = None,
 ) -> DataFrame:
-    """1-based rank by (key, ties) in each group; group columns must not be null."""
+    """1-based rank by (key, ties) in each group; null is a group of its own."""
     digits = digits or (NARROW if groups else WIDE)
     starts = _bucket_starts(df, groups, key, digits).select(*groups, "_bucket", "_before", "_total")
     by_key = Window.partitionBy(*groups, "_bucket").orderBy(key, *ties)
     numbered = df.withColumn("_bucket", F.substring(key, 1, digits)).withColumn("_rn", F.row_number().over(by_key))
-    out = numbered.join(starts, [*groups, "_bucket"]).withColumn(
+    out = null_safe_join(numbered, starts, [*groups, "_bucket"]).withColumn(
         rank, F.col("_before") + F.col("_rn").cast("bigint")
     )
     if size:
@@ -68,13 +77,12 @@ def rank_cuts(
 
     ``wanted`` maps a label to a function of the group's row count; it may also use the
     columns of ``quotas``.  A rank of 0 or below gives null, one beyond the last row gives
-    the last row.  Groups must be a small set such as split names: the result is meant to
-    be broadcast.
+    the last row.  Null is a group of its own.
     """
     digits = digits or (3 if groups else WIDE)
     starts = _bucket_starts(df, groups, key, digits)
     if quotas is not None:
-        starts = starts.join(F.broadcast(quotas), groups)
+        starts = null_safe_join(starts, quotas, groups)
     marks = starts.select(
         *groups,
         "_bucket",
@@ -94,7 +102,7 @@ def rank_cuts(
     ).where((F.col("_before") < F.col("mark.want")) & (F.col("mark.want") <= F.col("_upto")))
 
     slim = df.select(*groups, key, *ties).withColumn("_bucket", F.substring(key, 1, digits))
-    edge = slim.join(F.broadcast(marks), [*groups, "_bucket"])
+    edge = null_safe_join(slim, marks, [*groups, "_bucket"])
     by_key = Window.partitionBy(*groups, "_bucket", "mark.label").orderBy(key, *ties)
     on_rank = edge.withColumn("_rn", F.row_number().over(by_key)).where(
         F.col("_before") + F.col("_rn") == F.col("mark.want")
@@ -107,7 +115,7 @@ def rank_cuts(
 
 def attach_cuts(df: DataFrame, groups: list[str], cuts: DataFrame) -> DataFrame:
     if groups:
-        return df.join(F.broadcast(cuts), groups, "left")
+        return null_safe_join(df, cuts, groups, "left")
     one_row = cuts.select(F.struct(*cuts.columns).alias("cuts")).scalar()
     return df.withColumns({c: one_row[c] for c in cuts.columns})
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions import codebleu as C, metrics as M
@@ -20,6 +23,16 @@ METRICS = [
 ]
 
 
+@dataclass(frozen=True)
+class Metric:
+    """A metric of one's own: ``column(reference, candidate)`` builds the score from two column names."""
+
+    name: str
+    column: Callable[[str, str], Column]
+    higher_is_better: bool = True
+    is_binary: bool = False
+
+
 def generations(
     references: DataFrame, base: DataFrame, lora: DataFrame, key: str = "example_id"
 ) -> DataFrame:
@@ -60,8 +73,8 @@ def score_columns(ref: str, pred: str, params: EvalParams) -> dict[str, Column]:
     }
 
 
-def score_rows(rows: DataFrame, params: EvalParams = EvalParams()) -> DataFrame:
-    """Append the eleven score fields to the generation rows; no shuffle."""
+def score_rows(rows: DataFrame, params: EvalParams = EvalParams(), own: Sequence[Metric] = ()) -> DataFrame:
+    """Append the eleven score fields, and two for each metric of one's own, to the generation rows; no shuffle."""
     ref = "reference_middle"
     with_code = C.with_codebleu(
         rows,
@@ -74,17 +87,22 @@ def score_rows(rows: DataFrame, params: EvalParams = EvalParams()) -> DataFrame:
     for name in CANDIDATES:
         columns.append(F.col(f"{name}_codebleu"))
         others = score_columns(ref, f"{name}_generated_middle", params)
+        others |= {m.name: m.column(ref, f"{name}_generated_middle") for m in own}
         columns += [c.alias(f"{name}_{metric}") for metric, c in others.items()]
     return with_code.select(*rows.columns, "codebleu_valid", *columns)
 
 
-def metric_registry(spark) -> DataFrame:
-    return spark.createDataFrame(METRICS, "metric string, higher_is_better boolean, is_binary boolean")
+def metric_registry(spark, own: Sequence[Metric] = ()) -> DataFrame:
+    rows = [*METRICS, *((m.name, m.higher_is_better, m.is_binary) for m in own)]
+    return spark.createDataFrame(rows, "metric string, higher_is_better boolean, is_binary boolean")
 
 
-def scores_long(scores: DataFrame, key: str = "example_id", metrics: list[str] | None = None) -> DataFrame:
+def scores_long(
+    scores: DataFrame, key: str = "example_id", metrics: list[str] | None = None, own: Sequence[Metric] = ()
+) -> DataFrame:
     """``(key, metric, base, lora)``; rows without a valid CodeBLEU are left out of that metric only."""
-    present = metrics or [m for m, _, _ in METRICS if f"base_{m}" in scores.columns]
+    known = [*(m for m, _, _ in METRICS), *(m.name for m in own)]
+    present = metrics or [m for m in known if f"base_{m}" in scores.columns]
     valid = (
         F.coalesce(F.col("codebleu_valid"), F.lit(True)) if "codebleu_valid" in scores.columns else F.lit(True)
     )

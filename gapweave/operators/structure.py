@@ -131,19 +131,14 @@ def keyword_nodes(text: str) -> str:
     return f"concat({_root(text, 'file')}, {let(regexp_extract_all(text, STRUCTURE_PATTERN), body)})"
 
 
-def brace_nodes(text: str) -> str:
-    """file > definition (header and braces) > body > statement / definition > ...
-
-    Braces in strings and comments do not count, semicolons only outside parentheses.
-    An unclosed brace opens no node.
-    """
+def _brace_nodes(text: str, raw: str) -> str:
 
     def delta(d: str, plus: str, minus: str) -> str:
         return f"case {d}.token when '{plus}' then 1 when '{minus}' then -1 else 0 end"
 
     def first_text_byte(start: str, end: str) -> str:
         """Position of the first byte in the range after white space, comments and directives."""
-        piece = f"cast(substring(encode({text}, 'UTF-8'), cast({start} + 1 as int), cast({end} - {start} as int)) as string)"
+        piece = f"cast(substring({raw}, cast({start} + 1 as int), cast({end} - {start} as int)) as string)"
         return f"{end} - octet_length({regexp_replace(piece, LEADING_FILLER)})"
 
     def delimiters(tokens: str) -> str:
@@ -210,6 +205,15 @@ def brace_nodes(text: str) -> str:
     return f"concat({_root(text, 'file')}, {found})"
 
 
+def brace_nodes(text: str) -> str:
+    """file > definition (header and braces) > body > statement / definition > ...
+
+    Braces in strings and comments do not count, semicolons only outside parentheses.
+    An unclosed brace opens no node.  The text is encoded once for all nodes.
+    """
+    return let(f"encode({text}, 'UTF-8')", lambda raw: _brace_nodes(text, raw))
+
+
 SCANNERS = {"prose": prose_nodes, "brace": brace_nodes, "keyword": keyword_nodes}
 
 
@@ -286,11 +290,16 @@ def contained(
     )
 
 
+SNIPPET_BYTES = 240
+
+
 def node_listing(files: DataFrame, content: str, file_id: str = "file_id") -> DataFrame:
     """Depth, type and the first 60 characters of the first line of every node."""
 
     def snippet(n: Column) -> Column:
-        raw = F.substring(F.col(content), (n["start_byte"] + 1).cast("int"), (n["end_byte"] - n["start_byte"]).cast("int"))
+        # 60 characters have 240 bytes at most.
+        length = F.least(n["end_byte"] - n["start_byte"], F.lit(SNIPPET_BYTES))
+        raw = F.substring(F.col(content), (n["start_byte"] + 1).cast("int"), length.cast("int"))
         first_line = F.get(F.split(F.make_valid_utf8(raw.cast("string")), "\n"), F.lit(0))
         return F.translate(F.substring(first_line, 1, 60), "\t", " ")
 

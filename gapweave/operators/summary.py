@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapweave.functions.tokens import closed_middle_length
-from gapweave.operators.scoring import METRICS, metric_registry
+from gapweave.operators.ranking import null_safe_join
+from gapweave.operators.scoring import METRICS, Metric, metric_registry
 from gapweave.operators.splits import SPLITS
 from gapweave.params import Markers
 
@@ -24,15 +27,16 @@ SPLITTER_ACCURACY = 20_000
 # ---------------------------------------------------------------- metric summary
 
 
-def with_registry(long: DataFrame) -> DataFrame:
-    return long.join(F.broadcast(metric_registry(long.sparkSession)), "metric")
+def with_registry(long: DataFrame, own: Sequence[Metric] = ()) -> DataFrame:
+    """Add direction and kind; a metric that is registered nowhere stays, with both null."""
+    return long.join(metric_registry(long.sparkSession, own), "metric", "left")
 
 
 def improvement(base: Column, lora: Column, higher_is_better: Column) -> Column:
-    return F.when(higher_is_better, lora - base).otherwise(base - lora)
+    return F.when(higher_is_better, lora - base).when(~higher_is_better, base - lora)
 
 
-def metric_summary(long: DataFrame) -> DataFrame:
+def metric_summary(long: DataFrame, own: Sequence[Metric] = ()) -> DataFrame:
     """All metrics in one pass: count, averages, improvement and its share of the base average."""
     averages = long.groupBy("metric").agg(
         F.count(F.lit(1)).alias("n"),
@@ -42,7 +46,7 @@ def metric_summary(long: DataFrame) -> DataFrame:
     )
     gain = improvement(F.col("base_average"), F.col("lora_average"), F.col("higher_is_better"))
     return (
-        with_registry(averages)
+        with_registry(averages, own)
         .withColumn("improvement", gain)
         .withColumn("improvement_pct", gain / F.nullif(F.abs("base_average"), F.lit(0.0)) * 100)
     )
@@ -122,7 +126,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: li
 
     Equal values are combined first.  Approximate splitters cut the value axis into ranges;
     counts per range tell which range holds each wanted rank, and only those ranges are
-    sorted, each in its own task.  Groups must be a small set (metrics, candidates).
+    sorted, each in its own task.  Null is a group of its own.
     """
     distinct = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     n_splitters = (1 << SPLITTER_STEPS) - 1
@@ -131,7 +135,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: li
         F.percentile_approx(value, shares, SPLITTER_ACCURACY).alias("_splitters"), F.sum("_n").alias("_total")
     )
     placed = _count_below(
-        distinct.join(F.broadcast(ranges), groups), value, "_splitters", SPLITTER_STEPS, "_range"
+        null_safe_join(distinct, ranges, groups), value, "_splitters", SPLITTER_STEPS, "_range"
     ).select(*groups, value, "_n", "_range")
     running = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     starts = (
@@ -161,7 +165,7 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: li
     ).where((F.col("_before") < F.col("want.rank")) & (F.col("want.rank") <= F.col("_upto")))
     in_range = Window.partitionBy(*groups, "_range", "want").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     hits = (
-        placed.join(F.broadcast(marks), [*groups, "_range"])
+        null_safe_join(placed, marks, [*groups, "_range"])
         .withColumn("_end", F.col("_before") + F.sum("_n").over(in_range))
         .where((F.col("_end") - F.col("_n") < F.col("want.rank")) & (F.col("want.rank") <= F.col("_end")))
     )
@@ -226,7 +230,7 @@ def dense_histogram(counted: DataFrame, bins: int, groups: DataFrame | None = No
         grid, keys = counted.sparkSession.range(1).select(every_bin), ["bin"]
     else:
         grid, keys = groups.select("*", every_bin), [*groups.columns, "bin"]
-    return grid.join(counted, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return null_safe_join(grid, counted, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def split_histogram(lengths: DataFrame, value: str, high: float, bins: int = LENGTH_BINS) -> DataFrame:
@@ -238,7 +242,7 @@ def split_histogram(lengths: DataFrame, value: str, high: float, bins: int = LEN
 
 
 def observed_histogram(df: DataFrame, groups: list[str], value: str, bins: int) -> DataFrame:
-    """Histogram on the observed range of each group (a small set); finite values only."""
+    """Histogram on the observed range of each group; ``non_finite`` counts what lies in no bin."""
     finite = df.where(F.abs(value) < float("inf"))
     span = finite.groupBy(*groups).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     # A single-valued group gets a range of one around the value.
@@ -250,7 +254,7 @@ def observed_histogram(df: DataFrame, groups: list[str], value: str, bins: int)
 
     def with_span(rows: DataFrame) -> DataFrame:
         if groups:
-            return rows.join(F.broadcast(span), groups)
+            return null_safe_join(rows, span, groups)
         one_row = span.select(F.struct("_low", "_high").alias("span")).scalar()
         return rows.withColumns({c: one_row[c] for c in ("_low", "_high")})
 
@@ -261,14 +265,20 @@ def observed_histogram(df: DataFrame, groups: list[str], value: str, bins: int)
     )
     dense = dense_histogram(counted, bins, span.select(*groups) if groups else None)
     edges = with_span(dense)
+    odd = ~F.coalesce(F.abs(value) < float("inf"), F.lit(False))
+    others = df.groupBy(*groups).agg(F.count_if(odd).alias("non_finite"))
+    if groups:
+        edges = null_safe_join(edges, others, groups)
+    else:
+        edges = edges.withColumn("non_finite", others.scalar())
     width = (F.col("_high") - F.col("_low")) / bins
-    return edges.select(*groups, "bin", (F.col("_low") + F.col("bin") * width).alias("left_edge"), "n")
+    return edges.select(*groups, "bin", (F.col("_low") + F.col("bin") * width).alias("left_edge"), "n", "non_finite")
 
 
-def differences(long: DataFrame) -> DataFrame:
+def differences(long: DataFrame, own: Sequence[Metric] = ()) -> DataFrame:
     """Signed per-example improvement."""
     gap = improvement(F.col("base"), F.col("lora"), F.col("higher_is_better"))
-    return with_registry(long).withColumn("difference", gap)
+    return with_registry(long, own).withColumn("difference", gap)
 
 
 def difference_histogram(long: DataFrame, bins: int = DIFFERENCE_BINS) -> DataFrame:

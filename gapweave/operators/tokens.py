@@ -10,43 +10,52 @@ from gapweave.functions.text import words
 from gapweave.operators.ranking import keep_smallest
 from gapweave.params import Markers
 
-BROADCAST_VOCABULARY_ROWS = 1_000_000
-SALTS = 32
 
+def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, broadcast: bool) -> DataFrame:
+    """Left join against the vocabulary; ``broadcast`` says that the caller knows it to be small."""
+    return items.join(F.broadcast(vocabulary) if broadcast else vocabulary, on, "left")
 
-def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, pos: str) -> DataFrame:
-    """Left join against the vocabulary.
 
-    A vocabulary of checked size is broadcast; a larger one is joined on (item, salt), so the
-    most frequent item is spread over ``SALTS`` tasks.
+def _distinct_items(rows: DataFrame, key: str, items: Column, name: str) -> DataFrame:
+    """``key, name, positions``: a text's distinct items and where they stand.
+
+    The items of a text come from one task, which combines them, so what is shuffled is a row
+    for each distinct item of a text.
     """
-    n_rows = vocabulary.limit(BROADCAST_VOCABULARY_ROWS + 1).count()
-    if n_rows <= BROADCAST_VOCABULARY_ROWS:
-        return items.join(F.broadcast(vocabulary), on, "left")
-    salted = vocabulary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return items.withColumn("_salt", F.col(pos) % SALTS).join(salted, [on, "_salt"], "left").drop("_salt")
+    placed = rows.select(key, F.posexplode(items).alias("pos", name))
+    return placed.groupBy(key, name).agg(F.collect_list("pos").alias("positions"))
+
 
+def _in_order(found: DataFrame, key: str, value: str) -> DataFrame:
+    """Bring the values of each text back to the places of their items; null values are left out."""
+    pairs = F.transform("positions", lambda p: F.struct(p.alias("pos"), F.col(value).alias("value")))
+    listed = found.where(F.col(value).isNotNull()).groupBy(key).agg(F.flatten(F.collect_list(pairs)).alias("_pairs"))
+    return listed.select(key, F.transform(F.sort_array("_pairs"), lambda x: x["value"]).alias("_values"))
 
-def _regroup(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    # A group is one text's own tokens, never more than the text's row held before.
-    ordered = F.sort_array(F.collect_list(F.struct("pos", value)))
-    return rows.groupBy(key).agg(F.transform(ordered, lambda x: x[value]).alias(out))
 
+def vocabulary_ids(
+    texts: DataFrame, vocabulary: DataFrame, unk_id: int, key: str, text: str = "text", broadcast: bool = False
+) -> DataFrame:
+    """Word tokenizer: text -> ids through ``vocabulary(token, id)``; unknown words get ``unk_id``.
 
-def vocabulary_ids(texts: DataFrame, vocabulary: DataFrame, unk_id: int, key: str, text: str = "text") -> DataFrame:
-    """Word tokenizer: text -> ids through ``vocabulary(token, id)``; unknown words get ``unk_id``."""
-    tokens = texts.select(key, F.posexplode_outer(words(F.col(text))).alias("pos", "token"))
-    known = _lookup(tokens, vocabulary.select("token", "id"), "token", "pos")
-    ids = known.withColumn("id", F.when(F.col("pos").isNotNull(), F.coalesce("id", F.lit(unk_id))))
-    return _regroup(ids, key, "id", "ids").withColumn("ids", F.filter("ids", lambda i: i.isNotNull()))
+    ``broadcast`` sends the whole vocabulary to every executor instead of shuffling words.
+    """
+    items = _distinct_items(texts, key, words(F.col(text)), "token")
+    known = _lookup(items, vocabulary.select("token", "id"), "token", broadcast)
+    found = _in_order(known.withColumn("id", F.coalesce("id", F.lit(unk_id))), key, "id")
+    return texts.select(key).join(found, key, "left").select(
+        key, F.coalesce("_values", F.array().cast("array<int>")).alias("ids")
+    )
 
 
-def vocabulary_text(ids: DataFrame, vocabulary: DataFrame, key: str, column: str = "ids") -> DataFrame:
+def vocabulary_text(
+    ids: DataFrame, vocabulary: DataFrame, key: str, column: str = "ids", broadcast: bool = False
+) -> DataFrame:
     """Ids -> tokens joined by single spaces; unknown ids are skipped."""
-    items = ids.select(key, F.posexplode_outer(column).alias("pos", "id"))
-    known = _lookup(items, vocabulary.select("token", "id"), "id", "pos")
-    return _regroup(known, key, "token", "tokens").select(
-        key, F.array_join(F.filter("tokens", lambda t: t.isNotNull()), " ").alias("text")
+    known = _lookup(_distinct_items(ids, key, F.col(column), "id"), vocabulary.select("token", "id"), "id", broadcast)
+    found = _in_order(known, key, "token")
+    return ids.select(key).join(found, key, "left").select(
+        key, F.coalesce(F.array_join("_values", " "), F.lit("")).alias("text")
     )
 
 
@@ -64,18 +73,10 @@ def require_markers(vocabulary: DataFrame, markers: Markers = Markers()) -> None
         raise ValueError(f"tokens missing from the vocabulary: {sorted(missing)}")
 
 
-def bytes_per_token(
-    blocks: DataFrame, ids: list[str], n_tokens: Column, sample: int | None = 20_000, seed: int = 0
-) -> DataFrame:
-    """One row with ``ratio`` = bytes / tokens over the first ``sample`` blocks of a seeded order."""
-    keyed = blocks.select(
-        shuffle_key("ratio", seed, *[F.col(c) for c in ids]).alias("_key"),
-        *ids,
-        F.octet_length("code").alias("_bytes"),
-        n_tokens.alias("_tokens"),
-    )
-    chosen = keyed if sample is None else keep_smallest(keyed, "_key", ids, sample)
-    return chosen.agg((F.sum("_bytes") / F.nullif(F.sum("_tokens"), F.lit(0))).alias("ratio"))
+def bytes_per_token(blocks: DataFrame, n_tokens: Column) -> DataFrame:
+    """One row with ``ratio`` = bytes / tokens over all blocks, in one aggregate."""
+    sums = blocks.select(F.octet_length("code").alias("_bytes"), n_tokens.alias("_tokens"))
+    return sums.agg((F.sum("_bytes") / F.nullif(F.sum("_tokens"), F.lit(0))).alias("ratio"))
 
 
 def ratio_value(ratio: DataFrame) -> float:

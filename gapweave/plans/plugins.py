@@ -24,11 +24,11 @@ def tokenizer(encode: Callable[[list[str]], list[list[int]]]):
 
 def parse_nodes(
     files: DataFrame, parse: Callable[[str], list[tuple[int, str, int, int]]], file_id_type: str = "bigint"
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """Run ``parse(text) -> [(depth, type, start_byte, end_byte), ...]`` (pre-order) on every file.
 
-    Returns the node table and the table ``(file_id, error)`` of files that failed; a failure
-    does not stop the run.
+    Returns ``file_id, nodes, error``: a file that fails has an error and no nodes, and does not
+    stop the run.
     """
     schema = (
         f"file_id {file_id_type}, error string, "
@@ -50,11 +50,7 @@ def parse_nodes(
                     nodes.append([])
             yield pd.DataFrame({"file_id": batch["file_id"], "error": errors, "nodes": nodes})
 
-    parsed = files.select("file_id", "text").mapInPandas(run, schema)
-    return (
-        parsed.where(F.col("error").isNull()).select("file_id", "nodes"),
-        parsed.where(F.col("error").isNotNull()).select("file_id", "error"),
-    )
+    return files.select("file_id", "text").mapInPandas(run, schema).select("file_id", "nodes", "error")
 
 
 def generate(

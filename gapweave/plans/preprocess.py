@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gapweave.functions.text import clean, leading_keyword, structures, words
 from gapweave.operators.fim import drop_overlong, fim_examples, tokenize_and_filter
 from gapweave.operators.random_fim import random_examples, window_bytes
+from gapweave.operators.settle import settle
 from gapweave.operators.splits import split_exact, split_stratified
 from gapweave.operators.structure import extract_blocks, with_nodes
-from gapweave.operators.tokens import bytes_per_token
+from gapweave.operators.tokens import bytes_per_token, ratio_value
 from gapweave.params import FimParams, Markers, SplitParams
 from gapweave.sources.rules import LanguageRules, scanner_rules
 
@@ -34,10 +35,13 @@ def file_blocks(
     )
 
 
-def corpus_ratio(train_blocks: DataFrame, sample: int = 20_000, seed: int = 0) -> DataFrame:
-    """Bytes per word token over a sample of the train blocks, as a one-row table."""
-    n_words = F.size(words(F.col("code").cast("string")))
-    return bytes_per_token(train_blocks, ["file_id", "block_id"], n_words, sample, seed)
+def corpus_ratio(train_blocks: DataFrame, tokenizer=None) -> DataFrame:
+    """Bytes per token over all train blocks, as a one-row table.
+
+    ``tokenizer`` is the column function of the tokenizer in use; without one words count.
+    """
+    text = F.make_valid_utf8(F.col("code").cast("string"))
+    return bytes_per_token(train_blocks, F.size(tokenizer(text) if tokenizer else words(text)))
 
 
 def structural_examples(
@@ -48,9 +52,10 @@ def structural_examples(
     markers: Markers = Markers(),
     tokenizer=None,
     rules: LanguageRules | None = None,
+    nodes: bool = False,
 ) -> DataFrame:
-    """Tokenized training rows from blocks and sub-blocks."""
-    blocks = file_blocks(files, scanner, params, rules)
+    """Tokenized training rows from blocks and sub-blocks; see ``training_rows`` for the hooks."""
+    blocks = file_blocks(files, scanner, params, rules, nodes)
     if tokenizer is None:
         blocks = drop_overlong(blocks, params.max_token_sequence_length, markers)
     examples = fim_examples(blocks, params, ratio, markers)
@@ -68,18 +73,37 @@ def training_rows(
     scanner: str,
     split_params: SplitParams = SplitParams(),
     params: FimParams = FimParams(),
-    ratio: Column | float = 1.0,
+    ratio: Column | float | None = None,
     markers: Markers = Markers(),
+    tokenizer=None,
+    rules: LanguageRules | None = None,
+    nodes: bool = False,
 ) -> DataFrame:
-    """Structural and random examples of every split (bag union, told apart by ``kind``)."""
+    """Structural and random examples of every split (bag union, told apart by ``kind``).
+
+    ``tokenizer`` is a column function from text to ids (plans.plugins.tokenizer), byte ids by
+    default.  ``rules`` name the node types of blocks and sub-blocks, those of the scanner by
+    default.  With ``nodes=True`` the files carry the node array of a parser of one's own.
+    ``ratio`` is bytes per token; without one it is estimated over all train blocks with the
+    tokenizer in use (a byte has one byte id).
+
+    The structural rows are written once to the shared folder: the quotas of the random rows are
+    counted there, so the scanner doesn't run again.
+    """
     assigned = files if "split" in files.columns else split_exact(files, ["file_id"], split_params)
-    structural = structural_examples(assigned, scanner, params, ratio, markers)
+    if ratio is None and tokenizer is not None:
+        blocks = file_blocks(assigned, scanner, params, rules, nodes).where(F.col("split") == "train")
+        ratio = ratio_value(corpus_ratio(blocks, tokenizer))
+    if not isinstance(ratio, Column):
+        ratio = F.lit(float(1.0 if ratio is None else ratio))
+    structural = settle(structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes))
     extra = random_examples(
         assigned.select("file_id", "split", "content"),
-        window_bytes(params.max_token_sequence_length, ratio if isinstance(ratio, Column) else F.lit(float(ratio))),
+        window_bytes(params.max_token_sequence_length, ratio),
         params,
         random_quotas(structural, params),
         markers,
+        tokenizer,
     )
     columns = ["file_id", "split", "input_ids", "attention_mask", "labels"]
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gapweave.functions.keys import draw_below, shuffle_key
-from gapweave.sources.tables import document_files, spread, table
+from gapweave.sources.tables import document_files, table
 
 STRUCTURE_WORDS = ["FUNCTION_BLOCK", "FUNCTION", "PROGRAM", "METHOD"]
 
@@ -89,12 +89,14 @@ def generation_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     The reference is an assistant turn, the base candidate the message before it, the tuned
     candidate the reference with one letter pair changed.
     """
-    talk = spread(table(spark, folder, "conversations"))
-    turn_id = F.col("conv_id") * 100 + F.col("turn")
+    talk = table(spark, folder, "conversations")
+    # Both columns make the key; as digits of one number they could run into each other.
+    turn_id = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    next_id = F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string"))
     replies = talk.where(F.col("role") == "assistant").select(turn_id.alias("example_id"), "text")
     references = replies.select("example_id", F.col("text").alias("reference_middle"))
     base = talk.select(
-        (turn_id + 1).alias("example_id"),
+        next_id.alias("example_id"),
         F.col("text").alias("generated_middle"),
         F.exp(F.octet_length("text") / 1000.0).alias("perplexity"),
     )
@@ -108,7 +110,7 @@ def generation_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
 
 GENERATIONS_SQL = r"""
 generations AS (
-  SELECT r.conv_id * 100 + r.turn AS example_id, r.text AS reference_middle,
+  SELECT r.conv_id::VARCHAR || ':' || r.turn::VARCHAR AS example_id, r.text AS reference_middle,
          b.text AS base_generated_middle, replace(r.text, 'en', 'an') AS lora_generated_middle,
          exp(strlen(b.text) / 1000.0::DOUBLE) AS base_perplexity, exp(strlen(r.text) / 2000.0::DOUBLE) AS lora_perplexity
   FROM conversations r JOIN conversations b ON b.conv_id = r.conv_id AND b.turn = r.turn - 1

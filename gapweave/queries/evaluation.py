@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from gapweave.functions import metrics as M
 from gapweave.functions.codebleu import with_codebleu
 from gapweave.operators import scoring as Score, summary as Summary, train_log as Log
-from gapweave.operators.settle import settle
 from gapweave.params import EvalParams, FimParams
 from gapweave.plans.preprocess import file_blocks
 from gapweave.queries import derive as D, sql as Q
@@ -288,7 +287,7 @@ def win_tie_loss(spark, folder):
            round(v[5], 6) AS maximum, round(v[2] - 1.5 * (v[4] - v[2]), 6) AS low_fence, round(v[4] + 1.5 * (v[4] - v[2]), 6) AS high_fence FROM q""",
 )
 def five_number(spark, folder):
-    stats = Summary.five_number(settle(long_rows(spark, folder)))
+    stats = Summary.five_number(long_rows(spark, folder))
     return rounded(stats, "minimum", "q1", "median", "q3", "maximum", "low_fence", "high_fence")
 
 
@@ -299,11 +298,12 @@ def five_number(spark, folder):
     span AS (SELECT metric, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS low,
                     CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS high FROM d GROUP BY metric),
     binned AS (SELECT metric, least(floor((x - low) / ((high - low) / 30))::INTEGER, 29) AS bin FROM d JOIN span USING (metric))
-    SELECT s.metric, b.bin::INTEGER AS bin, round(low + b.bin * ((high - low) / 30), 6) AS left_edge, count(x.bin) AS n
+    SELECT s.metric, b.bin::INTEGER AS bin, round(low + b.bin * ((high - low) / 30), 6) AS left_edge, count(x.bin) AS n,
+           (SELECT count(*) FILTER (WHERE d.x IS NULL OR isinf(d.x) OR isnan(d.x)) FROM d WHERE d.metric = s.metric) AS non_finite
     FROM span s CROSS JOIN range(30) b(bin) LEFT JOIN binned x ON x.metric = s.metric AND x.bin = b.bin GROUP BY s.metric, b.bin, low, high""",
 )
 def diff_hist(spark, folder):
-    return rounded(Summary.difference_histogram(settle(long_rows(spark, folder))), "left_edge")
+    return rounded(Summary.difference_histogram(long_rows(spark, folder)), "left_edge")
 
 
 @query(
@@ -367,7 +367,8 @@ def price_quantiles(spark, folder):
     "quantity_hist",
     """WITH span AS (SELECT min(l_quantity)::DOUBLE AS low, max(l_quantity)::DOUBLE AS high FROM lineitem),
     binned AS (SELECT least(floor((l_quantity::DOUBLE - low) / ((high - low) / 50))::INTEGER, 49) AS bin FROM lineitem, span)
-    SELECT b.bin::INTEGER AS bin, round(low + b.bin * ((high - low) / 50), 6) AS left_edge, count(x.bin) AS n
+    SELECT b.bin::INTEGER AS bin, round(low + b.bin * ((high - low) / 50), 6) AS left_edge, count(x.bin) AS n,
+           (SELECT count(*) FILTER (WHERE l_quantity IS NULL) FROM lineitem) AS non_finite
     FROM range(50) b(bin) CROSS JOIN span LEFT JOIN binned x ON x.bin = b.bin GROUP BY b.bin, low, high""",
 )
 def quantity_hist(spark, folder):

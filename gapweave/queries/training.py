@@ -85,8 +85,7 @@ RATIO_SQL = f"""
 ratio AS (
   SELECT sum(strlen(code)) / sum(n_words)::DOUBLE AS ratio FROM (
     SELECT b.file_id, b.block_id, b.code, len(regexp_extract_all(b.code, '{Q.WORD}')) AS n_words
-    FROM blocks b JOIN assigned a USING (file_id) WHERE a.split = 'train'
-    ORDER BY md5('ratio:0:' || b.file_id::VARCHAR || ':' || b.block_id::VARCHAR), b.file_id, b.block_id LIMIT 20000))"""
+    FROM blocks b JOIN assigned a USING (file_id) WHERE a.split = 'train'))"""
 
 
 def word_ratio(spark, folder):

@@ -1,11 +1,35 @@
-"""Sinks.  Directories are written through Spark's commit protocol: a failed job leaves no
-partial result, and an overwrite replaces what was there."""
+"""Sinks.  A table that replaces an earlier one is written beside it and takes its place only when
+the job has succeeded: a failed job leaves the earlier table as it was and nothing else."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 
+def _replace(df: DataFrame, path: str, write: Callable[[str], None]) -> None:
+    """Run ``write`` on a fresh folder beside ``path``, then let it take the place of ``path``."""
+    jvm = df.sparkSession.sparkContext._jvm  # the only way to the file system that Spark writes to
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex
+    fresh, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{mark}") for kind in ("new", "old"))
+    try:
+        write(fresh.toString())
+    except BaseException:
+        fs.delete(fresh, True)
+        raise
+    if fs.exists(target) and not fs.rename(target, old):
+        fs.delete(fresh, True)
+        raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(fresh, target):
+        fs.rename(old, target)
+        raise OSError(f"{path} can't be put in place")
+    fs.delete(old, True)
+
+
 def write_examples(df: DataFrame, path: str, mode: str = "append", fmt: str = "json") -> None:
     """Tokenized rows, one directory per split."""
     columns = [c for c in ("input_ids", "attention_mask", "labels") if c in df.columns]
@@ -13,16 +37,8 @@ def write_examples(df: DataFrame, path: str, mode: str = "append", fmt: str = "j
 
 
 def replace_examples(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Start afresh: earlier outputs of the splits that are written go away."""
-    columns = [c for c in ("input_ids", "attention_mask", "labels") if c in df.columns]
-    (
-        df.select("split", *columns)
-        .write.partitionBy("split")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .format(fmt)
-        .save(path)
-    )
+    """Start afresh: all earlier outputs go away, also of splits that now have no rows."""
+    _replace(df, path, lambda fresh: write_examples(df, fresh, fmt=fmt))
 
 
 def manifest(files: DataFrame) -> DataFrame:
@@ -32,20 +48,23 @@ def manifest(files: DataFrame) -> DataFrame:
 
 def write_manifest(files: DataFrame, path: str) -> None:
     """Paths per split: directory ``split=<name>`` with one path per line."""
-    files.select("split", "path").write.partitionBy("split").mode("overwrite").text(path)
+    _replace(files, path, lambda fresh: files.select("split", "path").write.partitionBy("split").text(fresh))
 
 
 def write_benchmark(parts: DataFrame, path: str, reuse: bool = False) -> None:
-    parts.write.mode("ignore" if reuse else "overwrite").json(path)
+    if reuse:
+        parts.write.mode("ignore").json(path)
+    else:
+        _replace(parts, path, parts.write.json)
 
 
 def write_scores(scores: DataFrame, path: str, fmt: str = "json") -> None:
     """Scores go to their own directory; the generations they were read from stay as they are."""
-    scores.write.mode("overwrite").format(fmt).save(path)
+    _replace(scores, path, scores.write.format(fmt).save)
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    report.select("report").coalesce(1).write.mode("overwrite").text(path)
+    _replace(report, path, report.select("report").coalesce(1).write.text)
 
 
 def write_blocks(blocks: DataFrame, path: str, order: list[str], text: str = "block") -> None:
@@ -54,24 +73,16 @@ def write_blocks(blocks: DataFrame, path: str, order: list[str], text: str = "bl
     Rows are range-partitioned by the order columns, so file names and rows inside files
     follow the order and no task holds a whole split.
     """
-    (
+    ordered = (
         blocks.select("split", *order, text)
         .repartitionByRange("split", *order)
         .sortWithinPartitions("split", *order)
         .select("split", F.col(text).alias("value"))
-        .write.partitionBy("split")
-        .option("lineSep", "\n\n")
-        .mode("overwrite")
-        .text(path)
     )
+    _replace(blocks, path, ordered.write.partitionBy("split").option("lineSep", "\n\n").text)
 
 
 def write_train_log(log: DataFrame, path: str) -> None:
     """Log entries as JSON Lines per run and kind, in step order inside each file."""
-    (
-        log.repartitionByRange("run_id", "kind", "step")
-        .sortWithinPartitions("run_id", "kind", "step")
-        .write.partitionBy("run_id", "kind")
-        .mode("overwrite")
-        .json(path)
-    )
+    ordered = log.repartitionByRange("run_id", "kind", "step").sortWithinPartitions("run_id", "kind", "step")
+    _replace(log, path, ordered.write.partitionBy("run_id", "kind").json)

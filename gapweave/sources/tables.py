@@ -4,27 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SPREAD_BELOW_BYTES = 32 << 20
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of few bytes over all cores.
-
-    A file with one row group is read by one task however much work follows per row.  Above
-    the size bound the scan has enough splits of its own and the table is left alone.
-    """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(parallelism) if size < parallelism * SPREAD_BELOW_BYTES else df
-
-
 def document_files(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` as source files: ``file_id``, path ``source/doc_id.lang``, bytes and text."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "source", "lang", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
     return docs.select(
         F.col("doc_id").alias("file_id"),
         F.concat_ws("", F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit("."), F.col("lang")).alias(
@@ -37,7 +23,7 @@ def document_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_files(spark: SparkSession, folder: str) -> DataFrame:
-    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
+    pages = table(spark, folder, "pages").select("page_id", "html")
     return pages.select(
         F.col("page_id").alias("file_id"), F.col("html").alias("text"), F.encode("html", "UTF-8").alias("content")
     )

@@ -177,15 +177,14 @@ def test_union_keeps_duplicates_and_kinds(spark):
     assert counts["random"] == counts["structural"] // 2
 
 
-def test_vocabulary_both_join_forms(spark, monkeypatch):
+def test_vocabulary_both_join_forms(spark):
     texts = spark.createDataFrame([(0, "a b a , zz"), (1, ""), (2, "b")], "k bigint, text string")
     vocabulary = spark.createDataFrame([("a", 5), ("b", 6), (",", 9)], "token string, id int")
     want = {0: [5, 6, 5, 9, 1], 1: [], 2: [6]}
-    for bound in (1_000_000, 1):
-        monkeypatch.setattr(Tok, "BROADCAST_VOCABULARY_ROWS", bound)
-        ids = Tok.vocabulary_ids(texts, vocabulary, 1, "k")
+    for broadcast in (True, False):
+        ids = Tok.vocabulary_ids(texts, vocabulary, 1, "k", broadcast=broadcast)
         assert {r["k"]: r["ids"] for r in ids.collect()} == want
-        back = {r["k"]: r["text"] for r in Tok.vocabulary_text(ids, vocabulary, "k").collect()}
+        back = {r["k"]: r["text"] for r in Tok.vocabulary_text(ids, vocabulary, "k", broadcast=broadcast).collect()}
         assert back == {0: "a b a ,", 1: "", 2: "b"}
     with pytest.raises(ValueError, match="fim_pad"):
         Tok.require_markers(vocabulary)
@@ -193,9 +192,9 @@ def test_vocabulary_both_join_forms(spark, monkeypatch):
 
 def test_ratio(spark):
     blocks = spark.createDataFrame([(0, bytearray(b"abcdef")), (1, bytearray(b"ab"))], "id bigint, code binary")
-    assert Tok.ratio_value(Tok.bytes_per_token(blocks, ["id"], F.lit(2))) == 2.0
+    assert Tok.ratio_value(Tok.bytes_per_token(blocks, F.lit(2))) == 2.0
     with pytest.raises(ValueError):
-        Tok.ratio_value(Tok.bytes_per_token(blocks.where("id > 5"), ["id"], F.lit(2)))
+        Tok.ratio_value(Tok.bytes_per_token(blocks.where("id > 5"), F.lit(2)))
 
 
 def test_feed(spark):
@@ -222,3 +221,39 @@ def test_collation(spark):
     prompts = rows.withColumn("prompt_ids", F.col("input_ids"))
     left = feed.collate_left(prompts, 2, 0).orderBy("position").collect()
     assert left[1]["prompt_ids"] == [0, 4, 5] and left[1]["prompt_mask"] == [0, 1, 1]
+
+
+def test_own_tokenizer_and_parser_reach_the_training_rows(spark):
+    """Word ids, and a parser whose only blocks are whole files with their words as sub-blocks."""
+    import re
+
+    from gapweave.plans import plugins
+    from gapweave.sources.rules import LanguageRules
+
+    marks = Markers().id_by_text()
+    pieces = "|".join(map(re.escape, marks)) + r"|\w+|\W"
+
+    def encode(texts):
+        return [[marks.get(p, 1000 + len(p)) for p in re.findall(pieces, t)] for t in texts]
+
+    def parse(text):
+        size = len(text.encode())
+        words = [(2, "word", len(text[: m.start()].encode()), len(text[: m.end()].encode())) for m in re.finditer(r"\w+", text)]
+        return [(0, "all", 0, size), (1, "file", 0, size), *words]
+
+    params = FimParams(
+        max_token_sequence_length=200,
+        min_middle_tokens_length=1,
+        rand_examples_min_prefix_suffix_tokens_length=1,
+        rand_to_ast_fim_examples_ratio=0.5,
+    )
+    some = files(spark, *[PROSE] * 6).withColumn("split", F.lit("train"))
+    nodes = plugins.parse_nodes(some, parse).select("file_id", "nodes")
+    rules = LanguageRules("own", ["file"], ["word"])
+    rows = training_rows(
+        some.join(nodes, "file_id"), "own", params=params, tokenizer=plugins.tokenizer(encode), rules=rules, nodes=True
+    ).collect()
+    assert {r["kind"] for r in rows} == {"structural", "random"}
+    for r in rows:
+        ids = r["input_ids"]
+        assert len(ids) <= 200 and {i for i in ids if i < 1000} == set(marks.values()) - {Markers().pad_id}

@@ -76,3 +76,19 @@ def test_ratios_must_sum_to_one():
     with pytest.raises(ValueError):
         SplitParams(0.8, 0.1, 0.2)
     assert SplitParams.from_mapping({"train_ratio": 0.5, "eval_ratio": 0.4, "unknown": 1}).train_ratio == 0.5
+
+
+def test_null_is_a_group_of_its_own(spark):
+    from gapweave.operators.ranking import rank_within
+    from gapweave.operators.summary import observed_histogram, order_statistics
+
+    rows = spark.createDataFrame(
+        [("a", "00", 1.0), (None, "01", 2.0), (None, "02", 4.0), ("a", "03", float("inf"))], "g string, k string, x double"
+    )
+    ranks = {(r["g"], r["k"]): r["rank"] for r in rank_within(rows, ["g"], "k", []).collect()}
+    assert ranks == {("a", "00"): 1, ("a", "03"): 2, (None, "01"): 1, (None, "02"): 2}
+    medians = {r["g"]: r["value"] for r in order_statistics(rows.where("k < '03'"), ["g"], "x", [0.5]).collect()}
+    assert medians == {"a": 1.0, None: 3.0}
+    bins = observed_histogram(rows, ["g"], "x", 2).collect()
+    assert {(r["g"], r["non_finite"]) for r in bins} == {("a", 1), (None, 0)}
+    assert sum(r["n"] for r in bins) == 3

@@ -188,3 +188,14 @@ def test_perplexity(spark):
 def test_weights_are_checked():
     with pytest.raises(ValueError):
         EvalParams(codebleu_ngram_weight=0.5)
+
+
+def test_a_metric_of_ones_own_reaches_the_summary(spark):
+    from gapweave.operators import scoring
+
+    rows = spark.createDataFrame([(1, "abc", "ab", "abc", 2.0, 1.0)], "example_id bigint, reference_middle string, base_generated_middle string, lora_generated_middle string, base_perplexity double, lora_perplexity double")
+    own = [scoring.Metric("missing", lambda ref, pred: (F.length(ref) - F.length(pred)).cast("double"), higher_is_better=False)]
+    long = scoring.scores_long(scoring.score_rows(rows, own=own), own=own)
+    summary = {r["metric"]: r for r in S.metric_summary(long, own).collect()}
+    assert summary["missing"]["improvement"] == 1.0 and "exact_match" in summary
+    assert {r["metric"]: r["improvement"] for r in S.metric_summary(long).collect()}["missing"] is None

@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from gapweave.operators.settle import checkpoint_folder, settle
+from gapweave.operators.settle import shared_folder, settle
 from gapweave.params import FimParams, SplitParams
 from gapweave.plans import plugins
 from gapweave.plans.evaluate import report
@@ -91,6 +91,27 @@ def test_examples_append_and_replace(spark, tmp_path):
     assert [r["input_ids"] for r in back] == [[1, 2]]
 
 
+def test_replacing_leaves_no_stale_split(spark, tmp_path):
+    path = str(tmp_path / "ds")
+    both = spark.createDataFrame([("train", [1]), ("test", [2])], "split string, input_ids array<int>")
+    W.replace_examples(both, path)
+    W.replace_examples(both.where("split = 'train'"), path)
+    assert [p.name for p in (tmp_path / "ds").glob("split=*")] == ["split=train"]
+    assert [p.name for p in tmp_path.iterdir()] == ["ds"]
+
+
+def test_failing_job_keeps_the_earlier_scores(spark, tmp_path):
+    path = str(tmp_path / "s")
+    W.write_scores(spark.range(3), path)
+    failing = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        W.write_scores(failing, path)
+    assert spark.read.json(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["s"]
+    W.write_scores(spark.range(4), path)
+    assert spark.read.json(path).count() == 4
+
+
 def test_tolerant_read(spark, tmp_path):
     (tmp_path / "t.jsonl").write_text('{"input_ids": [1]}\n\n{"labels": [2]}\n')
     got = jsonl.read_tolerant(spark, str(tmp_path / "t.jsonl")).collect()
@@ -161,9 +182,9 @@ def test_plugins(spark):
             raise SyntaxError("no")
         return [(1, "file", 0, len(text))]
 
-    nodes, errors = plugins.parse_nodes(files, parse)
-    assert sorted(r["file_id"] for r in nodes.collect()) == [1, 3]
-    assert [(r["file_id"], r["error"]) for r in errors.collect()] == [(2, "SyntaxError: no")]
+    parsed = {r["file_id"]: r for r in plugins.parse_nodes(files, parse).collect()}
+    assert {i for i, r in parsed.items() if r["error"] is None and r["nodes"]} == {1, 3}
+    assert parsed[2]["error"] == "SyntaxError: no" and parsed[2]["nodes"] == []
 
     prompts = spark.createDataFrame([(i, [i, i + 1]) for i in range(7)], "example_id bigint, prompt_ids array<int>")
     made = plugins.generate(prompts, lambda batch: [(f"{len(batch) <= 3}:{sum(p)}", 1.0) for p in batch], 3)
@@ -173,14 +194,15 @@ def test_plugins(spark):
 def test_settle_uses_the_folder_of_the_session(spark, tmp_path, monkeypatch):
     class Conf:
         def __init__(self, value):
-            self.get = lambda key, default=None: value if key == "spark.checkpoint.dir" else default
+            known = {"spark.checkpoint.dir": value, "spark.sql.warehouse.dir": "hdfs://warehouse"}
+            self.get = lambda key, default=None: known.get(key) or default
 
     class Session:
         def __init__(self, value):
             self.conf = Conf(value)
 
-    assert checkpoint_folder(Session("hdfs://shared/folder")) == "hdfs://shared/folder"
-    assert "gapweave-" in checkpoint_folder(Session(None))
-    monkeypatch.setattr("gapweave.operators.settle.checkpoint_folder", lambda _: str(tmp_path / "shared"))
+    assert shared_folder(Session("hdfs://shared/folder")) == "hdfs://shared/folder"
+    assert shared_folder(Session(None)) == "hdfs://warehouse/settled"
+    monkeypatch.setattr("gapweave.operators.settle.shared_folder", lambda _: str(tmp_path / "shared"))
     assert settle(spark.range(3)).count() == 3
     assert len(list((tmp_path / "shared").glob("settled-*"))) == 1

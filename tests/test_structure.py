@@ -115,3 +115,20 @@ def test_rules(spark, tmp_path):
     assert language_rules(own, "toy").subblock_types == ["s"]
     with pytest.raises(ValueError):
         language_rules(own, "bad")
+
+
+def test_brace_scanner_is_linear(spark):
+    """Twice the text takes about twice the time (a factor of 3.5 leaves room for noise)."""
+    import time
+
+    one = "int f(int n) {\n  // {\n  char *s = \"} \";\n  for (int k = 0; k < n; k++) { n += k; }\n  return n;\n}\n"
+    took = []
+    for times in (2500, 5000, 10000):
+        df = spark.createDataFrame([(one * times,)], "text string")
+        best = float("inf")
+        for _ in range(2):
+            start = time.perf_counter()
+            df.select(F.size(F.expr(S.brace_nodes("text")))).collect()
+            best = min(best, time.perf_counter() - start)
+        took.append(best)
+    assert took[1] < 3.5 * took[0] + 1 and took[2] < 3.5 * took[1] + 1, took
