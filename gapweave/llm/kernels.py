@@ -544,3 +544,24 @@ def compared_pairs(batches, idf):
             if left != last:
                 last, kept = left, weighted_shingles(text_a[i].as_py(), idf)
             yield left, kept, b[i].as_py(), weighted_shingles(text_b[i].as_py(), idf)
+
+
+def aligned_parts(raw: bytes, key: int, length: int, gram: int, step: int) -> list[tuple[int, int, int]]:
+    """Divide the starts of a run by their distance to its least gram, ``step`` by ``step``.
+
+    Equal strings have the same distance, and all strings of a part share ``length - step + 1``
+    bytes at a fixed place, whose hash names the part.  Returns ``(first, count, part)``.
+    """
+    import xxhash
+
+    anchors = np.flatnonzero(gram_hashes(np.frombuffer(raw, dtype=np.uint8), gram) >> np.uint64(16) == np.uint64(key))
+    starts = np.arange(len(raw) - length + 1)
+    anchor = anchors[np.searchsorted(anchors, starts)]
+    ring = (anchor - starts) // step
+    edges = np.flatnonzero((anchor[1:] != anchor[:-1]) | (ring[1:] != ring[:-1])) + 1
+    out = []
+    for first, end in zip([0, *edges.tolist()], [*edges.tolist(), len(starts)]):
+        shared = int(anchor[first]) - step * int(ring[first])
+        name = xxhash.xxh3_64_intdigest(raw[shared : shared + length - step + 1], seed=(key * 1000003 + int(ring[first])) % 2**64)
+        out.append((first, end - first, name - (1 << 63)))
+    return out

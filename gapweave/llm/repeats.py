@@ -6,7 +6,9 @@ key can hold equal strings.  Keys met once are done.  Where all runs of a key ha
 content, each of their strings is repeated.  The other runs, one of each content, meet key by key:
 their Burrows-Wheeler transform is expanded interval by interval up to ``LENGTH`` (kernels.
 long_common_prefixes), which tells the strings that occur again.  A key with more than
-``LARGEST`` contents doesn't fit one suffix sort; its strings are counted by digest instead.
+``LARGEST`` contents doesn't fit one suffix sort: its runs are divided into parts that share more
+bytes, which are compared in the same way; only where such a part is still met more often are its
+strings counted by digest.
 
 Counts run over all rows of the table.  Texts move through the cluster twice: to cut the runs that
 must be compared, and to cut out what is repeated; otherwise rows are (key, place) pairs.
@@ -27,6 +29,7 @@ LENGTH = 200
 GRAM = 32
 MOST_STARTS = 4096  # per run: long periodic texts are cut
 LARGEST = 1024  # contents of a key in one suffix sort
+STEP = 16  # starts in a part of a run whose key has more contents
 _SORT_BYTES = 2 << 20  # of runs sorted together
 _ROWS = 1 << 16  # per output batch
 
@@ -102,51 +105,106 @@ def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 
 def _sorted_together(pieces: DataFrame, length: int) -> DataFrame:
-    """``key, content, first, last``: the runs' starts whose strings occur again under the key."""
+    """``key, content, first, last``: the runs' starts whose strings occur again in their group.
 
-    def solve(keys, contents, texts):
+    ``pieces`` has ``group, key, content, base, piece``, ``base`` being the piece's place in its run.
+    """
+
+    def solve(names, texts):
         rows = []
-        for key, content, flags in zip(keys, contents, kernels.repeated_starts(texts, length)):
-            rows += [(key, content, a, b) for a, b in kernels.true_runs(flags)]
+        for (key, content, base), flags in zip(names, kernels.repeated_starts(texts, length)):
+            rows += [(key, content, base + a, base + b) for a, b in kernels.true_runs(flags)]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 4, kinds)]
         return pa.RecordBatch.from_arrays(columns, ["key", "content", "first", "last"])
 
     def run(batches):
-        keys, contents, texts, size, last = [], [], [], 0, None
+        names, texts, size, group = [], [], 0, None
         for batch in batches:
-            for key, content, piece in zip(*[batch.column(k).to_pylist() for k in range(3)]):
-                if (key, content) == last:
+            for now, key, content, base, piece in zip(*[batch.column(k).to_pylist() for k in range(5)]):
+                if names and group == now and (key, content, base) == names[-1]:
                     continue  # a repeated row of the table
-                if size > _SORT_BYTES and key != last[0]:
-                    yield solve(keys, contents, texts)
-                    keys, contents, texts, size = [], [], [], 0
-                last = (key, content)
-                keys.append(key)
-                contents.append(content)
+                if size > _SORT_BYTES and now != group:
+                    yield solve(names, texts)
+                    names, texts, size = [], [], 0
+                group = now
+                names.append((key, content, base))
                 texts.append(piece)
                 size += len(piece)
-        if keys:
-            yield solve(keys, contents, texts)
+        if names:
+            yield solve(names, texts)
 
     return (
-        pieces.repartition("key")
-        .sortWithinPartitions("key", "content")
+        pieces.select("group", "key", "content", "base", "piece")
+        .repartition("group")
+        .sortWithinPartitions("group", "key", "content", "base")
         .mapInArrow(run, "key bigint, content bigint, first int, last int")
     )
 
 
 def _counted(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for keys of very many contents: every string's digest is counted."""
+    """The same for very large groups: every string's digest is counted."""
     starts = F.sequence(F.lit(0), F.octet_length("piece") - length)
-    strings = pieces.dropDuplicates(["key", "content"]).select(
-        "key", "content", "piece", F.explode(starts).alias("first")
-    ).select("key", "content", "first", F.unhex(F.md5(F.substring("piece", F.col("first") + 1, F.lit(length)))).alias("string"))
+    strings = (
+        pieces.select("key", "content", "base", "piece", F.explode(starts).alias("at"))
+        .select(
+            "key",
+            "content",
+            (F.col("base") + F.col("at")).alias("first"),
+            F.unhex(F.md5(F.substring("piece", F.col("at") + 1, F.lit(length)))).alias("string"),
+        )
+        .distinct()
+    )
     again = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
     return strings.join(again, "string").select("key", "content", "first", F.col("first").alias("last"))
 
 
-def repeated_spans(runs: DataFrame, heads: DataFrame, docs: DataFrame, length: int, largest: int) -> DataFrame:
+def _divided(pieces: DataFrame, length: int, gram: int, largest: int) -> DataFrame:
+    """The same for keys of very many contents: their runs are divided into parts (kernels.aligned_parts).
+
+    Equal strings lie in parts of one name, so parts met once are done and the others are
+    compared name by name.
+    """
+    step = min(STEP, length - gram + 1)
+
+    def parts(batches):
+        for batch in batches:
+            rows = [
+                (key, content, *part)
+                for key, content, piece in zip(*[batch.column(k).to_pylist() for k in range(3)])
+                for part in kernels.aligned_parts(piece, key, length, gram, step)
+            ]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 5, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "content", "first", "count", "part"])
+
+    form = "key bigint, content bigint, first int, count int, part bigint"
+    divided = settle(pieces.select("key", "content", "piece").mapInArrow(parts, form).distinct())
+    met = divided.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = (
+        divided.join(met, "part")
+        .groupBy("key", "content")
+        .agg(F.collect_list(F.struct("part", "first", "count", "n")).alias("parts"))
+    )
+    cut = settle(
+        pieces.join(wanted, ["key", "content"])
+        .select("key", "content", "piece", F.explode("parts").alias("p"))
+        .select(
+            F.col("p.part").alias("group"),
+            "key",
+            "content",
+            F.col("p.first").alias("base"),
+            F.substring("piece", F.col("p.first") + 1, F.col("p.count") + (length - 1)).alias("piece"),
+            F.col("p.n").alias("n"),
+        )
+    )
+    small, large = F.col("n") <= largest, F.col("n") > largest
+    return _sorted_together(cut.where(small), length).union(_counted(cut.where(large), length))
+
+
+def repeated_spans(
+    runs: DataFrame, heads: DataFrame, docs: DataFrame, length: int, gram: int, largest: int
+) -> DataFrame:
     """``row, spans``: byte intervals ``[start, stop)`` of each row covered by repeated strings (unmerged)."""
     keys = (
         runs.groupBy("key")
@@ -175,8 +233,9 @@ def repeated_spans(runs: DataFrame, heads: DataFrame, docs: DataFrame, length: i
         .agg(F.collect_list(F.struct("key", "content", "start", "count")).alias("runs"))
     )
     pieces = settle(_cut(docs, wanted, length))
-    found = _sorted_together(pieces.join(large, "key", "left_anti"), length).union(
-        _counted(pieces.join(large, "key", "left_semi"), length)
+    grouped = pieces.select(F.col("key").alias("group"), "key", "content", F.lit(0).alias("base"), "piece")
+    found = _sorted_together(grouped.join(large, "key", "left_anti"), length).union(
+        _divided(pieces.join(large, "key", "left_semi"), length, gram, largest)
     )
     # Contents met twice are repeated from end to end, whatever the comparison says.
     whole = contents.where("n > 1").select("key", "content", F.lit(0).alias("first"), (F.col("at.count") - 1).alias("last"))
@@ -200,7 +259,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, larg
     heads = cut.where("key is null").select("row", "doc_id", "digest", "n_bytes", "whole_sha256")
     runs = cut.where("key is not null").select("row", "key", "content", "start", "count", "inner")
     found = settle(
-        heads.join(repeated_spans(runs, heads, docs, length, largest), "row", "left")
+        heads.join(repeated_spans(runs, heads, docs, length, min(gram, length), largest), "row", "left")
     )
     clean = found.where("spans is null").select(
         "doc_id",
