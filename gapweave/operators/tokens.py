@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions import tokens as T
 from gapweave.functions.keys import shuffle_key
-from gapweave.functions.text import words
+from gapweave.functions.sqltext import index_range, keep, let, transform, words
 from gapweave.operators.ranking import keep_smallest
 from gapweave.params import Markers
 
@@ -16,14 +16,28 @@ def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, broadcast: bool) -
     return items.join(F.broadcast(vocabulary) if broadcast else vocabulary, on, "left")
 
 
-def _distinct_items(rows: DataFrame, key: str, items: Column, name: str) -> DataFrame:
-    """``key, name, positions``: a text's distinct items and where they stand.
+def _distinct_items(rows: DataFrame, key: str, items: str, name: str) -> DataFrame:
+    """``key, name, positions``: a text's distinct items (SQL text ``items``) and where they stand.
 
-    The items of a text come from one task, which combines them, so what is shuffled is a row
-    for each distinct item of a text.
+    One sort inside the row brings equal items together, so no more than a row for each distinct
+    item of a text is ever shuffled.
     """
-    placed = rows.select(key, F.posexplode(items).alias("pos", name))
-    return placed.groupBy(key, name).agg(F.collect_list("pos").alias("positions"))
+
+    def grouped(s: str) -> str:
+        firsts = keep(index_range(f"size({s})"), lambda i: f"{i} = 0 or {s}[{i}].item <> {s}[greatest({i} - 1, 0)].item")
+
+        def entries(f: str) -> str:
+            def entry(at: str, k: str) -> str:
+                length = f"coalesce(get({f}, {k} + 1), size({s})) - {at}"
+                positions = transform(f"slice({s}, {at} + 1, {length})", lambda x: f"{x}.pos")
+                return f"named_struct('{name}', {s}[{at}].item, 'positions', {positions})"
+
+            return transform(f, entry)
+
+        return let(firsts, entries)
+
+    tagged = transform(items, lambda x, i: f"named_struct('item', {x}, 'pos', {i})")
+    return rows.select(key, F.inline(F.expr(let(f"sort_array({tagged})", grouped))))
 
 
 def _in_order(found: DataFrame, key: str, value: str) -> DataFrame:
@@ -40,7 +54,7 @@ def vocabulary_ids(
 
     ``broadcast`` sends the whole vocabulary to every executor instead of shuffling words.
     """
-    items = _distinct_items(texts, key, words(F.col(text)), "token")
+    items = _distinct_items(texts, key, words(text), "token")
     known = _lookup(items, vocabulary.select("token", "id"), "token", broadcast)
     found = _in_order(known.withColumn("id", F.coalesce("id", F.lit(unk_id))), key, "id")
     return texts.select(key).join(found, key, "left").select(
@@ -52,7 +66,7 @@ def vocabulary_text(
     ids: DataFrame, vocabulary: DataFrame, key: str, column: str = "ids", broadcast: bool = False
 ) -> DataFrame:
     """Ids -> tokens joined by single spaces; unknown ids are skipped."""
-    known = _lookup(_distinct_items(ids, key, F.col(column), "id"), vocabulary.select("token", "id"), "id", broadcast)
+    known = _lookup(_distinct_items(ids, key, column, "id"), vocabulary.select("token", "id"), "id", broadcast)
     found = _in_order(known, key, "token")
     return ids.select(key).join(found, key, "left").select(
         key, F.coalesce(F.array_join("_values", " "), F.lit("")).alias("text")
