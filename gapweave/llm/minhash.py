@@ -32,7 +32,10 @@ _PART = 4096  # counts per row of the partial sums
 
 
 def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """log(1 + N / n) per bucket of shingles over all rows of ``docs``.
+    """1 + log(1 + N / n) / log(1 + N) per bucket of shingles over all rows of ``docs``.
+
+    The weight lies between 1 and 2: what most documents share counts about half of what is rare,
+    and copies in a large group stay near to each other although their text is frequent.
 
     Every task sums its own rows; the partial sums are added bucket range by bucket range, and one
     array of ``buckets`` counts comes to the driver.
@@ -50,19 +53,28 @@ def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.nd
             ["part", "counts"],
         )
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, dtype=np.int64) for c in group["counts"].to_pylist())
-        return pa.table({"part": group["part"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    def add(batches):
+        # As they come: a task holds one sum per range, however many partial sums there are.
+        sums = {}
+        for batch in batches:
+            for part, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                some = np.frombuffer(some, dtype=np.int64)
+                sums[part] = sums[part] + some if part in sums else some
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"]
+        )
 
     form = "part int, counts binary"
-    sums = docs.select(F.col("text").cast("string")).mapInArrow(count, form).groupBy("part").applyInArrow(add, form)
+    partial = docs.select(F.col("text").cast("string")).mapInArrow(count, form)
+    sums = partial.repartition("part").mapInArrow(add, form)
     counts, rows = np.zeros(buckets, dtype=np.int64), 0
     for row in sums.collect():
         if row["part"] < 0:
             rows = int(np.frombuffer(row["counts"], dtype=np.int64)[0])
         else:
             counts[row["part"] * _PART : (row["part"] + 1) * _PART] = np.frombuffer(row["counts"], dtype=np.int64)
-    return np.log1p(rows / np.maximum(counts, 1)).astype(np.float32)
+    rarity = np.log1p(rows / np.maximum(counts, 1)) / np.log1p(max(rows, 1))
+    return (1.0 + rarity).astype(np.float32)
 
 
 def text_digest():
