@@ -14,6 +14,9 @@ class _FromMapping:
         return cls(**{k: v for k, v in values.items() if k in known})
 
 
+# Configuration keys, which users' files carry, and their defaults.
+
+
 @dataclass(frozen=True)
 class Markers(_FromMapping):
     """Marker texts; under the byte-level tokenizer their ids follow the 256 byte values."""

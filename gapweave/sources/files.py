@@ -39,8 +39,8 @@ def scan_splits(spark: SparkSession, root: str, extensions: list[str]) -> DataFr
     ]
     if missing:
         raise FileNotFoundError(f"required directories are missing: {', '.join(missing)}")
-    absolute = fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/")
-    relative = F.expr(f"substring(path, instr(path, '{absolute}/') + {len(absolute) + 1})")
+    absolute = fs.makeQualified(hadoop_path).toUri().getPath().rstrip("/") + "/"
+    relative = F.substring(F.col("path"), F.instr("path", F.lit(absolute)) + F.lit(len(absolute)), F.length("path"))
     files = scan(spark, root, extensions).withColumn("split", F.split_part(relative, F.lit("/"), F.lit(1)))
     return files.where(F.col("split").isin(SPLITS))
 

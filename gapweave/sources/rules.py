@@ -91,6 +91,54 @@ PARSER_RULES = {
             "select_statement", "go_statement", "defer_statement", "return_statement",
         ],
     },
+    "rust": {
+        "block_types": [
+            "function_item", "function_signature_item", "impl_item", "trait_item", "struct_item", "enum_item",
+            "mod_item", "closure_expression",
+        ],
+        "subblock_types": [
+            "block", "parameters", "let_declaration", "expression_statement", "if_expression", "while_expression",
+            "for_expression", "loop_expression", "match_expression", "match_arm", "return_expression",
+            "field_declaration_list", "enum_variant_list", "declaration_list", "compound_assignment_expr",
+        ],
+    },
+    "swift": {
+        "block_types": ["function_declaration", "class_declaration", "protocol_declaration", "closure_expression"],
+        "subblock_types": [
+            "function_body", "statements", "property_declaration", "assignment", "if_statement", "while_statement",
+            "for_statement", "switch_statement", "guard_statement", "do_statement", "return_statement",
+        ],
+    },
+    "vhdl": {
+        "block_types": [
+            "entity_declaration", "architecture_body", "process_statement", "package_declaration",
+            "configuration_declaration", "generate_statement",
+        ],
+        "subblock_types": [
+            "signal_assignment", "variable_assignment", "if_statement", "case_statement", "loop_statement",
+            "wait_statement", "assert_statement", "component_instantiation", "concurrent_statement",
+            "sequential_statement",
+        ],
+    },
+    "bash": {
+        "block_types": ["function_definition", "compound_statement", "subshell", "pipeline", "list"],
+        "subblock_types": [
+            "command", "variable_assignment", "redirected_statement", "expression", "assignment", "test_command",
+            "negated_command", "break_statement", "continue_statement", "return_statement", "command_substitution",
+            "process_substitution", "arithmetic_expansion", "if_statement", "while_statement", "for_statement",
+            "c_style_for_statement", "case_statement",
+        ],
+    },
+    "mojo": {
+        "block_types": [
+            "function_definition", "struct_definition", "trait_definition", "class_definition", "enum_definition",
+        ],
+        "subblock_types": [
+            "compound_statement", "parameter_list", "declaration", "expression_statement", "return_statement",
+            "assignment", "augmented_assignment", "try_statement", "catch_clause", "finally_clause",
+            "decorated_definition",
+        ],
+    },
     "iec61131_3_st": {
         "block_types": [
             "function_block_declaration", "function_declaration", "program_declaration", "method_declaration",
