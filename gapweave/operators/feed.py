@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gapweave.functions.keys import shuffle_key
-from gapweave.functions.tokens import pad_left, pad_right
+from gapweave.functions.tokens import ones, pad_left, pad_right
 from gapweave.operators.ranking import drop_smallest, rank_within
 from gapweave.params import FeedParams
 
@@ -39,12 +39,18 @@ def _batched(ordered: DataFrame, ids_column: str, batch_size: int, position: str
 def collate_right(
     ordered: DataFrame, batch_size: int, pad_id: int, pad_label: int = -100, position: str = "position"
 ) -> DataFrame:
-    """Pad ids, mask and labels on the right to the longest row of the batch."""
+    """Pad ids, mask and labels on the right to the longest row of the batch.
+
+    Rows without ``attention_mask`` and ``labels`` get them here (ones, and the ids), after the
+    last shuffle: order and batch such rows if the two hold nothing else.
+    """
     length = F.col("batch_length")
+    mask = F.col("attention_mask") if "attention_mask" in ordered.columns else ones(F.col("input_ids"))
+    labels = F.col("labels") if "labels" in ordered.columns else F.col("input_ids")
     return (
         _batched(ordered, "input_ids", batch_size, position)
-        .withColumn("attention_mask", pad_right(F.col("attention_mask"), length, 0))
-        .withColumn("labels", pad_right(F.col("labels"), length, pad_label))
+        .withColumn("attention_mask", pad_right(mask, length, 0))
+        .withColumn("labels", pad_right(labels, length, pad_label))
         .withColumn("input_ids", pad_right(F.col("input_ids"), length, pad_id))
     )
 

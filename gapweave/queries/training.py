@@ -536,7 +536,8 @@ def feed_resume(spark, folder):
          repeat('1', len(ids)) || repeat('0', (longest - len(ids))::BIGINT) AS mask FROM batched""",
 )
 def batch_right_pad(spark, folder):
-    batches = Feed.collate_right(Feed.feed_order(train_rows(spark, folder), ROW_ID, FEED), 16, M.pad_id)
+    narrow = train_rows(spark, folder).select(*ROW_ID, "input_ids")
+    batches = Feed.collate_right(Feed.feed_order(narrow, ROW_ID, FEED), 16, M.pad_id)
     return batches.select(
         *ROW_ID,
         "batch_no",
