@@ -23,6 +23,13 @@ def once(key, make):
     return kept[key]
 
 
+def slices(batches, rows: int = 256):
+    """The same record batches in small parts, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
@@ -246,7 +253,7 @@ class _WordHashes(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 50_000:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value

@@ -67,7 +67,7 @@ def identify(docs: DataFrame, model: kernels.LanguageModel | None) -> DataFrame:
 
     def run(batches):
         letter = regex.compile(r"\p{L}")
-        for batch in batches:
+        for batch in kernels.slices(batches):
             found = []
             for text in batch.column(1).to_pylist():
                 if model is None or not text or not letter.search(text):
@@ -88,7 +88,7 @@ def keep_identified(docs: DataFrame, model: kernels.LanguageModel | None, least_
 
     def run(batches):
         letter = regex.compile(r"\p{L}")
-        for batch in batches:
+        for batch in kernels.slices(batches):
             kept = []
             for text in batch.column(names.index("text")).to_pylist():
                 known = model is not None and bool(text) and letter.search(text) is not None

@@ -43,7 +43,7 @@ def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.nd
 
     def count(batches):
         total, rows = np.zeros(buckets, dtype=np.int64), 0
-        for batch in batches:
+        for batch in kernels.slices(batches):
             total += kernels.document_counts((t or "" for t in batch.column(0).to_pylist()), buckets)
             rows += batch.num_rows
         parts = total.reshape(-1, _PART)
@@ -89,7 +89,7 @@ def sketches(docs: DataFrame, idf) -> DataFrame:
 
     def run(batches):
         sampler = kernels.ConsistentSampler(BANDS * ROWS, SEED)
-        for batch in batches:
+        for batch in kernels.slices(batches):
             bands, drawn = [], []
             for text in batch.column(2).to_pylist():
                 found, weights = kernels.weighted_shingles(text or "", idf.value)

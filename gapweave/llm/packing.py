@@ -20,7 +20,7 @@ LARGEST = 1024
 END_ID = 0
 #: The vocabulary of byte_bpe_50k.json as a rank file, which is encoded about five times faster.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-_TEXT_BYTES = 4 << 20  # of texts per output batch
+_TEXT_BYTES = 2 << 20  # of texts per output batch
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, task int, place bigint"
 
@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, largest: int = LARGEST
     def run(batches):
         encoder, task, met = kernels.byte_bpe(vocabulary), TaskContext.get().partitionId(), {}
         rows, size = [], 0
-        for batch in batches:
+        for batch in kernels.slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.array(encoder.encode_ordinary(text or "") + [end_id], dtype="<u4")
                 start = 0

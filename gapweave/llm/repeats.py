@@ -59,7 +59,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches):
         heads, found = [], []
-        for batch in batches:
+        for batch in kernels.slices(batches):
             for row, doc_id, digest, text in zip(*[batch.column(k).to_pylist() for k in range(4)]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 heads.append((row, doc_id, digest, len(raw), hashlib.sha256(raw).hexdigest()))
@@ -83,7 +83,7 @@ def _cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in kernels.slices(batches):
             keys, contents, pieces = [], [], []
             for text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
@@ -283,7 +283,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, larg
     names = clean.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in kernels.slices(batches):
             rows = []
             for doc_id, text, spans in zip(*[batch.column(k).to_pylist() for k in range(3)]):
                 raw = text.encode("utf-8", "surrogatepass")
