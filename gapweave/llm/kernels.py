@@ -146,7 +146,7 @@ def language_families(names: list[str], centroids: np.ndarray) -> list[list[str]
     return [sorted(names[k] for k in family) for family in families]
 
 
-def fit_languages(examples: list[tuple[str, list[int], list[float]]], width: int) -> LanguageModel | None:
+def fit_languages(examples: list[tuple[str, np.ndarray, np.ndarray]], width: int) -> LanguageModel | None:
     """Train on ``(language, places, values)``; None where there are no examples."""
     names = sorted({e[0] for e in examples})
     if not names:

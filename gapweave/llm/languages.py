@@ -10,6 +10,7 @@ language, drawn by a hash of the id); prediction is map-only over whole texts.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,8 +54,13 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, width: int = WIDTH)
             )
 
     rows = sample.select("lang", "text").mapInArrow(profiles, "lang string, places array<int>, values array<float>")
+    found = rows.toArrow()
+    arrays = [
+        [np.asarray(item.values) for item in found.column(name).combine_chunks()] for name in ("places", "values")
+    ]
+    examples = list(zip(found.column("lang").to_pylist(), *arrays))
     # In a fixed order, so that reruns train the same machines.
-    examples = sorted((r["lang"], r["places"], r["values"]) for r in rows.collect())
+    examples.sort(key=lambda e: (e[0], e[1].tobytes(), e[2].tobytes()))
     return kernels.fit_languages(examples, width)
 
 
