@@ -507,7 +507,7 @@ def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[fl
     and W the text's weight.  For texts x, y of similarity s = ``least`` or more, the magnitudes
     they share (same sign, the smaller of both) are at least (D_x + D_y - c (W_x + W_y)) / 2 with
     c = (1 - s) / (1 + s).  If y is not similar to the pivot, D_y > c (W_y + W_p), and both must
-    share something.  So, with shingles in one order, rarest first, the first shared one lies among
+    share something.  So, with shingles in one order for all texts of the pivot, the first shared one lies among
     those of x before the last ones of joint magnitude a_x, and likewise for y, where
 
         a_x = max(D_x - c (1 + 1/s) W_x, (D_x + c (W_p - W_x)) / 2),   a_y = D_y - c (1 + 1/s) W_y.
@@ -522,12 +522,14 @@ def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[fl
     shift = wb[ib] - wa[ia]
     shingle = np.concatenate([both, fa[only_a], fb[only_b]])
     size = np.concatenate([np.abs(shift), wa[only_a], wb[only_b]])
+    added = np.arange(len(shingle)) >= len(shingle) - only_b.sum()
     changed = size > 0
-    shingle, size = shingle[changed], size[changed]
+    shingle, size, added = shingle[changed], size[changed], added[changed]
     total, weight, weight_p = size.sum(), wb.sum(), wa.sum()
     whole = weight + weight_p
     similarity = float((whole - total) / (whole + total)) if whole > 0 else 0.0
-    order = np.lexsort((shingle, -idf[(shingle % np.uint64(len(idf))).astype(np.int64)]))
+    # What the pivot lacks comes first: members rarely add the same, but often lose the same.
+    order = np.lexsort((shingle, -idf[(shingle % np.uint64(len(idf))).astype(np.int64)], ~added))
     # Magnitude of this shingle and all behind it.
     behind = np.cumsum(size[order][::-1])[::-1]
     c = (1 - least) / (1 + least)
