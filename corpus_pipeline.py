@@ -23,7 +23,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and what reveals it replaced."""
-    return pii.sanitise(docs)
+    return pii.sanitise(docs, support=1)
 
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

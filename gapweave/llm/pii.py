@@ -1,17 +1,19 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans (e-mail, IP, card and phone numbers) come from patterns.  The corpus then tells how
-strongly the words beside such an entity reveal it: with document counts n(e), n(t), n(e, t) of
+strongly the words of its documents reveal such an entity: with document counts n(e), n(t), n(e, t) of
 an entity, a term and both together among N documents, a term discloses
 
     log2(n(e, t) * N / (n(e) * n(t)))   of the entity's   log2(N / n(e))   bits.
 
-Terms that disclose at least ``THRESHOLD`` of the bits, seen together in ``SUPPORT`` documents or
-more, become spans of kind ``term`` wherever they stand beside that entity; ``sanitise`` replaces
-base spans by their kind and generalises terms to ``[TERM]``.
+Terms that disclose at least ``THRESHOLD`` of the bits become spans of kind ``term`` wherever they
+stand in a document that holds that entity; ``sanitise`` replaces base spans by their kind and
+generalises terms to ``[TERM]``.  ``op5_pii`` and the pipeline count terms from one document on;
+``support`` asks for more documents where a caller wants that (``SUPPORT`` by default).
 
 All positions are in code points.  Array work stays inside the row; what is shuffled are counts
-of entities, terms and neighbouring pairs, never texts (but once in ``sanitise``).
+of entities, terms and pairs, and the words of documents that hold an entity, never whole texts
+(but once in ``sanitise``).
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ from gapweave.operators.settle import settle
 
 THRESHOLD = 0.9
 SUPPORT = 3
-CONTEXT = 64  # code points on either side of an entity
-NEIGHBOURS = 4  # words on either side
 
 # Possessive and anchored forms of the contract's patterns with the same leftmost matches, so that
 # no text makes them backtrack: a run of characters that fails from its start fails from any place.
@@ -110,53 +110,24 @@ def _piece(chunks: str, start: str, end: str) -> str:
 _CHUNKS = f"regexp_extract_all(text, {lit(f'(?s).{{1,{_CHUNK}}}')}, 0)"
 
 
-def _shifted(words: str, by: str) -> str:
-    return transform(
-        words, lambda w: f"named_struct('start', {w}.start + {by}, 'end', {w}.end + {by}, 'term', lower({w}.value))"
-    )
-
-
-def _mentions() -> str:
-    """Entities with their neighbouring words; a word that the context cuts is left out."""
+def _entities() -> str:
+    """The distinct entities of a text."""
     entity = {
         "email": lambda s: f"concat('email:', lower({s}.value))",
         "ip": lambda s: f"concat('ip:', {s}.value)",
         "card": lambda s: f"concat('card:', {_digits(f'{s}.value')})",
         "phone": lambda s: f"concat('phone:', {_digits(f'{s}.value')})",
     }
+    return f"array_distinct(concat({', '.join(transform(kind, entity[kind]) for kind in KINDS)}))"
 
-    def named(kind: str) -> str:
-        return transform(kind, lambda s: f"named_struct('entity', {entity[kind](s)}, 'start', {s}.start, 'end', {s}.end)")
-
-    tagged = ", ".join(named(kind) for kind in KINDS)
-
-    def words(chunks: str, s: str) -> str:
-        low, high = f"greatest({s}.start - {CONTEXT}, 0)", f"least({s}.end + {CONTEXT}, cast(n_text as bigint))"
-        left = let(
-            _piece(chunks, low, f"{s}.start"),
-            lambda c: keep(_spans(c, TERM), lambda w: f"{w}.start > 0 or {low} = 0"),
-        )
-        right = let(
-            _piece(chunks, f"{s}.end", high),
-            lambda c: keep(_spans(c, TERM), lambda w: f"{w}.end < char_length({c}) or {high} = n_text"),
-        )
-        last = let(left, lambda ws: f"slice({ws}, greatest(size({ws}) - {NEIGHBOURS - 1}, 1), {NEIGHBOURS})")
-        return f"concat({_shifted(last, low)}, {_shifted(f'slice({right}, 1, {NEIGHBOURS})', f'{s}.end')})"
 
-    def over(chunks: str) -> str:
-        return transform(
-            f"concat({tagged})",
-            lambda s: f"named_struct('entity', {s}.entity, 'words', {words(chunks, s)})",
-        )
-
-    return f"if(size(email) + size(ip) + size(card) + size(phone) = 0, {transform(f'concat({tagged})', _empty)}, {let(_CHUNKS, over)})"
-
-
-def _empty(s: str) -> str:
-    return (
-        f"named_struct('entity', {s}.entity, 'words', "
-        "cast(array() as array<struct<start:bigint,end:bigint,term:string>>))"
+def _words() -> str:
+    """All words of a text that holds an entity, with their places; none of other texts."""
+    no_words = "cast(array() as array<struct<start:bigint,end:bigint,term:string>>)"
+    placed = transform(
+        _spans("text", TERM), lambda w: f"named_struct('start', {w}.start, 'end', {w}.end, 'term', lower({w}.value))"
     )
+    return f"if(size(entities) = 0, {no_words}, {placed})"
 
 
 def _whole_text(docs: DataFrame) -> DataFrame:
@@ -165,32 +136,29 @@ def _whole_text(docs: DataFrame) -> DataFrame:
 
 def detect(docs: DataFrame) -> DataFrame:
     """``doc_id, row_key`` and per kind the array of base spans ``struct<start, end, value>``,
-    and ``mentions``: each entity with the words beside it.  Map-only."""
+    ``entities``, and where there are any all ``words`` of the text.  Map-only."""
     return (
         _whole_text(docs.select("doc_id", "text"))
-        .select("doc_id", "text", mix_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.length("text").alias("n_text"),
+        .select("doc_id", "text", mix_key(F.col("doc_id"), F.col("text")).alias("row_key"),
                 *[F.expr(_base(kind)).alias(kind) for kind in KINDS])
-        .select("doc_id", "row_key", *KINDS, F.expr(_mentions()).alias("mentions"))
+        .withColumn("entities", F.expr(_entities()))
+        .select("doc_id", "row_key", *KINDS, "entities", F.expr(_words()).alias("words"))
     )
 
 
 def disclosing_pairs(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """``entity, term, disclosure`` above the threshold, counted over all documents."""
     total = found.count()
-    pair = "named_struct('entity', {m}.entity, 'term', {w}.term)"
-    pairs = F.expr(
-        "array_distinct(flatten("
-        + transform("mentions", lambda m: transform(f"{m}.words", lambda w: pair.format(m=m, w=w)))
-        + "))"
-    )
+    # Counted in the tasks first; of texts without an entity nothing is paired.
     together = (
-        found.select(F.explode(pairs).alias("p"))
-        .groupBy("p.entity", "p.term")
+        found.select("entities", F.explode(F.array_distinct("words.term")).alias("term"))
+        .select(F.explode("entities").alias("entity"), "term")
+        .groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("n_both"))
         .where(F.col("n_both") >= support)
     )
     entities = (
-        found.select(F.explode(F.array_distinct("mentions.entity")).alias("entity"))
+        found.select(F.explode("entities").alias("entity"))
         .groupBy("entity")
         .agg(F.count(F.lit(1)).alias("n_entity"))
     )
@@ -221,8 +189,8 @@ def personal_data(docs: DataFrame, threshold: float = THRESHOLD, support: int =
     """
     found = settle(detect(docs))
     pairs = disclosing_pairs(docs, found, threshold, support)
-    words = found.select("row_key", F.explode("mentions").alias("m")).select(
-        "row_key", F.col("m.entity").alias("entity"), F.explode("m.words").alias("w")
+    words = found.select("row_key", "entities", F.explode("words").alias("w")).select(
+        "row_key", F.explode("entities").alias("entity"), "w"
     )
     revealed = (
         words.select("row_key", "entity", F.col("w.term").alias("term"), "w.start", "w.end")

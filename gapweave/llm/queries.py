@@ -63,7 +63,7 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_pii")
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of all documents."""
-    found = pii.personal_data(table(spark, folder, "documents"))
+    found = pii.personal_data(table(spark, folder, "documents"), support=1)
     counts = [F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
         "doc_id",

@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
+import corpus_pipeline
 from gapweave.llm import kernels, languages, licenses, minhash, pii, repeats
+from gapweave.llm.queries import op5_pii
 from tests.llm.fixtures import documents, empty, rows, words
 
 
@@ -188,6 +190,40 @@ def test_disclosure_is_the_share_of_information(spark):
     assert pairs == {("email:same@b.cc", "beta"): pytest.approx(math.log2(4 * 16 / (4 * 8)) / math.log2(16 / 4))}
 
 
+def _revealing(some, threshold=0.9):
+    word = r"""(?<![^\s(\["'])[^\W\d_]{3,40}(?=[.,;:!?)\]"']*(?:\s|$))"""
+    held = {i: {m.group().lower() for m in re.finditer(_PATTERNS["email"], t)} for i, t, *_ in some}
+    terms = {i: {m.group().lower() for m in re.finditer(word, t)} for i, t, *_ in some}
+    n_e = collections.Counter(e for es in held.values() for e in es)
+    n_t = collections.Counter(t for ts in terms.values() for t in ts)
+    n_both = collections.Counter((e, t) for i in held for e in held[i] for t in terms[i])
+    share = {
+        (e, t): math.log2(n * len(some) / (n_e[e] * n_t[t])) / math.log2(len(some) / n_e[e])
+        for (e, t), n in n_both.items()
+    }
+    return {
+        i: [m.span() for m in re.finditer(word, t) if any(share[e, m.group().lower()] >= threshold for e in held[i])]
+        for i, t, *_ in some
+    }
+
+
+def test_every_revealing_word_of_the_documents_counts(spark, tmp_path):
+    some = [(i, words(i % 7, 40), "en", "a") for i in range(40)]
+    far = words(3, 40)
+    some += [(100, f"Zebulon {far} z@mail.example {far} Quillon, then zebulon.", "en", "a")]
+    some += [(101 + i, f"Marwick {far} two@mail.example, 1st{i} {far} marwick", "en", "a") for i in range(2)]
+    want = _revealing(some)
+    assert len(want[100]) >= 3 and len(want[101]) == 2
+    found = pii.personal_data(documents(spark, some), support=1).collect()
+    assert {r.doc_id: [(s.start, s.end) for s in r.term] for r in found} == want
+    documents(spark, some).write.parquet(f"{tmp_path}/documents.parquet")
+    spans = {r.doc_id: r.spans for r in op5_pii(spark, str(tmp_path)).collect()}
+    for i, places in want.items():
+        assert [p for p in spans[i].split(",") if p.startswith("term:")] == [f"term:{a}:{b}" for a, b in places]
+    clean = {r.doc_id: r.text for r in corpus_pipeline.without_personal_data(spark, documents(spark, some), "").collect()}
+    assert not re.search("zebulon|quillon|marwick", (clean[100] + clean[101]).lower())
+
+
 def test_sanitised_rows_keep_their_columns(spark):
     docs = documents(spark, rows() + [(100 + i, t, "en", "a") for i, t in enumerate(_HARD)])
     out = pii.sanitise(docs)
