@@ -292,6 +292,48 @@ def weighted_shingles(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, counts * idf[(found % np.uint64(len(idf))).astype(np.int64)].astype(np.float64)
 
 
+def rarity_weights(text: str, common: bytes | None, documents: bytes | None, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles (rising), their TF-IDF weights and their IDF, 1 + log(1 + N / n) / log(1 + N).
+
+    ``common`` are the text's shingles of more than one document (rising), ``documents`` their n; all others have n = 1.
+    """
+    found, counts = shingles(text)
+    n = np.ones(len(found))
+    if common:
+        n[np.searchsorted(found, np.frombuffer(common, dtype=np.uint64))] = np.frombuffer(documents, dtype=np.int64)
+    idf = 1.0 + np.log1p(total / n) / np.log1p(max(total, 1))
+    return found, counts * idf, idf
+
+
+def packed_parts(key: np.ndarray, parts: int, *columns: np.ndarray):
+    """``part, bytes of each column`` for every part ``key % parts`` that has rows; 64-bit columns, the order is kept."""
+    part = (key % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, columns = part[order], [c[order] for c in columns]
+    bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        yield int(part[low]), *(c[low:high].tobytes() for c in columns)
+
+
+def stepped(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, which compress well; ``np.cumsum`` undoes it."""
+    return np.diff(values, prepend=np.int64(0))
+
+
+def unpacked_parts(batches):
+    """The columns of every part from batches ``part, bytes ...`` sorted by part."""
+    last, kept = None, []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if row[0] != last and kept:
+                yield kept
+                kept = []
+            last = row[0]
+            kept.append([np.frombuffer(value, dtype=np.int64) for value in row[1:]])
+    if kept:
+        yield kept
+
+
 class ConsistentSampler:
     """Improved consistent weighted sampling: the chance that a sample of two weighted sets agrees
     is their weighted Jaccard similarity.
@@ -339,7 +381,7 @@ def band_hashes(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 def weighted_jaccard(a, b) -> float:
     """Sum of the smaller over sum of the larger weights of two ``(shingles, weights)``."""
-    (fa, wa), (fb, wb) = a, b
+    (fa, wa), (fb, wb) = a[:2], b[:2]
     _, ia, ib = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
     shared = np.minimum(wa[ia], wb[ib]).sum()
     whole = wa.sum() + wb.sum() - shared
@@ -500,7 +542,7 @@ def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2])]
 
 
-def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[float, list[int], list[int] | None]:
+def difference_prefixes(pivot, other, least: float) -> tuple[float, list[int], list[int] | None]:
     """Similarity of a text to its pivot, and the shingles by which a text like it can be found.
 
     Let d be the difference of the weights of a text and the pivot's, D the sum of its magnitudes
@@ -515,21 +557,22 @@ def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[fl
     Returns these leading shingles for x (any text, its partner not similar to the pivot) and for
     y (only if the text itself is not similar to the pivot, else None).
     """
-    (fa, wa), (fb, wb) = pivot, other
+    (fa, wa, rarity_a), (fb, wb, rarity_b) = pivot, other
     both, ia, ib = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
     only_a, only_b = np.ones(len(fa), dtype=bool), np.ones(len(fb), dtype=bool)
     only_a[ia] = only_b[ib] = False
     shift = wb[ib] - wa[ia]
     shingle = np.concatenate([both, fa[only_a], fb[only_b]])
     size = np.concatenate([np.abs(shift), wa[only_a], wb[only_b]])
+    rarity = np.concatenate([rarity_a[ia], rarity_a[only_a], rarity_b[only_b]])
     added = np.arange(len(shingle)) >= len(shingle) - only_b.sum()
     changed = size > 0
-    shingle, size, added = shingle[changed], size[changed], added[changed]
+    shingle, size, added, rarity = shingle[changed], size[changed], added[changed], rarity[changed]
     total, weight, weight_p = size.sum(), wb.sum(), wa.sum()
     whole = weight + weight_p
     similarity = float((whole - total) / (whole + total)) if whole > 0 else 0.0
     # What the pivot lacks comes first: members rarely add the same, but often lose the same.
-    order = np.lexsort((shingle, -idf[(shingle % np.uint64(len(idf))).astype(np.int64)], ~added))
+    order = np.lexsort((shingle, -rarity, ~added))
     # Magnitude of this shingle and all behind it.
     behind = np.cumsum(size[order][::-1])[::-1]
     c = (1 - least) / (1 + least)
@@ -542,17 +585,17 @@ def difference_prefixes(pivot, other, least: float, idf: np.ndarray) -> tuple[fl
     return similarity, leading(beside), leading(alone) if similarity < least else None
 
 
-def compared_pairs(batches, idf):
-    """``a, weighted shingles of a, b, weighted shingles of b`` of every row ``a, b, text_a, text_b``;
-    a's are kept while a stays."""
+def compared_pairs(batches, total: int):
+    """``a, weighted shingles of a, b, weighted shingles of b`` of every row ``a, b, text_a, common_a,
+    documents_a, text_b, common_b, documents_b``; a's are kept while a stays."""
     last, kept = None, None
     for batch in batches:
-        a, b, text_a, text_b = (batch.column(k) for k in range(4))
+        columns = [batch.column(k) for k in range(8)]
         for i in range(batch.num_rows):
-            left = a[i].as_py()
+            left = columns[0][i].as_py()
             if left != last:
-                last, kept = left, weighted_shingles(text_a[i].as_py(), idf)
-            yield left, kept, b[i].as_py(), weighted_shingles(text_b[i].as_py(), idf)
+                last, kept = left, rarity_weights(*(c[i].as_py() for c in columns[2:5]), total)
+            yield left, kept, columns[1][i].as_py(), rarity_weights(*(c[i].as_py() for c in columns[5:8]), total)
 
 
 def aligned_parts(raw: bytes, key: int, length: int, gram: int, step: int) -> list[tuple[int, int, int]]:

@@ -8,8 +8,8 @@ differs from the pivot in nearly the same shingles: such pairs meet by their rar
 (prefix filtering, without loss), and are compared in a second round.  A comparison is the exact
 weighted Jaccard similarity of the whole texts.
 
-Document counts for the IDF are kept per hash bucket of shingles, so that they have a fixed size
-whatever the corpus; they cover all documents.
+Document counts for the IDF are those of the single 64-bit shingles over all documents.  Shingles
+travel in packed parts, as many as the corpus needs; only those of more than one document come back.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ BUCKETS = 1 << 20
 #: Pairs of similarity 0.8 agree in fewer of the 36 samples with probability 0.00003.
 LEAST_AGREEMENT = 18
 _PART = 4096  # counts per row of the partial sums
+#: Characters of text for a part of the shingles, and shingles that a task deals out at once.
+PART_CHARACTERS, CHUNK = 8 << 20, 1 << 19
 
 
 def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -77,22 +79,101 @@ def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.nd
     return (1.0 + rarity).astype(np.float32)
 
 
+def with_frequencies(docs: DataFrame) -> DataFrame:
+    """``doc_id, digest, text, common, documents`` for every row of ``docs``.
+
+    ``common`` are the shingles of the text that more than one row has (64-bit integers, rising by
+    their unsigned value), ``documents`` in how many rows each of them occurs.
+    """
+    texts = docs.select("doc_id", text_digest().alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    numbered = settle(texts.withColumn("rid", F.monotonically_increasing_id()))
+    characters = numbered.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = 8 + characters // PART_CHARACTERS
+    form = "part int, rids binary, shingles binary"
+
+    def packed(rows, kinds):
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=[str(k) for k in range(len(kinds))])
+
+    def rename(batch, names):
+        return pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    def deal(batches):
+        kinds, names = [pa.int32(), pa.binary(), pa.binary()], ["part", "rids", "shingles"]
+        rids, found, size = [], [], 0
+
+        def flush():
+            every = np.concatenate(found)
+            rows = kernels.packed_parts(every, parts, np.concatenate(rids), every.view(np.int64))
+            return rename(packed([(p, kernels.stepped(np.frombuffer(r, dtype=np.int64)).tobytes(), f) for p, r, f in rows], kinds), names)
+
+        for batch in kernels.slices(batches):
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                some, _ = kernels.shingles(text)
+                if len(some):
+                    found.append(some)
+                    rids.append(np.full(len(some), rid, dtype=np.int64))
+                    size += len(some)
+                if size >= CHUNK:
+                    yield flush()
+                    rids, found, size = [], [], 0
+        if size:
+            yield flush()
+
+    def count(batches):
+        kinds, names = [pa.int32(), pa.binary(), pa.binary(), pa.binary()], ["part", "rids", "shingles", "documents"]
+        for kept in kernels.unpacked_parts(batches):
+            shingle = np.concatenate([row[1] for row in kept]).view(np.uint64)
+            rid = np.concatenate([np.cumsum(row[0]) for row in kept])
+            _, inverse, counts = np.unique(shingle, return_inverse=True, return_counts=True)
+            n = counts[inverse]
+            common = n > 1
+            if common.any():
+                rid, shingle, n = rid[common], shingle[common], n[common].astype(np.int64)
+                order = np.argsort(rid, kind="stable")
+                rid, shingle, n = rid[order], shingle[order], n[order]
+                key = kernels.mixed(rid.view(np.uint64))
+                rows = kernels.packed_parts(key, parts, rid, shingle.view(np.int64), n)
+                yield rename(packed([(p, kernels.stepped(np.frombuffer(r, dtype=np.int64)).tobytes(), f, k) for p, r, f, k in rows], kinds), names)
+
+    def gather(batches):
+        kinds, names = [pa.int64(), pa.binary(), pa.binary()], ["rid", "common", "documents"]
+        for kept in kernels.unpacked_parts(batches):
+            rid = np.concatenate([np.cumsum(row[0]) for row in kept])
+            shingle = np.concatenate([row[1] for row in kept]).view(np.uint64)
+            n = np.concatenate([row[2] for row in kept])
+            order = np.lexsort((shingle, rid))
+            rid, shingle, n = rid[order], shingle[order], n[order]
+            starts = np.flatnonzero(np.diff(rid, prepend=-1))
+            rows = [
+                (int(rid[low]), shingle[low:high].tobytes(), n[low:high].tobytes())
+                for low, high in zip(starts, [*starts[1:], len(rid)])
+            ]
+            for at in range(0, len(rows), 1000):
+                yield rename(packed(rows[at : at + 1000], kinds), names)
+
+    dealt = numbered.select("rid", "text").mapInArrow(deal, form)
+    counted = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, form + ", documents binary")
+    back = counted.repartition(parts, "part").sortWithinPartitions("part")
+    frequent = back.mapInArrow(gather, "rid bigint, common binary, documents binary")
+    return settle(numbered.join(frequent, "rid", "left").drop("rid"))
+
+
 def text_digest():
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
-def sketches(docs: DataFrame, idf) -> DataFrame:
+def sketches(rich: DataFrame, total: int) -> DataFrame:
     """``doc_id, digest, bands, sketch``; a text without words has neither bands nor sketch.
 
-    ``idf`` is a broadcast variable.
+    ``rich`` is the table of ``with_frequencies`` and ``total`` the number of its rows.
     """
 
     def run(batches):
         sampler = kernels.ConsistentSampler(BANDS * ROWS, SEED)
         for batch in kernels.slices(batches):
             bands, drawn = [], []
-            for text in batch.column(2).to_pylist():
-                found, weights = kernels.weighted_shingles(text or "", idf.value)
+            for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                found, weights, _ = kernels.rarity_weights(*row, total)
                 if not len(found):
                     bands.append(None)
                     drawn.append(None)
@@ -106,7 +187,7 @@ def sketches(docs: DataFrame, idf) -> DataFrame:
             )
 
     form = "doc_id bigint, digest binary, bands array<bigint>, sketch array<bigint>"
-    return docs.select("doc_id", text_digest().alias("digest"), F.col("text").cast("string")).mapInArrow(run, form)
+    return rich.select("doc_id", "digest", "text", "common", "documents").mapInArrow(run, form)
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -117,24 +198,24 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.distinct().join(a, "a").join(b, "b").where(same >= LEAST_AGREEMENT).select("a", "b")
 
 
-def _with_texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``a, b, text_a, text_b`` of distinct pairs of digests."""
+def _with_texts(pairs: DataFrame, nodes: DataFrame, rich: DataFrame) -> DataFrame:
+    """``a, b`` and the texts with their frequencies of distinct pairs of digests."""
     pairs = settle(pairs)
     wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    rows = nodes.join(wanted, "digest").select("digest", F.col("first_id").alias("doc_id"))
+    rows = nodes.join(wanted, "digest").select(F.col("digest").alias("of_digest"), F.col("first_id").alias("of"))
     # One row of the table for each text that is asked for (repeated rows give the same answers twice).
-    keyed = docs.select(F.col("doc_id").alias("of"), text_digest().alias("of_digest"), F.col("text").cast("string"))
     texts = settle(
-        keyed.join(rows, (F.col("of_digest") == F.col("digest")) & F.col("of").eqNullSafe(F.col("doc_id"))).select("digest", "text")
-    )
-    return (
-        pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
+        rich.join(rows, (F.col("of_digest") == F.col("digest")) & F.col("of").eqNullSafe(F.col("doc_id"))).select(
+            "digest", "text", "common", "documents"
+        )
     )
+    names = ["text", "common", "documents"]
+    side = lambda k: texts.select(F.col("digest").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in names])
+    columns = [f"{c}_{k}" for k in ("a", "b") for c in names]
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", *columns)
 
 
-def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float) -> DataFrame:
+def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, rich: DataFrame, total: int, least: float) -> DataFrame:
     """``a, b, similar, leading, alone`` (kernels.difference_prefixes) for pivots ``a`` and members ``b``."""
 
     def batch_of(rows):
@@ -144,8 +225,8 @@ def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, i
 
     def run(batches):
         rows = []
-        for a, left, b, right in kernels.compared_pairs(batches, idf.value):
-            similarity, leading, alone = kernels.difference_prefixes(left, right, least, idf.value)
+        for a, left, b, right in kernels.compared_pairs(batches, total):
+            similarity, leading, alone = kernels.difference_prefixes(left, right, least)
             rows.append((a, b, similarity >= least, leading, alone))
             if len(rows) >= 1000:
                 yield batch_of(rows)
@@ -154,22 +235,22 @@ def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, i
             yield batch_of(rows)
 
     form = "a binary, b binary, similar boolean, leading array<bigint>, alone array<bigint>"
-    return settle(_with_texts(pairs, nodes, docs).mapInArrow(run, form))
+    return settle(_with_texts(pairs, nodes, rich).mapInArrow(run, form))
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float) -> DataFrame:
+def _links(pairs: DataFrame, nodes: DataFrame, rich: DataFrame, total: int, least: float) -> DataFrame:
     """The pairs ``u, v`` whose whole texts have at least the wanted weighted Jaccard similarity."""
 
     def run(batches):
         found = [
             (a, b)
-            for a, left, b, right in kernels.compared_pairs(batches, idf.value)
+            for a, left, b, right in kernels.compared_pairs(batches, total)
             if kernels.weighted_jaccard(left, right) >= least
         ]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["u", "v"])
 
-    return settle(_with_texts(pairs, nodes, docs).mapInArrow(run, "u binary, v binary"))
+    return settle(_with_texts(pairs, nodes, rich).mapInArrow(run, "u binary, v binary"))
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -182,9 +263,9 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     equal rows where the table repeats a row.  Where all ids of a class are null so is its id, and
     its rows of smallest digest are kept.
     """
-    context = docs.sparkSession.sparkContext
-    idf = context.broadcast(inverse_document_frequency(docs))
-    rows = settle(sketches(docs, idf))
+    rich = with_frequencies(docs)
+    total = rich.count()
+    rows = settle(sketches(rich, total))
     nodes = settle(
         rows.where(F.col("bands").isNotNull())
         .groupBy("digest")
@@ -201,7 +282,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     )
     centred = settle(placed.join(pivots, ["band", "hash"]))
     first = centred.where("pivot <> digest").select(F.col("pivot").alias("a"), F.col("digest").alias("b")).distinct()
-    compared = _compared_with_pivots(first, nodes, docs, idf, least)
+    compared = _compared_with_pivots(first, nodes, rich, total, least)
     links = compared.where("similar").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
     # Second round: members that are not similar to a pivot, with the other members of its bands.
@@ -216,7 +297,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
         .where("root_x <> root_y")
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     )
-    more = _links(_agreeing(second, nodes), nodes, docs, idf, least)
+    more = _links(_agreeing(second, nodes), nodes, rich, total, least)
     roots = smallest_reachable(of.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     return _classes(rows, settle(roots))
 

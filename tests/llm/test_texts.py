@@ -289,6 +289,39 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept.count() == len(groups)
 
 
+def test_frequencies_are_those_of_single_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PART_CHARACTERS", 20_000)
+    monkeypatch.setattr(minhash, "CHUNK", 3000)
+    # Other texts whose only shingle falls into the bucket of a shingle that the pair shares.
+    left = words(900, 24).split()
+    right = left[:-1] + ["other"]
+    buckets = collections.defaultdict(list)
+    targets = kernels.shingles(" ".join(left[:-1]))[0] % np.uint64(minhash.BUCKETS)
+    for i in range(400_000):
+        buckets[int(kernels.shingles(f"one two three four w{i}")[0][0]) % minhash.BUCKETS].append(i)
+    clash = [i for t in targets.tolist() for i in buckets[t]]
+    assert clash
+    some = rows() + [(500, " ".join(left), "en", "a"), (501, " ".join(right), "en", "a")]
+    some += [(1000 + i, f"one two three four w{i}", "en", "a") for i in clash]
+    counts = collections.Counter(s for _, t, *_ in some for s in kernels.shingles(t or "")[0].tolist())
+    out = minhash.with_frequencies(documents(spark, some)).collect()
+    assert len(out) == len(some)
+    for r in out:
+        found, weights, idf = kernels.rarity_weights(r.text, r.common, r.documents, len(some))
+        n = np.array([counts[s] for s in found.tolist()])
+        assert np.allclose(idf, 1 + np.log1p(len(some) / np.maximum(n, 1)) / np.log1p(len(some)))
+        assert np.allclose(weights, kernels.shingles(r.text)[1] * idf)
+    # The operator agrees with the exact similarity, which the counts of buckets miss.
+    exact = {r.doc_id: kernels.rarity_weights(r.text, r.common, r.documents, len(some)) for r in out}
+    docs = documents(spark, some)
+    bucketed = minhash.inverse_document_frequency(docs)
+    fades = [kernels.weighted_shingles(" ".join(t), bucketed) for t in (left, right)]
+    similarity, faded = kernels.weighted_jaccard(exact[500], exact[501]), kernels.weighted_jaccard(*fades)
+    assert faded < similarity
+    classes = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, (faded + similarity) / 2).collect()}
+    assert classes[501] == classes[500] == 500
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(empty(spark)).collect() == []
     assert minhash.keep_first(empty(spark)).collect() == []
