@@ -162,8 +162,8 @@ def score_table(spark, folder):
     return Score.score_rows(generation_rows(spark, folder), PARAMS)
 
 
-def long_rows(spark, folder):
-    return Score.scores_long(score_table(spark, folder), metrics=SQL_METRICS)
+def long_rows(spark, folder, metrics=SQL_METRICS):
+    return Score.scores_long(score_table(spark, folder), metrics=metrics)
 
 
 @query(
@@ -218,8 +218,8 @@ def rounded(df, *columns):
     + """SELECT metric, n, round(base_average, 6) AS base_average, round(lora_average, 6) AS lora_average, is_binary,
          higher AS higher_is_better FROM summary""",
 )
-def metric_summary(spark, folder):
-    summary = Summary.metric_summary(long_rows(spark, folder))
+def metric_summary(spark, folder, metrics=SQL_METRICS):
+    summary = Summary.metric_summary(long_rows(spark, folder, metrics))
     return rounded(
         summary.select("metric", "n", "base_average", "lora_average", "is_binary", "higher_is_better"),
         "base_average",
@@ -233,8 +233,8 @@ def metric_summary(spark, folder):
     + """SELECT metric, round(improvement, 6) AS improvement, round(improvement / nullif(abs(base_average), 0) * 100, 6) AS improvement_pct
          FROM summary""",
 )
-def improvement(spark, folder):
-    summary = Summary.metric_summary(long_rows(spark, folder))
+def improvement(spark, folder, metrics=SQL_METRICS):
+    summary = Summary.metric_summary(long_rows(spark, folder, metrics))
     return rounded(summary.select("metric", "improvement", "improvement_pct"), "improvement", "improvement_pct")
 
 
@@ -260,8 +260,8 @@ def valid_only_average(spark, folder):
     "metric_registry",
     SCORES + "SELECT DISTINCT metric, higher AS higher_is_better, is_binary FROM long_scores",
 )
-def metric_registry(spark, folder):
-    present = long_rows(spark, folder).select("metric").distinct()
+def metric_registry(spark, folder, metrics=SQL_METRICS):
+    present = long_rows(spark, folder, metrics).select("metric").distinct()
     return Summary.with_registry(present).select("metric", "higher_is_better", "is_binary")
 
 
@@ -286,8 +286,8 @@ def win_tie_loss(spark, folder):
     SELECT metric, candidate, round(v[1], 6) AS minimum, round(v[2], 6) AS q1, round(v[3], 6) AS median, round(v[4], 6) AS q3,
            round(v[5], 6) AS maximum, round(v[2] - 1.5 * (v[4] - v[2]), 6) AS low_fence, round(v[4] + 1.5 * (v[4] - v[2]), 6) AS high_fence FROM q""",
 )
-def five_number(spark, folder):
-    stats = Summary.five_number(long_rows(spark, folder))
+def five_number(spark, folder, metrics=SQL_METRICS):
+    stats = Summary.five_number(long_rows(spark, folder, metrics))
     return rounded(stats, "minimum", "q1", "median", "q3", "maximum", "low_fence", "high_fence")
 
 
@@ -302,8 +302,8 @@ def five_number(spark, folder):
            (SELECT count(*) FILTER (WHERE d.x IS NULL OR isinf(d.x) OR isnan(d.x)) FROM d WHERE d.metric = s.metric) AS non_finite
     FROM span s CROSS JOIN range(30) b(bin) LEFT JOIN binned x ON x.metric = s.metric AND x.bin = b.bin GROUP BY s.metric, b.bin, low, high""",
 )
-def diff_hist(spark, folder):
-    return rounded(Summary.difference_histogram(long_rows(spark, folder)), "left_edge")
+def diff_hist(spark, folder, metrics=SQL_METRICS):
+    return rounded(Summary.difference_histogram(long_rows(spark, folder, metrics)), "left_edge")
 
 
 @query(
@@ -314,9 +314,9 @@ def diff_hist(spark, folder):
          round(CASE WHEN greatest(max(base), max(lora)) > 25 THEN 25.0::DOUBLE ELSE greatest(max(base), max(lora)) * 1.1::DOUBLE END, 6) AS display_bound
          FROM long_scores WHERE NOT is_binary GROUP BY metric""",
 )
-def diff_summary(spark, folder):
+def diff_summary(spark, folder, metrics=SQL_METRICS):
     return rounded(
-        Summary.difference_summary(long_rows(spark, folder)), "mean_difference", "max_score", "display_bound"
+        Summary.difference_summary(long_rows(spark, folder, metrics)), "mean_difference", "max_score", "display_bound"
     )
 
 
@@ -326,8 +326,8 @@ def diff_summary(spark, folder):
     + """SELECT example_id, metric, round(base, 6) AS base, round(lora, 6) AS lora,
          CASE WHEN abs(lora - base) < 1e-12 THEN 'tie' WHEN lora > base THEN 'above' ELSE 'below' END AS side FROM long_scores""",
 )
-def paired_scores(spark, folder):
-    return rounded(Summary.paired_scores(long_rows(spark, folder)), "base", "lora")
+def paired_scores(spark, folder, metrics=SQL_METRICS):
+    return rounded(Summary.paired_scores(long_rows(spark, folder, metrics)), "base", "lora")
 
 
 @query(
@@ -337,14 +337,31 @@ def paired_scores(spark, folder):
          UNION ALL SELECT 'evaluate.' || metric || '.lora', round(lora_average, 6) FROM summary
          UNION ALL SELECT 'evaluate.' || metric || '.improvement', round(improvement, 6) FROM summary""",
 )
-def metrics_long(spark, folder):
-    return rounded(Summary.metric_rows(Summary.metric_summary(long_rows(spark, folder))), "value")
+def metrics_long(spark, folder, metrics=SQL_METRICS):
+    return rounded(Summary.metric_rows(Summary.metric_summary(long_rows(spark, folder, metrics))), "value")
 
 
 @query("report_json")
 def report_json(spark, folder):
     stamp = F.lit("2024-01-01T00:00:00")
-    return Summary.report_json(Summary.metric_summary(long_rows(spark, folder)), "checkpoint-1", stamp)
+    return Summary.report_json(Summary.metric_summary(long_rows(spark, folder, None)), "checkpoint-1", stamp)
+
+
+# The SQL above knows no CodeBLEU; these have all six metrics, and no SQL.
+
+
+@query("score_rows_all")
+def score_rows_all(spark, folder):
+    names = [f"{c}_{m}" for c in Score.CANDIDATES for m, _, _ in Score.METRICS]
+    return score_table(spark, folder).select("example_id", "codebleu_valid", *[F.round(n, 6).alias(n) for n in names])
+
+
+def _all_metrics(of):
+    query(f"{of.__name__}_all")(lambda spark, folder: of(spark, folder, metrics=None))
+
+
+for _of in (metric_summary, improvement, metric_registry, five_number, diff_hist, diff_summary, paired_scores, metrics_long):
+    _all_metrics(_of)
 
 
 # ---------------------------------------------------------------- volume checks

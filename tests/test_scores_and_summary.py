@@ -199,3 +199,26 @@ def test_a_metric_of_ones_own_reaches_the_summary(spark):
     summary = {r["metric"]: r for r in S.metric_summary(long, own).collect()}
     assert summary["missing"]["improvement"] == 1.0 and "exact_match" in summary
     assert {r["metric"]: r["improvement"] for r in S.metric_summary(long).collect()}["missing"] is None
+
+
+def test_summaries_have_codebleu_with_its_validity(spark, monkeypatch):
+    from gapweave.queries import QUERIES, evaluation
+
+    code = "int f(int n) {\n    int s = 0;\n    for (int k = 0; k < n; k++) {\n        s += k;\n    }\n    return s;\n}"
+    some = [(i, code, code.replace("k", "j"), code[: 40 + i], 2.0, 1.5) for i in range(4)] + [(9, "", code, "x", 2.0, 3.0)]
+    names = "example_id long, reference_middle string, base_generated_middle string, lora_generated_middle string, base_perplexity double, lora_perplexity double"
+    monkeypatch.setattr(evaluation, "generation_rows", lambda spark, folder: spark.createDataFrame(some, names))
+    rows = QUERIES["score_rows_all"](spark, "").collect()
+    valid = [r for r in rows if r.codebleu_valid is not False]
+    assert 0 < len(valid) < len(rows)
+    summary = {r.metric: r for r in QUERIES["metric_summary_all"](spark, "").collect()}
+    assert len(summary) == 6 and summary["codebleu"].n == len(valid) and summary["exact_match"].n == len(rows)
+    for side in ("base", "lora"):
+        want = sum(r[f"{side}_codebleu"] for r in valid) / len(valid)
+        assert summary["codebleu"][f"{side}_average"] == pytest.approx(want, abs=2e-6)
+    paired = QUERIES["paired_scores_all"](spark, "").collect()
+    assert sum(r.metric == "codebleu" for r in paired) == len(valid)
+    assert "codebleu" in str(QUERIES["report_json"](spark, "").collect())
+    for name in ("improvement", "metric_registry", "five_number", "diff_hist", "diff_summary"):
+        assert "codebleu" in {r.metric for r in QUERIES[f"{name}_all"](spark, "").select("metric").collect()}
+    assert "evaluate.codebleu.base" in {r.name for r in QUERIES["metrics_long_all"](spark, "").collect()}
