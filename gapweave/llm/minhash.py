@@ -26,8 +26,6 @@ LEAST_SIMILARITY = 0.8
 #: At a similarity of 0.8 all 12 bands of 3 samples miss a pair with probability 0.0004.
 BANDS, ROWS, SEED = 12, 3, 41
 BUCKETS = 1 << 20
-#: Pairs of similarity 0.8 agree in fewer of the 36 samples with probability 0.00003.
-LEAST_AGREEMENT = 18
 _PART = 4096  # counts per row of the partial sums
 #: Characters of text for a part of the shingles, and shingles that a task deals out at once.
 PART_CHARACTERS, CHUNK = 8 << 20, 1 << 19
@@ -163,7 +161,7 @@ def text_digest():
 
 
 def sketches(rich: DataFrame, total: int) -> DataFrame:
-    """``doc_id, digest, bands, sketch``; a text without words has neither bands nor sketch.
+    """``doc_id, digest, bands``; a text without words has no bands.
 
     ``rich`` is the table of ``with_frequencies`` and ``total`` the number of its rows.
     """
@@ -171,33 +169,22 @@ def sketches(rich: DataFrame, total: int) -> DataFrame:
     def run(batches):
         sampler = kernels.ConsistentSampler(BANDS * ROWS, SEED)
         for batch in kernels.slices(batches):
-            bands, drawn = [], []
+            bands = []
             for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
                 found, weights, _ = kernels.rarity_weights(*row, total)
                 if not len(found):
                     bands.append(None)
-                    drawn.append(None)
                     continue
-                sketch = sampler.sketch(found, weights)
-                bands.append(kernels.band_hashes(sketch, ROWS).view(np.int64).tolist())
-                drawn.append(sketch.view(np.int64).tolist())
+                bands.append(kernels.band_hashes(sampler.sketch(found, weights), ROWS).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(drawn, pa.list_(pa.int64()))],
-                ["doc_id", "digest", "bands", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "bands"],
             )
 
-    form = "doc_id bigint, digest binary, bands array<bigint>, sketch array<bigint>"
+    form = "doc_id bigint, digest binary, bands array<bigint>"
     return rich.select("doc_id", "digest", "text", "common", "documents").mapInArrow(run, form)
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs ``a, b`` whose sketches agree in enough samples."""
-    a = nodes.select(F.col("digest").alias("a"), F.col("sketch").alias("sketch_a"))
-    b = nodes.select(F.col("digest").alias("b"), F.col("sketch").alias("sketch_b"))
-    same = F.size(F.filter(F.zip_with("sketch_a", "sketch_b", lambda x, y: x == y), lambda equal: equal))
-    return pairs.distinct().join(a, "a").join(b, "b").where(same >= LEAST_AGREEMENT).select("a", "b")
-
-
 def _with_texts(pairs: DataFrame, nodes: DataFrame, rich: DataFrame) -> DataFrame:
     """``a, b`` and the texts with their frequencies of distinct pairs of digests."""
     pairs = settle(pairs)
@@ -269,7 +256,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     nodes = settle(
         rows.where(F.col("bands").isNotNull())
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     )
     members = nodes.select("digest", F.posexplode("bands").alias("band", "hash"))
     crowded = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -297,7 +284,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
         .where("root_x <> root_y")
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     )
-    more = _links(_agreeing(second, nodes), nodes, rich, total, least)
+    more = _links(second.distinct(), nodes, rich, total, least)
     roots = smallest_reachable(of.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     return _classes(rows, settle(roots))
 

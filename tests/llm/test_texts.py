@@ -345,3 +345,21 @@ def test_licences_survive_their_variants(spark):
     assert all(out[i].license is None and out[i].notices == "" for i, *_ in rows())
     assert out[5].digest == out[6].digest == hashlib.md5(b"").hexdigest()
     assert licenses.scan(empty(spark)).collect() == []
+
+
+def test_links_of_the_second_round_need_no_agreement(spark):
+    # Groups with a similarity far below one half of agreeing samples.
+    some = []
+    for group in range(60):
+        pool = [words(5000 + 10 * group + k, 12) for k in range(6)]
+        rng = np.random.default_rng(group)
+        some += [(10 * group + k, " ".join(pool[j] for j in rng.permutation(6)[:4]), "en", "a") for k in range(6)]
+    docs, least = documents(spark, some), 0.4
+    rich = minhash.with_frequencies(docs)
+    weighted = {r.doc_id: kernels.rarity_weights(r.text, r.common, r.documents, len(some)) for r in rich.collect()}
+    sampler = kernels.ConsistentSampler(minhash.BANDS * minhash.ROWS, minhash.SEED)
+    bands = {i: kernels.band_hashes(sampler.sketch(f, w), minhash.ROWS) for i, (f, w, _) in weighted.items()}
+    classes = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, least).collect()}
+    pairs = [(i, j) for i in bands for j in bands if i // 10 == j // 10 and i < j and (bands[i] == bands[j]).any()]
+    similar = [(i, j) for i, j in pairs if kernels.weighted_jaccard(weighted[i], weighted[j]) >= least]
+    assert similar and all(classes[i] == classes[j] for i, j in similar)
