@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
+from gapweave.llm import embeddings, infill, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,18 @@ def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+@query("op12_infill", infill.INFILL_SQL)
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with a middle moved to the end, and the texts rebuilt from that."""
+    rows = infill.infill(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("bigint").alias("prefix_chars"),
+        F.length("middle").cast("bigint").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
