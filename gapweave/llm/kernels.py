@@ -617,3 +617,87 @@ def aligned_parts(raw: bytes, key: int, length: int, gram: int, step: int) -> li
         name = xxhash.xxh3_64_intdigest(raw[shared : shared + length - step + 1], seed=(key * 1000003 + int(ring[first])) % 2**64)
         out.append((first, end - first, name - (1 << 63)))
     return out
+
+
+# --- exact duplicates --------------------------------------------------------------------------
+
+def one_blank(text: str) -> str:
+    """Every run of white space (tab to carriage return, blank) as one blank."""
+    import re
+
+    # Runs that are one blank already need no change.
+    pattern = once("one_blank", lambda: re.compile("[\t-\r][ \t-\r]*| [ \t-\r]+"))
+    return pattern.sub(" ", text)
+
+
+def fingerprint(content: bytes) -> int:
+    """A signed 64-bit hash."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(content) - (1 << 63)
+
+
+def sha256(content: bytes) -> bytes:
+    import hashlib
+
+    return hashlib.sha256(content).digest()
+
+
+class ContentTable:
+    """Open addressing with linear probing; entries are equal only if their complete contents are."""
+
+    def __init__(self):
+        self.slots, self.prints, self.contents, self.held = [-1] * 64, [], [], 0
+
+    def place(self, mark: int, content: bytes) -> int:
+        """The number of the content's entry, a new one (the next number) where it has none."""
+        slots, mask = self.slots, len(self.slots) - 1
+        at = mark & mask
+        while (k := slots[at]) >= 0:
+            if self.prints[k] == mark and self.contents[k] == content:
+                return k
+            at = (at + 1) & mask
+        slots[at] = k = len(self.contents)
+        self.prints.append(mark)
+        self.contents.append(content)
+        self.held += len(content)
+        if 3 * len(self.contents) > 2 * len(slots):
+            self._grow()
+        return k
+
+    def full(self, most: int) -> bool:
+        """More than ``most`` bytes are held; a single content may be longer."""
+        return self.held > most and len(self.contents) > 1
+
+    def _grow(self):
+        mask = 2 * len(self.slots) - 1
+        self.slots = [-1] * (mask + 1)
+        for k, mark in enumerate(self.prints):
+            at = mark & mask
+            while self.slots[at] >= 0:
+                at = (at + 1) & mask
+            self.slots[at] = k
+
+
+def merged_records(places: list[int], lows: list[tuple], counts: list[int], entries: int) -> list[tuple]:
+    """For every entry of a table the least of ``lows`` (no id, id, record) and the sum of ``counts``."""
+    least, total = [None] * entries, [0] * entries
+    for k, low, n in zip(places, lows, counts):
+        total[k] += n
+        if least[k] is None or (low[0], low[1] or 0, low[2]) < (least[k][0], least[k][1] or 0, least[k][2]):
+            least[k] = low
+    return list(zip(least, total))
+
+
+def record_batches(rows: list[tuple], kinds: list, size_at: int | None = None, most: int = 8 << 20):
+    """Record batches of the rows; ``size_at`` is the place of a row's size in bytes, ``most`` about the bytes of a batch."""
+    import pyarrow as pa
+
+    names = [str(k) for k in range(len(kinds))]
+    start, held = 0, 0
+    for k, row in enumerate(rows):
+        held += row[size_at] if size_at is not None else 0
+        if held >= most or k + 1 - start >= 10_000 or k + 1 == len(rows):
+            columns = zip(*rows[start : k + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
+            start, held = k + 1, 0

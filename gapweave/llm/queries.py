@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, infill, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
+from gapweave.llm import embeddings, exact, infill, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,9 @@ def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("output", 256).alias("output_sha256"),
         F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query("op11_exact", exact.EXACT_SQL)
+def op11_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of equal texts among all documents."""
+    return exact.duplicates(table(spark, folder, "documents"))
