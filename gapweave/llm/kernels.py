@@ -33,20 +33,44 @@ def slices(batches, rows: int = 256):
 # --- packing ---------------------------------------------------------------------------------
 
 
-def byte_bpe(path: str):
-    """The byte-level vocabulary of a ``.tiktoken`` file as an encoder of ordinary text."""
+def byte_bpe(path: str, file: str | None = None):
+    """The byte-level vocabulary of a ``.tiktoken`` file as an encoder of ordinary text.
+
+    ``file`` is the same vocabulary for the ``tokenizers`` library, which reads what the rank
+    file's library can't: very long runs of white space.
+    """
 
     def load():
+        return _ByteEncoder(path, file)
+
+    return once(("byte_bpe", path, file), load)
+
+
+class _ByteEncoder:
+    def __init__(self, path: str, file: str | None):
         import base64
+        import re
 
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding(
+            "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={}
+        )
+        self.file, self.other = file, None
+        self.long_space = re.compile(r"\s{10000}")
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        if self.file is None or len(text) < 10_000 or not self.long_space.search(text):
+            return self.encoding.encode_ordinary(text)
+        if self.other is None:
+            from tokenizers import Tokenizer
 
-    return once(("byte_bpe", path), load)
+            self.other = Tokenizer.from_file(self.file)
+            self.other.encode_special_tokens = True
+        return self.other.encode(text, add_special_tokens=False).ids
 
 
 def binary_lengths(n: int, largest: int) -> list[int]:
@@ -701,3 +725,50 @@ def record_batches(rows: list[tuple], kinds: list, size_at: int | None = None, m
             columns = zip(*rows[start : k + 1])
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names)
             start, held = k + 1, 0
+
+
+# --- alignment of two tokenizers -----------------------------------------------------------------
+
+
+class _Tokens:
+    """A tokenizer's ids of a list of texts, and its tokens' bytes, sizes and ids in decimal, place by place."""
+
+    def __init__(self, encode, token_bytes: list[bytes]):
+        import pyarrow as pa
+
+        self.encode = encode
+        self.bytes = pa.array(token_bytes, pa.binary())
+        self.sizes = pa.array([len(t) for t in token_bytes], pa.int64())
+        self.numerals = pa.array([str(k) for k in range(len(token_bytes))])
+
+
+def byte_tokens(ranks: str, file: str) -> _Tokens:
+    """Tokenizer A: a blank and the text by the byte-level vocabulary."""
+
+    def load():
+        encoder = byte_bpe(ranks, file)
+        token_bytes = [b""] * (max(encoder.ranks.values()) + 1)
+        for token, k in encoder.ranks.items():
+            token_bytes[k] = token
+        return _Tokens(lambda texts: [encoder.encode_ordinary(" " + t) for t in texts], token_bytes)
+
+    return once(("byte_tokens", ranks, file), load)
+
+
+def piece_tokens(file: str) -> _Tokens:
+    """Tokenizer B: the pieces of the model, which puts a blank before the text itself."""
+
+    def load():
+        import re
+
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=file)
+        token_bytes = []
+        for k in range(model.get_piece_size()):
+            piece = model.id_to_piece(k)
+            byte = re.fullmatch(r"<0x([0-9A-F]{2})>", piece)
+            token_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("\u2581", " ").encode())
+        return _Tokens(lambda texts: model.encode(texts, num_threads=1), token_bytes)
+
+    return once(("piece_tokens", file), load)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gapweave.llm import embeddings, exact, infill, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
+from gapweave.llm import alignment, embeddings, exact, infill, languages, licenses, minhash, mixing, packing, pii, repeats, sharding, topk
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,11 @@ def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
 def op11_exact(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts among all documents."""
     return exact.duplicates(table(spark, folder, "documents"))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers over all documents."""
+    return alignment.alignments(table(spark, folder, "documents"), with_groups=False).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
