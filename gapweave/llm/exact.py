@@ -26,7 +26,7 @@ from gapweave.llm.common import as_row, row_columns
 from gapweave.operators.settle import settle
 
 #: Bytes of different contents that a task holds in its table.
-FIT = 64 << 20
+FIT = 32 << 20
 #: Into how many parts the records of one text in a large bucket are dealt before they are merged.
 SALTS = 16
 _ROWS = 1 << 18
@@ -153,7 +153,7 @@ def _answers(records: DataFrame) -> DataFrame:
 def _groups_of_records(records: DataFrame, fit: int, level: int = 0) -> DataFrame:
     """``_answers`` for all records, level by level."""
     total = records.agg(F.sum("size")).first()[0] or 0
-    buckets = 1 + 2 * total // fit
+    buckets = 1 + 4 * total // fit
     # Another hash at every level: the level is hashed with the fingerprint.
     records = records.withColumn("path", F.pmod(F.xxhash64("fingerprint", F.lit(level)), F.lit(buckets)))
     sizes = records.groupBy("path").agg(
@@ -164,7 +164,7 @@ def _groups_of_records(records: DataFrame, fit: int, level: int = 0) -> DataFram
     large = sizes.where((F.col("bytes") > fit) & divisible).select("path")
     if large.isEmpty():
         return _answers(records)
-    # A large bucket has more than `fit` bytes, so there are total / fit of them at most: 8 bytes for every 64 MB.
+    # A large bucket has more than `fit` bytes, so there are total / fit of them at most: 8 bytes for every 32 MB.
     large = F.broadcast(large)
     fitting = _answers(records.join(large, "path", "left_anti"))
     spilled = settle(_respilled(records.join(large, "path"), fit))
