@@ -1,26 +1,20 @@
-"""CodeBLEU as one SQL expression: n-grams, keyword-weighted n-grams, syntax, data flow.
+"""CodeBLEU: n-grams, keyword-weighted n-grams, trees, data flow.
 
-The syntax part compares statement shapes (names and numbers blanked), the data-flow part
-compares variable uses and "computed from" pairs under names numbered by first appearance.
-Both are lexical; a parser-backed variant can be plugged in through ``overlap_recall``.
+The syntax part compares the trees of brackets and statements, the data-flow part the edges from
+definitions to uses, see ``codeflow``.  Both read tokens, not a grammar.  Every text is read once,
+in Arrow batches; what is compared are sets of hashes.
 
 Arguments are column names or SQL expressions.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gapweave.functions.arrays import gram_lists, multiset_overlap
-from gapweave.functions.metrics import (
-    CODEBLEU_LANGUAGES,
-    bleu_text,
-    gram_hits,
-    keyword_bleu_text,
-    keyword_tokens,
-    overlap_recall,
-)
-from gapweave.functions.sqltext import keep, let, lit, regexp_extract_all, regexp_replace, squeeze, transform
+from gapweave.functions import codeflow
+from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_text, keyword_bleu_text
+from gapweave.functions.sqltext import let
 
 # Reserved words shared by most of the supported languages, then additions.
 SHARED_KEYWORDS = (
@@ -38,127 +32,61 @@ EXTRA_KEYWORDS = {
     "ruby": "and begin def elsif end ensure module nil not or rescue self then unless until when yield".split(),
     "php": "abstract array as echo elseif extends foreach function global implements namespace private protected public use var".split(),
 }
-HASH_COMMENTS = ("python", "ruby", "php")
-NAME = r"[A-Za-z_]\w*"
+
+# The type of what is kept of one text.
+SIDE = (
+    "n_words int, g1 array<bigint>, g2 array<bigint>, g3 array<bigint>, g4 array<bigint>, keywords array<bigint>, "
+    "trees array<bigint>, edges array<bigint>"
+)
 
 
 def keywords(language: str) -> list[str]:
     return SHARED_KEYWORDS + EXTRA_KEYWORDS.get(language, [])
 
 
-def _is_keyword(token: str, language: str) -> str:
-    return f"{token} in ({', '.join(lit(k) for k in keywords(language))})"
-
-
-def _without_comments(text: str, language: str) -> str:
-    comment = r"#[^\n]*" if language in HASH_COMMENTS else r"//[^\n]*|(?s:/\*.*?\*/)"
-    literal = r'"[^"\\\n]*+(?:\\[^\n][^"\\\n]*+)*+"' + r"|'[^'\\\n]*+(?:\\[^\n][^'\\\n]*+)*+'"
-    return regexp_replace(regexp_replace(text, literal, '""'), comment, " ")
-
-
-def _statements(code: str, language: str) -> str:
-    """Statements of comment-free code, white space squeezed."""
-    end = r"[;{}\n]" if language in ("python", "ruby") else r"[;{}]"
-    return keep(transform(f"split({code}, {lit(end)})", squeeze), lambda s: f"{s} <> ''")
-
-
-def syntax_shapes(code: str, language: str) -> str:
-    """Statements with every name replaced by ``v`` and every number by ``0``."""
-
-    def shape(statement: str) -> str:
-        tokens = regexp_extract_all(statement, rf"{NAME}|\d[\w.]*|[^\w\s]")
-        blanked = transform(
-            tokens,
-            lambda t: f"case when {_is_keyword(t, language)} then {t} "
-            f"when {t} rlike '^[A-Za-z_]' then 'v' when {t} rlike '^[0-9]' then '0' else {t} end",
-        )
-        return f"array_join({blanked}, ' ')"
-
-    return transform(_statements(code, language), shape)
-
-
-def _variables(code: str, language: str) -> str:
-    found = regexp_extract_all(code, r"[A-Za-z_]\w*+(?!\s*\()")
-    return keep(found, lambda t: f"not ({_is_keyword(t, language)})")
-
-
-def _numbered(names: str, order: str) -> str:
-    return transform(names, lambda t: f"concat('v', array_position({order}, {t}))")
-
-
-def flow(code: str, language: str) -> str:
-    """Struct of variable occurrences, number of variables and "computed from" pairs."""
-    assign = rf"({NAME})\s*(?:\[[^\]]*\]\s*)?(?:[-+*/%&|^:]|<<|>>)?=(?!=)"
-    right_side = r"(?s)(?<![=!<>])=(?!=)(.*)"
-
-    def number(v: str) -> str:
-        def pairs(statement: str) -> str:
-            target = f"concat('v', array_position({v}.names, regexp_extract({statement}, {lit(assign)}, 1)), '<-')"
-            sources = _numbered(
-                _variables(f"regexp_extract({statement}, {lit(right_side)}, 1)", language), f"{v}.names"
-            )
-            return (
-                f"if({statement} rlike {lit(assign)}, {transform(sources, lambda x: f'concat({target}, {x})')}, "
-                "cast(array() as array<string>))"
-            )
-
-        return (
-            f"named_struct('uses', {_numbered(f'{v}.found', f'{v}.names')}, 'n_vars', size({v}.names), "
-            f"'pairs', flatten({transform(_statements(code, language), pairs)}))"
-        )
-
-    return let(
-        _variables(code, language),
-        lambda found: let(f"named_struct('found', {found}, 'names', array_distinct({found}))", number),
-    )
-
-
-def _flow_size(f: str) -> str:
-    # The first occurrence of a variable defines it, all later ones use it.
-    return f"(size({f}.uses) - {f}.n_vars + size({f}.pairs))"
-
-
-def flow_match(ref_flow: str, pred_flow: str) -> str:
-    uses = f"{multiset_overlap(f'{pred_flow}.uses', f'{ref_flow}.uses')} - least({pred_flow}.n_vars, {ref_flow}.n_vars)"
-    pairs = multiset_overlap(f"{pred_flow}.pairs", f"{ref_flow}.pairs")
-    return f"if({_flow_size(ref_flow)} = 0, 0D, ({uses} + {pairs}) / {_flow_size(ref_flow)})"
-
-
 def side(text: str, language: str) -> Column:
-    """All that the score needs of one text: n-gram lists, statement shapes, data flow.
+    """All that the score needs of one text, as sets of hashes: runs of words, key words, trees, data flow.
 
     Compute it once per text as a column of its own; the reference side serves every candidate.
     """
-    tokens = keep(f"split({squeeze(text)}, ' ')", lambda t: f"{t} <> ''")
-    built = let(
-        _without_comments(text, language),
-        lambda c: f"named_struct('grams', {gram_lists(tokens, 4)}, 'shapes', {syntax_shapes(c, language)}, "
-        f"'keywords', {keyword_tokens(tokens, keywords(language))}, 'flow', {flow(c, language)})",
-    )
-    return F.expr(built)
+    listed = frozenset(keywords(language))
+
+    def run(texts: pa.Array) -> pa.Array:
+        return codeflow.sides(texts, language, listed)
+
+    return F.arrow_udf(run, SIDE)(F.expr(text).cast("string"))
 
 
 def scorable(ref_side: str, language: str) -> Column:
-    """Supported language, and a reference with at least one statement and one data-flow edge."""
+    """Supported language, and a reference with at least one tree and one data-flow edge."""
     if language not in CODEBLEU_LANGUAGES:
         return F.lit(False)
-    return F.expr(f"coalesce(size({ref_side}.shapes) > 0 and {_flow_size(f'{ref_side}.flow')} > 0, false)")
+    return F.expr(f"coalesce(size({ref_side}.trees) > 0 and size({ref_side}.edges) > 0, false)")
+
+
+def _shared(left: str, right: str) -> str:
+    # Copies of an item are different items of the set, so this is the clipped overlap.
+    return f"cast(size(array_intersect({left}, {right})) as double)"
+
+
+def _recall(ref: str, pred: str) -> str:
+    return f"if(size({ref}) = 0, 0D, {_shared(pred, ref)} / size({ref}))"
 
 
 def codebleu(ref_side: str, pred_side: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
     """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
     r, p = ref_side, pred_side
+    r_grams, p_grams = f"array({r}.g1)", f"array({p}.g1)"
 
     def n_gram_parts(h: str) -> str:
-        keyword_hits = multiset_overlap(f"{p}.keywords", f"{r}.keywords")
-        plain = bleu_text(f"{r}.grams", f"{p}.grams", h)
-        weighted = keyword_bleu_text(f"{r}.grams", f"{p}.grams", h, keyword_hits, f"size({r}.keywords)")
+        plain = bleu_text(r_grams, p_grams, h)
+        weighted = keyword_bleu_text(r_grams, p_grams, h, _shared(f"{p}.keywords", f"{r}.keywords"), f"size({r}.keywords)")
         return f"{float(weights[0])}D * {plain} + {float(weights[1])}D * {weighted}"
 
+    hits = f"array({', '.join(_shared(f'{p}.g{k}', f'{r}.g{k}') for k in range(1, 5))})"
     total = (
-        f"{let(gram_hits(f'{r}.grams', f'{p}.grams'), n_gram_parts)}"
-        f" + {float(weights[2])}D * {overlap_recall(f'{r}.shapes', f'{p}.shapes')}"
-        f" + {float(weights[3])}D * {flow_match(f'{r}.flow', f'{p}.flow')}"
+        f"{let(hits, n_gram_parts)} + {float(weights[2])}D * {_recall(f'{r}.trees', f'{p}.trees')}"
+        f" + {float(weights[3])}D * {_recall(f'{r}.edges', f'{p}.edges')}"
     )
     return F.expr(f"coalesce({total}, 0D)")
 
