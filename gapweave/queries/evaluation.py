@@ -10,6 +10,8 @@ from gapweave.operators import scoring as Score, summary as Summary, train_log a
 from gapweave.params import EvalParams, FimParams
 from gapweave.plans.preprocess import file_blocks
 from gapweave.queries import derive as D, sql as Q
+from gapweave.queries.codebleu_sql import code_scores_sql
+from gapweave.queries.corpus import brace_sql
 from gapweave.queries.registry import query
 from gapweave.sources.tables import table
 
@@ -180,7 +182,23 @@ def score_rows(spark, folder):
     )
 
 
-@query("codebleu_rows")
+BRACED_CODE_SQL = r"""
+code_rows AS (
+  SELECT n.file_id::VARCHAR || ':' || n.node_id::VARCHAR AS example_id,
+         decode(unhex(substr(hex(encode(f.text)), 2 * n.start_byte + 1, 2 * (n.end_byte - n.start_byte)))) AS code
+  FROM brace_nodes n JOIN braced f USING (file_id) WHERE n.type = 'definition' AND n.depth <= 2),
+code_pairs AS (
+  SELECT example_id, 'base' AS candidate, code AS ref, replace(code, 'k', 'j') AS pred FROM code_rows
+  UNION ALL SELECT example_id, 'lora', code, regexp_replace(code, '(?s)for .*', 'return n;' || chr(10) || '}') FROM code_rows)"""
+
+
+@query(
+    "codebleu_rows",
+    Q.with_(D.BRACED_SQL, brace_sql("braced"), BRACED_CODE_SQL, code_scores_sql("c"))
+    + """SELECT example_id, bool_and(valid) AS codebleu_valid,
+         round(max(codebleu) FILTER (WHERE candidate = 'base'), 6) AS base_codebleu,
+         round(max(codebleu) FILTER (WHERE candidate = 'lora'), 6) AS lora_codebleu FROM code_scores GROUP BY example_id""",
+)
 def codebleu_rows(spark, folder):
     """CodeBLEU on the derived C-like corpus: each function against itself with the loop
     variable renamed, and against itself cut off at the loop."""
