@@ -29,7 +29,7 @@ code_texts AS (
 raw_tokens AS (
   SELECT tid, unnest(regexp_extract_all(txt, '{pattern}')) AS tok, generate_subscripts(regexp_extract_all(txt, '{pattern}'), 1) AS k
   FROM code_texts),
-toks AS (
+code_toks AS (
   SELECT tid, tok, row_number() OVER (PARTITION BY tid ORDER BY k) AS pos, count(*) OVER (PARTITION BY tid) AS n,
          CASE WHEN tok IN ('(', '[', '{{') THEN 1 ELSE 0 END AS opens, CASE WHEN tok IN (')', ']', '}}') THEN 1 ELSE 0 END AS closes,
          CASE WHEN length(tok) > 1 AND (starts_with(tok, '"') OR starts_with(tok, '''')) THEN 's'
@@ -39,7 +39,7 @@ toks AS (
 leveled AS (
   SELECT *, sum(opens - closes) OVER (PARTITION BY tid ORDER BY pos) + closes AS level,
          lag(tok) OVER w AS prev1, lag(tok, 2) OVER w AS prev2, lag(tok, 3) OVER w AS prev3, lead(tok) OVER w AS next1
-  FROM toks WINDOW w AS (PARTITION BY tid ORDER BY pos)),
+  FROM code_toks WINDOW w AS (PARTITION BY tid ORDER BY pos)),
 tk AS MATERIALIZED (
   SELECT *, level - greatest(opens, closes) AS base,
          coalesce(min(CASE WHEN closes = 1 THEN pos END) OVER (PARTITION BY tid, level ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), n + 1) AS partner,
@@ -52,7 +52,7 @@ stmts AS (
   SELECT s.tid, s.pos AS a, least(coalesce(s.stmt_stop, s.n), s.n, coalesce(c.close_pos - 1, s.n)) AS b
   FROM (SELECT * FROM tk WHERE closes = 0 AND tok NOT IN (';', chr(10)) AND (prev1 IS NULL OR prev1 IN (';', '{{', '}}', chr(10)))) s
   ASOF LEFT JOIN closers c ON s.tid = c.tid AND s.base = c.at_level AND s.pos < c.close_pos),
-shapes AS (SELECT tid, list(shape ORDER BY pos) AS shapes FROM toks GROUP BY tid),
+shapes AS (SELECT tid, list(shape ORDER BY pos) AS shapes FROM code_toks GROUP BY tid),
 trees AS (
   SELECT tid, array_to_string(shapes[a:b], ' ') AS item, count(*) AS k
   FROM (SELECT tid, pos AS a, partner AS b FROM tk WHERE opens = 1 AND partner <= n UNION ALL SELECT tid, a, b FROM stmts)

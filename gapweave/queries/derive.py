@@ -118,6 +118,47 @@ generations AS (
 """
 
 
+def code_generation_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``generation_sides`` with the messages as comments in C functions, which differ by the message's length.
+
+    Every fifth length leaves the bare message, which is no code.  The base candidate is the
+    function of the message before, the tuned one the reference with another assignment.
+    """
+
+    def function(text: Column) -> Column:
+        size = F.length(text)
+        code = F.concat(
+            F.lit("int total(int n) {\n  int s = 0;\n  // "), F.replace(text, F.lit("\n"), F.lit(" ")),
+            F.when(size % 2 == 0, "\n  if (s > n) { return n; }").otherwise(""),
+            F.lit("\n  for (int k = 0; k < "), size.cast("string"), F.lit("; k++) { s += k; }\n  return s;\n}"),
+        )
+        return F.when(size % 5 == 0, text).otherwise(code)
+
+    references, base, lora = generation_sides(spark, folder)
+    message = lambda df: df.withColumn("generated_middle", function(F.col("generated_middle")))
+    changed = F.replace(function(F.col("reference_middle")), F.lit("s += k"), F.lit("s = n"))
+    return (
+        references.withColumn("reference_middle", function(F.col("reference_middle"))),
+        message(base),
+        lora.join(references, "example_id").select("example_id", changed.alias("generated_middle"), "perplexity"),
+    )
+
+
+_FUNCTION_SQL = r"""CASE WHEN length({t}) % 5 = 0 THEN {t} ELSE 'int total(int n) {{' || chr(10) || '  int s = 0;' || chr(10) || '  // '
+    || replace({t}, chr(10), ' ') || CASE WHEN length({t}) % 2 = 0 THEN chr(10) || '  if (s > n) {{ return n; }}' ELSE '' END
+    || chr(10) || '  for (int k = 0; k < ' || length({t})::VARCHAR || '; k++) {{ s += k; }}' || chr(10) || '  return s;' || chr(10) || '}}' END"""
+
+CODE_GENERATIONS_SQL = (
+    GENERATIONS_SQL.replace("generations AS", "messages AS")
+    + f""", generations AS (
+  SELECT example_id, {_FUNCTION_SQL.format(t='reference_middle')} AS reference_middle,
+         {_FUNCTION_SQL.format(t='base_generated_middle')} AS base_generated_middle,
+         replace({_FUNCTION_SQL.format(t='reference_middle')}, 's += k', 's = n') AS lora_generated_middle,
+         base_perplexity, lora_perplexity FROM messages)
+"""
+)
+
+
 def training_history(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as log history: user = run, event number = step, value = train or eval loss."""
     kind, value = F.col("event_type"), F.col("value")

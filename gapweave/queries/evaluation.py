@@ -12,7 +12,7 @@ from gapweave.plans.preprocess import file_blocks
 from gapweave.queries import derive as D, sql as Q
 from gapweave.queries.codebleu_sql import code_scores_sql
 from gapweave.queries.corpus import brace_sql
-from gapweave.queries.registry import query
+from gapweave.queries.registry import ORACLES, query
 from gapweave.sources.tables import table
 
 PARAMS = EvalParams()
@@ -95,6 +95,21 @@ summary AS (
          CASE WHEN higher THEN avg(lora) - avg(base) ELSE avg(base) - avg(lora) END AS improvement
   FROM long_scores GROUP BY metric, higher, is_binary)"""
 SCORES = Q.with_(D.GENERATIONS_SQL, PAIRS_SQL, SIMPLE_SQL, GRAMS_SQL, SCORES_SQL)
+
+# Code for prose, and CodeBLEU beside the others.
+SCORES_ALL_SQL = (
+    SCORES_SQL.replace("SELECT g.*,", "SELECT g.*, bc.valid AS codebleu_valid, bc.codebleu AS base_codebleu, lc.codebleu AS lora_codebleu,")
+    .replace("JOIN bleus b ON", """JOIN code_scores bc ON bc.example_id = g.example_id AND bc.candidate = 'base'
+  JOIN code_scores lc ON lc.example_id = g.example_id AND lc.candidate = 'lora'
+  JOIN bleus b ON""")
+    .replace("long_scores AS (", """long_scores AS (
+  SELECT example_id, 'codebleu' AS metric, true AS higher, false AS is_binary, base_codebleu AS base, lora_codebleu AS lora
+  FROM score_rows WHERE codebleu_valid
+  UNION ALL """)
+)
+SCORES_ALL = Q.with_(
+    D.CODE_GENERATIONS_SQL, PAIRS_SQL, SIMPLE_SQL, GRAMS_SQL, "code_pairs AS (SELECT * FROM pairs)", code_scores_sql("c"), SCORES_ALL_SQL
+)
 SQL_METRICS = ["sentencebleu", "exact_match", "line_match", "perplexity", "edit_similarity"]
 
 
@@ -164,8 +179,18 @@ def score_table(spark, folder):
     return Score.score_rows(generation_rows(spark, folder), PARAMS)
 
 
+def code_generation_rows(spark, folder):
+    return Score.generations(*D.code_generation_sides(spark, folder))
+
+
+def code_score_table(spark, folder):
+    return Score.score_rows(code_generation_rows(spark, folder), PARAMS)
+
+
 def long_rows(spark, folder, metrics=SQL_METRICS):
-    return Score.scores_long(score_table(spark, folder), metrics=metrics)
+    """Prose with five metrics, or code with all six where ``metrics`` is None."""
+    scores = score_table(spark, folder) if metrics else code_score_table(spark, folder)
+    return Score.scores_long(scores, metrics=metrics)
 
 
 @query(
@@ -365,17 +390,24 @@ def report_json(spark, folder):
     return Summary.report_json(Summary.metric_summary(long_rows(spark, folder, None)), "checkpoint-1", stamp)
 
 
-# The SQL above knows no CodeBLEU; these have all six metrics, and no SQL.
+# The same summaries over generations of code, with CodeBLEU and its validity.
 
 
-@query("score_rows_all")
+@query(
+    "score_rows_all",
+    SCORES_ALL
+    + "SELECT example_id, codebleu_valid, "
+    + ", ".join(f"round({c}_{m}, 6) AS {c}_{m}" for c in Score.CANDIDATES for m, _, _ in Score.METRICS)
+    + " FROM score_rows",
+)
 def score_rows_all(spark, folder):
     names = [f"{c}_{m}" for c in Score.CANDIDATES for m, _, _ in Score.METRICS]
-    return score_table(spark, folder).select("example_id", "codebleu_valid", *[F.round(n, 6).alias(n) for n in names])
+    return code_score_table(spark, folder).select("example_id", "codebleu_valid", *[F.round(n, 6).alias(n) for n in names])
 
 
 def _all_metrics(of):
-    query(f"{of.__name__}_all")(lambda spark, folder: of(spark, folder, metrics=None))
+    sql = ORACLES[of.__name__].removeprefix(SCORES)
+    query(f"{of.__name__}_all", SCORES_ALL + sql)(lambda spark, folder: of(spark, folder, metrics=None))
 
 
 for _of in (metric_summary, improvement, metric_registry, five_number, diff_hist, diff_summary, paired_scores, metrics_long):

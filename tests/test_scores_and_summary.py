@@ -207,7 +207,7 @@ def test_summaries_have_codebleu_with_its_validity(spark, monkeypatch):
     code = "int f(int n) {\n    int s = 0;\n    for (int k = 0; k < n; k++) {\n        s += k;\n    }\n    return s;\n}"
     some = [(i, code, code.replace("k", "j"), code[: 40 + i], 2.0, 1.5) for i in range(4)] + [(9, "", code, "x", 2.0, 3.0)]
     names = "example_id long, reference_middle string, base_generated_middle string, lora_generated_middle string, base_perplexity double, lora_perplexity double"
-    monkeypatch.setattr(evaluation, "generation_rows", lambda spark, folder: spark.createDataFrame(some, names))
+    monkeypatch.setattr(evaluation, "code_generation_rows", lambda spark, folder: spark.createDataFrame(some, names))
     rows = QUERIES["score_rows_all"](spark, "").collect()
     valid = [r for r in rows if r.codebleu_valid is not False]
     assert 0 < len(valid) < len(rows)
