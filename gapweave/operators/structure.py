@@ -24,6 +24,7 @@ from gapweave.functions.sqltext import (
     zip_with,
 )
 from gapweave.functions.text import FIRST_WORD, STRUCTURE_PATTERN
+from gapweave.operators.offside import indent_nodes
 
 NODE_TYPE = "array<struct<start_byte:bigint,depth:int,end_byte:bigint,type:string>>"
 
@@ -214,7 +215,7 @@ def brace_nodes(text: str) -> str:
     return let(f"encode({text}, 'UTF-8')", lambda raw: _brace_nodes(text, raw))
 
 
-SCANNERS = {"prose": prose_nodes, "brace": brace_nodes, "keyword": keyword_nodes}
+SCANNERS = {"prose": prose_nodes, "brace": brace_nodes, "keyword": keyword_nodes, "indent": indent_nodes}
 
 
 # ---------------------------------------------------------------- nodes as rows

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gapweave.functions.metrics import CODEBLEU_LANGUAGES
 from gapweave.functions.text import clean, collapse_blank_lines, leading_keyword, strip_comments, structures, trim_lines
-from gapweave.operators import structure as S
+from gapweave.operators import offside as O, structure as S
 from gapweave.operators.splits import category_counts, split_exact, split_sizes
 from gapweave.params import FimParams
 from gapweave.plans.preprocess import file_blocks, stratified_structures
@@ -282,6 +282,79 @@ def nodes_brace_pages(spark, folder):
     return S.explode_nodes(S.with_nodes(page_files(spark, folder), "brace"))
 
 
+def indent_sql(source: str) -> str:
+    lexeme = O.LEXEME.replace("'", "''")
+    word, assignment = O.HEAD_WORD.replace("'", "''"), O.ASSIGNMENT.replace("'", "''")
+    kinds = " ".join(f"WHEN '{w}' THEN '{kind}'" for w, kind in O.LINE_TYPES.items())
+    return rf"""
+indent_lexemes AS (
+  SELECT file_id, unnest(regexp_extract_all(text, '{lexeme}')) AS token, generate_subscripts(regexp_extract_all(text, '{lexeme}'), 1) AS k
+  FROM {source}),
+indent_breaks AS (
+  SELECT file_id, token, pos FROM (
+    SELECT file_id, token, coalesce(sum(strlen(token)) OVER w, 0)::BIGINT AS pos,
+           coalesce(sum(CASE WHEN token IN ('(', '[', '{{') THEN 1 WHEN token IN (')', ']', '}}') THEN -1 ELSE 0 END) OVER w, 0) AS open
+    FROM indent_lexemes WINDOW w AS (PARTITION BY file_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  WHERE token = chr(10) AND open <= 0
+  UNION ALL SELECT file_id, NULL, strlen(text) FROM {source}),
+indent_pieces AS (
+  SELECT b.file_id, b.start, decode(unhex(substr(hex(encode(f.text)), 2 * b.start + 1, 2 * (b.pos - b.start)))) AS piece
+  FROM (SELECT file_id, pos, coalesce(lag(pos) OVER (PARTITION BY file_id ORDER BY pos, token NULLS LAST) + 1, 0) AS start FROM indent_breaks) b
+  JOIN {source} f USING (file_id)),
+indent_lines AS (
+  SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY start) AS i, strlen(lead) + 7 * (strlen(lead) - strlen(replace(lead, chr(9), ''))) AS indent,
+         start + strlen(lead) AS s, start + strlen(lead) + strlen(code) AS e, code
+  FROM (SELECT file_id, start, regexp_extract(piece, '^[ 	]*') AS lead,
+               regexp_replace(substr(piece, length(regexp_extract(piece, '^[ 	]*')) + 1), '\s+$', '') AS code FROM indent_pieces)
+  WHERE code <> '' AND NOT starts_with(code, '#')),
+indent_blocks AS (
+  SELECT x.*, (SELECT coalesce(min(y.i), 1000000000) FROM indent_lines y WHERE y.file_id = x.file_id AND y.i > x.i AND y.indent <= x.indent) AS next_i
+  FROM indent_lines x),
+indent_placed AS (
+  SELECT x.*, (SELECT count(*) FROM indent_blocks y WHERE y.file_id = x.file_id AND y.i < x.i AND y.next_i > x.i) AS level,
+         (SELECT max(y.e) FROM indent_lines y WHERE y.file_id = x.file_id AND y.i >= x.i AND y.i < x.next_i) AS block_end,
+         (SELECT min(y.s) FROM indent_lines y WHERE y.file_id = x.file_id AND y.i > x.i AND y.i < x.next_i) AS child
+  FROM indent_blocks x),
+indent_rows AS (
+  SELECT file_id, 1 AS depth, 'file' AS type, 0::BIGINT AS start_byte, strlen(text)::BIGINT AS end_byte FROM {source}
+  UNION ALL SELECT file_id, 2 * level + 2, CASE regexp_extract(code, '{word}', 1) {kinds} ELSE
+       CASE WHEN regexp_matches(code, '{assignment}') THEN 'assignment' WHEN starts_with(code, '@') THEN 'decorator' ELSE 'expression_statement' END END, s, block_end
+       FROM indent_placed
+  UNION ALL SELECT file_id, 2 * level + 3, 'block', child, block_end FROM indent_placed WHERE child IS NOT NULL),
+indent_nodes AS (
+  SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY start_byte, depth) - 1 AS node_id,
+         depth::INTEGER AS depth, type, start_byte::BIGINT AS start_byte, end_byte::BIGINT AS end_byte FROM indent_rows)"""
+
+
+@query(
+    "nodes_indent",
+    Q.with_(D.INDENTED_SQL, indent_sql("indented")) + "SELECT file_id, node_id, depth, type, start_byte, end_byte FROM indent_nodes",
+)
+def nodes_indent(spark, folder):
+    return S.explode_nodes(S.with_nodes(D.indented_files(spark, folder), "indent"))
+
+
+@query(
+    "blocks_indent",
+    Q.with_(D.INDENTED_SQL, indent_sql("indented"))
+    + """SELECT b.file_id, b.node_id AS block_id, b.depth, b.start_byte, b.end_byte, b.type,
+         md5(decode(unhex(substr(hex(encode(f.text)), 2 * b.start_byte + 1, 2 * (b.end_byte - b.start_byte))))) AS code_md5,
+         count(n.node_id) AS n_subblocks
+         FROM indent_nodes b JOIN indented f USING (file_id) LEFT JOIN indent_nodes n ON n.file_id = b.file_id AND n.node_id >= b.node_id
+           AND n.start_byte >= b.start_byte AND n.end_byte <= b.end_byte AND n.type IN ('block', 'assignment', 'expression_statement',
+             'if_statement', 'while_statement', 'for_statement', 'match_statement', 'case_clause', 'return_statement', 'try_statement',
+             'except_clause', 'finally_clause', 'with_statement', 'yield')
+         WHERE b.type IN ('function_definition', 'class_definition') AND b.depth <= 4 GROUP BY ALL""",
+)
+def blocks_indent(spark, folder):
+    """Classes and their functions: a function repeats part of its class's text."""
+    blocks = file_blocks(D.indented_files(spark, folder), "indent", FimParams(max_code_blocks_ast_depth=4))
+    return blocks.select(
+        "file_id", "block_id", "depth", "start_byte", "end_byte", "type", F.md5("code").alias("code_md5"),
+        F.size("subblocks").cast("bigint").alias("n_subblocks"),
+    )
+
+
 @query(
     "nodes_keyword",
     Q.with_(

@@ -73,6 +73,33 @@ braced AS (
 """
 
 
+def indented_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document line as a comment and a string inside a small Python-like class."""
+
+    def definition(line: Column, i: Column) -> Column:
+        n = _number(i)
+        return F.concat(
+            F.lit("class C"), n, F.lit(":\n    def f"), n, F.lit('(self, n):\n        """'), line, F.lit("\n  {(\n\"\"\"\n  # "), line,
+            F.lit("\n        for k in range(0,\n  n):\n\n            if k == "), n,
+            F.lit(":\n\n\t\tself.s += k\n            else:\n                self.g(k)\n        return n\n\nx = C"), n, F.lit("()\n"),
+        )
+
+    text = F.array_join(F.transform(F.split("text", "\n"), definition), "\n")
+    return document_files(spark, folder).withColumn("text", text).withColumn("content", F.encode("text", "UTF-8"))
+
+
+INDENTED_SQL = r"""
+indented AS (
+  SELECT doc_id AS file_id, array_to_string(list_transform(string_split(text, chr(10)), lambda line, i:
+    'class C' || (i - 1)::VARCHAR || ':' || chr(10) || '    def f' || (i - 1)::VARCHAR || '(self, n):' || chr(10) || '        '
+    || repeat('"', 3) || line || chr(10) || '  {(' || chr(10) || repeat('"', 3) || chr(10) || '  # ' || line || chr(10)
+    || '        for k in range(0,' || chr(10) || '  n):' || chr(10) || chr(10) || '            if k == ' || (i - 1)::VARCHAR || ':' || chr(10)
+    || chr(10) || chr(9) || chr(9) || 'self.s += k' || chr(10) || '            else:' || chr(10) || '                self.g(k)' || chr(10)
+    || '        return n' || chr(10) || chr(10) || 'x = C' || (i - 1)::VARCHAR || '()' || chr(10)), chr(10)) AS text
+  FROM documents)
+"""
+
+
 def damaged_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with DOS line ends; about one in sixteen gets bytes that are not UTF-8."""
     files = document_files(spark, folder)

@@ -26,6 +26,14 @@ SCANNER_RULES = {
         ],
         "subblock_types": ["statement"],
     },
+    "indent": {
+        "block_types": ["function_definition", "class_definition"],
+        "subblock_types": [
+            "block", "assignment", "expression_statement", "if_statement", "while_statement", "for_statement",
+            "match_statement", "case_clause", "return_statement", "try_statement", "except_clause",
+            "finally_clause", "with_statement", "yield",
+        ],
+    },
 }
 
 # Node types by language.
