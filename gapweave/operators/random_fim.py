@@ -104,6 +104,11 @@ def spans_to_examples(pool: DataFrame, markers: Markers = Markers()) -> DataFram
     return training_arrays(built.drop("_ids", "ids", "bytes", "n_ids", "pool_key"))
 
 
+def chosen_spans(pool: DataFrame, quotas: DataFrame) -> DataFrame:
+    """The draws of the pool that come first by key, up to the quota of each split."""
+    return keep_quota(pool, ["split"], "pool_key", ["file_id", "chunk_no", "draw"], quotas)
+
+
 def random_examples(
     files: DataFrame,
     window: Column,
@@ -116,7 +121,4 @@ def random_examples(
     chunks = byte_chunks(files, window, keep=("file_id", "split"))
     if tokenizer is not None:
         chunks = chunks.withColumn("ids", tokenizer(F.make_valid_utf8(F.col("bytes").cast("string"))))
-    chosen = keep_quota(
-        random_pool(chunks, params), ["split"], "pool_key", ["file_id", "chunk_no", "draw"], quotas
-    )
-    return spans_to_examples(chosen, markers)
+    return spans_to_examples(chosen_spans(random_pool(chunks, params), quotas), markers)

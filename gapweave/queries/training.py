@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gapweave.functions import tokens as T
 from gapweave.functions.text import words
 from gapweave.operators import feed as Feed, fim as Fim, random_fim as R, summary as Summary, tokens as Tok
+from gapweave.operators.settle import shared_folder
 from gapweave.operators.splits import split_exact, split_sizes
 from gapweave.params import FeedParams, FimParams, Markers
 from gapweave.plans.preprocess import corpus_ratio, file_blocks, random_quotas, structural_examples, training_rows
 from gapweave.queries import sql as Q
 from gapweave.queries.registry import query
-from gapweave.sources.tables import document_files, table
+from gapweave.sources.tables import as_files, document_files, table
+from gapweave.streaming.incremental import ROW_IDS, run_training
 
 PARAMS = FimParams(
     max_token_sequence_length=1024,
@@ -364,6 +368,36 @@ def fim_union(spark, folder):
     )
 
 
+THRESHOLD_ASSIGNED = """
+assigned AS (
+  SELECT file_id, path, lang, text, CASE WHEN u < 0.8::DOUBLE THEN 'train' WHEN u < 0.9::DOUBLE THEN 'eval' ELSE 'test' END AS split
+  FROM (SELECT *, CAST('0x' || substr(md5('split:0:' || file_id::VARCHAR), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM files))
+"""
+
+
+@query(
+    "stream_rows",
+    Q.with_(Q.FILES, THRESHOLD_ASSIGNED, Q.LINES, Q.BLOCKS, CHUNKS_SQL, FIM_SQL, TOKENIZED_SQL, POOL_SQL)
+    + f"""SELECT split, 'structural' AS kind, file_id, block_id::BIGINT AS part_no, sub_id::BIGINT AS item_no, {IDS_MD5} AS ids_md5 FROM tokenized
+          UNION ALL SELECT split, 'random', file_id, chunk_no::BIGINT, draw::BIGINT, {IDS_MD5} FROM random_rows""",
+)
+def stream_rows(spark, folder):
+    """Documents as a stream, one file a trigger, to structural and random rows; read back from the tables."""
+    schema = table(spark, folder, "documents").schema
+    # The glob makes one file and a folder of files read alike.
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/documents.parque[t]")
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    run_training(as_files(stream), "prose", f"{out}/rows", f"{out}/checkpoint", params=PARAMS)
+    kinds = [
+        spark.read.parquet(f"{out}/rows/{kind}").select(
+            "split", F.lit(kind).alias("kind"), "file_id", *[F.col(c).cast("bigint").alias(n) for c, n in zip(ids, ("part_no", "item_no"))],
+            ids_md5().alias("ids_md5"),
+        )
+        for kind, ids in ROW_IDS.items()
+    ]
+    return kinds[0].unionByName(kinds[1])
+
+
 # ---------------------------------------------------------------- benchmark rows
 
 ORDERED_IDS = "md5('bench:42:' || file_id::VARCHAR || ':' || block_id::VARCHAR || ':' || sub_id::VARCHAR)"

@@ -30,6 +30,11 @@ def _replace(df: DataFrame, path: str, write: Callable[[str], None]) -> None:
     fs.delete(old, True)
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """The rows as a Parquet table in place of an earlier one."""
+    _replace(df, path, df.write.parquet)
+
+
 def write_examples(df: DataFrame, path: str, mode: str = "append", fmt: str = "json") -> None:
     """Tokenized rows, one directory per split."""
     columns = [c for c in ("input_ids", "attention_mask", "labels") if c in df.columns]

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def document_files(spark: SparkSession, folder: str) -> DataFrame:
+    return as_files(table(spark, folder, "documents"))
+
+
+def as_files(docs: DataFrame) -> DataFrame:
     """``documents`` as source files: ``file_id``, path ``source/doc_id.lang``, bytes and text."""
-    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
-    return docs.select(
+    return docs.select("doc_id", "source", "lang", "text").select(
         F.col("doc_id").alias("file_id"),
         F.concat_ws("", F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit("."), F.col("lang")).alias(
             "path"

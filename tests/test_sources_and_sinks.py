@@ -10,7 +10,9 @@ from gapweave.plans import plugins
 from gapweave.plans.evaluate import report
 from gapweave.sinks import writers as W
 from gapweave.sources import files as Src, jsonl
-from gapweave.streaming.incremental import incremental_examples, run_available, stream_files
+from gapweave.operators.splits import split_by_threshold
+from gapweave.plans.preprocess import training_rows
+from gapweave.streaming.incremental import incremental_examples, read_training, run_available, run_training, stream_files
 
 TEXT = "First sentence here. Second one there!\nAnother paragraph. With two."
 
@@ -74,6 +76,40 @@ def test_stream_equals_batch_and_runs_once(spark, tree, tmp_path):
     assert sorted(spark.read.parquet(out).select(*columns).collect()) == batch()
 
 
+@pytest.mark.parametrize("own_tokenizer", [False, True])
+def test_random_rows_of_a_stream_are_those_of_the_batch(spark, tree, tmp_path, own_tokenizer):
+    params = FimParams(
+        min_middle_tokens_length=1, max_middle_tokens_length=60, max_token_sequence_length=200, rand_to_ast_fim_examples_ratio=0.6,
+        rand_examples_min_prefix_suffix_tokens_length=2, rand_examples_per_chunk=3,
+    )
+    tokenizer = tokenize_column if own_tokenizer else None
+    split, out, mark = SplitParams(0.5, 0.25, 0.25), str(tmp_path / "out"), str(tmp_path / "mark")
+
+    def batch():
+        files = Src.valid_files(Src.scan(spark, str(tree), [".c"])).withColumn("file_id", F.col("path"))
+        assigned = split_by_threshold(files, ["file_id"], split)
+        rows = training_rows(assigned, "prose", split, params, ratio=1.0, tokenizer=tokenizer)
+        return sorted((r["kind"], r["file_id"], r["split"], r["input_ids"]) for r in rows.collect())
+
+    def stream():
+        run_training(stream_files(spark, str(tree), [".c"]), "prose", out, mark, split, params, tokenizer=tokenizer)
+        rows = read_training(spark, out).collect()
+        return sorted((r["kind"], r["file_id"], r["split"], r["input_ids"]) for r in rows)
+
+    for late in range(3):
+        if late:
+            (tree / "train" / f"late{late}.c").write_text(f"A late file no {late}. It has two sentences. Or three, {late}.\n" * 4)
+        want = batch()
+        assert stream() == want and {k for k, *_ in want} == {"structural", "random"}
+    assert stream() == want
+    for table in ("structural", "chunks"):
+        assert len(list((tmp_path / "out" / table).glob("batch=*"))) == 3
+
+
+def tokenize_column(text):
+    return F.transform(F.split(text, ""), lambda c: (F.ascii(c) % 50).cast("int"))
+
+
 def rows(spark):
     return spark.createDataFrame(
         [("train", [1, 2], [1, 1], [1, 2]), ("eval", [3], [1], [3])],
