@@ -10,6 +10,7 @@ from gapweave.plans import plugins
 from gapweave.plans.evaluate import report
 from gapweave.sinks import writers as W
 from gapweave.sources import files as Src, jsonl
+from gapweave.functions.tokens import encode_text
 from gapweave.operators.splits import split_by_threshold
 from gapweave.plans.preprocess import training_rows
 from gapweave.streaming.incremental import incremental_examples, read_training, run_available, run_training, stream_files
@@ -82,7 +83,7 @@ def test_random_rows_of_a_stream_are_those_of_the_batch(spark, tree, tmp_path, o
         min_middle_tokens_length=1, max_middle_tokens_length=60, max_token_sequence_length=200, rand_to_ast_fim_examples_ratio=0.6,
         rand_examples_min_prefix_suffix_tokens_length=2, rand_examples_per_chunk=3,
     )
-    tokenizer = tokenize_column if own_tokenizer else None
+    tokenizer = encode_text if own_tokenizer else None
     split, out, mark = SplitParams(0.5, 0.25, 0.25), str(tmp_path / "out"), str(tmp_path / "mark")
 
     def batch():
@@ -106,10 +107,6 @@ def test_random_rows_of_a_stream_are_those_of_the_batch(spark, tree, tmp_path, o
         assert len(list((tmp_path / "out" / table).glob("batch=*"))) == 3
 
 
-def tokenize_column(text):
-    return F.transform(F.split(text, ""), lambda c: (F.ascii(c) % 50).cast("int"))
-
-
 def rows(spark):
     return spark.createDataFrame(
         [("train", [1, 2], [1, 1], [1, 2]), ("eval", [3], [1], [3])],
