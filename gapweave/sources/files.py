@@ -10,20 +10,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gapweave.functions.text import path_suffix, unix_newlines, utf8_text
 from gapweave.operators.splits import SPLITS
+from gapweave.sources.listing import empty_files
 
 FILE_SCHEMA = "path string, ext string, n_bytes bigint, content binary"
 
 
-def scan(spark: SparkSession, root: str, extensions: list[str]) -> DataFrame:
+def scan(spark: SparkSession, root: str, extensions: list[str], empty: bool = True) -> DataFrame:
     """All files below ``root`` whose lower-cased suffix is in the list.
 
-    A plan that does not use ``content`` reads no file bytes.  The file source skips files of
-    zero length.
+    A plan that does not use ``content`` reads no file bytes.  Spark's file source skips files of
+    zero length; they come from a listing of the tree (``empty=False`` leaves them out, for stores
+    that only Spark reads).
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return with_extension(
-        raw.select("path", F.col("length").alias("n_bytes"), "content"), extensions
-    )
+    files = raw.select("path", F.col("length").alias("n_bytes"), "content")
+    if empty:
+        files = files.unionByName(empty_files(spark, root))
+    return with_extension(files, extensions)
 
 
 def with_extension(files: DataFrame, extensions: list[str], path: str = "path") -> DataFrame:

@@ -11,6 +11,7 @@ from gapweave.plans.evaluate import report
 from gapweave.sinks import writers as W
 from gapweave.sources import files as Src, jsonl
 from gapweave.functions.tokens import encode_text
+from gapweave.operators.random_fim import byte_chunks
 from gapweave.operators.splits import split_by_threshold
 from gapweave.plans.preprocess import training_rows
 from gapweave.streaming.incremental import incremental_examples, read_training, run_available, run_training, stream_files
@@ -36,6 +37,42 @@ def test_scan_by_suffix(spark, tree):
     assert names == {"f0.C", "f1.C", "f2.C", "bad.c"}
 
 
+def test_empty_files_are_scanned_split_and_chunked(spark, tree):
+    (tree / "train" / "deep" / "none.c").write_bytes(b"")
+    (tree / "eval" / "none.c").write_bytes(b"")
+    (tree / "eval" / "none.py").write_bytes(b"")
+    (tree / "eval" / "_none.c").write_bytes(b"")
+    (tree / "eval" / ".none.c").write_bytes(b"")
+    files = Src.scan(spark, str(tree), [".c"])
+    sizes = {r["path"]: (r["n_bytes"], len(r["content"])) for r in files.collect()}
+    assert len(sizes) == 8 and sum(s == (0, 0) for s in sizes.values()) == 2 and all(a == b for a, b in sizes.values())
+    assert all(p.startswith("file:/") for p in sizes) and len({p.split("src/")[0] for p in sizes}) == 1
+    by_split = {r["split"]: r["count"] for r in Src.scan_splits(spark, str(tree), [".c"]).groupBy("split").count().collect()}
+    assert by_split == {"train": 5, "eval": 2, "test": 1}
+    valid = Src.valid_files(files).withColumn("file_id", F.col("path"))
+    assert valid.where("text = ''").count() == 2
+    chunks = byte_chunks(valid, F.lit(1000)).where(F.octet_length("bytes") == 0)
+    assert chunks.count() == 2 and Src.scan(spark, str(tree), [".c"], empty=False).count() == 6
+
+
+def test_listing_in_parts(spark, tmp_path, monkeypatch):
+    from gapweave.sources import listing
+
+    names = set()
+    for a in range(5):
+        for b in range(4):
+            (tmp_path / f"a{a}" / f"b{b}" / "c").mkdir(parents=True)
+            for name in (f"a{a}/x{b}.txt", f"a{a}/b{b}/y", f"a{a}/b{b}/c/z"):
+                (tmp_path / name).write_text("x" * b)
+                names.add((name, b))
+    for folders in (1, 4, 7, 256):
+        monkeypatch.setattr(listing, "FOLDERS", folders)
+        got = listing.listing(spark, str(tmp_path)).collect()
+        assert {(r["path"].removeprefix(f"file:{tmp_path}/"), r["n_bytes"]) for r in got} == names and len(got) == len(names)
+    with pytest.raises(Exception, match="no folder"):
+        listing.listing(spark, str(tmp_path / "missing")).collect()
+
+
 def test_pre_split_tree(spark, tree, tmp_path):
     files = Src.scan_splits(spark, str(tree), [".c"])
     assert {r["split"]: r["count"] for r in files.groupBy("split").count().collect()} == {"train": 4, "eval": 1, "test": 1}
