@@ -117,7 +117,7 @@ def byte_level_filters(examples: DataFrame, params: FimParams, markers: Markers
 
     Such an example has one id per byte and four markers, so ids are built for the rows that
     pass and not at all where rows are only counted.  Rows with a marker text inside a part
-    are judged on their ids.
+    are judged on their ids.  ``n_ids`` is the number of ids, from the same counts.
     """
     parts = ("prefix", "middle", "suffix")
     marked = marker_in(F.col(parts[0]), markers) | marker_in(F.col(parts[1]), markers) | marker_in(F.col(parts[2]), markers)
@@ -125,9 +125,10 @@ def byte_level_filters(examples: DataFrame, params: FimParams, markers: Markers
     n_bytes = F.octet_length("prefix") + F.octet_length("middle") + F.octet_length("suffix")
     total = F.when(marked, F.size(ids)).otherwise(n_bytes + 4)
     middle = F.when(marked, tail_middle_length(ids, markers)).otherwise(F.octet_length("middle"))
-    return examples.where(total <= params.max_token_sequence_length).where(
+    kept = examples.where(total <= params.max_token_sequence_length).where(
         middle.between(params.min_middle_tokens_length, params.max_middle_tokens_length)
     )
+    return kept.withColumn("n_ids", total)
 
 
 def tokenize_and_filter(
@@ -137,6 +138,5 @@ def tokenize_and_filter(
     if tokenizer is None:
         kept = byte_level_filters(examples, params, markers)
         return training_arrays(kept.withColumn("input_ids", encode_text(F.col("example"), markers)))
-    return training_arrays(
-        length_filters(examples.withColumn("input_ids", tokenizer(F.col("example"))), params, markers)
-    )
+    with_ids = examples.withColumn("input_ids", tokenizer(F.col("example")))
+    return training_arrays(length_filters(with_ids, params, markers).withColumn("n_ids", F.size("input_ids")))

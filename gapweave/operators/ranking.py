@@ -20,7 +20,8 @@ WIDE = 4  # 65 536 buckets: one group, or a handful
 NARROW = 2  # 256 buckets: any number of groups
 
 
-def _bucket_starts(df: DataFrame, groups: list[str], key: str, digits: int) -> DataFrame:
+def bucket_starts(df: DataFrame, groups: list[str], key: str, digits: int) -> DataFrame:
+    """For every bucket of keys in a group the number of rows before it, up to its end, and of the group."""
     counts = df.groupBy(*groups, F.substring(key, 1, digits).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     # At most 16**digits rows per group from here on, however many rows the group has.
     ordered = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -52,7 +53,7 @@ def rank_within(
 ) -> DataFrame:
     """1-based rank by (key, ties) in each group; null is a group of its own."""
     digits = digits or (NARROW if groups else WIDE)
-    starts = _bucket_starts(df, groups, key, digits).select(*groups, "_bucket", "_before", "_total")
+    starts = bucket_starts(df, groups, key, digits).select(*groups, "_bucket", "_before", "_total")
     by_key = Window.partitionBy(*groups, "_bucket").orderBy(key, *ties)
     numbered = df.withColumn("_bucket", F.substring(key, 1, digits)).withColumn("_rn", F.row_number().over(by_key))
     out = null_safe_join(numbered, starts, [*groups, "_bucket"]).withColumn(
@@ -80,7 +81,7 @@ def rank_cuts(
     the last row.  Null is a group of its own.
     """
     digits = digits or (3 if groups else WIDE)
-    starts = _bucket_starts(df, groups, key, digits)
+    starts = bucket_starts(df, groups, key, digits)
     if quotas is not None:
         starts = null_safe_join(starts, quotas, groups)
     marks = starts.select(

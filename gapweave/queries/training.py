@@ -547,7 +547,7 @@ FED = Q.with_(*BASE, FIM_SQL, TOKENIZED_SQL, FEED_SQL)
 
 def train_rows(spark, folder):
     rows = tokenized_rows(spark, folder).where(F.col("split") == "train")
-    return rows.select(*ROW_ID, "input_ids", "attention_mask", "labels")
+    return rows.select(*ROW_ID, "n_ids", "input_ids", "attention_mask", "labels")
 
 
 @query("feed_order", FED + "SELECT file_id, block_id, sub_id, position FROM feed")
@@ -570,8 +570,8 @@ def feed_resume(spark, folder):
          repeat('1', len(ids)) || repeat('0', (longest - len(ids))::BIGINT) AS mask FROM batched""",
 )
 def batch_right_pad(spark, folder):
-    narrow = train_rows(spark, folder).select(*ROW_ID, "input_ids")
-    batches = Feed.collate_right(Feed.feed_order(narrow, ROW_ID, FEED), 16, M.pad_id)
+    narrow = train_rows(spark, folder).select(*ROW_ID, "input_ids", "n_ids")
+    batches = Feed.collate_right(Feed.feed_batches(narrow, ROW_ID, 16, params=FEED, length=F.col("n_ids")), 16, M.pad_id)
     return batches.select(
         *ROW_ID,
         "batch_no",
@@ -594,7 +594,7 @@ SELECT file_id, block_id, sub_id, batch_no::BIGINT AS batch_no, md5(array_to_str
   repeat('0', (longest - len(prompt))::BIGINT) || repeat('1', len(prompt)) AS mask FROM padded""",
 )
 def batch_left_pad(spark, folder):
-    ordered = Feed.feed_order(Tok.prompts(bench_parts(spark, folder)), ROW_ID, FEED)
+    ordered = Feed.feed_batches(Tok.prompts(bench_parts(spark, folder)), ROW_ID, 10, "prompt_ids", FEED)
     batches = Feed.collate_left(ordered, 10, M.pad_id)
     return batches.select(
         *ROW_ID, "batch_no", ids_md5("prompt_ids").alias("prompt_md5"), F.array_join("prompt_mask", "").alias("mask")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapweave.functions.keys import shuffle_key
+from gapweave.operators import feed as Feed
 from gapweave.operators.ranking import drop_smallest, keep_quota, keep_smallest, rank_within
 from gapweave.operators.splits import category_counts, split_exact, split_sizes, split_stratified
 from gapweave.params import SplitParams
@@ -92,3 +93,48 @@ def test_null_is_a_group_of_its_own(spark):
     bins = observed_histogram(rows, ["g"], "x", 2).collect()
     assert {(r["g"], r["non_finite"]) for r in bins} == {("a", 1), (None, 0)}
     assert sum(r["n"] for r in bins) == 3
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_batches_of_one_shuffle(spark, monkeypatch, size):
+    monkeypatch.setattr(Feed, "WIDE", 1)  # sixteen buckets, so that batches lie on borders and over several buckets
+    rows = [(i % 50, i, list(range(i % 13))) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, input_ids array<int>")
+    batches = Feed.feed_batches(df, ["a", "b"], size)
+    got = {r["position"]: r for r in batches.collect()}
+    order = {(r["a"], r["b"]): r["position"] for r in Feed.feed_order(df, ["a", "b"]).collect()}
+    assert sorted(got) == list(range(1, 301)) and all(order[r["a"], r["b"]] == p for p, r in got.items())
+    for p, r in got.items():
+        mates = [x for q, x in got.items() if (q - 1) // size == (p - 1) // size]
+        assert r["batch_no"] == (p - 1) // size and r["batch_length"] == max(len(x["input_ids"]) for x in mates)
+    old = Feed.collate_right(Feed.feed_order(df, ["a", "b"]), size, 9).select("position", "input_ids", "labels", "attention_mask")
+    new = Feed.collate_right(batches, size, 9).select("position", "input_ids", "labels", "attention_mask")
+    assert sorted(old.collect()) == sorted(new.collect())
+
+
+def test_id_arrays_are_shuffled_once(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, [3])], "a int, input_ids array<int>")
+    with_ids = [n for n in _exchanged_columns(Feed.feed_batches(df, ["a"], 2)) if "input_ids" in n]
+    assert len(with_ids) == 1
+
+
+def _exchanged_columns(df):
+    """Output columns of every shuffle in the physical plan."""
+    found, plan = [], df._jdf.queryExecution().executedPlan()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            out = node.output()
+            found.append([out.apply(k).name() for k in range(out.size())])
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return found
+
+
+def test_batches_of_nothing(spark):
+    df = spark.createDataFrame([], "a int, input_ids array<int>")
+    assert Feed.collate_right(Feed.feed_batches(df, ["a"], 4), 4, 0).collect() == []
