@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gapweave.functions.keys import key_fraction, shuffle_key
 from gapweave.operators.ranking import attach_cuts, rank_cuts, rank_within
@@ -81,3 +81,25 @@ def split_sizes(df: DataFrame) -> DataFrame:
     names = df.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
     counts = df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     return F.broadcast(names).join(counts, "split", "left").select("split", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def split_size_table(df: DataFrame, column: str) -> DataFrame:
+    """Rows by ``column`` and split, by each alone, and of all, from one aggregation over grouping sets.
+
+    ``level`` says which columns a row sums over (``"column, split"``, ``"column"``, ``"split"`` or
+    ``"all"``), so that a null of the data is told apart from a sum over all values.  Shares are of
+    the rows of the level above: of the split's rows, or of all.
+    """
+    summed = df.cube(column, "split").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping(column).alias("_any"), F.grouping("split").alias("_every")
+    )
+    level = (
+        F.when((F.col("_any") == 0) & (F.col("_every") == 0), "column, split")
+        .when(F.col("_every") == 1, F.when(F.col("_any") == 1, "all").otherwise("column"))
+        .otherwise("split")
+    )
+    # One row per value and split: a table as small as the split report.
+    whole = F.max(F.when(F.col("_any") == 1, F.col("n"))).over(Window.partitionBy("split", "_every"))
+    everything = F.max(F.when((F.col("_any") == 1) & (F.col("_every") == 1), F.col("n"))).over(Window.partitionBy(F.lit(1)))
+    share = F.col("n") / F.when(F.col("_any") == 0, whole).otherwise(everything)
+    return summed.withColumn("share", share).select(level.alias("level"), column, "split", "n", "share")

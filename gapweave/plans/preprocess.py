@@ -7,16 +7,17 @@ length filters - is one pass over the files without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from gapweave.functions.text import clean, leading_keyword, structures, words
 from gapweave.operators.fim import drop_overlong, fim_examples, tokenize_and_filter
 from gapweave.operators.random_fim import random_examples, window_bytes
 from gapweave.operators.settle import settle
-from gapweave.operators.splits import split_exact, split_stratified
+from gapweave.operators.splits import SPLITS, split_exact, split_stratified
 from gapweave.operators.structure import extract_blocks, with_nodes
 from gapweave.operators.tokens import bytes_per_token, ratio_value
 from gapweave.params import FimParams, Markers, SplitParams
+from gapweave.sinks.writers import replace_examples
 from gapweave.sources.rules import LanguageRules, scanner_rules
 
 
@@ -53,12 +54,18 @@ def structural_examples(
     tokenizer=None,
     rules: LanguageRules | None = None,
     nodes: bool = False,
+    observed: Observation | None = None,
 ) -> DataFrame:
-    """Tokenized training rows from blocks and sub-blocks; see ``training_rows`` for the hooks."""
+    """Tokenized training rows from blocks and sub-blocks; see ``training_rows`` for the hooks.
+
+    ``observed`` counts the examples of each split before the exact length filters.
+    """
     blocks = file_blocks(files, scanner, params, rules, nodes)
-    if tokenizer is None:
+    if tokenizer is None and observed is None:
         blocks = drop_overlong(blocks, params.max_token_sequence_length, markers)
     examples = fim_examples(blocks, params, ratio, markers)
+    if observed is not None:
+        examples = examples.observe(observed, *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
     return tokenize_and_filter(examples, params, markers, tokenizer)
 
 
@@ -78,6 +85,7 @@ def training_rows(
     tokenizer=None,
     rules: LanguageRules | None = None,
     nodes: bool = False,
+    observed: Observation | None = None,
 ) -> DataFrame:
     """Structural and random examples of every split (bag union, told apart by ``kind``).
 
@@ -88,7 +96,8 @@ def training_rows(
     tokenizer in use (a byte has one byte id).
 
     The structural rows are written once to the shared folder: the quotas of the random rows are
-    counted there, so the scanner doesn't run again.
+    counted there, so the scanner doesn't run again.  ``observed`` takes the number of examples of each
+    split before the exact length filters from that job.
     """
     assigned = files if "split" in files.columns else split_exact(files, ["file_id"], split_params)
     if ratio is None and tokenizer is not None:
@@ -96,7 +105,9 @@ def training_rows(
         ratio = ratio_value(corpus_ratio(blocks, tokenizer))
     if not isinstance(ratio, Column):
         ratio = F.lit(float(1.0 if ratio is None else ratio))
-    structural = settle(structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes))
+    structural = settle(
+        structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes, observed)
+    )
     extra = random_examples(
         assigned.select("file_id", "split", "content"),
         window_bytes(params.max_token_sequence_length, ratio),
@@ -113,6 +124,22 @@ def training_rows(
     )
 
 
+def write_training_rows(files: DataFrame, scanner: str, path: str, fmt: str = "json", **options) -> DataFrame:
+    """``training_rows`` to a folder per split; returns what the writing jobs counted.
+
+    One row per split: ``n_examples`` (before the exact length filters), ``n_structural`` and
+    ``n_random`` (written).  The counts come with the rows, no job reads them again.  A length filter
+    on block bytes ahead of the examples is left out, so that every example is counted.
+    """
+    before, written = Observation(), Observation()
+    rows = training_rows(files, scanner, observed=before, **options)
+    kinds = ("structural", "random")
+    counts = [F.count_if((F.col("split") == s) & (F.col("kind") == k)).alias(f"{s}_{k}") for s in SPLITS for k in kinds]
+    replace_examples(rows.observe(written, *counts), path, fmt=fmt)
+    found = [(s, before.get[s], *(written.get[f"{s}_{k}"] for k in kinds)) for s in SPLITS]
+    return files.sparkSession.createDataFrame(found, "split string, n_examples bigint, n_structural bigint, n_random bigint")
+
+
 def stratified_structures(files: DataFrame, split_params: SplitParams = SplitParams()) -> DataFrame:
     """Clean files, cut out keyword structures, split them within each leading keyword."""
     blocks = files.select("file_id", F.posexplode(structures(clean(F.col("text")))).alias("block_no", "block"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gapweave.functions.metrics import CODEBLEU_LANGUAGES
 from gapweave.functions.text import clean, collapse_blank_lines, leading_keyword, strip_comments, structures, trim_lines
 from gapweave.operators import offside as O, structure as S
-from gapweave.operators.splits import category_counts, split_exact, split_sizes
+from gapweave.operators.splits import category_counts, split_exact, split_size_table, split_sizes
 from gapweave.params import FimParams
 from gapweave.plans.preprocess import file_blocks, stratified_structures
 from gapweave.queries import derive as D, sql as Q
@@ -207,6 +207,19 @@ def split_sizes_query(spark, folder):
     return split_sizes(split_exact(document_files(spark, folder), ["file_id"]))
 
 
+@query(
+    "split_sizes_by_language",
+    Q.with_(Q.FILES, Q.ASSIGNED)
+    + """, summed AS (
+      SELECT lang, split, count(*) AS n, grouping(lang) AS a, grouping(split) AS b FROM assigned GROUP BY CUBE (lang, split))
+    SELECT CASE WHEN a = 0 AND b = 0 THEN 'column, split' WHEN a = 0 THEN 'column' WHEN b = 0 THEN 'split' ELSE 'all' END AS level,
+           lang, split, n, n / (CASE WHEN a = 0 AND b = 0 THEN (SELECT t.n FROM summed t WHERE t.a = 1 AND t.b = 0 AND t.split = s.split)
+                                ELSE (SELECT t.n FROM summed t WHERE t.a = 1 AND t.b = 1) END)::DOUBLE AS share FROM summed s""",
+)
+def split_sizes_by_language(spark, folder):
+    return split_size_table(split_exact(document_files(spark, folder), ["file_id"]), "lang")
+
+
 # ---------------------------------------------------------------- structure
 
 NODES = Q.with_(Q.FILES, Q.LINES)

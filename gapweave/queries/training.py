@@ -12,7 +12,7 @@ from gapweave.operators import feed as Feed, fim as Fim, random_fim as R, summar
 from gapweave.operators.settle import shared_folder
 from gapweave.operators.splits import split_exact, split_sizes
 from gapweave.params import FeedParams, FimParams, Markers
-from gapweave.plans.preprocess import corpus_ratio, file_blocks, random_quotas, structural_examples, training_rows
+from gapweave.plans.preprocess import corpus_ratio, file_blocks, random_quotas, structural_examples, training_rows, write_training_rows
 from gapweave.queries import sql as Q
 from gapweave.queries.registry import query
 from gapweave.sources.tables import as_files, document_files, table
@@ -368,6 +368,20 @@ def fim_union(spark, folder):
     )
 
 
+@query(
+    "kept_examples",
+    Q.with_(*BASE, CHUNKS_SQL, FIM_SQL, TOKENIZED_SQL, POOL_SQL)
+    + """SELECT s.split, (SELECT count(*) FROM examples e JOIN assigned a USING (file_id) WHERE a.split = s.split) AS n_examples,
+         (SELECT count(*) FROM tokenized t WHERE t.split = s.split) AS n_structural,
+         (SELECT count(*) FROM random_rows r WHERE r.split = s.split) AS n_random
+         FROM (SELECT unnest(['train', 'eval', 'test']) AS split) s""",
+)
+def kept_examples(spark, folder):
+    """The training rows written to the shared folder; the counts are those of the writing jobs."""
+    out = f"{shared_folder(spark)}/examples-{uuid.uuid4().hex}"
+    return write_training_rows(document_files(spark, folder), "prose", out, fmt="parquet", params=PARAMS)
+
+
 THRESHOLD_ASSIGNED = """
 assigned AS (
   SELECT file_id, path, lang, text, CASE WHEN u < 0.8::DOUBLE THEN 'train' WHEN u < 0.9::DOUBLE THEN 'eval' ELSE 'test' END AS split

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from gapweave.functions.keys import shuffle_key
 from gapweave.operators import feed as Feed
 from gapweave.operators.ranking import drop_smallest, keep_quota, keep_smallest, rank_within
-from gapweave.operators.splits import category_counts, split_exact, split_sizes, split_stratified
+from gapweave.operators.splits import category_counts, split_exact, split_size_table, split_sizes, split_stratified
 from gapweave.params import SplitParams
 
 
@@ -138,3 +138,14 @@ def _exchanged_columns(df):
 def test_batches_of_nothing(spark):
     df = spark.createDataFrame([], "a int, input_ids array<int>")
     assert Feed.collate_right(Feed.feed_batches(df, ["a"], 4), 4, 0).collect() == []
+
+
+def test_size_table_tells_nulls_from_sums(spark):
+    df = spark.createDataFrame([("c", "train"), ("c", "train"), ("c", "test"), (None, "train")], "lang string, split string")
+    got = {(r["level"], r["lang"], r["split"]): (r["n"], r["share"]) for r in split_size_table(df, "lang").collect()}
+    assert got == {
+        ("column, split", "c", "train"): (2, pytest.approx(2 / 3)), ("column, split", "c", "test"): (1, 1.0),
+        ("column, split", None, "train"): (1, pytest.approx(1 / 3)), ("column", "c", None): (3, 0.75), ("column", None, None): (1, 0.25),
+        ("split", None, "train"): (3, 0.75), ("split", None, "test"): (1, 0.25), ("all", None, None): (4, 1.0),
+    }
+    assert split_size_table(df.limit(0), "lang").where("level <> 'all'").count() == 0

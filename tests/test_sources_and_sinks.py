@@ -13,7 +13,7 @@ from gapweave.sources import files as Src, jsonl
 from gapweave.functions.tokens import encode_text
 from gapweave.operators.random_fim import byte_chunks
 from gapweave.operators.splits import split_by_threshold
-from gapweave.plans.preprocess import training_rows
+from gapweave.plans.preprocess import training_rows, write_training_rows
 from gapweave.streaming.incremental import incremental_examples, read_training, run_available, run_training, stream_files
 
 TEXT = "First sentence here. Second one there!\nAnother paragraph. With two."
@@ -114,6 +114,22 @@ def test_stream_equals_batch_and_runs_once(spark, tree, tmp_path):
     assert sorted(spark.read.parquet(out).select(*columns).collect()) == batch()
 
 
+def test_writing_job_counts_what_it_writes_and_drops(spark, tree, tmp_path):
+    params = FimParams(
+        min_middle_tokens_length=1, max_middle_tokens_length=22, max_token_sequence_length=36, rand_to_ast_fim_examples_ratio=0.5,
+        rand_examples_min_prefix_suffix_tokens_length=2,
+    )
+    files = Src.valid_files(Src.scan_splits(spark, str(tree), [".c"])).withColumn("file_id", F.col("path"))
+    path = str(tmp_path / "ds")
+    for fmt in ("json", "parquet"):
+        counts = {r["split"]: r for r in write_training_rows(files, "prose", path, fmt, params=params).collect()}
+        back = spark.read.format(fmt).load(path).groupBy("split").count().collect()
+        assert {r["split"]: r["count"] for r in back} == {s: r["n_structural"] + r["n_random"] for s, r in counts.items() if r["n_structural"]}
+        assert counts["train"]["n_examples"] > counts["train"]["n_structural"] > 0
+        none = write_training_rows(files.limit(0), "prose", str(tmp_path / "none"), fmt, params=params).collect()
+        assert [tuple(r)[1:] for r in none] == [(0, 0, 0)] * 3
+
+
 @pytest.mark.parametrize("own_tokenizer", [False, True])
 def test_random_rows_of_a_stream_are_those_of_the_batch(spark, tree, tmp_path, own_tokenizer):
     params = FimParams(
