@@ -103,9 +103,9 @@ def scores_long(
     """``(key, metric, base, lora)``; rows without a valid CodeBLEU are left out of that metric only."""
     known = [*(m for m, _, _ in METRICS), *(m.name for m in own)]
     present = metrics or [m for m in known if f"base_{m}" in scores.columns]
-    valid = (
-        F.coalesce(F.col("codebleu_valid"), F.lit(True)) if "codebleu_valid" in scores.columns else F.lit(True)
-    )
+    # Without CodeBLEU among the metrics its validity isn't computed either.
+    flagged = "codebleu" in present and "codebleu_valid" in scores.columns
+    valid = F.coalesce(F.col("codebleu_valid"), F.lit(True)) if flagged else F.lit(True)
     entries = F.array(
         *[
             F.struct(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gapweave.functions.tokens import closed_middle_length
 from gapweave.operators.ranking import null_safe_join
 from gapweave.operators.scoring import METRICS, Metric, metric_registry
+from gapweave.operators.settle import settle
 from gapweave.operators.splits import SPLITS
 from gapweave.params import Markers
 
@@ -124,11 +125,11 @@ def _count_below(df: DataFrame, value: str, splitters: str, steps: int, out: str
 def order_statistics(df: DataFrame, groups: list[str], value: str, quantiles: list[float]) -> DataFrame:
     """Exact interpolated quantiles per group, one row per (group, q).
 
-    Equal values are combined first.  Approximate splitters cut the value axis into ranges;
+    Equal values are combined first and written once; all that follows reads them.  Approximate splitters cut the value axis into ranges;
     counts per range tell which range holds each wanted rank, and only those ranges are
     sorted, each in its own task.  Null is a group of its own.
     """
-    distinct = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    distinct = settle(df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")))
     n_splitters = (1 << SPLITTER_STEPS) - 1
     shares = [i / (n_splitters + 1) for i in range(1, n_splitters + 1)]
     ranges = distinct.groupBy(*groups).agg(
@@ -242,7 +243,11 @@ def split_histogram(lengths: DataFrame, value: str, high: float, bins: int = LEN
 
 
 def observed_histogram(df: DataFrame, groups: list[str], value: str, bins: int) -> DataFrame:
-    """Histogram on the observed range of each group; ``non_finite`` counts what lies in no bin."""
+    """Histogram on the observed range of each group; ``non_finite`` counts what lies in no bin.
+
+    The values are written once: range, bins and leftovers are three readings.
+    """
+    df = settle(df.select(*groups, value))
     finite = df.where(F.abs(value) < float("inf"))
     span = finite.groupBy(*groups).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     # A single-valued group gets a range of one around the value.
