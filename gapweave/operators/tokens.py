@@ -11,9 +11,21 @@ from gapweave.operators.ranking import keep_smallest
 from gapweave.params import Markers
 
 
-def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, broadcast: bool) -> DataFrame:
-    """Left join against the vocabulary; ``broadcast`` says that the caller knows it to be small."""
-    return items.join(F.broadcast(vocabulary) if broadcast else vocabulary, on, "left")
+#: Into how many parts the rows of one word are dealt; the vocabulary is copied so often.
+SALTS = 16
+
+
+def _lookup(items: DataFrame, vocabulary: DataFrame, on: str, key: str, broadcast: bool) -> DataFrame:
+    """Left join against the vocabulary; ``broadcast`` says that the caller knows it to be small.
+
+    Otherwise words are shuffled.  A word that most texts have would bring a row of each of them to one
+    task, so a word's rows are dealt by their text's key as well.
+    """
+    if broadcast:
+        return items.join(F.broadcast(vocabulary), on, "left")
+    salted = items.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    copies = vocabulary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [on, "_salt"], "left").drop("_salt")
 
 
 def _distinct_items(rows: DataFrame, key: str, items: str, name: str) -> DataFrame:
@@ -55,7 +67,7 @@ def vocabulary_ids(
     ``broadcast`` sends the whole vocabulary to every executor instead of shuffling words.
     """
     items = _distinct_items(texts, key, words(text), "token")
-    known = _lookup(items, vocabulary.select("token", "id"), "token", broadcast)
+    known = _lookup(items, vocabulary.select("token", "id"), "token", key, broadcast)
     found = _in_order(known.withColumn("id", F.coalesce("id", F.lit(unk_id))), key, "id")
     return texts.select(key).join(found, key, "left").select(
         key, F.coalesce("_values", F.array().cast("array<int>")).alias("ids")
@@ -66,7 +78,7 @@ def vocabulary_text(
     ids: DataFrame, vocabulary: DataFrame, key: str, column: str = "ids", broadcast: bool = False
 ) -> DataFrame:
     """Ids -> tokens joined by single spaces; unknown ids are skipped."""
-    known = _lookup(_distinct_items(ids, key, column, "id"), vocabulary.select("token", "id"), "id", broadcast)
+    known = _lookup(_distinct_items(ids, key, column, "id"), vocabulary.select("token", "id"), "id", key, broadcast)
     found = _in_order(known, key, "token")
     return ids.select(key).join(found, key, "left").select(
         key, F.coalesce(F.array_join("_values", " "), F.lit("")).alias("text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 NODE_ROWS = "file_id string, node_id bigint, depth int, type string, start_byte bigint, end_byte bigint"
 
@@ -53,6 +53,33 @@ def parse_nodes(
     return files.select("file_id", "text").mapInPandas(run, schema).select("file_id", "nodes", "error")
 
 
+def table_function(
+    spark: SparkSession, name: str, parse: Callable[[str], list[tuple[int, str, int, int]]], file_id_type: str = "bigint"
+):
+    """Register ``parse`` as the SQL table function ``name(TABLE(files))``; also returns it for ``df.asTable()``.
+
+    The table needs ``file_id`` and ``text``.  One row per node with its pre-order number; a file that
+    fails, and a null text, has one row with ``error`` and no node.
+    """
+
+    class Nodes:
+        def eval(self, row):
+            if row["text"] is None:
+                yield row["file_id"], None, None, None, None, None, "no text"
+                return
+            try:
+                found = list(parse(row["text"]))
+            except Exception as exc:  # one bad file must not end the job
+                yield row["file_id"], None, None, None, None, None, f"{type(exc).__name__}: {exc}"
+                return
+            for number, (depth, kind, start, end) in enumerate(found):
+                yield row["file_id"], number, depth, kind, start, end, None
+
+    made = F.udtf(Nodes, returnType=f"file_id {file_id_type}, node_id bigint, depth int, type string, start_byte bigint, end_byte bigint, error string")
+    spark.udtf.register(name, made)
+    return made
+
+
 def generate(
     prompts: DataFrame,
     model: Callable[[list[list[int]]], list[tuple[str, float]]],

@@ -9,6 +9,7 @@ from gapweave.functions.text import clean, collapse_blank_lines, leading_keyword
 from gapweave.operators import offside as O, structure as S
 from gapweave.operators.splits import category_counts, split_exact, split_size_table, split_sizes
 from gapweave.params import FimParams
+from gapweave.plans.plugins import table_function
 from gapweave.plans.preprocess import file_blocks, stratified_structures
 from gapweave.queries import derive as D, sql as Q
 from gapweave.queries.registry import query
@@ -235,6 +236,38 @@ def nodes_prose(spark, folder):
     return S.explode_nodes(prose_files(spark, folder))
 
 
+def _prose_parser():
+    """The nodes of a text as a parser of one's own would give them; it travels by value."""
+    sentence = S.SENTENCE
+
+    def parse(text: str) -> list[tuple[int, str, int, int]]:
+        import re
+
+        out, at = [(1, "document", 0, len(text.encode()))], 0
+        for line in text.split("\n"):
+            size = len(line.encode())
+            if line.strip():
+                out.append((2, "paragraph", at, at + size))
+                start = at
+                for piece in re.findall(sentence, line):
+                    out.append((3, "sentence", start, start + len(piece.rstrip().encode())))
+                    start += len(piece.encode())
+            at += size + 1
+        return out
+
+    return parse
+
+
+@query("nodes_table_function", NODES + "SELECT file_id, node_id, depth, type, start_byte, end_byte FROM nodes")
+def nodes_table_function(spark, folder):
+    """A parser in Python, called from SQL on a table."""
+    table_function(spark, "prose_parser_nodes", _prose_parser())
+    document_files(spark, folder).select("file_id", "text").createOrReplaceTempView("prose_parser_files")
+    return spark.sql(
+        "SELECT file_id, node_id, depth, type, start_byte, end_byte FROM prose_parser_nodes(TABLE(prose_parser_files)) WHERE error IS NULL"
+    )
+
+
 BRACE_LEXEME = (
     r"""//[^\n]*|(?s:/\*.*?\*/)|"[^"\\\n]*(?:\\[^\n][^"\\\n]*)*"|''[^''\\\n]*(?:\\[^\n][^''\\\n]*)*''"""
     r"""|[{};()]|[^{};()/"'']+|[/"'']"""

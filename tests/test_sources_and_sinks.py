@@ -272,6 +272,13 @@ def test_plugins(spark):
     assert {i for i, r in parsed.items() if r["error"] is None and r["nodes"]} == {1, 3}
     assert parsed[2]["error"] == "SyntaxError: no" and parsed[2]["nodes"] == []
 
+    made = plugins.table_function(spark, "own_parser", parse)
+    files.createOrReplaceTempView("own_files")
+    want = {(i, k, n["depth"], n["type"], n["start_byte"], n["end_byte"]) for i, r in parsed.items() for k, n in enumerate(r["nodes"])}
+    for rows in (spark.sql("SELECT * FROM own_parser(TABLE(own_files))").collect(), made(files.asTable()).collect()):
+        assert {tuple(r)[:6] for r in rows if r["error"] is None} == want
+        assert {r["file_id"]: r["error"] for r in rows if r["error"] is not None} == {2: "SyntaxError: no"}
+
     prompts = spark.createDataFrame([(i, [i, i + 1]) for i in range(7)], "example_id bigint, prompt_ids array<int>")
     made = plugins.generate(prompts, lambda batch: [(f"{len(batch) <= 3}:{sum(p)}", 1.0) for p in batch], 3)
     assert {r["example_id"]: r["generated_middle"] for r in made.collect()} == {i: f"True:{2 * i + 1}" for i in range(7)}
