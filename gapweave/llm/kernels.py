@@ -301,21 +301,6 @@ def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mixed(run), return_counts=True)
 
 
-def document_counts(texts, buckets: int) -> np.ndarray:
-    """In how many of the texts a shingle of each bucket occurs."""
-    counts = np.zeros(buckets, dtype=np.int64)
-    for text in texts:
-        found, _ = shingles(text)
-        counts[np.unique((found % np.uint64(buckets)).astype(np.int64))] += 1
-    return counts
-
-
-def weighted_shingles(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles (rising) and their TF-IDF weights."""
-    found, counts = shingles(text)
-    return found, counts * idf[(found % np.uint64(len(idf))).astype(np.int64)].astype(np.float64)
-
-
 def rarity_weights(text: str, common: bytes | None, documents: bytes | None, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles (rising), their TF-IDF weights and their IDF, 1 + log(1 + N / n) / log(1 + N).
 

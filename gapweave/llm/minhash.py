@@ -25,58 +25,10 @@ from gapweave.operators.settle import settle
 LEAST_SIMILARITY = 0.8
 #: At a similarity of 0.8 all 12 bands of 3 samples miss a pair with probability 0.0004.
 BANDS, ROWS, SEED = 12, 3, 41
-BUCKETS = 1 << 20
-_PART = 4096  # counts per row of the partial sums
 #: Characters of text for a part of the shingles, and shingles that a task deals out at once.
 PART_CHARACTERS, CHUNK = 8 << 20, 1 << 19
 
 
-def inverse_document_frequency(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """1 + log(1 + N / n) / log(1 + N) per bucket of shingles over all rows of ``docs``.
-
-    The weight lies between 1 and 2: what most documents share counts about half of what is rare,
-    and copies in a large group stay near to each other although their text is frequent.
-
-    Every task sums its own rows; the partial sums are added bucket range by bucket range, and one
-    array of ``buckets`` counts comes to the driver.
-    """
-
-    def count(batches):
-        total, rows = np.zeros(buckets, dtype=np.int64), 0
-        for batch in kernels.slices(batches):
-            total += kernels.document_counts((t or "" for t in batch.column(0).to_pylist()), buckets)
-            rows += batch.num_rows
-        parts = total.reshape(-1, _PART)
-        used = [k for k in range(len(parts)) if parts[k].any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*used, -1], pa.int32()), pa.array([*(parts[k].tobytes() for k in used), np.int64(rows).tobytes()], pa.binary())],
-            ["part", "counts"],
-        )
-
-    def add(batches):
-        # As they come: a task holds one sum per range, however many partial sums there are.
-        sums = {}
-        for batch in batches:
-            for part, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                some = np.frombuffer(some, dtype=np.int64)
-                sums[part] = sums[part] + some if part in sums else some
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"]
-        )
-
-    form = "part int, counts binary"
-    partial = docs.select(F.col("text").cast("string")).mapInArrow(count, form)
-    sums = partial.repartition("part").mapInArrow(add, form)
-    counts, rows = np.zeros(buckets, dtype=np.int64), 0
-    for row in sums.collect():
-        if row["part"] < 0:
-            rows = int(np.frombuffer(row["counts"], dtype=np.int64)[0])
-        else:
-            counts[row["part"] * _PART : (row["part"] + 1) * _PART] = np.frombuffer(row["counts"], dtype=np.int64)
-    rarity = np.log1p(rows / np.maximum(counts, 1)) / np.log1p(max(rows, 1))
-    return (1.0 + rarity).astype(np.float32)
-
-
 def with_frequencies(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, text, common, documents`` for every row of ``docs``.
 

@@ -8,8 +8,8 @@ an entity, a term and both together among N documents, a term discloses
 
 Terms that disclose at least ``THRESHOLD`` of the bits become spans of kind ``term`` wherever they
 stand in a document that holds that entity; ``sanitise`` replaces base spans by their kind and
-generalises terms to ``[TERM]``.  ``op5_pii`` and the pipeline count terms from one document on;
-``support`` asks for more documents where a caller wants that (``SUPPORT`` by default).
+generalises terms to ``[TERM]``.  Terms count from one document on; ``support`` asks for more documents
+where a caller wants that.
 
 All positions are in code points.  Array work stays inside the row; what is shuffled are counts
 of entities, terms and pairs, and the words of documents that hold an entity, never whole texts
@@ -27,7 +27,7 @@ from gapweave.llm.mixing import mix_key
 from gapweave.operators.settle import settle
 
 THRESHOLD = 0.9
-SUPPORT = 3
+SUPPORT = 1
 
 # Possessive and anchored forms of the contract's patterns with the same leftmost matches, so that
 # no text makes them backtrack: a run of characters that fails from its start fails from any place.
