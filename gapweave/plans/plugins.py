@@ -88,22 +88,31 @@ def generate(
 ) -> DataFrame:
     """Run ``model(prompt id lists) -> [(text, perplexity), ...]`` in batches of ``batch_size``.
 
-    The last batch of a task may be smaller.  The result joins back by key.
+    Only the last batch of a task may be smaller: what an Arrow batch leaves over goes before the next
+    one's rows.  The result joins back by key.
     """
     key_type = prompts.schema[key].dataType.simpleString()
 
+    def answered(part: pd.DataFrame) -> pd.DataFrame:
+        made = model([list(p) for p in part["prompt_ids"]])
+        return pd.DataFrame(
+            {
+                key: part[key].to_numpy(),
+                "generated_middle": [text for text, _ in made],
+                "perplexity": [float(p) for _, p in made],
+            }
+        )
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
         for batch in batches:
-            for at in range(0, len(batch), batch_size):
-                part = batch.iloc[at : at + batch_size]
-                made = model([list(p) for p in part["prompt_ids"]])
-                yield pd.DataFrame(
-                    {
-                        key: part[key].to_numpy(),
-                        "generated_middle": [text for text, _ in made],
-                        "perplexity": [float(p) for _, p in made],
-                    }
-                )
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            whole = len(rows) // batch_size * batch_size
+            for at in range(0, whole, batch_size):
+                yield answered(rows.iloc[at : at + batch_size])
+            rest = rows.iloc[whole:] if whole < len(rows) else None
+        if rest is not None:
+            yield answered(rest)
 
     return prompts.select(key, "prompt_ids").mapInPandas(
         run, f"{key} {key_type}, generated_middle string, perplexity double"

@@ -284,6 +284,18 @@ def test_plugins(spark):
     assert {r["example_id"]: r["generated_middle"] for r in made.collect()} == {i: f"True:{2 * i + 1}" for i in range(7)}
 
 
+def test_batches_of_prompts_cross_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        prompts = spark.range(0, 23, 1, 1).select(F.col("id").alias("example_id"), F.array(F.col("id").cast("int")).alias("prompt_ids"))
+        made = plugins.generate(prompts, lambda batch: [(str(len(batch)), float(p[0])) for p in batch], 10).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r["example_id"], r["generated_middle"], r["perplexity"]) for r in made] == [
+        (i, "10" if i < 20 else "3", float(i)) for i in range(23)
+    ]
+
+
 def test_settle_uses_the_folder_of_the_session(spark, tmp_path, monkeypatch):
     class Conf:
         def __init__(self, value):
