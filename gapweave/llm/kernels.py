@@ -468,25 +468,41 @@ def anchored_runs(raw: bytes, length: int, gram: int, most: int):
     return out
 
 
+def _packed(codes: np.ndarray) -> np.ndarray:
+    """The next seven codes of every place of the circular text in one integer."""
+    key = np.zeros(len(codes), dtype=np.int64)
+    for k in range(7):
+        key = (key << 9) | np.roll(codes, -k)
+    return key
+
+
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     """Places of the circular text ordered by their next ``depth`` codes at least (prefix doubling).
 
     ``codes`` are below 512.  Places that agree in all of these come in any order.
     """
-    n = len(codes)
-    key = np.zeros(n, dtype=np.int64)
-    for k in range(7):
-        key = (key << 9) | np.roll(codes, -k)
-    known = 7
-    while True:
-        order = np.argsort(key)
-        if known >= depth:
-            return order
-        ordered = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        key = rank * n + np.roll(rank, -known)
+    n, key, known = len(codes), _packed(codes), 7
+    order = np.argsort(key)
+    ordered = key[order]
+    first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    # A place's rank is where its group begins; it stays when others are divided.
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    while known < depth:
+        # Only groups of several places are sorted again.
+        shared = np.flatnonzero(~(first & np.append(first[1:], True)))
+        if not len(shared):
+            break
+        some = order[shared]
+        key = rank[some] * n + rank[(some + known) % n]
+        rise = np.argsort(key)
+        some, key = some[rise], key[rise]
+        order[shared] = some
+        begins = np.concatenate([[True], key[1:] != key[:-1]])
+        first[shared] = begins
+        rank[some] = np.maximum.accumulate(np.where(begins, shared, 0))
         known *= 2
+    return order
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -499,7 +515,8 @@ def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 def long_common_prefixes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffix order, and for each neighbouring pair whether it shares ``length`` codes or more.
 
-    Interval expansion on the Burrows-Wheeler transform: starting with all suffixes, every interval
+    Interval expansion on the Burrows-Wheeler transform: starting with the intervals of the strings of
+    (up to) seven codes, which one comparison of packed codes gives, every interval
     of a string w is extended backwards to the intervals of c w for the codes c before it, breadth
     first, so that common prefixes are found by increasing value: the boundary behind an interval
     of c w that is still unknown has the common prefix |w|.  The search stops at ``length``; what
@@ -512,9 +529,15 @@ def long_common_prefixes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np
     step[np.argsort(before, kind="stable")] = np.arange(n)
     first_code = np.sort(before, kind="stable")
     known = np.zeros(n + 1, dtype=bool)
-    known[0] = True
-    low, high = np.array([0]), np.array([n])
-    for _ in range(length):
+    short = min(7, length)
+    begun = _packed(codes)[order] >> np.int64(9 * (7 - short))
+    low = np.concatenate([[0], np.flatnonzero(begun[1:] != begun[:-1]) + 1])
+    high = np.append(low[1:], n)
+    known[low], known[n] = True, True
+    # As at every later level, only what is bounded by a common prefix of one code less can find new ones.
+    closed = np.append(begun[1:] >> np.int64(9) == begun[:-1] >> np.int64(9), False)[high - 1]
+    low, high = low[closed], high[closed]
+    for _ in range(length - short if len(low) else 0):
         sizes = high - low
         at = step[_ranges(low, high)]
         owner = np.repeat(np.arange(len(low)), sizes)
