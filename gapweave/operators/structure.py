@@ -243,42 +243,54 @@ def select_by_rules(nodes: DataFrame, rules: DataFrame, role: str, language: str
     return nodes.join(F.broadcast(wanted), "type", "left_semi")
 
 
+#: A block covers so many bins of its own width at most, and one more.
+SPREAD = 32
+
+
+def binned_blocks(blocks: DataFrame, bin_bytes: int = 1 << 12) -> DataFrame:
+    """Blocks in the bins they cover: ``_level, _bin``.
+
+    Bins double from level to level, and a block lies on the first level where it covers ``SPREAD``
+    bins or fewer (and a part of one more), so the copies of a block do not grow with its width.
+    """
+    width = F.greatest(F.col("end_byte") - F.col("start_byte"), F.lit(1))
+    level = F.greatest(F.ceil(F.log2(width / F.lit(float(bin_bytes * SPREAD)))), F.lit(0)).cast("int")
+    size = f"shiftleft({bin_bytes}L, _level)"
+    covered = f"sequence(start_byte div {size}, greatest(start_byte div {size}, (end_byte - 1) div {size}))"
+    return blocks.withColumn("_level", level).withColumn("_bin", F.explode(F.expr(covered)))
+
+
 def contained(
     blocks: DataFrame, subs: DataFrame, file_id: str = "file_id", bin_bytes: int = 1 << 12
 ) -> DataFrame:
     """Pairs of a block and a node of its subtree, the block's own node included.
 
-    The file is cut into bins of ``bin_bytes``: a node joins in the bin of its first byte, a
-    block in every bin it covers.  The key (file, bin) keeps one huge file from landing in
-    one task.
+    A node joins in the bin of its first byte on every level that has blocks, a block in the bins of its
+    own level (``binned_blocks``), so a pair meets once.  The key (file, level, bin) keeps one huge
+    file, or one huge block, from landing in one task.
     """
-    b = blocks.select(
-        file_id,
-        F.col("node_id").alias("block_id"),
-        F.col("start_byte").alias("block_start"),
-        F.col("end_byte").alias("block_end"),
-        F.explode(
-            F.sequence(
-                F.expr(f"start_byte div {bin_bytes}"),
-                F.greatest(F.expr(f"start_byte div {bin_bytes}"), F.expr(f"(end_byte - 1) div {bin_bytes}")),
-            )
-        ).alias("_bin"),
+    b = binned_blocks(blocks, bin_bytes).select(
+        file_id, "_level", "_bin", F.col("node_id").alias("block_id"), F.col("start_byte").alias("block_start"), F.col("end_byte").alias("block_end")
     )
+    # As many levels as doublings from a bin to the longest file, some thirty.
+    levels = b.agg(F.collect_set("_level")).scalar()
     n = subs.select(
         file_id,
         F.col("node_id").alias("sub_id"),
         F.col("type").alias("sub_type"),
         F.col("start_byte").alias("_start"),
         F.col("end_byte").alias("_end"),
-        F.expr(f"start_byte div {bin_bytes}").alias("_bin"),
-    )
+        F.explode(levels).alias("_level"),
+    ).withColumn("_bin", F.expr(f"_start div shiftleft({bin_bytes}L, _level)"))
     inside = (
         (F.col("sub_id") >= F.col("block_id"))
         & (F.col("_start") >= F.col("block_start"))
         & (F.col("_end") <= F.col("block_end"))
+        # An empty node belongs to a block that it begins, not to one that ends there.
+        & ((F.col("_start") < F.col("block_end")) | (F.col("_start") == F.col("block_start")))
     )
     return (
-        b.join(n, [file_id, "_bin"])
+        b.join(n, [file_id, "_level", "_bin"])
         .where(inside)
         .select(
             file_id,

@@ -132,3 +132,23 @@ def test_brace_scanner_is_linear(spark):
             best = min(best, time.perf_counter() - start)
         took.append(best)
     assert took[1] < 3.5 * took[0] + 1 and took[2] < 3.5 * took[1] + 1, took
+
+
+def test_wide_blocks_are_not_copied_into_every_bin(spark):
+    import random
+
+    rng = random.Random(3)
+    spans = [(0, 4096 * 100_000), (4096 * 7, 4096 * 60_000), (10, 10), (4096 * 32, 4096 * 64), (4095, 4097), (5, 4096 * 40_000 + 1)]
+    spans += [(s, s + rng.choice([0, 1, 5000, 200_000, 10**7])) for s in (rng.randrange(4096 * 100_000) for _ in range(60))]
+    rows = [(f, i, "t", s, e) for f in (1, 2) for i, (s, e) in enumerate(sorted(spans, key=lambda x: (x[0], -x[1])))]
+    nodes = spark.createDataFrame(rows, "file_id int, node_id bigint, type string, start_byte bigint, end_byte bigint")
+    copies = S.binned_blocks(nodes).groupBy("file_id", "node_id").count()
+    assert copies.agg(F.max("count")).first()[0] <= S.SPREAD + 1 and copies.count() == len(rows)
+    got = sorted((r["file_id"], r["block_id"], r["sub_id"], r["rel_start"], r["rel_end"]) for r in S.contained(nodes, nodes).collect())
+    want = sorted(
+        (f, i, j, s2 - s1, e2 - s1)
+        for f, i, _, s1, e1 in rows
+        for g, j, _, s2, e2 in rows
+        if f == g and j >= i and s2 >= s1 and e2 <= e1 and (s2 < max(e1, s1 + 1) or s2 == s1)
+    )
+    assert got == want
