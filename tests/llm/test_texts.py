@@ -171,12 +171,12 @@ def test_revealing_words_are_found_and_replaced(spark):
     mails = [(100 + i, f"{words(500 + i, 9)} Zebulon writes from zeb@mail.example often {words(700 + i, 9)}", "en", "a") for i in range(5)]
     other = [(200, "somebody else at one@mail.example here", "en", "a"), (201, "often seen writes from here", "en", "a")]
     docs = documents(spark, noise + mails + other * 2)
-    found = {r.doc_id: r for r in pii.personal_data(docs).collect()}
+    found = {r.doc_id: r for r in pii.personal_data(docs, support=3).collect()}
     for i, text, *_ in mails:
         named = [text[s.start : s.end] for s in found[i].term]
         assert "Zebulon" in named
     assert not found[200].term and not found[201].term
-    clean = {r.doc_id: r for r in pii.sanitise(docs).collect()}
+    clean = {r.doc_id: r for r in pii.sanitise(docs, support=3).collect()}
     assert "[TERM]" in clean[100].text and "Zebulon" not in clean[100].text and "[EMAIL]" in clean[100].text
     assert clean[201].text == other[1][1] and clean[100].n_chars == len(clean[100].text)
 
@@ -186,7 +186,7 @@ def test_disclosure_is_the_share_of_information(spark):
     some += [(90 + i, "Beta", "en", "a") for i in range(4)]
     docs = documents(spark, some)
     found = pii.detect(docs)
-    pairs = {(r.entity, r.term): r.disclosure for r in pii.disclosing_pairs(docs, found, threshold=0.0).collect()}
+    pairs = {(r.entity, r.term): r.disclosure for r in pii.disclosing_pairs(docs, found, threshold=0.0, support=3).collect()}
     assert pairs == {("email:same@b.cc", "beta"): pytest.approx(math.log2(4 * 16 / (4 * 8)) / math.log2(16 / 4))}
 
 
