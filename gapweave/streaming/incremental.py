@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gapweave.operators.fim import training_arrays
 from gapweave.operators.random_fim import byte_chunks, chosen_spans, random_pool, spans_to_examples, window_bytes
 from gapweave.operators.splits import split_by_threshold
 from gapweave.params import FimParams, Markers, SplitParams
@@ -68,7 +69,8 @@ def run_available(examples: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-TRAINING_COLUMNS = ["file_id", "split", "input_ids", "attention_mask", "labels"]
+#: What is stored of a row; mask and labels follow from the ids.
+STORED = ["file_id", "split", "input_ids"]
 #: What identifies a row of each kind, kept beside the arrays.
 ROW_IDS = {"structural": ["block_id", "sub_id"], "random": ["chunk_no", "draw"]}
 
@@ -94,7 +96,7 @@ def run_training(
     def add(batch: DataFrame, number: int) -> None:
         assigned = split_by_threshold(batch, ["file_id"], split_params)
         structural = structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes)
-        structural.select(*TRAINING_COLUMNS, *ROW_IDS["structural"]).write.mode("overwrite").parquet(f"{out}/structural/batch={number}")
+        structural.select(*STORED, *ROW_IDS["structural"]).write.mode("overwrite").parquet(f"{out}/structural/batch={number}")
         window = window_bytes(params.max_token_sequence_length, F.lit(float(ratio)))
         chunks = byte_chunks(assigned.select("file_id", "split", "content"), window, keep=("file_id", "split"))
         if tokenizer is not None:
@@ -113,13 +115,11 @@ def choose_random(spark: SparkSession, out: str, params: FimParams = FimParams()
     read = lambda name: spark.read.parquet(f"{out}/{name}").drop("batch")
     quotas = random_quotas(read("structural").select("split"), params)
     chosen = chosen_spans(random_pool(read("chunks"), params), quotas)
-    rows = spans_to_examples(chosen, markers).select(*TRAINING_COLUMNS, *ROW_IDS["random"])
+    rows = spans_to_examples(chosen, markers).select(*STORED, *ROW_IDS["random"])
     replace_table(rows, f"{out}/random")
 
 
 def read_training(spark: SparkSession, out: str) -> DataFrame:
-    """Structural and random rows written so far, told apart by ``kind``."""
-    kinds = [
-        spark.read.parquet(f"{out}/{kind}").select(*TRAINING_COLUMNS, F.lit(kind).alias("kind")) for kind in ROW_IDS
-    ]
-    return kinds[0].unionByName(kinds[1])
+    """Structural and random rows written so far with their arrays, told apart by ``kind``."""
+    kinds = [spark.read.parquet(f"{out}/{kind}").select(*STORED, F.lit(kind).alias("kind")) for kind in ROW_IDS]
+    return training_arrays(kinds[0].unionByName(kinds[1]))

@@ -148,6 +148,7 @@ def test_random_rows_of_a_stream_are_those_of_the_batch(spark, tree, tmp_path, o
     def stream():
         run_training(stream_files(spark, str(tree), [".c"]), "prose", out, mark, split, params, tokenizer=tokenizer)
         rows = read_training(spark, out).collect()
+        assert all(r["labels"] == r["input_ids"] and r["attention_mask"] == [1] * len(r["labels"]) for r in rows)
         return sorted((r["kind"], r["file_id"], r["split"], r["input_ids"]) for r in rows)
 
     for late in range(3):
