@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from gapweave.functions.text import clean, leading_keyword, structures, words
-from gapweave.operators.fim import drop_overlong, fim_examples, tokenize_and_filter
+from gapweave.operators.fim import drop_overlong, fim_examples, tokenize_and_filter, training_arrays
 from gapweave.operators.random_fim import random_examples, window_bytes
 from gapweave.operators.settle import settle
 from gapweave.operators.splits import SPLITS, split_exact, split_stratified
@@ -105,9 +105,9 @@ def training_rows(
         ratio = ratio_value(corpus_ratio(blocks, tokenizer))
     if not isinstance(ratio, Column):
         ratio = F.lit(float(1.0 if ratio is None else ratio))
-    structural = settle(
-        structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes, observed)
-    )
+    found = structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes, observed)
+    # Mask and labels follow from the ids.
+    structural = training_arrays(settle(found.select("file_id", "split", "input_ids")))
     extra = random_examples(
         assigned.select("file_id", "split", "content"),
         window_bytes(params.max_token_sequence_length, ratio),
