@@ -94,7 +94,9 @@ def run_training(
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        assigned = split_by_threshold(batch, ["file_id"], split_params)
+        # A micro-batch may have come in one piece; all cores scan it.
+        dealt = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism, "file_id")
+        assigned = split_by_threshold(dealt, ["file_id"], split_params)
         structural = structural_examples(assigned, scanner, params, ratio, markers, tokenizer, rules, nodes)
         structural.select(*STORED, *ROW_IDS["structural"]).write.mode("overwrite").parquet(f"{out}/structural/batch={number}")
         window = window_bytes(params.max_token_sequence_length, F.lit(float(ratio)))
