@@ -86,3 +86,12 @@ def test_one_arriving_file_is_scanned_by_several_tasks(spark, tmp_path):
     stream = spark.readStream.schema(files.schema).parquet(f"{tmp_path}/in").withColumn("content", F.encode("text", "UTF-8"))
     run_training(stream, "prose", f"{tmp_path}/out", f"{tmp_path}/check", params=Q.PARAMS)
     assert len(list(tmp_path.glob("out/structural/batch=0/*.parquet"))) > 1
+
+
+def test_settled_tables_are_packed_tightly(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from gapweave.operators.settle import settle
+
+    files = settle(spark.range(10)).inputFiles()
+    assert {pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
