@@ -304,43 +304,75 @@ def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
 def rarity_weights(text: str, common: bytes | None, documents: bytes | None, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles (rising), their TF-IDF weights and their IDF, 1 + log(1 + N / n) / log(1 + N).
 
-    ``common`` are the text's shingles of more than one document (rising), ``documents`` their n; all others have n = 1.
+    ``common`` marks the shingles of more than one document, ``documents`` are their n (``marked_counts``); all others have n = 1.
     """
     found, counts = shingles(text)
     n = np.ones(len(found))
     if common:
-        n[np.searchsorted(found, np.frombuffer(common, dtype=np.uint64))] = np.frombuffer(documents, dtype=np.int64)
+        n[np.unpackbits(np.frombuffer(common, dtype=np.uint8), count=len(found)).view(bool)] = from_planes(documents)
     idf = 1.0 + np.log1p(total / n) / np.log1p(max(total, 1))
     return found, counts * idf, idf
 
 
-def packed_parts(key: np.ndarray, parts: int, *columns: np.ndarray):
-    """``part, bytes of each column`` for every part ``key % parts`` that has rows; 64-bit columns, the order is kept."""
-    part = (key % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    part, columns = part[order], [c[order] for c in columns]
-    bounds = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        yield int(part[low]), *(c[low:high].tobytes() for c in columns)
+def planes(values: np.ndarray) -> bytes:
+    """Integers from 0 by planes of bytes, the lowest first, as many as the largest needs; their number comes first."""
+    if not len(values):
+        return b""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    raw = np.ascontiguousarray(values, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([width]) + np.ascontiguousarray(raw[:, :width].T).tobytes()
 
 
-def stepped(values: np.ndarray) -> np.ndarray:
-    """Differences of neighbours, which compress well; ``np.cumsum`` undoes it."""
-    return np.diff(values, prepend=np.int64(0))
+def from_planes(raw: bytes | None) -> np.ndarray:
+    """The integers of ``planes`` (uint64)."""
+    if not raw:
+        return np.zeros(0, dtype=np.uint64)
+    columns = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((columns.shape[1], 8), dtype=np.uint8)
+    out[:, : raw[0]] = columns.T
+    return out.view("<u8").reshape(-1)
 
 
-def unpacked_parts(batches):
-    """The columns of every part from batches ``part, bytes ...`` sorted by part."""
+def dealt_steps(rising: np.ndarray, parts: int):
+    """``part, planes of the steps`` for each of ``parts`` equal ranges of 64-bit numbers that has some of ``rising``.
+
+    Steps start at the range's lower end; ``np.cumsum`` gives the numbers counted from there.
+    """
+    lows = np.array([-(-(k << 64) // parts) for k in range(parts)], dtype=np.uint64)
+    bounds = np.append(np.searchsorted(rising, lows), len(rising))
+    for part in np.flatnonzero(np.diff(bounds)):
+        yield int(part), planes(np.diff(rising[bounds[part] : bounds[part + 1]], prepend=lows[part]))
+
+
+def merged_steps(rows: list[tuple[int, bytes]]) -> tuple[list[int], list[np.ndarray]]:
+    """The chunks of rows ``chunk, planes of steps`` sorted by chunk, and the rising numbers of each."""
+    chunks, found = [], []
+    for chunk, steps in rows:
+        if not chunks or chunks[-1] != chunk:
+            chunks.append(chunk)
+            found.append([])
+        found[-1].append(np.cumsum(from_planes(steps), dtype=np.uint64))
+    return chunks, [own[0] if len(own) == 1 else np.sort(np.concatenate(own)) for own in found]
+
+
+def grouped_rows(batches):
+    """``part, the other columns of its rows`` of every part from batches sorted by part, their first column."""
     last, kept = None, []
     for batch in batches:
         for row in zip(*(column.to_pylist() for column in batch.columns)):
             if row[0] != last and kept:
-                yield kept
+                yield last, kept
                 kept = []
             last = row[0]
-            kept.append([np.frombuffer(value, dtype=np.int64) for value in row[1:]])
+            kept.append(row[1:])
     if kept:
-        yield kept
+        yield last, kept
+
+
+def marked_counts(counts: np.ndarray) -> tuple[bytes | None, bytes | None]:
+    """A bit for every count, set where it is over 1, and these counts (``planes``); None where there is none."""
+    common = counts > 1
+    return (np.packbits(common).tobytes(), planes(counts[common])) if common.any() else (None, None)
 
 
 class ConsistentSampler:

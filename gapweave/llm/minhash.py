@@ -9,13 +9,16 @@ differs from the pivot in nearly the same shingles: such pairs meet by their rar
 weighted Jaccard similarity of the whole texts.
 
 Document counts for the IDF are those of the single 64-bit shingles over all documents.  Shingles
-travel in packed parts, as many as the corpus needs; only those of more than one document come back.
+travel in order of size, packed by chunk of texts and part of their range; what comes back to a chunk
+are the counts in that order, and the texts' own shingles tell whose they are.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from gapweave.llm import kernels
@@ -25,87 +28,85 @@ from gapweave.operators.settle import settle
 LEAST_SIMILARITY = 0.8
 #: At a similarity of 0.8 all 12 bands of 3 samples miss a pair with probability 0.0004.
 BANDS, ROWS, SEED = 12, 3, 41
-#: Characters of text for a part of the shingles, and shingles that a task deals out at once.
-PART_CHARACTERS, CHUNK = 8 << 20, 1 << 19
+#: Characters of text for a part of the shingles, and bytes of texts (a row has 32 besides) for a chunk.
+PART_CHARACTERS, CHUNK = 8 << 20, 4 << 20
 
 
 def with_frequencies(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, text, common, documents`` for every row of ``docs``.
 
-    ``common`` are the shingles of the text that more than one row has (64-bit integers, rising by
-    their unsigned value), ``documents`` in how many rows each of them occurs.
+    ``common`` marks the distinct shingles of the text (rising) that more than one row has, a bit each,
+    ``documents`` tells in how many rows each of these occurs (kernels.planes).
     """
     texts = docs.select("doc_id", text_digest().alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    numbered = settle(texts.withColumn("rid", F.monotonically_increasing_id()))
-    characters = numbered.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = CHUNK
+
+    def number(batches):
+        first, filled = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            if batch.num_rows:
+                sizes = pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64) + 32
+                ends = filled + np.cumsum(sizes)
+                filled = ends[-1]
+                yield batch.append_column("chunk", pa.array(first + (ends - sizes) // size, pa.int64()))
+
+    chunked = settle(texts.mapInArrow(number, "doc_id bigint, digest binary, text string, chunk bigint"))
+    characters = chunked.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = 8 + characters // PART_CHARACTERS
-    form = "part int, rids binary, shingles binary"
 
-    def packed(rows, kinds):
-        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=[str(k) for k in range(len(kinds))])
-
-    def rename(batch, names):
-        return pa.RecordBatch.from_arrays(batch.columns, names=names)
+    def batch_of(rows, names, kinds):
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
 
     def deal(batches):
-        kinds, names = [pa.int32(), pa.binary(), pa.binary()], ["part", "rids", "shingles"]
-        rids, found, size = [], [], 0
+        names, kinds = ["part", "chunk", "shingles"], [pa.int32(), pa.int64(), pa.binary()]
+        last, found = None, []
 
         def flush():
-            every = np.concatenate(found)
-            rows = kernels.packed_parts(every, parts, np.concatenate(rids), every.view(np.int64))
-            return rename(packed([(p, kernels.stepped(np.frombuffer(r, dtype=np.int64)).tobytes(), f) for p, r, f in rows], kinds), names)
+            rows = [(part, last, steps) for part, steps in kernels.dealt_steps(np.sort(np.concatenate(found)), parts)]
+            return batch_of(rows, names, kinds)
 
         for batch in kernels.slices(batches):
-            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if chunk != last and found:
+                    yield flush()
+                    found = []
+                last = chunk
                 some, _ = kernels.shingles(text)
                 if len(some):
                     found.append(some)
-                    rids.append(np.full(len(some), rid, dtype=np.int64))
-                    size += len(some)
-                if size >= CHUNK:
-                    yield flush()
-                    rids, found, size = [], [], 0
-        if size:
+        if found:
             yield flush()
 
     def count(batches):
-        kinds, names = [pa.int32(), pa.binary(), pa.binary(), pa.binary()], ["part", "rids", "shingles", "documents"]
-        for kept in kernels.unpacked_parts(batches):
-            shingle = np.concatenate([row[1] for row in kept]).view(np.uint64)
-            rid = np.concatenate([np.cumsum(row[0]) for row in kept])
-            _, inverse, counts = np.unique(shingle, return_inverse=True, return_counts=True)
-            n = counts[inverse]
-            common = n > 1
-            if common.any():
-                rid, shingle, n = rid[common], shingle[common], n[common].astype(np.int64)
-                order = np.argsort(rid, kind="stable")
-                rid, shingle, n = rid[order], shingle[order], n[order]
-                key = kernels.mixed(rid.view(np.uint64))
-                rows = kernels.packed_parts(key, parts, rid, shingle.view(np.int64), n)
-                yield rename(packed([(p, kernels.stepped(np.frombuffer(r, dtype=np.int64)).tobytes(), f, k) for p, r, f, k in rows], kinds), names)
-
-    def gather(batches):
-        kinds, names = [pa.int64(), pa.binary(), pa.binary()], ["rid", "common", "documents"]
-        for kept in kernels.unpacked_parts(batches):
-            rid = np.concatenate([np.cumsum(row[0]) for row in kept])
-            shingle = np.concatenate([row[1] for row in kept]).view(np.uint64)
-            n = np.concatenate([row[2] for row in kept])
-            order = np.lexsort((shingle, rid))
-            rid, shingle, n = rid[order], shingle[order], n[order]
-            starts = np.flatnonzero(np.diff(rid, prepend=-1))
-            rows = [
-                (int(rid[low]), shingle[low:high].tobytes(), n[low:high].tobytes())
-                for low, high in zip(starts, [*starts[1:], len(rid)])
-            ]
-            for at in range(0, len(rows), 1000):
-                yield rename(packed(rows[at : at + 1000], kinds), names)
-
-    dealt = numbered.select("rid", "text").mapInArrow(deal, form)
-    counted = dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(count, form + ", documents binary")
-    back = counted.repartition(parts, "part").sortWithinPartitions("part")
-    frequent = back.mapInArrow(gather, "rid bigint, common binary, documents binary")
-    return settle(numbered.join(frequent, "rid", "left").drop("rid"))
+        names, kinds = ["chunk", "part", "documents"], [pa.int64(), pa.int32(), pa.binary()]
+        for part, kept in kernels.grouped_rows(batches):
+            chunks, values = kernels.merged_steps(kept)
+            _, inverse, counts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+            bounds = np.cumsum([0, *map(len, values)])
+            for low in range(0, len(chunks), 1000):
+                rows = [
+                    (chunks[k], part, kernels.planes(counts[inverse[bounds[k] : bounds[k + 1]]]))
+                    for k in range(low, min(low + 1000, len(chunks)))
+                ]
+                yield batch_of(rows, names, kinds)
+
+    def gather(texts, counted):
+        order = np.argsort(counted.column("part").to_numpy())
+        answers = counted.column("documents").to_pylist()
+        n = np.concatenate([kernels.from_planes(answers[k]) for k in order] or [np.zeros(0, dtype=np.uint64)])
+        found = [kernels.shingles(text)[0] for text in texts.column("text").to_pylist()]
+        counts = np.empty(len(n), dtype=np.uint64)
+        counts[np.argsort(np.concatenate(found), kind="stable")] = n
+        marks = [kernels.marked_counts(own) for own in np.split(counts, np.cumsum([len(f) for f in found])[:-1])]
+        common, documents = (pa.array(c, pa.binary()) for c in zip(*marks))
+        return texts.drop_columns(["chunk"]).append_column("common", common).append_column("documents", documents)
+
+    # A chunk may be read by several tasks: what they send of it is merged before it is answered.
+    dealt = chunked.select("chunk", "text").mapInArrow(deal, "part int, chunk bigint, shingles binary")
+    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "chunk")
+    counted = settle(ordered.mapInArrow(count, "chunk bigint, part int, documents binary"))
+    form = "doc_id bigint, digest binary, text string, common binary, documents binary"
+    return settle(chunked.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(gather, form))
 
 
 def text_digest():

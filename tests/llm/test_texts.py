@@ -1,7 +1,10 @@
 import collections
 import hashlib
 import math
+import os
 import re
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -10,6 +13,7 @@ from hypothesis import given, settings, strategies as st
 import corpus_pipeline
 from gapweave.llm import kernels, languages, licenses, minhash, pii, repeats
 from gapweave.llm.queries import op5_pii
+from gapweave.operators import settle as settled
 from tests.llm.fixtures import documents, empty, rows, words
 
 
@@ -370,3 +374,44 @@ def test_links_of_the_second_round_need_no_agreement(spark):
     pairs = [(i, j) for i in bands for j in bands if i // 10 == j // 10 and i < j and (bands[i] == bands[j]).any()]
     similar = [(i, j) for i, j in pairs if kernels.weighted_jaccard(weighted[i], weighted[j]) >= least]
     assert similar and all(classes[i] == classes[j] for i, j in similar)
+
+
+def test_shingles_travel_in_six_bytes_and_counts_in_one():
+    rising = np.sort(np.random.default_rng(1).integers(0, 2**64, 1 << 19, dtype=np.uint64))
+    dealt = list(kernels.dealt_steps(rising, 7))
+    assert [part for part, _ in dealt] == list(range(7))
+    lows = [-(-(part << 64) // 7) for part, _ in dealt]
+    back = [np.cumsum(kernels.from_planes(steps)) + np.uint64(low) for low, (_, steps) in zip(lows, dealt)]
+    assert np.array_equal(np.concatenate(back), rising)
+    # What compresses: the planes over six are nearly all zeros.
+    assert sum(len(zlib.compress(steps, 1)) for _, steps in dealt) < 6.3 * len(rising)
+    counts = np.array([1, 2, 1, 300, 1, 1, 1, 1, 70_000], dtype=np.uint64)
+    common, documents = kernels.marked_counts(counts)
+    assert np.unpackbits(np.frombuffer(common, dtype=np.uint8), count=9).tolist() == [0, 1, 0, 1, 0, 0, 0, 0, 1]
+    assert kernels.from_planes(documents).tolist() == [2, 300, 70_000]
+    assert kernels.marked_counts(counts[:1]) == (None, None)
+    assert kernels.from_planes(kernels.planes(counts[:0])).tolist() == []
+
+
+def test_a_chunk_read_by_two_tasks_is_answered_once():
+    first, second = (kernels.planes(np.array(steps, dtype=np.uint64)) for steps in ([5, 4], [2, 3, 9]))
+    chunks, values = kernels.merged_steps([(3, first), (3, second), (8, first)])
+    assert chunks == [3, 8] and [v.tolist() for v in values] == [[2, 5, 5, 9, 14], [5, 9]]
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    def shuffle_files():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in files.mkString("\n").split("\n") if "/shuffle_" in name}
+
+    earlier, before = shuffle_files(), spark.conf.get(settled.SHUFFLE_CLEANUP, None)
+    dealt = spark.range(1000).repartition(4, "id")
+    assert settled.settle(dealt).count() == 1000
+    assert spark.conf.get(settled.SHUFFLE_CLEANUP, None) == before
+    for _ in range(50):
+        # The table's own count leaves its shuffle (one row of each task), the write leaves none.
+        left = [name for name in shuffle_files() - earlier if name.endswith(".data") and os.path.getsize(name) > 500]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
