@@ -5,7 +5,10 @@ Arguments are column names or SQL expressions, results are Columns.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from gapweave.functions import text as X
@@ -45,25 +48,49 @@ def _similarity_udf():
     not be installed there.
     """
 
+    def same_start(a, b):
+        # How many characters agree from the start on, by bisection.
+        low, high = 0, min(len(a), len(b))
+        while low < high:
+            middle = (low + high + 1) // 2
+            if a[low:middle] == b[low:middle]:
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
     def edit_distance(a, b):
         # Levenshtein distance by the bit-vector recurrence of Myers and Hyyroe: a column of
-        # the distance table is two integers with one bit per character.
-        if len(a) < len(b):
+        # the distance table is two integers with one bit per character.  What both texts begin
+        # and end with costs nothing; steps go over the shorter text, bits over the longer one.
+        start = same_start(a, b)
+        a, b = a[start:], b[start:]
+        end = same_start(a[::-1], b[::-1])
+        a, b = a[: len(a) - end], b[: len(b) - end]
+        if len(a) > len(b):
             a, b = b, a
-        positions = {}
+        if not a:
+            return len(b)
+        positions = dict.fromkeys(a, 0)
+        at = {}
         for i, char in enumerate(b):
-            positions[char] = positions.get(char, 0) | (1 << i)
-        full, last = (1 << len(b)) - 1, 1 << (len(b) - 1)
-        rises, falls, distance = full, 0, len(b)
-        for char in a:
-            match = positions.get(char, 0)
-            diagonal = (((match & rises) + rises) ^ rises) | match
-            row_up, row_down = falls | ~(diagonal | rises), rises & diagonal
-            distance += (row_up & last != 0) - (row_down & last != 0)
-            row_up, row_down = (row_up << 1) | 1, row_down << 1
-            steps = match | falls
-            rises, falls = (row_down | ~(steps | row_up)) & full, row_up & steps & full
-        return distance
+            if char in positions:
+                at.setdefault(char, []).append(i)
+        for char, places in at.items():
+            marks = bytearray(len(b) // 8 + 1)
+            for i in places:
+                marks[i >> 3] |= 1 << (i & 7)
+            positions[char] = int.from_bytes(marks, "little")
+        full = (1 << len(b)) - 1
+        rises, falls = full, 0
+        for match in map(positions.__getitem__, a):
+            match |= falls
+            diagonal = ((((match & rises) + rises) ^ rises) | match) & full
+            row_up, row_down = falls | ((diagonal | rises) ^ full), rises & diagonal
+            row_up = (row_up << 1) | 1
+            rises, falls = ((row_down << 1) | ((row_up | diagonal) ^ full)) & full, row_up & diagonal
+        # The last column starts at the length of what was stepped over.
+        return len(a) + rises.bit_count() - falls.bit_count()
 
     def similarity(ref: pd.Series, pred: pd.Series) -> pd.Series:
         return pd.Series(
@@ -140,9 +167,54 @@ def _with_grams(ref: str, pred: str, orders: int, score) -> Column:
     return F.expr(f"coalesce({scored}, 0D)")
 
 
+def _sentence_bleu_udf(weights):
+    """Arrow function for BLEU of two columns of words; whole batches as numpy columns.
+
+    Runs of words are numbered exactly, level by level: a run is its first words' number and
+    one more word.  Numbers are those of a row, so counts of both sides stand side by side.
+    """
+
+    def counted(runs, side, row, rows):
+        n = int(runs.max()) + 1 if len(runs) else 0
+        both = np.minimum(np.bincount(runs[side], minlength=n), np.bincount(runs[~side], minlength=n))
+        of = np.zeros(n, dtype=np.int64)
+        of[runs] = row
+        return np.bincount(of, weights=both, minlength=rows)
+
+    def lengths(lists):
+        return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def scored(ref, pred):
+        rows, n_ref, n_pred = len(ref), lengths(ref), lengths(pred)
+        words = pa.concat_arrays([ref.flatten(), pred.flatten()]).dictionary_encode()
+        word, kinds = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(len(words.dictionary), 1)
+        sizes = np.concatenate([n_ref, n_pred])
+        row = np.repeat(np.concatenate([np.arange(rows), np.arange(rows)]), sizes)
+        stop, side = np.repeat(np.cumsum(sizes), sizes), np.arange(len(word)) < n_ref.sum()
+        start, run, logs, first = np.arange(len(word)), row, np.zeros(rows), None
+        for k, weight in enumerate(weights):
+            whole = start + k < stop[start]
+            start, run = start[whole], run[whole]
+            run = np.unique(run * kinds + word[start + k], return_inverse=True)[1]
+            hits = counted(run, side[start], row[start], rows)
+            first = hits if k == 0 else first
+            logs += weight * np.log(np.where(hits == 0, BLEU_EPSILON, hits) / np.maximum(n_pred - k, 1))
+        brevity = np.where(n_pred > n_ref, 1.0, np.exp(1 - n_ref / np.maximum(n_pred, 1)))
+        return np.where(first == 0, 0.0, brevity * np.exp(logs))
+
+    def score(ref: pa.Array, pred: pa.Array) -> pa.Array:
+        # Some rows at a time, about a million words.
+        pieces = np.cumsum(lengths(ref) + lengths(pred)) >> 20
+        bounds = [0, *(np.flatnonzero(np.diff(pieces)) + 1).tolist(), len(ref)]
+        some = [scored(ref[low:high], pred[low:high]) for low, high in zip(bounds, bounds[1:])]
+        return pa.array(np.concatenate(some), pa.float64())
+
+    return F.arrow_udf(score, "double")
+
+
 def sentence_bleu(ref: str, pred: str, weights=EVEN) -> Column:
     """Sentence BLEU, one reference, clipped precision, zero counts replaced by epsilon."""
-    return _with_grams(ref, pred, len(weights), lambda r, p, h: bleu_text(r, p, h, weights))
+    return _sentence_bleu_udf(tuple(weights))(F.expr(words(ref)), F.expr(words(pred)))
 
 
 def keyword_bleu(ref: str, pred: str, keywords: list[str], weights=EVEN) -> Column:

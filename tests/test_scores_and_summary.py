@@ -1,4 +1,6 @@
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +224,23 @@ def test_summaries_have_codebleu_with_its_validity(spark, monkeypatch):
     for name in ("improvement", "metric_registry", "five_number", "diff_hist", "diff_summary"):
         assert "codebleu" in {r.metric for r in QUERIES[f"{name}_all"](spark, "").select("metric").collect()}
     assert "evaluate.codebleu.base" in {r.name for r in QUERIES["metrics_long_all"](spark, "").collect()}
+
+
+def test_edit_similarity_skips_what_both_texts_begin_and_end_with(spark):
+    # The bit vectors of the whole texts would take some 10 ** 11 steps of a processor.
+    ends = "one two three " * 40_000
+    rows = [(f"{ends}kitten{ends}", f"{ends}sitting{ends}"), ("abc", "xaby"), ("ab" * 50, "ba" * 50 + "c")]
+    started = time.monotonic()
+    got = values(pairs(spark, *rows), M.edit_similarity("ref", "pred"))
+    assert time.monotonic() - started < 20
+    assert got == pytest.approx([1 - 3 / (2 * len(ends) + 7), 1 - 2 / 4, 1 - 2 / 101])
+
+
+def test_sentence_bleu_of_many_rows_runs_in_batches(spark):
+    rng = random.Random(3)
+    some = [" ".join(rng.choice("abcdefg.") for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    rows = [(r, rng.choice([p, r, r[:-4]])) for r, p in zip(some, reversed(some))]
+
+    scored = pairs(spark, *rows).select(M.sentence_bleu("ref", "pred"))
+    assert "ArrowEvalPython" in scored._jdf.queryExecution().executedPlan().toString()
+    assert values(pairs(spark, *rows), M.sentence_bleu("ref", "pred")) == pytest.approx([brute_bleu(r.split(), p.split()) for r, p in rows])
