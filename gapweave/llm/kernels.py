@@ -271,6 +271,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mixed_in_place(x: np.ndarray) -> np.ndarray:
+    """``mixed`` without new arrays but one."""
+    y = x >> np.uint64(30)
+    x ^= y
+    x *= _M2
+    np.right_shift(x, np.uint64(27), out=y)
+    x ^= y
+    x *= _M3
+    np.right_shift(x, np.uint64(31), out=y)
+    x ^= y
+    return x
+
+
 class _WordHashes(dict):
     """Words to 64-bit hashes; forgets all of them when it has grown large."""
 
@@ -292,7 +305,7 @@ def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     words = text.lower().split()
     if not words:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    h = np.array([hashes[w] for w in words], dtype=np.uint64)
+    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(width, len(h))
     n = len(h) - width + 1
     run = h[:n].copy()
@@ -310,10 +323,15 @@ def rarity_weights(text: str, common: bytes | None, documents: bytes | None, tot
     n = np.ones(len(found))
     if common:
         n[np.unpackbits(np.frombuffer(common, dtype=np.uint8), count=len(found)).view(bool)] = from_planes(documents)
-    idf = 1.0 + np.log1p(total / n) / np.log1p(max(total, 1))
+    idf = rarity(n, total)
     return found, counts * idf, idf
 
 
+def rarity(n: np.ndarray, total: int) -> np.ndarray:
+    """IDF of shingles that n of ``total`` documents have."""
+    return 1.0 + np.log1p(total / n) / np.log1p(max(total, 1))
+
+
 def planes(values: np.ndarray) -> bytes:
     """Integers from 0 by planes of bytes, the lowest first, as many as the largest needs; their number comes first."""
     if not len(values):
@@ -393,15 +411,21 @@ class ConsistentSampler:
         """One 64-bit value per sample; blocks of shingles keep the memory bounded."""
         best = np.full(len(self.salts), np.inf, dtype=np.float32)
         out = np.zeros(len(self.salts), dtype=np.uint64)
-        low = np.uint64(0xFFFF)
         for start in range(0, len(found), 2048):
             f = found[start : start + 2048, None]
             log_w = np.log(weights[start : start + 2048]).astype(np.float32)[:, None]
-            z = mixed(f * self.salts)
-            r = self.r[(z & low).astype(np.intp)]
-            beta = ((z >> np.uint64(32)) & low).astype(np.float32) / np.float32(65536)
-            t = np.floor(log_w / r + beta)
-            a = self.log_c[((z >> np.uint64(16)) & low).astype(np.intp)] - r * (t - beta) - r
+            z = mixed_in_place(f * self.salts).astype("<u8", copy=False).view("<u2").reshape(len(f), -1, 4)
+            r = self.r.take(z[:, :, 0])
+            beta = z[:, :, 2].astype(np.float32)
+            beta *= np.float32(1 / 65536)
+            t = log_w / r
+            t += beta
+            np.floor(t, out=t)
+            np.subtract(t, beta, out=beta)
+            beta *= r
+            a = self.log_c.take(z[:, :, 1])
+            a -= beta
+            a -= r
             first = a.argmin(axis=0)
             samples = np.arange(len(self.salts))
             least = a[first, samples]

@@ -33,10 +33,11 @@ PART_CHARACTERS, CHUNK = 8 << 20, 4 << 20
 
 
 def with_frequencies(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, text, common, documents`` for every row of ``docs``.
+    """``doc_id, digest, text, common, documents, bands`` for every row of ``docs``.
 
     ``common`` marks the distinct shingles of the text (rising) that more than one row has, a bit each,
-    ``documents`` tells in how many rows each of these occurs (kernels.planes).
+    ``documents`` tells in how many rows each of these occurs (kernels.planes).  ``bands`` are those of
+    the text's sketch; a text without words has none.
     """
     texts = docs.select("doc_id", text_digest().alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = CHUNK
@@ -51,7 +52,7 @@ def with_frequencies(docs: DataFrame) -> DataFrame:
                 yield batch.append_column("chunk", pa.array(first + (ends - sizes) // size, pa.int64()))
 
     chunked = settle(texts.mapInArrow(number, "doc_id bigint, digest binary, text string, chunk bigint"))
-    characters = chunked.agg(F.sum(F.length("text"))).first()[0] or 0
+    total, characters = chunked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = 8 + characters // PART_CHARACTERS
 
     def batch_of(rows, names, kinds):
@@ -94,18 +95,24 @@ def with_frequencies(docs: DataFrame) -> DataFrame:
         order = np.argsort(counted.column("part").to_numpy())
         answers = counted.column("documents").to_pylist()
         n = np.concatenate([kernels.from_planes(answers[k]) for k in order] or [np.zeros(0, dtype=np.uint64)])
-        found = [kernels.shingles(text)[0] for text in texts.column("text").to_pylist()]
+        found, times = zip(*(kernels.shingles(text) for text in texts.column("text").to_pylist()))
         counts = np.empty(len(n), dtype=np.uint64)
         counts[np.argsort(np.concatenate(found), kind="stable")] = n
-        marks = [kernels.marked_counts(own) for own in np.split(counts, np.cumsum([len(f) for f in found])[:-1])]
-        common, documents = (pa.array(c, pa.binary()) for c in zip(*marks))
-        return texts.drop_columns(["chunk"]).append_column("common", common).append_column("documents", documents)
+        of_text = np.split(counts, np.cumsum([len(f) for f in found])[:-1])
+        sampler = kernels.once("sampler", lambda: kernels.ConsistentSampler(BANDS * ROWS, SEED))
+        bands = [
+            kernels.band_hashes(sampler.sketch(f, t * kernels.rarity(own.astype(float), total)), ROWS).view(np.int64) if len(f) else None
+            for f, t, own in zip(found, times, of_text)
+        ]
+        common, documents = (pa.array(c, pa.binary()) for c in zip(*map(kernels.marked_counts, of_text)))
+        out = texts.drop_columns(["chunk"]).append_column("common", common).append_column("documents", documents)
+        return out.append_column("bands", pa.array(bands, pa.list_(pa.int64())))
 
     # A chunk may be read by several tasks: what they send of it is merged before it is answered.
     dealt = chunked.select("chunk", "text").mapInArrow(deal, "part int, chunk bigint, shingles binary")
     ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "chunk")
     counted = settle(ordered.mapInArrow(count, "chunk bigint, part int, documents binary"))
-    form = "doc_id bigint, digest binary, text string, common binary, documents binary"
+    form = "doc_id bigint, digest binary, text string, common binary, documents binary, bands array<bigint>"
     return settle(chunked.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(gather, form))
 
 
@@ -113,31 +120,6 @@ def text_digest():
     return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
-def sketches(rich: DataFrame, total: int) -> DataFrame:
-    """``doc_id, digest, bands``; a text without words has no bands.
-
-    ``rich`` is the table of ``with_frequencies`` and ``total`` the number of its rows.
-    """
-
-    def run(batches):
-        sampler = kernels.ConsistentSampler(BANDS * ROWS, SEED)
-        for batch in kernels.slices(batches):
-            bands = []
-            for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
-                found, weights, _ = kernels.rarity_weights(*row, total)
-                if not len(found):
-                    bands.append(None)
-                    continue
-                bands.append(kernels.band_hashes(sampler.sketch(found, weights), ROWS).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "digest", "bands"],
-            )
-
-    form = "doc_id bigint, digest binary, bands array<bigint>"
-    return rich.select("doc_id", "digest", "text", "common", "documents").mapInArrow(run, form)
-
-
 def _with_texts(pairs: DataFrame, nodes: DataFrame, rich: DataFrame) -> DataFrame:
     """``a, b`` and the texts with their frequencies of distinct pairs of digests."""
     pairs = settle(pairs)
@@ -205,7 +187,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     """
     rich = with_frequencies(docs)
     total = rich.count()
-    rows = settle(sketches(rich, total))
+    rows = rich.select("doc_id", "digest", "bands")
     nodes = settle(
         rows.where(F.col("bands").isNotNull())
         .groupBy("digest")
