@@ -284,16 +284,17 @@ def mixed_in_place(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _WordHashes(dict):
-    """Words to 64-bit hashes; forgets all of them when it has grown large."""
-
-    def __missing__(self, word):
-        import xxhash
-
-        if len(self) > 50_000:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words without white space, all of them in one pass over their bytes."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for k in range(0, len(words), 1 << 16):
+        raw = np.frombuffer(" ".join(words[k : k + (1 << 16)]).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        n, spaces = len(raw), np.flatnonzero(raw == 32)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((raw + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+        starts, ends = np.append(0, spaces + 1), np.append(spaces, n)
+        out.append(mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, n)[starts]))
+    return np.concatenate(out)
 
 
 def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -301,17 +302,20 @@ def shingles(text: str, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
     A text of fewer words has one shingle of all of them, an empty one none.
     """
-    hashes = once("word_hashes", _WordHashes)
-    words = text.lower().split()
-    if not words:
+    h = word_hashes(text.lower().split())
+    if not len(h):
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(width, len(h))
     n = len(h) - width + 1
     run = h[:n].copy()
     for k in range(1, width):
         run = run * _M1 + h[k : k + n]
-    return np.unique(mixed(run), return_counts=True)
+    found = np.sort(mixed(run))
+    new = np.flatnonzero(found[1:] != found[:-1]) + 1
+    if len(new) == n - 1:
+        return found, np.ones(n, dtype=np.int64)
+    starts = np.concatenate([[0], new])
+    return found[starts], np.diff(starts, append=n)
 
 
 def rarity_weights(text: str, common: bytes | None, documents: bytes | None, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -630,7 +634,7 @@ def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2])]
 
 
-def difference_prefixes(pivot, other, least: float) -> tuple[float, list[int], list[int] | None]:
+def difference_prefixes(pivot, other, least: float, once_only: float) -> tuple[float, float, list[int], list[float], int]:
     """Similarity of a text to its pivot, and the shingles by which a text like it can be found.
 
     Let d be the difference of the weights of a text and the pivot's, D the sum of its magnitudes
@@ -642,8 +646,13 @@ def difference_prefixes(pivot, other, least: float) -> tuple[float, list[int], l
 
         a_x = max(D_x - c (1 + 1/s) W_x, (D_x + c (W_p - W_x)) / 2),   a_y = D_y - c (1 + 1/s) W_y.
 
-    Returns these leading shingles for x (any text, its partner not similar to the pivot) and for
-    y (only if the text itself is not similar to the pivot, else None).
+    What the text has and no other row of the corpus (an IDF of ``once_only``) is shared with nothing:
+    it counts in D, but not among the magnitudes that may be shared.
+
+    Returns the similarity, (D - c W) / 2, these leading shingles, for each the joint magnitude of
+    it and those behind it, and how many of them lead if the partner is not similar to the pivot: the
+    others lead only where the text itself is not.  At their first common shingle, both magnitudes of
+    a similar pair reach the sum of the pair's (D - c W) / 2.
     """
     (fa, wa, rarity_a), (fb, wb, rarity_b) = pivot, other
     both, ia, ib = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
@@ -654,13 +663,14 @@ def difference_prefixes(pivot, other, least: float) -> tuple[float, list[int], l
     size = np.concatenate([np.abs(shift), wa[only_a], wb[only_b]])
     rarity = np.concatenate([rarity_a[ia], rarity_a[only_a], rarity_b[only_b]])
     added = np.arange(len(shingle)) >= len(shingle) - only_b.sum()
-    changed = size > 0
-    shingle, size, added, rarity = shingle[changed], size[changed], added[changed], rarity[changed]
     total, weight, weight_p = size.sum(), wb.sum(), wa.sum()
     whole = weight + weight_p
     similarity = float((whole - total) / (whole + total)) if whole > 0 else 0.0
-    # What the pivot lacks comes first: members rarely add the same, but often lose the same.
-    order = np.lexsort((shingle, -rarity, ~added))
+    shared = (size > 0) & ~(added & (rarity >= once_only * (1 - 1e-12)))
+    shingle, size, added, rarity = shingle[shared], size[shared], added[shared], rarity[shared]
+    # What the pivot lacks comes first, the rarest before: members rarely add the same.  They often lose
+    # the same, above all what only the pivot has, and rarely what most of them have.
+    order = np.lexsort((shingle, np.where(added, -rarity, rarity), ~added))
     # Magnitude of this shingle and all behind it.
     behind = np.cumsum(size[order][::-1])[::-1]
     c = (1 - least) / (1 + least)
@@ -668,9 +678,10 @@ def difference_prefixes(pivot, other, least: float) -> tuple[float, list[int], l
     beside = max(alone, (total + c * (weight_p - weight)) / 2)
 
     def leading(bound):
-        return shingle[order[behind >= bound * (1 - 1e-9) - 1e-9]].view(np.int64).tolist()
+        return int((behind >= bound * (1 - 1e-9) - 1e-9).sum())
 
-    return similarity, leading(beside), leading(alone) if similarity < least else None
+    n = leading(beside if similarity >= least else alone)
+    return similarity, float(total - c * weight) / 2, shingle[order[:n]].view(np.int64).tolist(), behind[:n].tolist(), leading(beside)
 
 
 def compared_pairs(batches, total: int):

@@ -5,7 +5,8 @@ a band are candidates.  Not all pairs of a band are compared: every band has a p
 with the most company over all its bands, and all members are compared with it.  Two members
 similar to the pivot are connected by it.  A member that isn't can only be similar to one that
 differs from the pivot in nearly the same shingles: such pairs meet by their rarest differences
-(prefix filtering, without loss), and are compared in a second round.  A comparison is the exact
+(prefix and positional filtering, without loss; a shingle of one row only is no such difference),
+and are compared in a second round.  A comparison is the exact
 weighted Jaccard similarity of the whole texts.
 
 Document counts for the IDF are those of the single 64-bit shingles over all documents.  Shingles
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gapweave.llm import kernels
 from gapweave.llm.common import as_row, row_columns, smallest_reachable
-from gapweave.operators.settle import settle
+from gapweave.operators.settle import settle, settle_last
 
 LEAST_SIMILARITY = 0.8
 #: At a similarity of 0.8 all 12 bands of 3 samples miss a pair with probability 0.0004.
@@ -39,6 +40,10 @@ def with_frequencies(docs: DataFrame) -> DataFrame:
     ``documents`` tells in how many rows each of these occurs (kernels.planes).  ``bands`` are those of
     the text's sketch; a text without words has none.
     """
+    return settle_last(lambda: _with_frequencies(docs))
+
+
+def _with_frequencies(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_digest().alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = CHUNK
 
@@ -97,7 +102,7 @@ def with_frequencies(docs: DataFrame) -> DataFrame:
         n = np.concatenate([kernels.from_planes(answers[k]) for k in order] or [np.zeros(0, dtype=np.uint64)])
         found, times = zip(*(kernels.shingles(text) for text in texts.column("text").to_pylist()))
         counts = np.empty(len(n), dtype=np.uint64)
-        counts[np.argsort(np.concatenate(found), kind="stable")] = n
+        counts[np.argsort(np.concatenate(found))] = n  # equal shingles have equal counts
         of_text = np.split(counts, np.cumsum([len(f) for f in found])[:-1])
         sampler = kernels.once("sampler", lambda: kernels.ConsistentSampler(BANDS * ROWS, SEED))
         bands = [
@@ -113,7 +118,7 @@ def with_frequencies(docs: DataFrame) -> DataFrame:
     ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "chunk")
     counted = settle(ordered.mapInArrow(count, "chunk bigint, part int, documents binary"))
     form = "doc_id bigint, digest binary, text string, common binary, documents binary, bands array<bigint>"
-    return settle(chunked.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(gather, form))
+    return chunked.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(gather, form)
 
 
 def text_digest():
@@ -138,26 +143,26 @@ def _with_texts(pairs: DataFrame, nodes: DataFrame, rich: DataFrame) -> DataFram
 
 
 def _compared_with_pivots(pairs: DataFrame, nodes: DataFrame, rich: DataFrame, total: int, least: float) -> DataFrame:
-    """``a, b, similar, leading, alone`` (kernels.difference_prefixes) for pivots ``a`` and members ``b``."""
+    """``a, b, similar, need, leading, behind, beside`` (kernels.difference_prefixes) for pivots ``a`` and members ``b``."""
+    names = ["a", "b", "similar", "need", "leading", "behind", "beside"]
+    kinds = [pa.binary(), pa.binary(), pa.bool_(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.int32()]
 
     def batch_of(rows):
-        kinds = [pa.binary(), pa.binary(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "similar", "leading", "alone"])
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
 
     def run(batches):
-        rows = []
+        rows, once_only = [], float(kernels.rarity(1.0, total))
         for a, left, b, right in kernels.compared_pairs(batches, total):
-            similarity, leading, alone = kernels.difference_prefixes(left, right, least)
-            rows.append((a, b, similarity >= least, leading, alone))
+            similarity, *found = kernels.difference_prefixes(left, right, least, once_only)
+            rows.append((a, b, similarity >= least, *found))
             if len(rows) >= 1000:
                 yield batch_of(rows)
                 rows = []
         if rows:
             yield batch_of(rows)
 
-    form = "a binary, b binary, similar boolean, leading array<bigint>, alone array<bigint>"
-    return settle(_with_texts(pairs, nodes, rich).mapInArrow(run, form))
+    form = "a binary, b binary, similar boolean, need double, leading array<bigint>, behind array<double>, beside int"
+    return settle_last(lambda: _with_texts(pairs, nodes, rich).mapInArrow(run, form))
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, rich: DataFrame, total: int, least: float) -> DataFrame:
@@ -172,7 +177,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, rich: DataFrame, total: int, leas
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["u", "v"])
 
-    return settle(_with_texts(pairs, nodes, rich).mapInArrow(run, "u binary, v binary"))
+    return settle_last(lambda: _with_texts(pairs, nodes, rich).mapInArrow(run, "u binary, v binary"))
 
 
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -185,6 +190,10 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     equal rows where the table repeats a row.  Where all ids of a class are null so is its id, and
     its rows of smallest digest are kept.
     """
+    return settle_last(lambda: _near_duplicates(docs, least))
+
+
+def _near_duplicates(docs: DataFrame, least: float) -> DataFrame:
     rich = with_frequencies(docs)
     total = rich.count()
     rows = rich.select("doc_id", "digest", "bands")
@@ -210,13 +219,19 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     # Second round: members that are not similar to a pivot, with the other members of its bands.
     of = settle(smallest_reachable(links))
     labelled = compared.join(of.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    beside = labelled.select("a", F.explode("leading").alias("shingle"), F.col("b").alias("x"), F.col("root").alias("root_x"))
-    alone = labelled.where(~F.col("similar")).select(
-        "a", F.explode("alone").alias("shingle"), F.col("b").alias("y"), F.col("root").alias("root_y")
+    places = labelled.select("*", F.posexplode("leading").alias("place", "shingle")).withColumn("behind", F.expr("behind[place]"))
+    beside = places.where("place < beside").select(
+        "a", "shingle", F.col("b").alias("x"), F.col("root").alias("root_x"), "similar", F.col("need").alias("need_x"), F.col("behind").alias("behind_x")
+    )
+    alone = places.where("not similar").select(
+        "a", "shingle", F.col("b").alias("y"), F.col("root").alias("root_y"), F.col("need").alias("need_y"), F.col("behind").alias("behind_y")
     )
+    # Two members that are both not similar to the pivot meet one way round.  A pair that can't reach the
+    # similarity from a shingle on was either met by an earlier one or isn't similar.
+    reached = "least(behind_x, behind_y) >= need_x + need_y - 1e-6"
     second = (
         beside.join(alone, ["a", "shingle"])
-        .where("root_x <> root_y")
+        .where(f"root_x <> root_y and (similar or x < y) and {reached}")
         .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     )
     more = _links(second.distinct(), nodes, rich, total, least)

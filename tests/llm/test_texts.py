@@ -376,6 +376,54 @@ def test_links_of_the_second_round_need_no_agreement(spark):
     assert similar and all(classes[i] == classes[j] for i, j in similar)
 
 
+def test_second_round_meets_similar_pairs_and_few_others():
+    # Near copies of one text, a few words of each changed, some in the same places as in another one.
+    rng, base, least = np.random.default_rng(3), words(77, 300).split(), 0.8
+    texts = []
+    for k in range(90):
+        own = list(base if k % 3 or not texts else texts[-1].split())
+        for place in rng.integers(0, 300, 2 if k % 3 == 0 else 9):
+            own[place] = f"w{k}x{place}"
+        texts.append(" ".join(own))
+    count = collections.Counter(s for t in texts for s in kernels.shingles(t)[0].tolist())
+    weighted = []
+    for t in texts:
+        found, times = kernels.shingles(t)
+        idf = kernels.rarity(np.array([count[s] for s in found.tolist()], dtype=float), len(texts))
+        weighted.append((found, times * idf, idf))
+    once_only = float(kernels.rarity(1.0, len(texts)))
+    sides = [kernels.difference_prefixes(weighted[0], w, least, once_only) for w in weighted]
+    apart = [s[0] < least for s in sides]
+    met, wanted = collections.Counter(), set()
+    for x in range(1, 90):
+        for y in range(1, 90):
+            if x == y or not apart[y] or (apart[x] and x > y):
+                continue
+            (_, need_x, leading_x, behind_x, beside), (_, need_y, leading_y, behind_y, _) = sides[x], sides[y]
+            at_y = dict(zip(leading_y, behind_y))
+            for s, b in list(zip(leading_x, behind_x))[:beside]:
+                met[x, y] += s in at_y and min(b, at_y[s]) >= need_x + need_y - 1e-6
+            if kernels.weighted_jaccard(weighted[x], weighted[y]) >= least:
+                wanted.add((x, y))
+    assert len(wanted) > 10 and all(met[pair] for pair in wanted)
+    # Without these bounds all pairs of the group met, by many shingles each.
+    assert sum(map(bool, met.values())) < 2 * len(wanted) + 40
+
+
+def test_steps_leave_only_their_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gapweave.operators.settle.shared_folder", lambda _: str(tmp_path))
+    docs = documents(spark, rows() + [(100 + i, t, "en", "a") for i, t in enumerate(_HARD)])
+    out = minhash.near_duplicates(docs)
+    assert len(list(tmp_path.glob("settled-*"))) == 1 and out.count() == docs.count()
+
+
+def test_words_are_hashed_alike_in_any_text():
+    long = [f"wörd{i}" for i in range(70_000)] + ["end"]
+    hashed = kernels.word_hashes(long)
+    assert len(np.unique(hashed)) == len(long) and len(kernels.word_hashes([])) == 0
+    assert kernels.word_hashes(["x" * 70_000, "end", "wörd65537"]).tolist()[1:] == [hashed[-1], hashed[65537]]
+
+
 def test_shingles_travel_in_six_bytes_and_counts_in_one():
     rising = np.sort(np.random.default_rng(1).integers(0, 2**64, 1 << 19, dtype=np.uint64))
     dealt = list(kernels.dealt_steps(rising, 7))
