@@ -13,7 +13,7 @@ where a caller wants that.
 
 All positions are in code points.  Array work stays inside the row; what is shuffled are counts
 of entities, terms and pairs, and the words of documents that hold an entity, never whole texts
-(but once in ``sanitise``).
+(but in ``sanitise`` those that hold an entity, once).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from gapweave.functions.arrays import sums_before
 from gapweave.functions.sqltext import index_range, keep, let, lit, transform
 from gapweave.llm.common import as_row, row_columns
 from gapweave.llm.mixing import mix_key
-from gapweave.operators.settle import settle
+from gapweave.operators.settle import settle, settle_last
 
 THRESHOLD = 0.9
 SUPPORT = 1
@@ -228,18 +228,26 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
         label = F.lit(f"[{kind.upper()}]").alias("label")
         return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label))
 
-    spans = (
-        personal_data(docs, threshold, support)
+    spans = settle_last(
+        lambda: personal_data(docs, threshold, support)
         .select("row_key", F.concat(*[labelled(kind) for kind in (*KINDS, "term")]).alias("_spans"))
         .where(F.size("_spans") > 0)
         .groupBy("row_key")  # equal rows have equal spans
         .agg(F.first("_spans").alias("_spans"))
     )
+    # Texts that hold no entity have no spans: they stay where they are, only the others meet theirs.
     text = F.col("text").cast("string")
-    keyed = as_row(docs, text.alias("text"), mix_key(F.col("doc_id"), text).alias("_key"))
-    joined = keyed.join(spans.withColumnRenamed("row_key", "_key"), "_key", "left").withColumn(
-        "clean", F.when(F.col("_spans").isNotNull(), F.expr(_redacted()))
+    whole = F.coalesce(text, F.lit(""))
+    keyed = as_row(docs, text.alias("of_row"), whole.alias("text"), mix_key(F.col("doc_id"), text).alias("_key")).withColumn(
+        "_holds", F.expr(" or ".join(f"size({_base(kind)}) > 0" for kind in KINDS))
     )
+    unchanged = keyed.where(~F.col("_holds")).select("row", F.col("of_row").alias("text"), F.lit(None).cast("string").alias("clean"))
+    changing = (
+        keyed.where("_holds")
+        .join(spans.withColumnRenamed("row_key", "_key"), "_key", "left")
+        .select("row", "text", F.when(F.col("_spans").isNotNull(), F.expr(_redacted())).alias("clean"))
+    )
+    joined = unchanged.unionByName(changing)
     changed = {
         "text": F.coalesce("clean", "text"),
         "n_chars": F.coalesce(F.length("clean").cast("bigint"), F.col("row.n_chars"))

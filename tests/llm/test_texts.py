@@ -415,6 +415,18 @@ def test_steps_leave_only_their_result(spark, tmp_path, monkeypatch):
     docs = documents(spark, rows() + [(100 + i, t, "en", "a") for i, t in enumerate(_HARD)])
     out = minhash.near_duplicates(docs)
     assert len(list(tmp_path.glob("settled-*"))) == 1 and out.count() == docs.count()
+    clean = pii.sanitise(docs)
+    assert len(list(tmp_path.glob("settled-*"))) == 2 and clean.count() == docs.count()
+
+
+def test_texts_without_entity_do_not_travel(spark):
+    some = [(i, words(i, 40), "en", "a") for i in range(60)] + [(100, "Write to a@b.cc today.", "en", "a"), (101, None, "en", "a")]
+    out = pii.sanitise(documents(spark, some))
+    # The side that is joined has one text; all others pass beside the join.
+    travelling = out._jdf.queryExecution().optimizedPlan().toString()
+    assert travelling.lstrip().startswith("Union")
+    assert {r.doc_id: r.text for r in out.collect()} == {i: t for i, t, *_ in some} | {100: out.where("doc_id = 100").first().text}
+    assert "[EMAIL]" in out.where("doc_id = 100").first().text
 
 
 def test_words_are_hashed_alike_in_any_text():
