@@ -253,3 +253,19 @@ def test_plan_has_one_python_pass(spark):
     df = spark.createDataFrame([("a", "b", "c")], "ref string, p string, q string")
     plan = with_codebleu(df, "ref", {"s": "p", "t": "q"}, "c")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+def test_words_of_all_texts_are_hashed_in_one_pass():
+    import numpy as np
+
+    from gapweave.functions import codeflow
+
+    one, other = codeflow.word_hashes("for é (int i"), codeflow.word_hashes("i é for")
+    assert one[[3, 1, 0]].tolist() == other.tolist() and len(np.unique(one)) == 4
+    assert len(codeflow.word_hashes("")) == 0
+    texts = [["for", "i", "for"], [], ["i", "for"]]
+    g1, g2, *_, listed = (x.to_pylist() for x in codeflow.grams(texts, {"for"}))
+    # Copies in a text are items of their own; the first one is the same as in another text.
+    assert [len(x) for x in g1] == [3, 0, 2] and len(set(g1[0]) & set(g1[2])) == 2
+    assert [len(x) for x in g2] == [2, 0, 1] and len(set(g2[0]) & set(g2[2])) == 1
+    assert [len(x) for x in listed] == [2, 0, 1]
