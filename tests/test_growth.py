@@ -4,13 +4,17 @@ import contextlib
 import io
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gapweave.functions import tokens as T
+from gapweave.functions import idarrays, tokens as T
 from gapweave.functions.arrays import sums_before
 from gapweave.functions.sqltext import rstrip
+from gapweave.operators import ranking
 from gapweave.operators.feed import feed_batches
 from gapweave.operators.ranking import drop_smallest, keep_quota, keep_smallest
+from gapweave.operators.settle import settle
+from gapweave.plans import preprocess
 from gapweave.queries import training as Q
 from gapweave.streaming.incremental import run_training
 
@@ -95,3 +99,49 @@ def test_settled_tables_are_packed_tightly(spark, tmp_path):
 
     files = settle(spark.range(10)).inputFiles()
     assert {pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def marked_texts():
+    """Marker texts whole, cut, nested, at the ends of rows and across them."""
+    return ["", "<|fim_pre", "fix|>x", "a<|fim_pad|><|endoftext|>", "<|fim_<|fim_pad|>prefix|>", None, "<|", "fim_middle|>é日", "<|fim_suffix|>"] * 3
+
+
+def test_ids_of_a_batch_are_those_of_its_rows(spark):
+    def row_by_row(text):
+        chars = text.encode().decode("latin-1")
+        for marker, marker_id in Q.M.id_by_text().items():
+            chars = chars.replace(marker, chr(marker_id))
+        return [ord(c) for c in chars]
+
+    replaced = [(m, chr(i)) for m, i in Q.M.id_by_text().items()]
+    texts = marked_texts()
+    for given in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(texts)[2:-1], pa.array([], pa.string())):
+        ids = idarrays.text_encoder(replaced)(given)
+        assert ids.to_pylist() == [None if t is None else row_by_row(t) for t in given.to_pylist()]
+        content = given.cast(pa.large_binary() if pa.types.is_large_string(given.type) else pa.binary())
+        assert idarrays.of_bytes(content).to_pylist() == [None if t is None else list(t) for t in content.to_pylist()]
+    # Marker texts that share bytes are replaced one after the other.
+    tangled = idarrays.text_encoder([("aba", chr(300)), ("bab", chr(301))])
+    assert tangled(pa.array(["ababab"])).to_pylist() == [[300, 301]]
+
+
+def test_training_rows_are_written_once(spark, tmp_path, monkeypatch):
+    settled = []
+    for module in (preprocess, ranking):
+        monkeypatch.setattr(module, "settle", lambda df: settled.append(df.columns) or settle(df))
+    files = Q.document_files(spark, "/root/testdata/sf0.001")
+    counts = preprocess.write_training_rows(files, "prose", str(tmp_path / "out"), fmt="parquet", params=Q.PARAMS).collect()
+    # Only the keys of the random draws are settled; rows with ids go straight to their folder.
+    assert settled == [["split", "pool_key", "file_id", "chunk_no", "draw"]]
+    rows = preprocess.training_rows(files, "prose", params=Q.PARAMS).select("split", "input_ids", "attention_mask", "labels")
+    written = spark.read.parquet(str(tmp_path / "out")).select(rows.columns)
+    assert written.count() == rows.count() > 100
+    assert written.exceptAll(rows).isEmpty() and rows.exceptAll(written).isEmpty()
+    for r in counts:
+        assert r["n_structural"] + r["n_random"] == written.where(F.col("split") == r["split"]).count()
+
+
+def test_markers_are_looked_for_once_a_block(spark):
+    steps = plan(Q.tokenized_rows(spark, "/root/testdata/sf0.001"))
+    above = steps.split("Generate", 1)[0]
+    assert "Contains" not in above and "Contains" in steps
