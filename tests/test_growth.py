@@ -131,8 +131,8 @@ def test_training_rows_are_written_once(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(module, "settle", lambda df: settled.append(df.columns) or settle(df))
     files = Q.document_files(spark, "/root/testdata/sf0.001")
     counts = preprocess.write_training_rows(files, "prose", str(tmp_path / "out"), fmt="parquet", params=Q.PARAMS).collect()
-    # Only the keys of the random draws are settled; rows with ids go straight to their folder.
-    assert settled == [["split", "pool_key", "file_id", "chunk_no", "draw"]]
+    # Keys and ids of the random draws are settled; structural rows go straight to their folder.
+    assert settled == [["split", "pool_key", "file_id", "chunk_no", "draw"], ["split", "input_ids"]]
     rows = preprocess.training_rows(files, "prose", params=Q.PARAMS).select("split", "input_ids", "attention_mask", "labels")
     written = spark.read.parquet(str(tmp_path / "out")).select(rows.columns)
     assert written.count() == rows.count() > 100
