@@ -10,6 +10,8 @@ import sys
 import types
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -238,25 +240,170 @@ def linked_in_bucket(vectors, sizes, codes, table, left, right, least_cosine):
         first = reached
 
 
+# --- largest inner products ------------------------------------------------------------------
+
 #: Below every score; unlike the least integer it can be negated.
 NO_SCORE = -(2**63 - 1)
+#: Marks a place that is still free; as an id it is behind every other.
+_NO_ID = np.iinfo(np.int64).max
+#: Distances are compared with this relative slack, so that rounding never cuts a true neighbour.
+_SLACK = 1e-9
+
+
+def filled(lists, width):
+    """Lists of integers as rows of a matrix, zeros behind shorter ones."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+    out = np.zeros((len(sizes), width), dtype=np.int64)
+    column = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(np.arange(len(sizes)), sizes), column] = np.asarray(lists.flatten())
+    return out
+
+
+def _binary(*arrays):
+    return [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in arrays]
+
+
+def _matrix(packed, kind, width):
+    """Packed rows, one after the other or one in each value, as a matrix of 64-bit integers."""
+    raw = packed if isinstance(packed, bytes) else b"".join(packed.to_pylist())
+    rows = len(raw) // max(np.dtype(kind).itemsize * width, 1)
+    return np.frombuffer(raw, dtype=kind).reshape(rows, width).astype(np.int64)
 
 
-def best_of_page(scores, ids, kept_scores, kept_ids, k):
-    """The ``k`` best of kept and new ones per row: higher score, then smaller id.
+def _in_exact(top, x):
+    """Integers in a type whose products are exact: no partial sum exceeds the largest squared norm."""
+    return x.astype(np.float32 if top < 2**23 else np.float64 if top < 2**52 else np.int64)
 
-    ``NO_SCORE`` marks what is no candidate and places that are still free.
+
+def place_vectors(batches, objects, top, width, kind):
+    """The nearest routing object of every vector and the distance to it; components packed."""
+    norms = (objects**2).sum(axis=1)
+    extra = np.sqrt(np.maximum(top - norms, 0.0))
+    for batch in batches:
+        ints = filled(batch.column(1), width)
+        x = ints.astype(np.float64)
+        squared = (x**2).sum(axis=1)
+        own = np.sqrt(np.maximum(top - squared, 0.0))
+        d2 = squared[:, None] + norms - 2 * x @ objects.T + (own[:, None] - extra) ** 2
+        parent = np.argmin(d2, axis=1)
+        distance = np.sqrt(np.maximum(d2[np.arange(len(x)), parent], 0.0))
+        packed = pa.array([row.tobytes() for row in ints.astype(kind)], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), packed, pa.array(parent.astype(np.int32)), pa.array(distance)],
+            ["vec_id", "ints", "parent", "distance"],
+        )
+
+
+def pack_page(group, top, width, kind, k):
+    """One row for the entries of a page, with the places of its queries and their k-th scores within it."""
+    group = group.sort_by("vec_id")
+    distances, n = np.asarray(group["distance"]), len(group)
+    ints = _matrix(group["ints"], kind, width) if width else np.zeros((n, 0), dtype=np.int64)
+    asked = np.flatnonzero(np.asarray(group["asked"]))
+    floors = np.full(len(asked), NO_SCORE)
+    if n > k and len(asked):
+        x = _in_exact(top, ints)
+        scores = (x[asked] @ x.T).astype(np.int64)
+        scores[np.arange(len(asked)), asked] = NO_SCORE
+        floors = np.partition(scores, n - k, axis=1)[:, n - k]
+    packed = _binary(np.asarray(group["number"]), np.asarray(group["vec_id"]), ints.astype(kind), distances, asked, floors)
+    return pa.Table.from_arrays(
+        [group["page"][:1], group["parent"][:1], pa.array([distances.min()]), pa.array([distances.max()]), *packed],
+        ["page", "parent", "inner", "outer", "numbers", "ids", "ints", "distances", "asked", "floors"],
+    )
+
+
+def queries_of_pages(batches, width, kind):
+    """The rows of the queries in packed pages."""
+    for batch in batches:
+        for numbers, ids, ints, asked, floors in zip(*[column.to_pylist() for column in batch.columns]):
+            asked = np.frombuffer(asked, dtype=np.int64)
+            if not len(asked):
+                continue
+            numbers, ids = np.frombuffer(numbers, dtype=np.int64), np.frombuffer(ids, dtype=np.int64)
+            rows = np.frombuffer(ints, dtype=kind).reshape(len(numbers), width)[asked]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(numbers[asked]),
+                    pa.array(ids[asked]),
+                    pa.array([row.tobytes() for row in rows], pa.binary()),
+                    pa.array(np.frombuffer(floors, dtype=np.int64)),
+                ],
+                ["number", "vec_id", "ints", "floor"],
+            )
+
+
+def pack_block(group):
+    """One row for a block of queries."""
+    group = group.sort_by("number")
+    packed = _binary(*[np.asarray(group[c]) for c in ("number", "vec_id", "floor")])
+    ints = pa.array([b"".join(group["ints"].to_pylist())], pa.binary())
+    return pa.Table.from_arrays([group["block"][:1], *packed, ints], ["block", "q_numbers", "q_ids", "q_floors", "q_ints"])
+
+
+def best_of_page(rows, scores, ids, kept_scores, kept_ids):
+    """Put new scores, each of a row, among the best kept of the rows: higher score, then smaller id."""
+    k = kept_scores.shape[1]
+    touched = np.unique(rows)
+    row = np.concatenate([np.repeat(touched, k), rows])
+    s, d = np.concatenate([kept_scores[touched].ravel(), scores]), np.concatenate([kept_ids[touched].ravel(), ids])
+    order = np.lexsort((d, -s, row))
+    at = row[order]
+    order = order[np.arange(len(at)) - np.searchsorted(at, at) < k]
+    kept_scores[touched], kept_ids[touched] = s[order].reshape(-1, k), d[order].reshape(-1, k)
+
+
+def search_pages(pages, blocks, objects, top, width, kind, k):
+    """The best entries of some pages for every query of some blocks.
+
+    A block visits the pages in the order of their lower bounds.  A page whose bounds exceed the
+    k-th distance so far of every query is skipped, and within a page only entries are scored whose
+    stored distance to the parent lets them come closer.
     """
-    out_scores, out_ids = kept_scores.copy(), kept_ids.copy()
-    for row in range(len(scores)):
-        worst = kept_scores[row, -1]
-        new = np.flatnonzero((scores[row] >= worst) & (scores[row] > NO_SCORE))
-        if not len(new):
-            continue
-        s, d = np.concatenate([kept_scores[row], scores[row, new]]), np.concatenate([kept_ids[row], ids[new]])
-        best = np.lexsort((d, -s))[:k]
-        out_scores[row], out_ids[row] = s[best], d[best]
-    return out_scores, out_ids
+    norms = (objects**2).sum(axis=1)
+    extra = np.sqrt(np.maximum(top - norms, 0.0))
+    found = [[np.zeros(0, dtype=np.int64)] for _ in range(4)]
+    listed = pages.to_pylist() if blocks.num_rows else []
+    parents = np.unique([page["parent"] for page in listed]).astype(np.int64)
+    for block in blocks.to_pylist() if listed else []:
+        q_numbers = np.frombuffer(block["q_numbers"], dtype=np.int64)
+        q = np.frombuffer(block["q_ints"], dtype=kind).reshape(len(q_numbers), width).astype(np.float64)
+        squared = (q**2).sum(axis=1)
+        d2 = squared[:, None] + norms[parents] - 2 * q @ objects[parents].T + extra[parents] ** 2
+        to_parents, q = np.sqrt(np.maximum(d2, 0.0)), _in_exact(top, _matrix(block["q_ints"], kind, width) if width else q)
+        scores = np.repeat(np.frombuffer(block["q_floors"], dtype=np.int64)[:, None], k, axis=1)
+        ids = np.full(scores.shape, _NO_ID)
+        of_page = np.searchsorted(parents, [page["parent"] for page in listed])
+        nearest, farthest = to_parents.min(axis=0)[of_page], to_parents.max(axis=0)[of_page]
+        inner, outer = (np.array([page[c] for page in listed]) for c in ("inner", "outer"))
+        for at in np.argsort(np.maximum(np.maximum(nearest - outer, inner - farthest), 0.0), kind="stable"):
+            page, reach, kth = listed[at], to_parents[:, of_page[at]], scores[:, -1]
+            # A query with fewer than k candidates so far has no limit yet.
+            limit = np.where(kth > NO_SCORE, np.sqrt(np.maximum(squared + top - 2.0 * kth, 0.0)), np.inf)
+            limit = limit * (1 + _SLACK) + _SLACK * np.sqrt(squared + top + 1.0)
+            open_to = np.flatnonzero((reach - outer[at] <= limit) & (inner[at] - reach <= limit))
+            if not len(open_to):
+                continue
+            distances = np.frombuffer(page["distances"], dtype=np.float64)
+            low, high = (reach - limit)[open_to].min(), (reach + limit)[open_to].max()
+            near = np.flatnonzero((distances >= low) & (distances <= high))
+            if not len(near):
+                continue
+            x = _in_exact(top, np.frombuffer(page["ints"], dtype=kind).reshape(len(distances), width)[near])
+            products = q[open_to] @ x.T
+            row, column = np.nonzero(products >= kth[open_to][:, None].astype(products.dtype))
+            numbers = np.frombuffer(page["numbers"], dtype=np.int64)[near]
+            other = q_numbers[open_to][row] != numbers[column]
+            row, column = row[other], column[other]
+            if len(row):
+                new = products[row, column].astype(np.int64)
+                best_of_page(open_to[row], new, np.frombuffer(page["ids"], dtype=np.int64)[near][column], scores, ids)
+        taken = np.nonzero(ids < _NO_ID)
+        query_ids = np.frombuffer(block["q_ids"], dtype=np.int64)
+        for out, values in zip(found, (q_numbers[taken[0]], query_ids[taken[0]], ids[taken], scores[taken])):
+            out.append(values)
+    return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in found], ["number", "query_id", "vec_id", "score"])
 
 
 # --- weighted near-duplicates ----------------------------------------------------------------

@@ -7,15 +7,18 @@ sample) and pages below them: every vector lies under its nearest routing object
 of an object are paged in the order of their distance to it, so a page knows its covering radius,
 its inner radius and its entries' distances to the parent.
 
-Queries go in blocks.  A block visits pages in the order of their lower bounds; a page whose
-bounds exceed the k-th distance so far of every query is skipped, and within a page only entries
-are scored whose stored distance to the parent lets them come closer.
+A query is an entry itself: the k-th score within its own page limits its search from the start.
+Queries go in blocks, in the tree's order.  A block visits pages in the order of their lower
+bounds; a page whose bounds exceed the k-th distance so far of every query is skipped, and within
+a page only entries are scored whose stored distance to the parent lets them come closer.
+
+Pages and blocks meet in pieces of bounded size: a slice of pages travels once for ``BLOCKS`` blocks,
+a block once for each slice, and neither with the other.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gapweave.llm import kernels
@@ -24,11 +27,11 @@ from gapweave.operators.settle import settle
 
 PAGE = 1024  # vectors
 QUERIES = 1024  # per block
+BLOCKS = 16  # that share a copy of a page
+#: Components of the vectors of a slice; each slice is searched by itself.
+SLICE_VALUES = 1 << 21
 #: The root's routing objects come from this many vectors at most.
 SAMPLE, ROUTING = 4096, 256
-SLICES = 16  # independent searches of a block, each over its part of the pages
-#: Distances are compared with this relative slack, so that rounding never cuts a true neighbour.
-_SLACK = 1e-9
 
 
 def integer_vectors(rows: DataFrame) -> DataFrame:
@@ -54,82 +57,53 @@ def _routing(vectors: DataFrame, n: int) -> tuple[np.ndarray, float, int]:
     return np.unique(objects, axis=0), float(facts["norm"] or 0.0), width
 
 
-def _filled(lists, width):
-    out = np.zeros((len(lists), width), dtype=np.int64)
-    for row, values in zip(out, lists):
-        row[: len(values)] = values
-    return out
-
-
-def _product(a, b):
-    # Doubles hold the sums exactly while these stay below 2^53; beyond, 64-bit integers do.
-    largest = max(np.abs(a).max(initial=0), 1) * max(np.abs(b).max(initial=0), 1)
-    if float(largest) * max(a.shape[1], 1) < 2.0**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+def _kind(top: float) -> str:
+    """The narrowest type that holds every component of vectors up to this squared norm."""
+    return next((kind for kind, bits in (("<i2", 15), ("<i4", 31)) if top < 4.0 ** (bits - 1)), "<i8")
 
 
-def build(rows: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray, float, int]:
-    """The pages of the tree, the entries, the routing objects, the largest squared norm, the width.
+def build(rows: DataFrame, is_query, k: int) -> tuple[DataFrame, int, np.ndarray, float, int, str]:
+    """The pages of the tree, how many full ones the vectors make, the routing objects, the largest
+    squared norm, the width, the type of a packed component.
 
-    Entries are ``number, vec_id, ints, parent, distance``; a page is a row ``page, parent,
-    inner, outer, numbers, ids, ints, distances`` of packed arrays.
+    A page is a row ``page, parent, inner, outer, numbers, ids, ints, distances, asked, floors`` of
+    packed arrays; the last two are the places of its queries and their k-th scores within the page.
     """
     vectors = settle(integer_vectors(rows))
-    objects, top, width = _routing(vectors, vectors.count())
-    extra = np.sqrt(np.maximum(top - (objects**2).sum(axis=1), 0.0))
+    n = vectors.count()
+    objects, top, width = _routing(vectors, n)
+    kind = _kind(top)
 
     def place(batches):
-        for batch in batches:
-            x = _filled(batch.column(1).to_pylist(), width).astype(np.float64)
-            squared = (x**2).sum(axis=1)
-            own = np.sqrt(np.maximum(top - squared, 0.0))
-            d2 = squared[:, None] + (objects**2).sum(axis=1) - 2 * x @ objects.T + (own[:, None] - extra) ** 2
-            parent = np.argmin(d2, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(parent.astype(np.int32)),
-                    pa.array(np.sqrt(np.maximum(d2[np.arange(len(x)), parent], 0.0))),
-                ],
-                ["vec_id", "ints", "parent", "distance"],
-            )
+        return kernels.place_vectors(batches, objects, top, width, kind)
+
+    def pack(group):
+        return kernels.pack_page(group, top, width, kind, k)
 
     entries = number_rows(
-        settle(vectors.mapInArrow(place, "vec_id bigint, ints array<bigint>, parent int, distance double")),
+        settle(vectors.mapInArrow(place, "vec_id bigint, ints binary, parent int, distance double")),
         [F.col("parent"), F.col("distance"), F.col("vec_id")],
         "number",
     )
-
-    def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec_id")
-        distances = np.asarray(group["distance"])
-        return pa.table(
-            {
-                "page": group["page"][:1],
-                "parent": group["parent"][:1],
-                "inner": pa.array([distances.min()]),
-                "outer": pa.array([distances.max()]),
-                "numbers": pa.array([np.asarray(group["number"]).tobytes()], pa.binary()),
-                "ids": pa.array([np.asarray(group["vec_id"]).tobytes()], pa.binary()),
-                "ints": pa.array([_filled(group["ints"].to_pylist(), width).tobytes()], pa.binary()),
-                "distances": pa.array([distances.tobytes()], pa.binary()),
-            }
-        )
-
     pages = (
         entries.withColumn("page", F.floor(F.col("number") / PAGE))
+        .withColumn("asked", F.coalesce(is_query, F.lit(False)))
         .groupBy("page", "parent")  # a page of the order may hold the last of one object and the first of the next
         .applyInArrow(
             pack,
-            "page bigint, parent int, inner double, outer double, numbers binary, ids binary, ints binary, distances binary",
+            "page bigint, parent int, inner double, outer double, numbers binary, ids binary, ints binary, distances binary, "
+            "asked binary, floors binary",
         )
     )
-    return settle(pages), entries, objects, top, width
+    return settle(pages), -(-n // PAGE), objects, top, width, kind
+
 
+def _each(n: int):
+    """A row for each number below ``n``, one row at least."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0)).cast("bigint")))
 
-def search(rows: DataFrame, is_query, k: int = 5, slices: int = SLICES) -> DataFrame:
+
+def search(rows: DataFrame, is_query, k: int = 5, slices: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products of every query.
 
     ``rows`` needs ``vec_id`` and ``embedding``; other columns are ignored.  Vectors that are
@@ -137,111 +111,46 @@ def search(rows: DataFrame, is_query, k: int = 5, slices: int = SLICES) -> DataF
     vectors count as filled with zeros.  A row is no candidate for itself, other rows with its id
     are.  Ties go to the smaller id.  Sums beyond 64 bits are undefined.
     """
-    pages, entries, objects, top, width = build(rows)
-    extra = np.sqrt(np.maximum(top - (objects**2).sum(axis=1), 0.0))
-    asked = entries.where(is_query).select("number", "vec_id", "ints")
-    blocks = max(1, -(-asked.count() // QUERIES))
-
-    def pack(group: pa.Table) -> pa.Table:
-        q = _filled(group["ints"].to_pylist(), width)
-        squared = (q.astype(np.float64) ** 2).sum(axis=1)
-        d2 = squared[:, None] + (objects**2).sum(axis=1) - 2 * q.astype(np.float64) @ objects.T + extra**2
-        to_objects = np.sqrt(np.maximum(d2, 0.0))
-        return pa.table(
-            {
-                "block": group["block"][:1],
-                "q_numbers": pa.array([np.asarray(group["number"]).tobytes()], pa.binary()),
-                "q_ids": pa.array([np.asarray(group["vec_id"]).tobytes()], pa.binary()),
-                "q_ints": pa.array([q.tobytes()], pa.binary()),
-                "q_squared": pa.array([squared.tobytes()], pa.binary()),
-                "q_distances": pa.array([to_objects.tobytes()], pa.binary()),
-                "nearest": pa.array([to_objects.min(axis=0).tolist()], pa.list_(pa.float64())),
-                "farthest": pa.array([to_objects.max(axis=0).tolist()], pa.list_(pa.float64())),
-            }
-        )
+    pages, n_pages, objects, top, width, kind = build(rows, is_query, k)
+    in_slice = -(-n_pages // slices) if slices else SLICE_VALUES // (PAGE * max(width, 1))
+    in_slice = max(in_slice, 1)
+
+    def queries(batches):
+        return kernels.queries_of_pages(batches, width, kind)
 
-    asked_blocks = (
-        asked.withColumn("block", F.pmod(F.xxhash64("number"), F.lit(blocks)))
+    def meet(some, blocks):
+        return kernels.search_pages(some, blocks, objects, top, width, kind, k)
+
+    asked = number_rows(
+        settle(
+            pages.select("numbers", "ids", "ints", "asked", "floors").mapInArrow(
+                queries, "number bigint, vec_id bigint, ints binary, floor bigint"
+            )
+        ),
+        [F.col("number")],
+        "place",
+    )
+    n_blocks = -(-asked.count() // QUERIES)
+    blocks = (
+        asked.withColumn("block", F.floor(F.col("place") / QUERIES))
         .groupBy("block")
-        .applyInArrow(
-            pack,
-            "block bigint, q_numbers binary, q_ids binary, q_ints binary, q_squared binary, q_distances binary, "
-            "nearest array<double>, farthest array<double>",
-        )
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        .applyInArrow(kernels.pack_block, "block bigint, q_numbers binary, q_ids binary, q_floors binary, q_ints binary")
     )
-    parent = F.col("parent") + 1
-    bound = F.greatest(
-        F.element_at("nearest", parent) - F.col("outer"), F.col("inner") - F.element_at("farthest", parent), F.lit(0.0)
+    some = pages.drop("asked", "floors").select(
+        "*",
+        F.floor(F.col("page") / in_slice).alias("slice"),
+        _each(-(-n_blocks // BLOCKS)).alias("bundle"),
     )
-    visits = (
-        pages.withColumn("slice", F.pmod(F.xxhash64("page", "parent"), F.lit(slices)).cast("int"))
-        .join(asked_blocks, "slice")
-        .withColumn("bound", bound)
-        .drop("nearest", "farthest")
-        .repartition("slice", "block")
-        .sortWithinPartitions("slice", "block", "bound")
+    wanted = blocks.select(
+        "*",
+        F.floor(F.col("block") / BLOCKS).alias("bundle"),
+        _each(-(-n_pages // in_slice)).alias("slice"),
+    )
+    found = (
+        some.groupBy("slice", "bundle")
+        .cogroup(wanted.groupBy("slice", "bundle"))
+        .applyInArrow(meet, "number bigint, query_id bigint, vec_id bigint, score bigint")
     )
-    names = ["block", "parent", "inner", "outer", "numbers", "ids", "ints", "distances", "q_numbers", "q_ids", "q_ints", "q_squared", "q_distances"]
-
-    def visit(state, row):
-        q, reach = state["q"], state["to_objects"][:, row["parent"]]
-        kth = state["scores"][:, -1]
-        # A query with fewer than k candidates so far has no limit yet.
-        limit = np.where(
-            kth > kernels.NO_SCORE, np.sqrt(np.maximum(state["squared"] + top - 2.0 * kth, 0.0)), np.inf
-        )
-        limit = limit * (1 + _SLACK) + _SLACK * np.sqrt(state["squared"] + top + 1.0)
-        open_to = np.flatnonzero((reach - row["outer"] <= limit) & (row["inner"] - reach <= limit))
-        if not len(open_to):
-            return
-        distances = np.frombuffer(row["distances"], dtype=np.float64)
-        low, high = (reach - limit)[open_to].min(), (reach + limit)[open_to].max()
-        near = np.flatnonzero((distances >= low) & (distances <= high))
-        if not len(near):
-            return
-        x = np.frombuffer(row["ints"], dtype=np.int64).reshape(len(distances), -1)[near]
-        numbers = np.frombuffer(row["numbers"], dtype=np.int64)[near]
-        ids = np.frombuffer(row["ids"], dtype=np.int64)[near]
-        scores = _product(q[open_to], x)
-        scores[state["numbers"][open_to][:, None] == numbers] = kernels.NO_SCORE
-        state["scores"][open_to], state["ids"][open_to] = kernels.best_of_page(
-            scores, ids, state["scores"][open_to], state["ids"][open_to], k
-        )
-
-    def begin(row):
-        numbers = np.frombuffer(row["q_numbers"], dtype=np.int64)
-        n = len(numbers)
-        return {
-            "numbers": numbers,
-            "query_ids": np.frombuffer(row["q_ids"], dtype=np.int64),
-            "q": np.frombuffer(row["q_ints"], dtype=np.int64).reshape(n, -1),
-            "squared": np.frombuffer(row["q_squared"], dtype=np.float64),
-            "to_objects": np.frombuffer(row["q_distances"], dtype=np.float64).reshape(n, -1),
-            "scores": np.full((n, k), kernels.NO_SCORE),
-            "ids": np.full((n, k), np.iinfo(np.int64).max),
-        }
-
-    def finish(state):
-        place = np.nonzero(state["ids"] < np.iinfo(np.int64).max)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(state["numbers"][place[0]]), pa.array(state["query_ids"][place[0]]), pa.array(state["ids"][place]), pa.array(state["scores"][place])],
-            ["number", "query_id", "vec_id", "score"],
-        )
-
-    def run(batches):
-        current, state = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if (row["slice"], row["block"]) != current:
-                    if state:
-                        yield finish(state)
-                    current, state = (row["slice"], row["block"]), begin(row)
-                visit(state, row)
-        if state:
-            yield finish(state)
-
-    found = visits.select("slice", *names).mapInArrow(run, "number bigint, query_id bigint, vec_id bigint, score bigint")
     # k rows of each slice at most per query.
     ranked = found.groupBy("number", "query_id").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), F.col("vec_id").alias("vec_id"), F.col("score").alias("score")))), 1, k).alias("best")

@@ -1,14 +1,20 @@
 import collections
+import os
+import subprocess
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from gapweave.llm import embeddings, queries, topk
+from gapweave.llm import embeddings, kernels, queries, topk
 from gapweave.llm.common import number_rows, smallest_reachable
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from tests.llm.fixtures import documents, empty, words
 from tests.oracle import compare, connect
+from tests.test_growth import plan
 
 FOLDER = "/root/testdata/sf0.001"
 VECTORS = "vec_id bigint, embedding array<float>, label int, class_id int, number int"
@@ -89,6 +95,37 @@ def test_top_k_against_all_products(spark, monkeypatch, page, queries_per_block)
     assert collections.Counter(tuple(r) for r in out) == want
 
 
+def test_pages_and_queries_travel_apart(spark):
+    some = _frame(spark, [(i, v, c) for i, v, c in _vectors(4) if i is not None])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = plan(topk.search(some, F.col("vec_id") % 10 == 0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "FlatMapCoGroupsInArrow" in steps and "SortMergeJoin" not in steps
+
+
+def test_search_needs_no_package_on_the_workers(tmp_path):
+    steps = [kernels.place_vectors, kernels.pack_page, kernels.queries_of_pages, kernels.pack_block, kernels.search_pages]
+    (tmp_path / "steps").write_bytes(cloudpickle.dumps(steps))
+    code = "from pyspark import cloudpickle; import sys; print(len(cloudpickle.load(open('steps', 'rb'))), 'gapweave' in sys.modules)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.stdout.split() == ["5", "False"]
+
+
+def test_page_limits_its_queries():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-50, 50, size=(40, 8))
+    group = pa.table({
+        "number": range(40), "vec_id": range(40), "ints": [row.astype("<i2").tobytes() for row in x], "page": [0] * 40,
+        "parent": [0] * 40, "distance": rng.random(40), "asked": [i % 4 == 0 for i in range(40)],
+    })
+    packed = kernels.pack_page(group, float((x**2).sum(axis=1).max()), 8, "<i2", 5).to_pylist()[0]
+    want = [sorted(np.delete(x @ x[i], i))[-5] for i in range(0, 40, 4)]
+    assert np.frombuffer(packed["floors"], dtype=np.int64).tolist() == want
+
+
 def test_fewer_rows_than_k(spark):
     out = topk.search(_frame(spark, [(0, [1.0, 2.0], 0), (1, [1.0], 0)]), F.col("vec_id") == 0).collect()
     assert [tuple(r) for r in out] == [(0, 1, 1, 256 * 256)]
