@@ -1,8 +1,8 @@
 """CodeBLEU: n-grams, keyword-weighted n-grams, trees, data flow.
 
 The syntax part compares the trees of brackets and statements, the data-flow part the edges from
-definitions to uses, see ``codeflow``.  Both read tokens, not a grammar.  Every text is read once,
-in Arrow batches; what is compared are sets of hashes.
+definitions to uses, see ``codeflow``.  Both read tokens, not a grammar.  A reference and its candidates
+are read and compared together, in Arrow batches; only counts come back.
 
 Arguments are column names or SQL expressions.
 """
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions import codeflow
-from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_text, keyword_bleu_text
+from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_of_counts, keyword_bleu_of_counts
 from gapweave.functions.sqltext import let
 
 # Reserved words shared by most of the supported languages, then additions.
@@ -33,61 +33,52 @@ EXTRA_KEYWORDS = {
     "php": "abstract array as echo elseif extends foreach function global implements namespace private protected public use var".split(),
 }
 
-# The type of what is kept of one text.
-SIDE = (
-    "n_words int, g1 array<bigint>, g2 array<bigint>, g3 array<bigint>, g4 array<bigint>, keywords array<bigint>, "
-    "trees array<bigint>, edges array<bigint>"
-)
+# The types of what is kept of the reference and of a candidate.
+REFERENCE = "struct<n_words:int,keywords:int,trees:int,edges:int>"
+CANDIDATE = "struct<n_words:int,g1:int,g2:int,g3:int,g4:int,keywords:int,trees:int,edges:int>"
 
 
 def keywords(language: str) -> list[str]:
     return SHARED_KEYWORDS + EXTRA_KEYWORDS.get(language, [])
 
 
-def side(text: str, language: str) -> Column:
-    """All that the score needs of one text, as sets of hashes: runs of words, key words, trees, data flow.
-
-    Compute it once per text as a column of its own; the reference side serves every candidate.
+def compared(ref: str, candidates: list[str], language: str) -> Column:
+    """All that the scores need of a reference and its candidates: sizes, and what is shared of runs of words,
+    key words, trees and data flow.  Every text is read once.
     """
     listed = frozenset(keywords(language))
 
-    def run(texts: pa.Array) -> pa.Array:
-        return codeflow.sides(texts, language, listed)
+    def run(*texts: pa.Array) -> pa.Array:
+        return codeflow.compared(texts[0], texts[1:], language, listed)
 
-    return F.arrow_udf(run, SIDE)(F.expr(text).cast("string"))
+    fields = [f"ref {REFERENCE}", *[f"c{k} {CANDIDATE}" for k in range(len(candidates))]]
+    return F.arrow_udf(run, ", ".join(fields))(*[F.expr(text).cast("string") for text in (ref, *candidates)])
 
 
-def scorable(ref_side: str, language: str) -> Column:
+def scorable(found: str, language: str) -> Column:
     """Supported language, and a reference with at least one tree and one data-flow edge."""
     if language not in CODEBLEU_LANGUAGES:
         return F.lit(False)
-    return F.expr(f"coalesce(size({ref_side}.trees) > 0 and size({ref_side}.edges) > 0, false)")
-
-
-def _shared(left: str, right: str) -> str:
-    # Copies of an item are different items of the set, so this is the clipped overlap.
-    return f"cast(size(array_intersect({left}, {right})) as double)"
+    return F.expr(f"coalesce({found}.ref.trees > 0 and {found}.ref.edges > 0, false)")
 
 
-def _recall(ref: str, pred: str) -> str:
-    return f"if(size({ref}) = 0, 0D, {_shared(pred, ref)} / size({ref}))"
+def codebleu(found: str, candidate: int, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
+    """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
+    r, p = f"{found}.ref", f"{found}.c{candidate}"
 
+    def shared(items: str) -> str:
+        return f"cast({p}.{items} as double)"
 
-def codebleu(ref_side: str, pred_side: str, language: str, weights=(0.1, 0.1, 0.4, 0.4)) -> Column:
-    """Weighted sum of the four parts; apply ``scorable`` to the reference first."""
-    r, p = ref_side, pred_side
-    r_grams, p_grams = f"array({r}.g1)", f"array({p}.g1)"
+    def recall(items: str) -> str:
+        return f"if({r}.{items} = 0, 0D, {shared(items)} / {r}.{items})"
 
     def n_gram_parts(h: str) -> str:
-        plain = bleu_text(r_grams, p_grams, h)
-        weighted = keyword_bleu_text(r_grams, p_grams, h, _shared(f"{p}.keywords", f"{r}.keywords"), f"size({r}.keywords)")
+        plain = bleu_of_counts(f"{r}.n_words", f"{p}.n_words", h)
+        weighted = keyword_bleu_of_counts(f"{r}.n_words", f"{p}.n_words", h, shared("keywords"), f"{r}.keywords")
         return f"{float(weights[0])}D * {plain} + {float(weights[1])}D * {weighted}"
 
-    hits = f"array({', '.join(_shared(f'{p}.g{k}', f'{r}.g{k}') for k in range(1, 5))})"
-    total = (
-        f"{let(hits, n_gram_parts)} + {float(weights[2])}D * {_recall(f'{r}.trees', f'{p}.trees')}"
-        f" + {float(weights[3])}D * {_recall(f'{r}.edges', f'{p}.edges')}"
-    )
+    hits = f"array({', '.join(shared(f'g{k}') for k in range(1, 5))})"
+    total = f"{let(hits, n_gram_parts)} + {float(weights[2])}D * {recall('trees')} + {float(weights[3])}D * {recall('edges')}"
     return F.expr(f"coalesce({total}, 0D)")
 
 
@@ -100,11 +91,7 @@ def with_codebleu(
     """
     if language not in CODEBLEU_LANGUAGES:
         return df.select("*", F.lit(False).alias("codebleu_valid"), *[F.lit(0.0).alias(c) for c in candidates])
-    sides = df.select(
-        "*",
-        side(ref, language).alias("_ref"),
-        *[side(f"coalesce({text}, '')", language).alias(f"_side_{c}") for c, text in candidates.items()],
-    )
-    valid = scorable("_ref", language)
-    scores = [F.when(valid, codebleu("_ref", f"_side_{c}", language, weights)).otherwise(0.0).alias(c) for c in candidates]
-    return sides.select(*df.columns, valid.alias("codebleu_valid"), *scores)
+    found = df.select("*", compared(ref, list(candidates.values()), language).alias("_code"))
+    valid = scorable("_code", language)
+    scores = [F.when(valid, codebleu("_code", k, weights)).otherwise(0.0).alias(c) for k, c in enumerate(candidates)]
+    return found.select(*df.columns, valid.alias("codebleu_valid"), *scores)

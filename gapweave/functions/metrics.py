@@ -130,7 +130,10 @@ def gram_hits(ref_grams: str, pred_grams: str, orders: int = 4) -> str:
 
 def bleu_text(ref_grams: str, pred_grams: str, hits: str, weights=EVEN) -> str:
     """BLEU from the n-gram lists of both sides (see ``gram_lists``) and their ``gram_hits``."""
-    n_pred, n_ref = f"size({pred_grams}[0])", f"size({ref_grams}[0])"
+    return bleu_of_counts(f"size({ref_grams}[0])", f"size({pred_grams}[0])", hits, weights)
+
+
+def bleu_of_counts(n_ref: str, n_pred: str, hits: str, weights=EVEN) -> str:
     orders = range(len(weights))
     totals = [f"greatest({n_pred} - {k}, 1)" for k in orders]
     return _geometric([f"{hits}[{k}]" for k in orders], totals, weights, n_pred, n_ref)
@@ -139,12 +142,17 @@ def bleu_text(ref_grams: str, pred_grams: str, hits: str, weights=EVEN) -> str:
 def keyword_bleu_text(
     ref_grams: str, pred_grams: str, hits: str, keyword_hits: str, n_ref_keywords: str, weights=EVEN
 ) -> str:
+    """Keyword BLEU from the n-gram lists of both sides, see ``keyword_bleu_of_counts``."""
+    n_ref, n_pred = f"size({ref_grams}[0])", f"size({pred_grams}[0])"
+    return keyword_bleu_of_counts(n_ref, n_pred, hits, keyword_hits, n_ref_keywords, weights)
+
+
+def keyword_bleu_of_counts(n_ref: str, n_pred: str, hits: str, keyword_hits: str, n_ref_keywords: str, weights=EVEN) -> str:
     """Recall form of BLEU in which unigrams count 1 for keywords and less for other tokens.
 
     With two weights only, the weighted sums follow from the plain sums and the sums over
     keywords alone.
     """
-    n_pred, n_ref = f"size({pred_grams}[0])", f"size({ref_grams}[0])"
 
     def weighted(all_tokens: str, keyword_tokens: str) -> str:
         return f"({PLAIN_TOKEN_WEIGHT}D * {all_tokens} + {1 - PLAIN_TOKEN_WEIGHT}D * {keyword_tokens})"

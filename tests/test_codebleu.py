@@ -269,3 +269,51 @@ def test_words_of_all_texts_are_hashed_in_one_pass():
     assert [len(x) for x in g1] == [3, 0, 2] and len(set(g1[0]) & set(g1[2])) == 2
     assert [len(x) for x in g2] == [2, 0, 1] and len(set(g2[0]) & set(g2[2])) == 1
     assert [len(x) for x in listed] == [2, 0, 1]
+
+
+def test_only_counts_come_back_from_the_texts(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "ref string, p string, q string")
+    plan = with_codebleu(df, "ref", {"s": "p", "t": "q"}, "c")._jdf.queryExecution().executedPlan().toString()
+    assert "array_intersect" not in plan and "array<bigint>" not in plan
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(*[st.text("ab =;(){}\n\x85 \xe9'\"k\\/*", max_size=30)] * 3), max_size=12))
+def test_counts_are_those_of_the_sets(rows):
+    """What is shared by slices of a few rows, against sets of the copies of a text."""
+    import pyarrow as pa
+
+    sides = [[row[k] for row in rows] for k in range(3)]
+    listed, before = frozenset(["a", "k"]), codeflow.SLICE_ROWS
+    codeflow.SLICE_ROWS = 5
+    try:
+        got = codeflow.compared(pa.array(sides[0], pa.string()), [pa.array(s, pa.string()) for s in sides[1:]], "c", listed).to_pylist()
+    finally:
+        codeflow.SLICE_ROWS = before
+    names = ["g1", "g2", "g3", "g4", "keywords", "trees", "edges"]
+    sets = [[x.to_pylist() for x in (*codeflow.grams([t.split() for t in s], listed), *codeflow.structure(s, "c", listed))] for s in sides]
+    for i, row in enumerate(got):
+        ref = dict(zip(names, (x[i] for x in sets[0])))
+        assert row["ref"] == {"n_words": len(ref["g1"]), **{n: len(ref[n]) for n in names[4:]}}
+        for c, own in enumerate(sets[1:]):
+            shared = {n: len(set(ref[n]) & set(x[i])) for n, x in zip(names, own)}
+            assert row[f"c{c}"] == {"n_words": len(own[0][i]), **shared}
+
+
+@pytest.mark.parametrize("language", ["c", "python", "php"])
+def test_quick_pattern_finds_the_same_tokens(language):
+    @settings(max_examples=300, deadline=None)
+    @given(st.text("ab1_\"'\\/*#\n =+-;{}()\xe9", max_size=40))
+    def check(text):
+        assert re.findall(codeflow._quick_pattern(language), text) == re.findall(codeflow.token_pattern(language), text)
+
+    check()
+
+
+def test_words_are_those_of_split():
+    import numpy as np
+
+    text = "".join(f"{chr(c)}x{c % 7}" for c in range(0x3100)) + "€ "
+    starts, hashed = codeflow._hashed_words(np.frombuffer(text.encode(), dtype=np.uint8))
+    words = text.split()
+    assert len(hashed) == len(words) and len(set(zip(words, hashed.tolist()))) == len(set(words)) == len(set(hashed.tolist()))
