@@ -8,6 +8,7 @@ from gapweave.functions import metrics as M
 from gapweave.functions.codebleu import with_codebleu
 from gapweave.operators import scoring as Score, summary as Summary, train_log as Log
 from gapweave.params import EvalParams, FimParams
+from gapweave.operators.structure import with_brace_nodes
 from gapweave.plans.preprocess import file_blocks
 from gapweave.queries import derive as D, sql as Q
 from gapweave.queries.codebleu_sql import code_scores_sql
@@ -227,7 +228,8 @@ code_pairs AS (
 def codebleu_rows(spark, folder):
     """CodeBLEU on the derived C-like corpus: each function against itself with the loop
     variable renamed, and against itself cut off at the loop."""
-    blocks = file_blocks(D.braced_files(spark, folder), "brace", FimParams(max_code_blocks_ast_depth=2))
+    files = with_brace_nodes(D.braced_files(spark, folder))
+    blocks = file_blocks(files, "brace", FimParams(max_code_blocks_ast_depth=2), nodes=True)
     code = F.col("code").cast("string")
     rows = blocks.select(
         F.concat_ws(":", F.col("file_id").cast("string"), F.col("block_id").cast("string")).alias("example_id"),

@@ -152,3 +152,23 @@ def test_wide_blocks_are_not_copied_into_every_bin(spark):
         if f == g and j >= i and s2 >= s1 and e2 <= e1 and (s2 < max(e1, s1 + 1) or s2 == s1)
     )
     assert got == want
+
+
+def test_brace_nodes_in_batches_are_those_of_the_expression(spark):
+    import random
+
+    rng = random.Random(5)
+    parts = ["{", "}", ";", "(", ")", "/", "//", "/*", "*/", '"', "'", "\\", "\n", " ", "#", "a", "f(int n) {", "k++;", "\xe9\U0001F600", "\x0b", "\x1c", "\x85"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + [None, "", CODE, CODE * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "file_id long, text string").repartition(3)
+    want = {r["file_id"]: r["nodes"] for r in S.with_nodes(df, "brace").collect()}
+    got = S.with_brace_nodes(df)
+    assert got.schema["nodes"].dataType.simpleString() == S.with_nodes(df, "brace").schema["nodes"].dataType.simpleString()
+    assert {r["file_id"]: r["nodes"] for r in got.collect()} == want
+
+
+def test_code_scores_scan_their_files_in_batches(spark):
+    from gapweave.queries.evaluation import codebleu_rows
+
+    plan = codebleu_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and "Exchange" not in plan and "regexp_extract_all" not in plan
