@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gapweave.functions import codeflow
 from gapweave.functions.metrics import CODEBLEU_LANGUAGES, bleu_of_counts, keyword_bleu_of_counts
-from gapweave.functions.sqltext import let
 
 # Reserved words shared by most of the supported languages, then additions.
 SHARED_KEYWORDS = (
@@ -78,7 +77,7 @@ def codebleu(found: str, candidate: int, weights=(0.1, 0.1, 0.4, 0.4)) -> Column
         return f"{float(weights[0])}D * {plain} + {float(weights[1])}D * {weighted}"
 
     hits = f"array({', '.join(shared(f'g{k}') for k in range(1, 5))})"
-    total = f"{let(hits, n_gram_parts)} + {float(weights[2])}D * {recall('trees')} + {float(weights[3])}D * {recall('edges')}"
+    total = f"{n_gram_parts(hits)} + {float(weights[2])}D * {recall('trees')} + {float(weights[3])}D * {recall('edges')}"
     return F.expr(f"coalesce({total}, 0D)")
 
 
